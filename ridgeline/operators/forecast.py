@@ -29,12 +29,15 @@ def forecast_hourly_by_area(stg: DataFrame, areas: DataFrame, cell_size: float |
        Exact: the newest row over a union of polygon groups is the newest
        among each group's newest.
     """
+    newest_cell = latest_per_key(stg, ["geo_json", "start_time"])
     if bridge is None:
+        # distinct polygons straight from the staged rows: a partial
+        # aggregate on one column. When ``stg`` is a published table this
+        # side reads only the (dictionary-encoded) geo_json column.
         bridge = area_polygons(areas, stg, cell_size=cell_size)
-    n_poly = bridge.groupBy("area_id").agg(F.count(F.lit(1)).alias("_n_poly"))
-    bridge = bridge.join(n_poly, "area_id")
-
-    newest_cell = latest_per_key(stg, ["geo_json", "start_time"])
+    # polygons per area: a window over the small area-grain bridge (a few
+    # rows per area), not a second pass over the bridge
+    bridge = bridge.withColumn("_n_poly", F.count(F.lit(1)).over(Window.partitionBy("area_id")))
     joined = newest_cell.join(bridge, "geo_json", "inner")
     single = joined.filter(F.col("_n_poly") == 1)
     multi = latest_per_key(joined.filter(F.col("_n_poly") > 1).drop("_n_poly", "geo_json"),

@@ -45,11 +45,10 @@ def target_areas(dim: DataFrame, parents: Iterable[str] | DataFrame,
         out = out.join(pid, out["parent_id"] == pid["_pid"], "left_semi")
     else:
         out = out.filter(F.col("parent_id").isin(list(parents)))
-    cols = [F.col("id").alias("area_id"), F.col("latitude"), F.col("longitude")]
     if as_text:
-        cols = [c.cast("string") for c in cols]
-        cols = [cols[0].alias("area_id"), cols[1].alias("lat"), cols[2].alias("long")]
-    return out.select(*cols)
+        return out.select(F.col("id").cast("string").alias("area_id"), F.col("latitude").cast("string").alias("lat"),
+                          F.col("longitude").cast("string").alias("long"))
+    return out.select(F.col("id").alias("area_id"), "latitude", "longitude")
 
 
 def area_node(dim: DataFrame, area_id: str) -> DataFrame:

@@ -165,7 +165,7 @@ def raw_forecast_docs(spark: SparkSession, sf_dir: str, types=None, plant_bad: b
                  F.struct(F.lit("wmoUnit:m").alias("unitCode"), (g * F.lit(10.5)).alias("value")).alias("elevation"),
                  F.transform("ps", lambda x: x["p"]).alias("periods")).alias("properties"))
     return docs.select(F.to_json(data, {"ignoreNullFields": "false"}).alias("data"),
-                       (F.col("hr") + F.expr("INTERVAL 1 HOUR")).alias("extracted_at_ts"))
+                       (F.col("hr") + F.expr("INTERVAL 1 HOUR")).cast("timestamp").alias("extracted_at_ts"))
 
 
 def raw_gridpoints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from .. import schemas
 from ..functions.scoring import ScoreParams, climb_score, ramp
 from ..operators import accuracy, checks, forecast, hierarchy, serve, snapshots, spatial, staging
 from ..session import scratch_path
-from ..sources import landing
+from ..sources import landing, tables
 from ..streaming import ingest
 from . import bindings as B
 
@@ -115,16 +115,27 @@ def q_project_gridpoints(spark, sf):
 def q_distinct_gridpoints(spark, sf):
     base = scratch_path(spark, "landing")
     gp = B.raw_gridpoints(spark, sf)
-    # append-only landing, one folder per run day
-    landing.write_landing(gp.drop("run_day"), base, "nws", "resolve_gridpoints", "all")
-    raw = landing.read_gridpoint_landing(spark, base)
+    # two runs land resolutions; each run is appended to the raw table (S6),
+    # which therefore repeats cells run after run; distinct collapses them
+    table_path = scratch_path(spark, "raw_gridpoints")
+    for run, days in (("r1", F.col("run_day") < F.lit("2024-01-15").cast("date")),
+                      ("r2", F.col("run_day") >= F.lit("2024-01-15").cast("date"))):
+        landing.write_landing(gp.filter(days).drop("run_day"), base, "nws", "resolve_gridpoints", run)
+        tables.append_table(landing.read_gridpoint_landing(spark, base, run_ts=run), table_path)
+    raw = spark.read.parquet(table_path)
     return raw.select("grid_id", "grid_x", "grid_y").distinct()
 
 
 # ------------------------------------------------------------ areas
 
 def q_stage_countries(spark, sf):
-    return staging.stage_countries(B.raw_countries(spark, sf))
+    base = scratch_path(spark, "landing")
+    landing.write_landing(B.raw_countries(spark, sf), base, "graph_ql", "ingest_graphql_countries", "r1")
+    # truncate-and-load of the raw table (S7), twice: the second load replaces
+    table_path = scratch_path(spark, "raw_countries")
+    for _ in range(2):
+        tables.replace_table(landing.read_country_landing(spark, base), table_path)
+    return staging.stage_countries(spark.read.parquet(table_path))
 
 
 def q_stage_areas(spark, sf):
@@ -149,6 +160,10 @@ def q_target_areas(spark, sf):
     return hierarchy.target_areas(dim(spark, sf), TARGET_PARENTS)
 
 
+def q_target_areas_text(spark, sf):
+    return hierarchy.target_areas(dim(spark, sf), TARGET_PARENTS, as_text=True)
+
+
 def q_area_node(spark, sf):
     return hierarchy.area_node(dim(spark, sf), NODE_ID)
 
@@ -231,6 +246,14 @@ def q_fact_hourly(spark, sf):
     return f.select("area_id", "start_time", "generated_at", _r6("climb_score").alias("climb_score"))
 
 
+def q_publish_fact(spark, sf):
+    """The fact as a table: day folders, area-sorted files."""
+    f = fact(spark, sf).withColumn("start_day", F.to_date("start_time"))
+    t = tables.publish(f, "fact_hourly_forecast_by_area", kind="table", path=scratch_path(spark, "fact"),
+                       partition_by=["start_day"], sort_within=["area_id", "start_time"])
+    return t.select("area_id", "start_time", "generated_at", _r6("climb_score").alias("climb_score"))
+
+
 def q_incremental_upsert(spark, sf):
     cut = F.lit("2024-01-16 00:00:00").cast("timestamp")
     s = stg(spark, sf)
@@ -318,6 +341,11 @@ def q_check_not_null(spark, sf):
         "elevation_value", "generated_at", "start_time", "temperature_value")
 
 
+def q_check_not_null_by_area(spark, sf):
+    h = hourly(spark, sf)
+    return checks.check_not_null(h, ["area_id", "start_time"]).select("area_id", "start_time")
+
+
 def q_check_expression(spark, sf):
     s = stg_areas(spark, sf, plant_bad=True)
     failing = checks.check_expression(s, F.try_element_at("ancestors", F.lit(-1)) == F.col("id"))
@@ -377,6 +405,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_area": q_dim_area,
     "area_kind": q_area_kind,
     "target_areas": q_target_areas,
+    "target_areas_text": q_target_areas_text,
     "area_node": q_area_node,
     "area_children": q_area_children,
     "area_card": q_area_card,
@@ -391,6 +420,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_snapshot_max": q_latest_snapshot_max,
     "forecast_hourly_by_area": q_forecast_hourly_by_area,
     "fact_hourly": q_fact_hourly,
+    "publish_fact": q_publish_fact,
     "incremental_upsert": q_incremental_upsert,
     "ramp": q_ramp,
     "climb_score": q_climb_score,
@@ -404,6 +434,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "series_empty": q_series_empty,
     "check_required": q_check_required,
     "check_not_null": q_check_not_null,
+    "check_not_null_by_area": q_check_not_null_by_area,
     "check_expression": q_check_expression,
     "check_unique": q_check_unique,
     "forecast_union": q_forecast_union,

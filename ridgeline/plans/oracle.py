@@ -257,6 +257,10 @@ ORACLE["target_areas"] = _w(f"""{CTE_HIER}
 SELECT id AS area_id, latitude, longitude FROM dim
 WHERE parent_id IN ('N1', 'N2') AND area_name <> 'Beaches'""")
 
+ORACLE["target_areas_text"] = _w(f"""{CTE_HIER}
+SELECT id AS area_id, CAST(latitude AS VARCHAR) AS lat, CAST(longitude AS VARCHAR) AS long FROM dim
+WHERE parent_id IN ('N1', 'N2') AND area_name <> 'Beaches'""")
+
 ORACLE["area_node"] = _w(f"""{CTE_HIER}
 SELECT * FROM dim WHERE id = 'N1'""")
 
@@ -309,6 +313,8 @@ SELECT {HOURLY_COLS} FROM hourly""")
 ORACLE["fact_hourly"] = _w(f"""{ctes_fact()}
 SELECT area_id, start_time, generated_at, round(climb_score, 6) AS climb_score FROM fact""")
 
+ORACLE["publish_fact"] = ORACLE["fact_hourly"]
+
 ORACLE["incremental_upsert"] = _w(f"""{CTE_AREAS},
 {ctes_hourly()}
 SELECT area_id, start_time, generated_at, temperature_value FROM hourly""")
@@ -391,6 +397,10 @@ ORACLE["check_not_null"] = _w(f"""{ctes_stg(plant_bad=True)}
 SELECT elevation_value, generated_at, start_time, temperature_value FROM stg
 WHERE start_time IS NULL OR temperature_value IS NULL""")
 
+ORACLE["check_not_null_by_area"] = _w(f"""{CTE_AREAS},
+{ctes_hourly()}
+SELECT area_id, start_time FROM hourly WHERE area_id IS NULL OR start_time IS NULL""")
+
 ORACLE["check_expression"] = """
 SELECT 'C' || c.c_custkey AS id, 'R' || n.n_regionkey || '|N' || n.n_nationkey || '|X' AS ancestors_text
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
