@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.scoring import DEFAULT_PARAMS, ScoreParams, climb_score
 from .snapshots import latest_per_key
-from .spatial import area_polygons
+from .spatial import area_polygons, forecast_by_area
 
 
 def forecast_hourly_by_area(stg: DataFrame, areas: DataFrame, cell_size: float | None = None,
@@ -36,12 +36,13 @@ def forecast_hourly_by_area(stg: DataFrame, areas: DataFrame, cell_size: float |
         # side reads only the (dictionary-encoded) geo_json column.
         bridge = area_polygons(areas, stg, cell_size=cell_size)
     # polygons per area: a window over the small area-grain bridge (a few
-    # rows per area), not a second pass over the bridge
+    # rows per area); the bridge is split before the fan-out join so each
+    # area's rows are produced exactly once
     bridge = bridge.withColumn("_n_poly", F.count(F.lit(1)).over(Window.partitionBy("area_id")))
-    joined = newest_cell.join(bridge, "geo_json", "inner")
-    single = joined.filter(F.col("_n_poly") == 1)
-    multi = latest_per_key(joined.filter(F.col("_n_poly") > 1).drop("_n_poly", "geo_json"),
-                           ["area_id", "start_time"])
+    one = bridge.filter(F.col("_n_poly") == 1).drop("_n_poly")
+    many = bridge.filter(F.col("_n_poly") > 1).drop("_n_poly")
+    single = forecast_by_area(newest_cell, one)
+    multi = latest_per_key(forecast_by_area(newest_cell, many).drop("geo_json"), ["area_id", "start_time"])
     cols = schemas.HOURLY_BY_AREA_COLUMNS
     return single.select(*cols).unionByName(multi.select(*cols))
 

@@ -41,19 +41,35 @@ def series_long(fact: DataFrame, as_of: Column, area_id: str | None = None) -> D
 
 def series_nested(fact: DataFrame, as_of: Column, area_id: str | None = None) -> DataFrame:
     """V2 + A2: per (area, metric line) the unit of the latest hour and the
-    points newest first. A series holds one point per future hour of one
-    area, so its size is bounded by the forecast horizon."""
-    long = series_long(fact, as_of, area_id)
-    return (long.groupBy("area_id", "metric", "label", "source")
-                .agg(F.max_by(F.struct("unit"), "t")["unit"].alias("unit"),
-                     F.sort_array(F.collect_list(F.struct("t", "v")), asc=False).alias("points")))
+    points newest first.
+
+    The hours of an area are grouped once (one list of wide rows per area,
+    newest first) and the six series are cut from that list with
+    ``transform``; the long form would shuffle six rows per hour instead.
+    A list holds one entry per future hour of one area, so its size is
+    bounded by the forecast horizon.
+    """
+    r = recent(fact, as_of, area_id=area_id)
+    wide = F.struct(F.col("start_time").alias("t"),
+                    *[F.col(c).alias(c) for c in dict.fromkeys(x for _, _, v, u in METRICS for x in (v, u))])
+    per_area = r.groupBy("area_id").agg(F.sort_array(F.collect_list(wide), asc=False).alias("_rows"))
+    def point_of(value_col):
+        return lambda x: F.struct(x["t"].alias("t"), x[value_col].cast("double").alias("v"))
+
+    series = F.array(*[F.struct(
+        F.lit(m).alias("metric"), F.lit(lbl).alias("label"), F.lit(SERIES_SOURCE).alias("source"),
+        F.col("_rows")[0][u].alias("unit"), F.transform("_rows", point_of(v)).alias("points"))
+        for m, lbl, v, u in METRICS])
+    return per_area.select("area_id", F.inline(series))
 
 
 def series_digest(nested: DataFrame) -> DataFrame:
-    """Flatten nested points to comparable text: count, newest time and an
-    md5 of ``t=v`` pairs in list order."""
-    pts = F.transform("points", lambda p: F.concat(F.date_format(p["t"], "yyyy-MM-dd HH:mm"), F.lit("="),
-                                                   F.coalesce(F.format_string("%.6f", p["v"]), F.lit("null"))))
+    """Flatten nested points to comparable text: count and an md5 of
+    ``epoch_seconds=round(v * 1e6)`` pairs in list order (integers print
+    the same in every engine)."""
+    pts = F.transform("points", lambda p: F.concat(F.unix_timestamp(p["t"]).cast("string"), F.lit("="),
+                                                   F.coalesce(F.round(p["v"] * 1000000).cast("long").cast("string"),
+                                                              F.lit("null"))))
     return nested.select("area_id", "metric", "label", "source", "unit",
                          F.size("points").cast("long").alias("n_points"),
                          F.md5(F.array_join(pts, ",")).alias("points_md5"))

@@ -102,11 +102,39 @@ def area_polygons(areas: DataFrame, forecast: DataFrame, cell_size: float | None
     return spatial_join(pts, polys, cell_size=cell_size).select("area_id", "geo_json")
 
 
-def forecast_by_area(forecast: DataFrame, area_cells: DataFrame, on=("geo_json",)) -> DataFrame:
-    """Equi-join of forecast rows to areas on the cell key. The bridge is
-    area-grain; AQE broadcasts it when its runtime size is under the
-    broadcast threshold and shuffles both sides otherwise."""
-    return forecast.join(area_cells, list(on), "inner")
+AREAS_PER_SALT = 256
+
+
+def forecast_by_area(forecast: DataFrame, area_cells: DataFrame, on=("geo_json",),
+                     areas_per_salt: int = AREAS_PER_SALT, partitions: int | None = None) -> DataFrame:
+    """Equi-join of forecast rows to areas on the cell key.
+
+    This join fans out: every forecast row of a cell is copied to every area
+    inside it, so the output is (rows per cell) x (areas per cell) and both
+    inputs can be tiny next to it. Two things keep the output spread:
+
+    * a cell with many areas is salted: it gets ``ceil(n_areas /
+      areas_per_salt)`` salts, its bridge rows pick one from their area id
+      and its forecast rows are replicated once per salt (a hot cell adds a
+      few hundred small rows, not a copy of the data);
+    * both sides are hash-partitioned explicitly on (cell key, salt) into
+      ``partitions`` (default ``spark.sql.shuffle.partitions``, sized for the
+      cluster). AQE does not coalesce an explicit repartition, so output
+      parallelism follows the output size, not the small input size.
+    """
+    keys = list(on)
+    spark = forecast.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = (area_cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n_areas"))
+                        .select(*keys, F.ceil(F.col("_n_areas") / F.lit(areas_per_salt)).cast("int").alias("_n_salt")))
+    bridge = (area_cells.join(counts, keys)
+                        .withColumn("_salt", F.pmod(F.xxhash64("area_id"), F.col("_n_salt")).cast("int"))
+                        .drop("_n_salt"))
+    rows = (forecast.join(counts, keys)
+                    .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_n_salt") - 1)))
+                    .drop("_n_salt"))
+    part = keys + ["_salt"]
+    return rows.repartition(n, *part).join(bridge.repartition(n, *part), part, "inner").drop("_salt")
 
 
 def check_containment(joined: DataFrame, geo_col: str = "geo_json", x_col: str = "longitude",

@@ -376,8 +376,8 @@ ORACLE["series_nested"] = _w(f"""{ctes_fact()},
 rec AS (SELECT * FROM fact WHERE start_time > {AS_OF} - INTERVAL 1 HOUR),
 long AS ({SERIES_LONG})
 SELECT area_id, metric, label, source, arg_max(unit, t) AS unit, CAST(count(*) AS BIGINT) AS n_points,
-       md5(string_agg(strftime(t, '%Y-%m-%d %H:%M') || '=' || coalesce(printf('%.6f', v), 'null'), ','
-                      ORDER BY t DESC)) AS points_md5
+       md5(string_agg(CAST(epoch(t) AS BIGINT) || '=' || coalesce(CAST(CAST(round(v * 1000000) AS BIGINT) AS VARCHAR),
+                      'null'), ',' ORDER BY t DESC)) AS points_md5
 FROM long GROUP BY area_id, metric, label, source""")
 
 ORACLE["series_empty"] = _w(f"""{ctes_fact()},
