@@ -1,16 +1,18 @@
 """Planar geometry on GeoJSON polygons as Column expressions.
 
 A polygon is held as ``rings: array<array<array<double>>>`` (outer ring and
-holes; each vertex ``[lon, lat]``). Containment is the even-odd rule over
-every edge of every ring, with points on an edge or vertex counted as
-outside (the warehouse's ``ST_CONTAINS`` excludes the boundary). GeoJSON
-edges are planar on input, so planar lon/lat arithmetic is the right model
-for forecast cells a few km wide.
-
-Spark has no polygon-containment expression, so the ray cast is written with
-higher-order functions (interpreted, not code-generated). The spatial join
-only evaluates it on bucket-matched candidate pairs, and an axis-aligned
-rectangle takes a pure comparison path that stays in codegen.
+holes; each vertex ``[lon, lat]``) and, once per polygon, as its ``edges:
+array<struct<x1,y1,x2,y2>>``. Containment is the even-odd rule over every
+edge of every ring, with points on an edge or vertex counted as outside (the
+warehouse's ``ST_CONTAINS`` excludes the boundary). GeoJSON edges are planar
+on input, so planar lon/lat arithmetic is the right model for forecast cells
+a few km wide.
+
+Spark has no polygon-containment expression, so the ray cast is a SQL
+higher-order-function expression (``filter``/``exists`` over the edges),
+built with one ``expr`` call: column arguments are column *names*. The
+spatial join evaluates it only on bucket-matched candidate pairs, and an
+axis-aligned rectangle takes a pure comparison path that stays in codegen.
 """
 
 from __future__ import annotations
@@ -19,106 +21,96 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 RING_TYPE = "array<array<array<double>>>"
-_GEOJSON_SCHEMA = "struct<type:string,coordinates:string>"
+EDGE_TYPE = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
 
 
-def _c(x) -> Column:
-    return x if isinstance(x, Column) else F.col(x)
+def q(name: str) -> str:
+    """Quote a column name for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
 
 
-def _close(ring: Column) -> Column:
-    # Repair: append the first vertex when the ring is not closed.
-    return F.when(F.size(ring) == 0, ring).when(
-        F.element_at(ring, 1) == F.element_at(ring, -1), ring
-    ).otherwise(F.concat(ring, F.array(F.element_at(ring, 1))))
+def rings_sql(geo_json: str) -> str:
+    g = f"from_json({geo_json}, 'struct<type:string,coordinates:string>')"
+    raw = (f"CASE {g}.type WHEN 'Polygon' THEN from_json({g}.coordinates, '{RING_TYPE}') "
+           f"WHEN 'MultiPolygon' THEN flatten(from_json({g}.coordinates, 'array<{RING_TYPE}>')) END")
+    # repair: close open rings; drop rings with no interior
+    closed = (f"transform({raw}, r -> CASE WHEN size(r) = 0 OR r[0] = r[size(r) - 1] THEN r "
+              f"ELSE concat(r, array(r[0])) END)")
+    return f"filter({closed}, r -> size(array_distinct(r)) >= 3)"
 
 
-def rings_from_geojson(geo_json) -> Column:
-    """Parse a GeoJSON Polygon or MultiPolygon text to closed rings.
+def edges_sql(rings: str) -> str:
+    return ("flatten(transform(" + rings + ", ring -> transform("
+            "IF(size(ring) >= 2, sequence(0, size(ring) - 2), CAST(array() AS array<int>)), "
+            "i -> named_struct('x1', ring[i][0], 'y1', ring[i][1], 'x2', ring[i + 1][0], 'y2', ring[i + 1][1]))))")
 
-    Rings with fewer than three distinct positions are dropped (they have no
-    interior). Other types give NULL (no match downstream).
-    """
-    g = F.from_json(_c(geo_json), _GEOJSON_SCHEMA)
-    poly = F.from_json(g["coordinates"], RING_TYPE)
-    multi = F.flatten(F.from_json(g["coordinates"], "array<" + RING_TYPE + ">"))
-    raw = F.when(g["type"] == "Polygon", poly).when(g["type"] == "MultiPolygon", multi)
-    closed = F.transform(raw, _close)
-    return F.filter(closed, lambda r: F.size(F.array_distinct(r)) >= 3)
 
+def bbox_sql(rings: str) -> str:
+    xs, ys = f"transform(flatten({rings}), p -> p[0])", f"transform(flatten({rings}), p -> p[1])"
+    return (f"named_struct('xmin', array_min({xs}), 'ymin', array_min({ys}), "
+            f"'xmax', array_max({xs}), 'ymax', array_max({ys}))")
 
-def _xs(rings: Column) -> Column:
-    return F.transform(F.flatten(rings), lambda p: p[0])
 
+def is_rect_sql(rings: str, edges: str) -> str:
+    return (f"(size({rings}) = 1 AND size(array_distinct({rings}[0])) = 4 AND size({rings}[0]) = 5 "
+            f"AND forall({edges}, e -> e.x1 = e.x2 OR e.y1 = e.y2))")
 
-def _ys(rings: Column) -> Column:
-    return F.transform(F.flatten(rings), lambda p: p[1])
 
+def point_in_edges_sql(edges: str, x: str, y: str) -> str:
+    crosses = (f"((e.y1 > {y}) != (e.y2 > {y})) AND "
+               f"({x} < e.x1 + ({y} - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1))")
+    on_edge = (f"(e.x2 - e.x1) * ({y} - e.y1) - (e.y2 - e.y1) * ({x} - e.x1) = 0 "
+               f"AND {x} >= least(e.x1, e.x2) AND {x} <= greatest(e.x1, e.x2) "
+               f"AND {y} >= least(e.y1, e.y2) AND {y} <= greatest(e.y1, e.y2)")
+    return (f"(CASE WHEN {x} IS NULL OR {y} IS NULL OR {edges} IS NULL THEN false "
+            f"ELSE size(filter({edges}, e -> {crosses})) % 2 = 1 AND NOT exists({edges}, e -> {on_edge}) END)")
+
+
+def point_in_polygon_sql(edges: str, box: str, rect: str, x: str, y: str) -> str:
+    in_box = f"{x} > {box}.xmin AND {x} < {box}.xmax AND {y} > {box}.ymin AND {y} < {box}.ymax"
+    return f"coalesce({in_box} AND ({rect} OR {point_in_edges_sql(edges, x, y)}), false)"
 
-def bbox(rings) -> Column:
-    """``struct(xmin, ymin, xmax, ymax)`` of all vertices."""
-    r = _c(rings)
-    return F.struct(F.array_min(_xs(r)).alias("xmin"), F.array_min(_ys(r)).alias("ymin"),
-                    F.array_max(_xs(r)).alias("xmax"), F.array_max(_ys(r)).alias("ymax"))
 
+# ------------------------------------------------------------ Column API
 
-def _edges(rings: Column) -> Column:
+def rings_from_geojson(geo_json: str) -> Column:
+    """Closed rings of a GeoJSON Polygon or MultiPolygon text column; rings
+    without interior are dropped; other types give NULL (no match)."""
+    return F.expr(rings_sql(q(geo_json)))
+
+
+def edges(rings: str) -> Column:
     """All edges of all rings as ``struct(x1, y1, x2, y2)``."""
-    def ring_edges(r):
-        idx = F.when(F.size(r) >= 2, F.sequence(F.lit(0), F.size(r) - 2)).otherwise(F.array().cast("array<int>"))
-        return F.transform(idx, lambda i: F.struct(
-            r[i][0].alias("x1"), r[i][1].alias("y1"), r[i + 1][0].alias("x2"), r[i + 1][1].alias("y2")))
-    return F.flatten(F.transform(rings, ring_edges))
+    return F.expr(edges_sql(q(rings)))
 
 
-def is_axis_rectangle(rings) -> Column:
+def bbox(rings: str) -> Column:
+    """``struct(xmin, ymin, xmax, ymax)`` of all vertices."""
+    return F.expr(bbox_sql(q(rings)))
+
+
+def is_axis_rectangle(rings: str) -> Column:
     """True for a single ring of four distinct corners whose edges are all
     axis-parallel: then strict bbox comparison is exact containment."""
-    r = _c(rings)
-    one = F.element_at(r, 1)
-    return (
-        (F.size(r) == 1)
-        & (F.size(F.array_distinct(one)) == 4)
-        & (F.size(one) == 5)
-        & F.forall(_edges(r), lambda e: (e["x1"] == e["x2"]) | (e["y1"] == e["y2"]))
-    )
+    return F.expr(is_rect_sql(q(rings), edges_sql(q(rings))))
 
 
-def point_in_rings(rings, x, y) -> Column:
+def point_in_rings(rings: str, x: str, y: str) -> Column:
     """Even-odd containment of point (x, y); boundary and NULLs are outside."""
-    r, px, py = _c(rings), _c(x).cast("double"), _c(y).cast("double")
-    edges = _edges(r)
-
-    def crosses(e):
-        straddles = (e["y1"] > py) != (e["y2"] > py)
-        x_at = e["x1"] + (py - e["y1"]) * (e["x2"] - e["x1"]) / (e["y2"] - e["y1"])
-        return straddles & (px < x_at)
-
-    def on_edge(e):
-        cross = (e["x2"] - e["x1"]) * (py - e["y1"]) - (e["y2"] - e["y1"]) * (px - e["x1"])
-        return ((cross == 0)
-                & (px >= F.least(e["x1"], e["x2"])) & (px <= F.greatest(e["x1"], e["x2"]))
-                & (py >= F.least(e["y1"], e["y2"])) & (py <= F.greatest(e["y1"], e["y2"])))
-
-    odd = (F.size(F.filter(edges, crosses)) % 2) == 1
-    inside = odd & ~F.exists(edges, on_edge)
-    return F.when(px.isNull() | py.isNull() | r.isNull(), F.lit(False)).otherwise(inside)
+    return F.expr(point_in_edges_sql(edges_sql(q(rings)), q(x), q(y)))
 
 
-def point_in_polygon(rings, x, y, box=None, rect=None) -> Column:
-    """Containment with cheap short cuts: strict bbox reject first, then
-    (for axis-aligned rectangles) accept, else the exact ray cast."""
-    r = _c(rings)
-    b = box if box is not None else bbox(r)
-    px, py = _c(x).cast("double"), _c(y).cast("double")
-    in_box = (px > b["xmin"]) & (px < b["xmax"]) & (py > b["ymin"]) & (py < b["ymax"])
-    rect_flag = rect if rect is not None else is_axis_rectangle(r)
-    return F.coalesce(in_box & F.when(rect_flag, F.lit(True)).otherwise(point_in_rings(r, px, py)), F.lit(False))
+def point_in_polygon(edges_col: str, bbox_col: str, rect_col: str, x: str, y: str) -> Column:
+    """Containment with short cuts, on per-polygon precomputed columns:
+    strict bbox reject first, accept for axis-aligned rectangles, else the
+    exact ray cast over the polygon's edges."""
+    return F.expr(point_in_polygon_sql(q(edges_col), q(bbox_col), q(rect_col), q(x), q(y)))
 
 
 def square_geojson(x0, y0, size=1.0) -> Column:
     """GeoJSON text of an axis-aligned square with lower-left (x0, y0)."""
-    x0, y0 = _c(x0).cast("double"), _c(y0).cast("double")
+    x0 = (x0 if isinstance(x0, Column) else F.col(x0)).cast("double")
+    y0 = (y0 if isinstance(y0, Column) else F.col(y0)).cast("double")
     x1, y1 = x0 + F.lit(float(size)), y0 + F.lit(float(size))
     ring = F.array(F.array(x0, y0), F.array(x1, y0), F.array(x1, y1), F.array(x0, y1), F.array(x0, y0))
     return F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")))

@@ -18,28 +18,42 @@ def _c(x) -> Column:
     return x if isinstance(x, Column) else F.col(x)
 
 
-def json_scalar(text) -> Column:
-    """Warehouse ``json_value`` semantics on a value already extracted as text
-    (``from_json`` string leaf or ``get_json_object``): JSON null gives NULL,
-    and an object or array gives NULL instead of its text."""
-    t = _c(text)
-    return F.when(~(t.startswith("{") | t.startswith("[")), t)
+def sql_str(value: str) -> str:
+    """A SQL string literal for ``value`` (backslashes and quotes escaped)."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def parse_wind(speed) -> Column:
+def json_scalar_sql(expr: str) -> str:
+    """Warehouse ``json_value`` semantics on a value already extracted as
+    text (a ``from_json`` string leaf or ``get_json_object``): JSON null
+    gives NULL, and an object or array gives NULL instead of its text."""
+    return f"(CASE WHEN NOT (startswith({expr}, '{{') OR startswith({expr}, '[')) THEN {expr} END)"
+
+
+def wind_sql(expr: str) -> str:
+    """``named_struct(low, high, unit)`` parsed from a wind-speed text."""
+    low = f"CAST(regexp_substr({expr}, {sql_str(WIND_LOW_PATTERN)}) AS DOUBLE)"
+    high = f"CAST(try_element_at(regexp_extract_all({expr}, {sql_str(WIND_NUMBER_PATTERN)}, 0), -1) AS DOUBLE)"
+    unit = f"nullif(regexp_extract({expr}, {sql_str(WIND_UNIT_PATTERN)}, 1), '')"
+    return f"named_struct('low', {low}, 'high', {high}, 'unit', {unit})"
+
+
+def json_scalar(expr: str) -> Column:
+    """Column form of :func:`json_scalar_sql`; ``expr`` is a column name or
+    a nested field path such as ``doc.properties.generatedAt``."""
+    return F.expr(json_scalar_sql(expr))
+
+
+def parse_wind(expr: str) -> Column:
     """Parse a wind-speed text like ``"10 to 15 mph"`` to
     ``struct(low double, high double, unit string)``.
 
     low = leading digits, high = last digit run, unit = trailing letters.
     ``"10 mph"`` gives 10/10/mph, ``"10.5 mph"`` gives 10/5/mph (kept quirk),
     ``"calm"`` gives NULL/NULL/calm. No match gives NULL, never ``''``.
+    ``expr`` is a column name or field path.
     """
-    s = _c(speed)
-    low = F.regexp_substr(s, F.lit(WIND_LOW_PATTERN))
-    high = F.try_element_at(F.regexp_extract_all(s, F.lit(WIND_NUMBER_PATTERN), F.lit(0)), F.lit(-1))
-    unit = F.nullif(F.regexp_extract(s, WIND_UNIT_PATTERN, 1), F.lit(""))
-    return F.struct(low.cast("double").alias("low"), high.cast("double").alias("high"),
-                    F.when(s.isNotNull(), unit).alias("unit"))
+    return F.expr(wind_sql(expr))
 
 
 def normalize_article(name) -> Column:

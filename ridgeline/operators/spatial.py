@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import bbox, is_axis_rectangle, point_in_polygon, point_in_rings, rings_from_geojson
+from ..functions.geo import bbox, edges, is_axis_rectangle, point_in_polygon, point_in_rings, rings_from_geojson
 
 
 def polygons_from_geojson(df: DataFrame, geo_col: str = "geo_json", distinct: bool = True,
@@ -27,11 +27,9 @@ def polygons_from_geojson(df: DataFrame, geo_col: str = "geo_json", distinct: bo
     src = df.select(geo_col, *keep).filter(F.col(geo_col).isNotNull())
     if distinct:
         src = src.distinct()
-    rings = rings_from_geojson(F.col(geo_col))
-    return (src.withColumn("rings", rings)
-               .filter(F.size("rings") > 0)
-               .withColumn("bbox", bbox(F.col("rings")))
-               .withColumn("is_rect", is_axis_rectangle(F.col("rings"))))
+    parsed = src.select("*", rings_from_geojson(geo_col).alias("rings")).filter(F.size("rings") > 0)
+    return parsed.select("*", edges("rings").alias("edges"), bbox("rings").alias("bbox"),
+                         is_axis_rectangle("rings").alias("is_rect"))
 
 
 def auto_cell_size(polygons: DataFrame) -> float:
@@ -52,35 +50,39 @@ def spatial_join(points: DataFrame, polygons: DataFrame, x_col: str = "longitude
                  cell_size: float | None = None, salt: int = 1) -> DataFrame:
     """All (point, polygon) pairs with the point strictly inside.
 
-    ``polygons`` needs ``rings`` (and, if present, ``bbox``/``is_rect`` are
-    reused). Points with a NULL coordinate never match. ``salt > 1`` spreads
+    ``polygons`` needs ``rings`` (``edges``/``bbox``/``is_rect``, computed
+    once per polygon by :func:`polygons_from_geojson`, are reused). Points with a NULL coordinate never match. ``salt > 1`` spreads
     a hot bucket (one dense place holding a large share of points) over
     ``salt`` join keys: points pick a salt from their own hash, polygons are
     replicated once per salt value. AQE skew-join splitting covers the
     shuffled case automatically as well.
     """
+    extra = []
+    if "edges" not in polygons.columns:
+        extra.append(edges("rings").alias("edges"))
     if "bbox" not in polygons.columns:
-        polygons = polygons.withColumn("bbox", bbox(F.col("rings")))
+        extra.append(bbox("rings").alias("bbox"))
     if "is_rect" not in polygons.columns:
-        polygons = polygons.withColumn("is_rect", is_axis_rectangle(F.col("rings")))
+        extra.append(is_axis_rectangle("rings").alias("is_rect"))
+    if extra:
+        polygons = polygons.select("*", *extra)
     size = cell_size if cell_size else auto_cell_size(polygons)
 
     b = F.col("bbox")
-    poly_b = (polygons
-              .withColumn("_bx", F.explode(F.sequence(_bucket(b["xmin"], size), _bucket(b["xmax"], size))))
-              .withColumn("_by", F.explode(F.sequence(_bucket(b["ymin"], size), _bucket(b["ymax"], size)))))
-    pts = (points.filter(F.col(x_col).isNotNull() & F.col(y_col).isNotNull())
-                 .withColumn("_px", F.col(x_col).cast("double"))
-                 .withColumn("_py", F.col(y_col).cast("double"))
-                 .withColumn("_bx", _bucket(F.col("_px"), size))
-                 .withColumn("_by", _bucket(F.col("_py"), size)))
+    # bucket pairs covered by the bbox: one generator over the x range, and a
+    # nested generator for y (a generator per select)
+    poly_b = (polygons.select("*", F.explode(F.sequence(_bucket(b["xmin"], size), _bucket(b["xmax"], size))).alias("_bx"))
+                      .select("*", F.explode(F.sequence(_bucket(b["ymin"], size), _bucket(b["ymax"], size))).alias("_by")))
+    px, py = F.col(x_col).cast("double"), F.col(y_col).cast("double")
+    pt_cols = [px.alias("_px"), py.alias("_py"), _bucket(px, size).alias("_bx"), _bucket(py, size).alias("_by")]
     keys = ["_bx", "_by"]
     if salt > 1:
-        pts = pts.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]), F.lit(salt)))
-        poly_b = poly_b.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<long>")))
+        pt_cols.append(F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]), F.lit(salt)).alias("_salt"))
+        poly_b = poly_b.select("*", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<long>")).alias("_salt"))
         keys.append("_salt")
+    pts = points.filter(F.col(x_col).isNotNull() & F.col(y_col).isNotNull()).select("*", *pt_cols)
     joined = pts.join(poly_b, keys, "inner")
-    hit = point_in_polygon(F.col("rings"), F.col("_px"), F.col("_py"), F.col("bbox"), F.col("is_rect"))
+    hit = point_in_polygon("edges", "bbox", "is_rect", "_px", "_py")
     return joined.filter(hit).drop("_bx", "_by", "_px", "_py", "_salt")
 
 
@@ -127,19 +129,18 @@ def forecast_by_area(forecast: DataFrame, area_cells: DataFrame, on=("geo_json",
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts = (area_cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n_areas"))
                         .select(*keys, F.ceil(F.col("_n_areas") / F.lit(areas_per_salt)).cast("int").alias("_n_salt")))
-    bridge = (area_cells.join(counts, keys)
-                        .withColumn("_salt", F.pmod(F.xxhash64("area_id"), F.col("_n_salt")).cast("int"))
-                        .drop("_n_salt"))
-    rows = (forecast.join(counts, keys)
-                    .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_n_salt") - 1)))
-                    .drop("_n_salt"))
+    bridge = area_cells.join(counts, keys).select(
+        *area_cells.columns, F.pmod(F.xxhash64("area_id"), F.col("_n_salt")).cast("int").alias("_salt"))
+    rows = forecast.join(counts, keys).select(
+        *forecast.columns, F.explode(F.sequence(F.lit(0), F.col("_n_salt") - 1)).alias("_salt"))
     part = keys + ["_salt"]
-    return rows.repartition(n, *part).join(bridge.repartition(n, *part), part, "inner").drop("_salt")
+    out_cols = forecast.columns + [c for c in area_cells.columns if c not in keys]
+    return rows.repartition(n, *part).join(bridge.repartition(n, *part), part, "inner").select(*out_cols)
 
 
 def check_containment(joined: DataFrame, geo_col: str = "geo_json", x_col: str = "longitude",
                       y_col: str = "latitude") -> DataFrame:
     """DQ6: rows of a cell-key join whose point is not inside the cell's
     polygon (zero rows is a pass)."""
-    rings = rings_from_geojson(F.col(geo_col))
-    return joined.filter(~F.coalesce(point_in_rings(rings, F.col(x_col), F.col(y_col)), F.lit(False)))
+    with_rings = joined.select("*", rings_from_geojson(geo_col).alias("_rings"))
+    return with_rings.filter(~point_in_rings("_rings", x_col, y_col)).drop("_rings")

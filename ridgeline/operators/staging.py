@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.text import json_scalar, parse_wind
+from ..functions.text import json_scalar_sql, wind_sql
 
 
-def _num(c: Column, strict: bool) -> Column:
-    """Warehouse CAST(... AS NUMERIC): strict fails the job on a bad value,
-    lenient gives NULL."""
-    return c.cast("double") if strict else c.try_cast("double")
-
-
-def _ts(c: Column, strict: bool) -> Column:
-    return c.cast("timestamp") if strict else c.try_cast("timestamp")
+def _cast_sql(expr: str, to: str, strict: bool) -> str:
+    """Warehouse CAST(... AS NUMERIC/TIMESTAMP/BOOL): strict fails the job on
+    a bad value, lenient gives NULL."""
+    return f"{'CAST' if strict else 'TRY_CAST'}({expr} AS {to})"
 
 
 def parse_documents(raw: DataFrame) -> DataFrame:
@@ -38,38 +34,43 @@ def stage_forecast(raw: DataFrame, strict: bool = True) -> DataFrame:
     Document-level fields (generated time, elevation, valid period, geometry)
     are extracted once per document before the explode and copied to each
     period row. ``generated_at`` stays text, like the model it mirrors.
+    Written as two SQL projections over one ``from_json`` parse.
     """
-    docs = parse_documents(raw)
-    props = F.col("doc.properties")
-    per_doc = docs.select(
+    def js(path):
+        return json_scalar_sql(path)
+
+    def num(path):
+        return _cast_sql(js(path), "DOUBLE", strict)
+
+    def ts(path):
+        return _cast_sql(js(path), "TIMESTAMP", strict)
+
+    per_doc = parse_documents(raw).selectExpr(
         "extracted_at_ts",
-        json_scalar(props["generatedAt"]).alias("generated_at"),
-        F.col("doc.geometry").alias("geo_json"),
-        _num(json_scalar(props["elevation"]["value"]), strict).alias("elevation_value"),
-        json_scalar(props["elevation"]["unitCode"]).alias("elevation_unit"),
-        json_scalar(props["validTimes"]).alias("valid_period"),
-        F.explode(props["periods"]).alias("p"),
+        f"{js('doc.properties.generatedAt')} AS generated_at",
+        "doc.geometry AS geo_json",
+        f"{num('doc.properties.elevation.value')} AS elevation_value",
+        f"{js('doc.properties.elevation.unitCode')} AS elevation_unit",
+        f"{js('doc.properties.validTimes')} AS valid_period",
+        "explode(doc.properties.periods) AS p",
     )
-    p = F.col("p")
-    wind = parse_wind(json_scalar(p["windSpeed"]))
-    return per_doc.select(
+    return per_doc.selectExpr(
         "extracted_at_ts", "generated_at", "geo_json", "elevation_value", "elevation_unit", "valid_period",
-        _ts(json_scalar(p["startTime"]), strict).alias("start_time"),
-        _ts(json_scalar(p["endTime"]), strict).alias("end_time"),
-        _num(json_scalar(p["temperature"]), strict).alias("temperature_value"),
-        json_scalar(p["temperatureUnit"]).alias("temperature_unit"),
-        _num(json_scalar(p["probabilityOfPrecipitation"]["value"]), strict).alias("precipitation_probability_value"),
-        json_scalar(p["probabilityOfPrecipitation"]["unitCode"]).alias("precipitation_probability_unit"),
-        _num(json_scalar(p["dewpoint"]["value"]), strict).alias("dewpoint_value"),
-        json_scalar(p["dewpoint"]["unitCode"]).alias("dewpoint_unit"),
-        _num(json_scalar(p["relativeHumidity"]["value"]), strict).alias("relative_humidity_value"),
-        json_scalar(p["relativeHumidity"]["unitCode"]).alias("relative_humidity_unit"),
-        wind["low"].alias("wind_speed_low"),
-        wind["high"].alias("wind_speed_high"),
-        wind["unit"].alias("wind_speed_unit"),
-        json_scalar(p["windDirection"]).alias("wind_direction"),
-        json_scalar(p["shortForecast"]).alias("short_forecast"),
-    )
+        f"{ts('p.startTime')} AS start_time",
+        f"{ts('p.endTime')} AS end_time",
+        f"{num('p.temperature')} AS temperature_value",
+        f"{js('p.temperatureUnit')} AS temperature_unit",
+        f"{num('p.probabilityOfPrecipitation.value')} AS precipitation_probability_value",
+        f"{js('p.probabilityOfPrecipitation.unitCode')} AS precipitation_probability_unit",
+        f"{num('p.dewpoint.value')} AS dewpoint_value",
+        f"{js('p.dewpoint.unitCode')} AS dewpoint_unit",
+        f"{num('p.relativeHumidity.value')} AS relative_humidity_value",
+        f"{js('p.relativeHumidity.unitCode')} AS relative_humidity_unit",
+        f"{wind_sql(js('p.windSpeed'))} AS _wind",
+        f"{js('p.windDirection')} AS wind_direction",
+        f"{js('p.shortForecast')} AS short_forecast",
+    ).selectExpr(*schemas.STG_FORECAST_COLUMNS[:16], "_wind.low AS wind_speed_low", "_wind.high AS wind_speed_high",
+                 "_wind.unit AS wind_speed_unit", "wind_direction", "short_forecast")
 
 
 def stage_countries(raw: DataFrame) -> DataFrame:
@@ -80,15 +81,14 @@ def stage_countries(raw: DataFrame) -> DataFrame:
 def stage_areas(raw: DataFrame, strict: bool = True) -> DataFrame:
     """P1 + P2: typed area staging; lat/lng/leaf come out of the metadata
     JSON with one parse per row."""
-    md = F.from_json(F.col("metadata"), schemas.AREA_METADATA)
-    leaf = json_scalar(md["leaf"])
-    return raw.select(
-        F.col("uuid").alias("id"),
+    parsed = raw.select("*", F.from_json(F.col("metadata"), schemas.AREA_METADATA).alias("_md"))
+    return parsed.selectExpr(
+        "uuid AS id",
         "area_name",
-        _num(json_scalar(md["lat"]), strict).alias("latitude"),
-        _num(json_scalar(md["lng"]), strict).alias("longitude"),
+        f"{_cast_sql(json_scalar_sql('_md.lat'), 'DOUBLE', strict)} AS latitude",
+        f"{_cast_sql(json_scalar_sql('_md.lng'), 'DOUBLE', strict)} AS longitude",
         "children",
         "ancestors",
-        F.col("pathtokens").alias("path_array"),
-        (leaf.cast("boolean") if strict else leaf.try_cast("boolean")).alias("is_leaf"),
+        "pathtokens AS path_array",
+        f"{_cast_sql(json_scalar_sql('_md.leaf'), 'BOOLEAN', strict)} AS is_leaf",
     )

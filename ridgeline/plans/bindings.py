@@ -28,8 +28,19 @@ SOURCE_B_TYPES = ("signup", "error")
 ACTUAL_TYPES = ("purchase",)
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver's parquet table; the resolved relation is reused within a
+    session (the input files are read-only), which saves a file listing and
+    footer read every time a query is built."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def _square(x0: Column, y0: Column) -> Column:

@@ -3,9 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ridgeline.functions import (climb_score, normalize_article, parent_of, parse_wind,
-                                 point_in_polygon, point_in_rings, ramp, rings_from_geojson,
-                                 safe_get, json_scalar)
+from ridgeline.functions import (bbox, climb_score, edges, is_axis_rectangle, json_scalar,
+                                 normalize_article, parent_of, parse_wind, point_in_polygon,
+                                 point_in_rings, ramp, rings_from_geojson, safe_get)
 
 
 def test_parse_wind(spark):
@@ -69,8 +69,8 @@ def test_normalize_article(spark):
 
 def test_json_scalar(spark):
     df = spark.createDataFrame([('{"a": {"b": 1}, "c": null, "d": 5, "e": [1]}',)], "j string")
-    s = F.from_json("j", "a string, c string, d string, e string")
-    got = df.select(json_scalar(s["a"]), json_scalar(s["c"]), json_scalar(s["d"]), json_scalar(s["e"])).collect()[0]
+    df = df.select(F.from_json("j", "a string, c string, d string, e string").alias("s"))
+    got = df.select(json_scalar("s.a"), json_scalar("s.c"), json_scalar("s.d"), json_scalar("s.e")).collect()[0]
     assert tuple(got) == (None, None, "5", None)
 
 
@@ -92,7 +92,8 @@ NOTCH = '{"type":"Polygon","coordinates":[[[0,0],[4,0],[4,4],[2,1],[0,4],[0,0]]]
 def test_point_in_polygon(spark, geo, x, y, expected):
     df = spark.createDataFrame([(geo, x, y)], "g string, x double, y double").select(
         rings_from_geojson("g").alias("r"), "x", "y")
-    row = df.select(point_in_polygon("r", "x", "y"), point_in_rings("r", "x", "y")).collect()[0]
+    df = df.select("*", edges("r").alias("e"), bbox("r").alias("b"), is_axis_rectangle("r").alias("rect"))
+    row = df.select(point_in_polygon("e", "b", "rect", "x", "y"), point_in_rings("r", "x", "y")).collect()[0]
     assert row[0] == expected
     assert row[1] == expected
 
@@ -102,4 +103,5 @@ def test_unclosed_ring_is_repaired(spark):
     df = spark.createDataFrame([(geo,)], "g string").select(rings_from_geojson("g").alias("r"))
     r = df.collect()[0][0]
     assert r[0][0] == r[0][-1]
-    assert df.select(point_in_polygon("r", F.lit(1.0), F.lit(1.0))).collect()[0][0] is True
+    df = df.select("*", F.lit(1.0).alias("x"), F.lit(1.0).alias("y"))
+    assert df.select(point_in_rings("r", "x", "y")).collect()[0][0] is True

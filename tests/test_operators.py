@@ -44,8 +44,8 @@ def test_bucketed_join_equals_brute_force(spark):
         got = spatial.spatial_join(ptdf, polygons, cell_size=size).select("area_id", "pid")
         got_salted = spatial.spatial_join(ptdf, polygons, cell_size=size, salt=4).select("area_id", "pid")
         # brute force: every pair, the plain ray cast (test fixture only)
-        brute = (ptdf.crossJoin(pdf)
-                     .filter(point_in_rings(rings_from_geojson("geo_json"), "longitude", "latitude"))
+        brute = (ptdf.crossJoin(pdf).select("*", rings_from_geojson("geo_json").alias("r"))
+                     .filter(point_in_rings("r", "longitude", "latitude"))
                      .select("area_id", "pid"))
         a = sorted(map(tuple, got.collect()))
         assert a == sorted(map(tuple, brute.collect()))
