@@ -56,11 +56,20 @@ def latest_by_max(df: DataFrame, keys: Sequence[str], version_col: str) -> DataF
 
 
 def incremental_upsert(stored: DataFrame, new_rows: DataFrame, keys: Sequence[str],
-                       order_by: Sequence[Column] | None = None) -> DataFrame:
+                       order_by: Sequence[Column] | None = None, partition_col: str | None = None) -> DataFrame:
     """Merge new rows into stored rows, newest snapshot per key wins.
 
-    To persist, write the result with ``overwrite_partitions`` on a column
-    derived from the keys (e.g. the day of ``start_time``) restricted to the
-    partitions that ``new_rows`` touch, so reruns are idempotent."""
-    both = stored.unionByName(new_rows.select(*stored.columns))
-    return latest_per_key(both, keys, order_by)
+    With ``partition_col`` (a column derived from the keys, e.g. the day of
+    ``start_time``), only stored rows in partitions that ``new_rows`` touch
+    are merged (semi-join on the distinct touched partitions, which are few);
+    all other stored rows pass through without a shuffle. Persist the result
+    with ``overwrite_partitions`` restricted to the touched partitions, so a
+    rerun is idempotent.
+    """
+    new_rows = new_rows.select(*stored.columns)
+    if partition_col is None:
+        return latest_per_key(stored.unionByName(new_rows), keys, order_by)
+    touched = new_rows.select(partition_col).distinct()
+    merge_in = stored.join(touched, partition_col, "left_semi").unionByName(new_rows)
+    untouched = stored.join(touched, partition_col, "left_anti")
+    return untouched.unionByName(latest_per_key(merge_in, keys, order_by).select(*stored.columns))

@@ -260,7 +260,9 @@ def q_incremental_upsert(spark, sf):
     d = dim(spark, sf)
     old = forecast.forecast_hourly_by_area(s.filter(F.col("extracted_at_ts") < cut), d, CELL_SIZE)
     new = forecast.forecast_hourly_by_area(s.filter(F.col("extracted_at_ts") >= cut), d, CELL_SIZE)
-    merged = snapshots.incremental_upsert(old, new, ["area_id", "start_time"])
+    day = F.to_date("start_time")
+    merged = snapshots.incremental_upsert(old.withColumn("start_day", day), new.withColumn("start_day", day),
+                                          ["area_id", "start_time"], partition_col="start_day")
     return merged.select("area_id", "start_time", "generated_at", "temperature_value")
 
 
