@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.scoring import DEFAULT_PARAMS, ScoreParams, climb_score
+from ..session import shared_dir
 from .snapshots import latest_per_key
 from .spatial import area_polygons, forecast_by_area
 
@@ -25,9 +26,13 @@ def forecast_hourly_by_area(stg: DataFrame, areas: DataFrame, cell_size: float |
        any shuffle and a hot cell ships one row per task and hour);
     3. forecast rows join the area-grain bridge on the polygon key;
     4. only areas inside more than one polygon need a second newest-per-
-       (area, hour) pass; areas with a single polygon skip that shuffle.
+       (area, hour) pass; areas with a single polygon skip that shuffle, and
+       the branch is left out of the plan when no such area exists.
        Exact: the newest row over a union of polygon groups is the newest
        among each group's newest.
+
+    Runs two small jobs while building the plan: checkpointing the
+    area-grain bridge and looking for one multi-polygon area.
     """
     newest_cell = latest_per_key(stg, ["geo_json", "start_time"])
     if bridge is None:
@@ -36,15 +41,22 @@ def forecast_hourly_by_area(stg: DataFrame, areas: DataFrame, cell_size: float |
         # side reads only the (dictionary-encoded) geo_json column.
         bridge = area_polygons(areas, stg, cell_size=cell_size)
     # polygons per area: a window over the small area-grain bridge (a few
-    # rows per area); the bridge is split before the fan-out join so each
-    # area's rows are produced exactly once
+    # rows per area). The bridge feeds both branches below, so it is
+    # checkpointed once (area grain, small; this also cuts the spatial join
+    # out of the lineage), and one tiny job tells whether any area lies in
+    # more than one polygon. The bridge is split before the fan-out join so
+    # each area's rows are produced exactly once.
+    shared_dir(stg.sparkSession)
     bridge = bridge.withColumn("_n_poly", F.count(F.lit(1)).over(Window.partitionBy("area_id")))
+    bridge = bridge.checkpoint(eager=True)
+    cols = schemas.HOURLY_BY_AREA_COLUMNS
     one = bridge.filter(F.col("_n_poly") == 1).drop("_n_poly")
+    single = forecast_by_area(newest_cell, one).select(*cols)
     many = bridge.filter(F.col("_n_poly") > 1).drop("_n_poly")
-    single = forecast_by_area(newest_cell, one)
+    if not many.take(1):
+        return single
     multi = latest_per_key(forecast_by_area(newest_cell, many).drop("geo_json"), ["area_id", "start_time"])
-    cols = schemas.HOURLY_BY_AREA_COLUMNS
-    return single.select(*cols).unionByName(multi.select(*cols))
+    return single.unionByName(multi.select(*cols))
 
 
 def fact_hourly(hourly: DataFrame, params: ScoreParams = DEFAULT_PARAMS, variant: str = "reference") -> DataFrame:

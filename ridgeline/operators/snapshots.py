@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 
 def snapshot_order(generated_col: str = "generated_at", extracted_col: str = "extracted_at_ts") -> list[Column]:
     """Default "newest wins" order, newest first.
@@ -61,14 +63,19 @@ def incremental_upsert(stored: DataFrame, new_rows: DataFrame, keys: Sequence[st
 
     With ``partition_col`` (a column derived from the keys, e.g. the day of
     ``start_time``), only stored rows in partitions that ``new_rows`` touch
-    are merged (semi-join on the distinct touched partitions, which are few);
-    all other stored rows pass through without a shuffle. Persist the result
+    are merged (semi-join on the distinct touched partitions, which are few;
+    on a partitioned table this prunes partitions); all other stored rows
+    pass through without a shuffle. Persist the result
     with ``overwrite_partitions`` restricted to the touched partitions, so a
     rerun is idempotent.
     """
     new_rows = new_rows.select(*stored.columns)
     if partition_col is None:
         return latest_per_key(stored.unionByName(new_rows), keys, order_by)
+    # the batch is read twice (touched partitions, merge input): cut its
+    # lineage once in the shared checkpoint dir instead of recomputing it
+    shared_dir(new_rows.sparkSession)
+    new_rows = new_rows.checkpoint(eager=True)
     touched = new_rows.select(partition_col).distinct()
     merge_in = stored.join(touched, partition_col, "left_semi").unionByName(new_rows)
     untouched = stored.join(touched, partition_col, "left_anti")

@@ -261,8 +261,12 @@ def q_incremental_upsert(spark, sf):
     old = forecast.forecast_hourly_by_area(s.filter(F.col("extracted_at_ts") < cut), d, CELL_SIZE)
     new = forecast.forecast_hourly_by_area(s.filter(F.col("extracted_at_ts") >= cut), d, CELL_SIZE)
     day = F.to_date("start_time")
-    merged = snapshots.incremental_upsert(old.withColumn("start_day", day), new.withColumn("start_day", day),
-                                          ["area_id", "start_time"], partition_col="start_day")
+    # the stored model is a day-partitioned table; the new run is merged in
+    stored = tables.publish(old.withColumn("start_day", day), "int_forecast_hourly_by_area", kind="table",
+                            path=scratch_path(spark, "hourly"), partition_by=["start_day"],
+                            sort_within=["area_id", "start_time"])
+    merged = snapshots.incremental_upsert(stored, new.withColumn("start_day", day), ["area_id", "start_time"],
+                                          partition_col="start_day")
     return merged.select("area_id", "start_time", "generated_at", "temperature_value")
 
 

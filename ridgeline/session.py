@@ -61,12 +61,10 @@ def shared_dir(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover - connect sessions
             path = None
     if not path:
+        # spark.checkpoint.dir is a core setting (read-only at runtime); the
+        # context's checkpoint dir is what Dataset.checkpoint() uses
         path = tempfile.mkdtemp(prefix="ridgeline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-        try:
-            spark.sparkContext.setCheckpointDir(path)
-        except Exception:  # pragma: no cover
-            pass
+        spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
 
 

@@ -18,10 +18,8 @@ def spark():
     s = get_session(master="local[*]", app_name="ridgeline-tests", shuffle_partitions=8,
                     extra={"spark.driver.memory": "8g"})
     # Tests own the shared folder; on a cluster it comes from the session.
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="ridgeline-test-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+    if not s.conf.get("spark.checkpoint.dir", None) and not s.sparkContext.getCheckpointDir():
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ridgeline-test-"))
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

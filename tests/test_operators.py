@@ -121,3 +121,41 @@ def test_area_card_unknown_and_leaf(spark):
 def test_start_time_offset_normalizes_to_utc(spark):
     df = spark.createDataFrame([("2026-07-13T15:00:00-07:00",)], "s string")
     assert df.select(F.col("s").cast("timestamp")).collect()[0][0] == dt.datetime(2026, 7, 13, 22, 0)
+
+
+def test_hourly_by_area_overlapping_polygons_matches_brute_force(spark):
+    """Areas inside two polygons: the newest snapshot across both wins."""
+    import datetime as _dt
+
+    from pyspark.sql import Window
+
+    from ridgeline import schemas
+    from ridgeline.operators import forecast
+
+    sq = {"A": _poly([(0, 0), (2, 0), (2, 2), (0, 2)]), "B": _poly([(1, 1), (3, 1), (3, 3), (1, 3)])}
+    h1, h2 = _dt.datetime(2024, 1, 1, 6), _dt.datetime(2024, 1, 1, 7)
+    rows = [("A", h1, "2024-01-01T01:00:00+00:00", 10.0), ("A", h2, "2024-01-01T01:00:00+00:00", 11.0),
+            ("A", h1, "2024-01-01T00:30:00+00:00", 9.0), ("B", h1, "2024-01-01T02:00:00+00:00", 20.0),
+            ("B", h2, "2024-01-01T00:00:00+00:00", 21.0)]
+    cols = schemas.STG_FORECAST_COLUMNS
+    data = []
+    for p, st, gen, temp in rows:
+        r = dict.fromkeys(cols)
+        r.update(geo_json=sq[p], start_time=st, generated_at=gen, temperature_value=temp,
+                 extracted_at_ts=_dt.datetime(2024, 1, 1, 3))
+        data.append(tuple(r[c] for c in cols))
+    ddl = ", ".join(f"{c} {'timestamp' if c in ('start_time', 'end_time', 'extracted_at_ts') else 'double' if c.endswith(('_value', '_low', '_high')) else 'string'}" for c in cols)
+    stg = spark.createDataFrame(data, ddl)
+    areas = spark.createDataFrame([("a1", 1.5, 1.5), ("a2", 0.5, 0.5), ("a3", 2.5, 2.5), ("a4", 5.0, 5.0)],
+                                  "id string, longitude double, latitude double")
+    got = forecast.forecast_hourly_by_area(stg, areas, cell_size=1.0)
+    got = sorted((r["area_id"], r["start_time"].hour, r["temperature_value"]) for r in got.collect())
+    # brute force: containment on every row, then newest per (area, hour)
+    brute = (areas.crossJoin(stg).select("*", rings_from_geojson("geo_json").alias("r"))
+                  .filter(point_in_rings("r", "longitude", "latitude"))
+                  .withColumn("rn", F.row_number().over(Window.partitionBy("id", "start_time")
+                                                        .orderBy(F.col("generated_at").desc())))
+                  .filter("rn = 1"))
+    want = sorted((r["id"], r["start_time"].hour, r["temperature_value"]) for r in brute.collect())
+    assert got == want
+    assert got == [("a1", 6, 20.0), ("a1", 7, 11.0), ("a2", 6, 10.0), ("a2", 7, 11.0), ("a3", 6, 20.0), ("a3", 7, 21.0)]
