@@ -50,29 +50,34 @@ def series_nested(fact: DataFrame, as_of: Column, area_id: str | None = None) ->
     bounded by the forecast horizon.
     """
     r = recent(fact, as_of, area_id=area_id)
-    wide = F.struct(F.col("start_time").alias("t"),
-                    *[F.col(c).alias(c) for c in dict.fromkeys(x for _, _, v, u in METRICS for x in (v, u))])
-    per_area = r.groupBy("area_id").agg(F.sort_array(F.collect_list(wide), asc=False).alias("_rows"))
+    value_cols = list(dict.fromkeys(v for _, _, v, _ in METRICS))
+    unit_cols = list(dict.fromkeys(u for _, _, _, u in METRICS))
+    point = F.struct(F.col("start_time").alias("t"), *[F.col(c).cast("double").alias(c) for c in value_cols])
+    per_area = r.groupBy("area_id").agg(
+        F.sort_array(F.collect_list(point), asc=False).alias("_rows"),
+        # units of the newest hour (the first row of the newest-first list);
+        # the struct keeps a NULL unit NULL
+        F.max_by(F.struct(*unit_cols), "start_time").alias("_units"))
+
     def point_of(value_col):
-        return lambda x: F.struct(x["t"].alias("t"), x[value_col].cast("double").alias("v"))
+        return lambda x: F.struct(x["t"].alias("t"), x[value_col].alias("v"))
 
     series = F.array(*[F.struct(
         F.lit(m).alias("metric"), F.lit(lbl).alias("label"), F.lit(SERIES_SOURCE).alias("source"),
-        F.col("_rows")[0][u].alias("unit"), F.transform("_rows", point_of(v)).alias("points"))
+        F.col("_units")[u].alias("unit"), F.transform("_rows", point_of(v)).alias("points"))
         for m, lbl, v, u in METRICS])
     return per_area.select("area_id", F.inline(series))
 
 
 def series_digest(nested: DataFrame) -> DataFrame:
-    """Flatten nested points to comparable text: count and an md5 of
-    ``epoch_seconds=round(v * 1e6)`` pairs in list order (integers print
-    the same in every engine)."""
-    pts = F.transform("points", lambda p: F.concat(F.unix_timestamp(p["t"]).cast("string"), F.lit("="),
-                                                   F.coalesce(F.round(p["v"] * 1000000).cast("long").cast("string"),
-                                                              F.lit("null"))))
+    """Flatten nested points to comparable numbers: the point count and an
+    order-sensitive checksum ``sum(position * (epoch_seconds + round(v *
+    1e6)))`` (-1 for a NULL value), exact integer arithmetic in any engine."""
+    terms = F.transform("points", lambda p, i: (i + 1).cast("long") * (
+        F.unix_timestamp(p["t"]) + F.coalesce(F.round(p["v"] * 1000000).cast("long"), F.lit(-1).cast("long"))))
     return nested.select("area_id", "metric", "label", "source", "unit",
                          F.size("points").cast("long").alias("n_points"),
-                         F.md5(F.array_join(pts, ",")).alias("points_md5"))
+                         F.aggregate(terms, F.lit(0).cast("long"), lambda acc, x: acc + x).alias("points_checksum"))
 
 
 def series_for_areas(fact: DataFrame, as_of: Column, area_ids: DataFrame) -> DataFrame:

@@ -374,11 +374,12 @@ rec AS (SELECT * FROM fact WHERE start_time > {AS_OF} - INTERVAL 1 HOUR)
 
 ORACLE["series_nested"] = _w(f"""{ctes_fact()},
 rec AS (SELECT * FROM fact WHERE start_time > {AS_OF} - INTERVAL 1 HOUR),
-long AS ({SERIES_LONG})
+long AS ({SERIES_LONG}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY area_id, metric, label ORDER BY t DESC) AS pos FROM long)
 SELECT area_id, metric, label, source, arg_max(unit, t) AS unit, CAST(count(*) AS BIGINT) AS n_points,
-       md5(string_agg(CAST(epoch(t) AS BIGINT) || '=' || coalesce(CAST(CAST(round(v * 1000000) AS BIGINT) AS VARCHAR),
-                      'null'), ',' ORDER BY t DESC)) AS points_md5
-FROM long GROUP BY area_id, metric, label, source""")
+       CAST(sum(pos * (CAST(epoch(t) AS BIGINT) + coalesce(CAST(round(v * 1000000) AS BIGINT), -1))) AS BIGINT)
+         AS points_checksum
+FROM ranked GROUP BY area_id, metric, label, source""")
 
 ORACLE["series_empty"] = _w(f"""{ctes_fact()},
 {CTE_HIER.strip()},
