@@ -361,7 +361,7 @@ def q_check_expression(spark, sf):
 def q_check_unique(spark, sf):
     s = stg(spark, sf)
     bridge = spatial.area_polygons(dim(spark, sf), s, cell_size=CELL_SIZE)
-    return checks.check_unique(spatial.forecast_by_area(s, bridge), ["area_id", "start_time"])
+    return checks.check_unique_by_area(s, bridge, ["start_time"])
 
 
 # ------------------------------------------------------------- declared

@@ -159,3 +159,12 @@ def test_hourly_by_area_overlapping_polygons_matches_brute_force(spark):
     want = sorted((r["id"], r["start_time"].hour, r["temperature_value"]) for r in brute.collect())
     assert got == want
     assert got == [("a1", 6, 20.0), ("a1", 7, 11.0), ("a2", 6, 10.0), ("a2", 7, 11.0), ("a3", 6, 20.0), ("a3", 7, 21.0)]
+
+
+def test_check_unique_by_area_equals_plain_check(spark):
+    s = C.stg(spark, SF001)
+    bridge = spatial.area_polygons(C.dim(spark, SF001), s, cell_size=1.0)
+    plain = checks.check_unique(spatial.forecast_by_area(s, bridge), ["area_id", "start_time"])
+    fast = checks.check_unique_by_area(s, bridge, ["start_time"])
+    a = sorted(map(tuple, plain.select("area_id", "start_time", "n_rows").collect()))
+    assert a and a == sorted(map(tuple, fast.select("area_id", "start_time", "n_rows").collect()))
