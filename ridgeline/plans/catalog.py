@@ -381,9 +381,14 @@ def q_stage_actuals(spark, sf):
 
 
 def q_forecast_accuracy(spark, sf):
-    u = accuracy.forecast_union(_sources(spark, sf))
     a = accuracy.stage_actuals(B.raw_actuals(spark, sf))
-    acc = accuracy.forecast_accuracy(u, a, dim(spark, sf))
+    d = dim(spark, sf)
+    # only areas with observations can be scored: restrict them before the
+    # forecast fan-out (exact, newest-per-(area, hour) is per area)
+    observed = accuracy.observed_areas(d, a)
+    u = accuracy.forecast_union({name: forecast.forecast_hourly_by_area(stg(spark, sf, types), observed, CELL_SIZE)
+                                 for name, types in (("source_a", B.SOURCE_A_TYPES), ("source_b", B.SOURCE_B_TYPES))})
+    acc = accuracy.forecast_accuracy(u, a, d)
     return acc.select("source", "horizon_h", "region", _r6("mae").alias("mae"), "n_pairs")
 
 
