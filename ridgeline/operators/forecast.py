@@ -35,44 +35,97 @@ def forecast_hourly_by_area(stg: DataFrame, areas: DataFrame, cell_size: float |
     area-grain bridge and looking for one multi-polygon area.
     """
     newest_cell = latest_per_key(stg, ["geo_json", "start_time"])
+    one, many = _split_bridge(stg, areas, cell_size, bridge)
+    cols = schemas.HOURLY_BY_AREA_COLUMNS
+    single = forecast_by_area(newest_cell, one).select(*cols)
+    if many is None:
+        return single
+    return single.unionByName(_newest_for_multi(newest_cell, many).select(*cols))
+
+
+def _split_bridge(stg: DataFrame, areas: DataFrame, cell_size: float | None, bridge: DataFrame | None = None):
+    """(single-polygon bridge, multi-polygon bridge or None).
+
+    Distinct polygons come straight from the staged rows (a partial
+    aggregate on one column; when ``stg`` is a published table this reads
+    only the dictionary-encoded geo_json column). Polygons per area are a
+    window over the small area-grain bridge (a few rows per area). The
+    bridge feeds several branches, so it is checkpointed once (this also
+    cuts the spatial join out of the lineage), and one tiny job tells
+    whether any area lies in more than one polygon.
+    """
     if bridge is None:
-        # distinct polygons straight from the staged rows: a partial
-        # aggregate on one column. When ``stg`` is a published table this
-        # side reads only the (dictionary-encoded) geo_json column.
         bridge = area_polygons(areas, stg, cell_size=cell_size)
-    # polygons per area: a window over the small area-grain bridge (a few
-    # rows per area). The bridge feeds both branches below, so it is
-    # checkpointed once (area grain, small; this also cuts the spatial join
-    # out of the lineage), and one tiny job tells whether any area lies in
-    # more than one polygon. The bridge is split before the fan-out join so
-    # each area's rows are produced exactly once.
     shared_dir(stg.sparkSession)
     bridge = bridge.withColumn("_n_poly", F.count(F.lit(1)).over(Window.partitionBy("area_id")))
     bridge = bridge.checkpoint(eager=True)
-    cols = schemas.HOURLY_BY_AREA_COLUMNS
     one = bridge.filter(F.col("_n_poly") == 1).drop("_n_poly")
-    single = forecast_by_area(newest_cell, one).select(*cols)
     many = bridge.filter(F.col("_n_poly") > 1).drop("_n_poly")
-    if not many.take(1):
-        return single
-    multi = latest_per_key(forecast_by_area(newest_cell, many).drop("geo_json"), ["area_id", "start_time"])
-    return single.unionByName(multi.select(*cols))
+    return one, (many if many.take(1) else None)
+
+
+def _newest_for_multi(newest_cell: DataFrame, many: DataFrame) -> DataFrame:
+    """Hourly rows of areas inside several polygons: newest per (area, hour)."""
+    return latest_per_key(forecast_by_area(newest_cell, many).drop("geo_json"), ["area_id", "start_time"])
+
+
+def _score(params: ScoreParams, variant: str):
+    return climb_score("temperature_value", "precipitation_probability_value", "wind_speed_high",
+                       "relative_humidity_value", params, variant).alias("climb_score")
+
+
+def rollup_by_area(stg: DataFrame, areas: DataFrame, by: dict, aggs: list, cell_size: float | None = None,
+                   params: ScoreParams = DEFAULT_PARAMS, variant: str = "reference") -> DataFrame:
+    """Aggregates of the scored hourly rows per (area, ``by`` columns),
+    computed per polygon *before* the fan-out to areas.
+
+    The score depends only on the forecast row, so for an area inside a
+    single polygon its hours are exactly the polygon's newest hours and any
+    aggregate over them is the polygon's aggregate: the polygon aggregates
+    (one row per polygon and group) are fanned out instead of the hourly
+    rows. Areas inside several polygons take the exact hourly path.
+    ``by`` maps output names to Column expressions over ``start_time``; a
+    group whose ``by`` value is NULL is dropped (use it as a filter).
+    """
+    newest_cell = latest_per_key(stg, ["geo_json", "start_time"])
+    one, many = _split_bridge(stg, areas, cell_size)
+    names = list(by)
+
+    def grouped(rows, key):
+        keyed = rows.select(key, *[c.alias(n) for n, c in by.items()], _score(params, variant))
+        keyed = keyed.filter(" AND ".join(f"`{n}` IS NOT NULL" for n in names)) if names else keyed
+        return keyed.groupBy(key, *names).agg(*aggs)
+
+    per_cell = grouped(newest_cell, "geo_json")
+    out = forecast_by_area(per_cell, one).drop("geo_json")
+    if many is not None:
+        out = out.unionByName(grouped(_newest_for_multi(newest_cell, many), "area_id").select(*out.columns))
+    return out
 
 
 def fact_hourly(hourly: DataFrame, params: ScoreParams = DEFAULT_PARAMS, variant: str = "reference") -> DataFrame:
     """P10: the hourly rows plus ``climb_score`` (a narrow projection)."""
-    score = climb_score("temperature_value", "precipitation_probability_value", "wind_speed_high",
-                        "relative_humidity_value", params, variant)
-    return hourly.select(*schemas.HOURLY_BY_AREA_COLUMNS, score.alias("climb_score"))
+    return hourly.select(*schemas.HOURLY_BY_AREA_COLUMNS, _score(params, variant))
+
+
+def _daily_aggs():
+    return [F.avg("climb_score").alias("avg_score"), F.min("climb_score").alias("min_score"),
+            F.max("climb_score").alias("max_score"), F.count(F.lit(1)).alias("n_hours"),
+            F.count("climb_score").alias("n_scored")]
 
 
 def daily_score(fact: DataFrame) -> DataFrame:
-    """Condition score per area and day (UTC), with partial aggregation
-    on the map side."""
-    return (fact.groupBy("area_id", F.to_date("start_time").alias("day"))
-                .agg(F.avg("climb_score").alias("avg_score"), F.min("climb_score").alias("min_score"),
-                     F.max("climb_score").alias("max_score"), F.count(F.lit(1)).alias("n_hours"),
-                     F.count("climb_score").alias("n_scored")))
+    """Condition score per area and day (UTC) from a (published) fact
+    table, with partial aggregation on the map side."""
+    return fact.groupBy("area_id", F.to_date("start_time").alias("day")).agg(*_daily_aggs())
+
+
+def daily_score_by_area(stg: DataFrame, areas: DataFrame, cell_size: float | None = None,
+                        params: ScoreParams = DEFAULT_PARAMS, variant: str = "reference") -> DataFrame:
+    """D4 straight from staged forecasts: days aggregated per polygon, then
+    fanned out to areas (:func:`rollup_by_area`); same rows as
+    ``daily_score(fact_hourly(forecast_hourly_by_area(stg, areas)))``."""
+    return rollup_by_area(stg, areas, {"day": F.to_date("start_time")}, _daily_aggs(), cell_size, params, variant)
 
 
 def weekend_start(ts_col: str = "start_time"):
@@ -94,9 +147,27 @@ def weekend_ranking(fact: DataFrame, dim: DataFrame, top_k: int = 10, leaves_onl
     """
     wk = (fact.select("area_id", weekend_start().alias("weekend"), "climb_score")
               .filter(F.col("weekend").isNotNull())
-              .groupBy("weekend", "area_id")
-              .agg(F.avg("climb_score").alias("avg_score"), F.min("climb_score").alias("min_score"),
-                   F.max("climb_score").alias("max_score"), F.count(F.lit(1)).alias("n_hours")))
+              .groupBy("weekend", "area_id").agg(*_weekend_aggs()))
+    return rank_weekends(wk, dim, top_k, leaves_only)
+
+
+def _weekend_aggs():
+    return [F.avg("climb_score").alias("avg_score"), F.min("climb_score").alias("min_score"),
+            F.max("climb_score").alias("max_score"), F.count(F.lit(1)).alias("n_hours")]
+
+
+def weekend_ranking_by_area(stg: DataFrame, dim: DataFrame, top_k: int = 10, leaves_only: bool = True,
+                            cell_size: float | None = None, params: ScoreParams = DEFAULT_PARAMS,
+                            variant: str = "reference") -> DataFrame:
+    """D5 straight from staged forecasts: weekend hours aggregated per
+    polygon, fanned out to the areas, then ranked (:func:`rank_weekends`)."""
+    wk = rollup_by_area(stg, dim, {"weekend": weekend_start()}, _weekend_aggs(), cell_size, params, variant)
+    return rank_weekends(wk, dim, top_k, leaves_only)
+
+
+def rank_weekends(wk: DataFrame, dim: DataFrame, top_k: int = 10, leaves_only: bool = True) -> DataFrame:
+    """Top ``top_k`` crags per (weekend, parent) from per-(weekend, area)
+    aggregates (see :func:`weekend_ranking`)."""
     areas = dim.select(F.col("id").alias("area_id"), "area_name", "parent_id", "is_leaf")
     if leaves_only:
         areas = areas.filter(F.col("is_leaf"))

@@ -294,13 +294,13 @@ def q_climb_score_weighted(spark, sf):
 
 
 def q_daily_score(spark, sf):
-    d = forecast.daily_score(fact(spark, sf))
+    d = forecast.daily_score_by_area(stg(spark, sf), dim(spark, sf), CELL_SIZE, PARAMS)
     return d.select("area_id", "day", _r6("avg_score").alias("avg_score"), _r6("min_score").alias("min_score"),
                     _r6("max_score").alias("max_score"), "n_hours", "n_scored")
 
 
 def q_weekend_ranking(spark, sf):
-    w = forecast.weekend_ranking(fact(spark, sf), dim(spark, sf), top_k=10)
+    w = forecast.weekend_ranking_by_area(stg(spark, sf), dim(spark, sf), top_k=10, cell_size=CELL_SIZE, params=PARAMS)
     return w.select("weekend", "parent_id", F.col("rank").cast("long").alias("rank"), "area_id", "area_name",
                     _r6("avg_score").alias("avg_score"), _r6("min_score").alias("min_score"),
                     _r6("max_score").alias("max_score"), "n_hours")
