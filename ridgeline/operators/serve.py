@@ -49,16 +49,20 @@ def series_nested(fact: DataFrame, as_of: Column, area_id: str | None = None) ->
     A list holds one entry per future hour of one area, so its size is
     bounded by the forecast horizon.
     """
-    r = recent(fact, as_of, area_id=area_id)
+    return _series_columns(_series_lists(recent(fact, as_of, area_id=area_id), "area_id"), "area_id")
+
+
+def _series_lists(rows: DataFrame, key: str) -> DataFrame:
+    """Per ``key``: the hours newest first (time and the six values) and the
+    units of the newest hour (a struct keeps a NULL unit NULL)."""
     value_cols = list(dict.fromkeys(v for _, _, v, _ in METRICS))
     unit_cols = list(dict.fromkeys(u for _, _, _, u in METRICS))
     point = F.struct(F.col("start_time").alias("t"), *[F.col(c).cast("double").alias(c) for c in value_cols])
-    per_area = r.groupBy("area_id").agg(
-        F.sort_array(F.collect_list(point), asc=False).alias("_rows"),
-        # units of the newest hour (the first row of the newest-first list);
-        # the struct keeps a NULL unit NULL
-        F.max_by(F.struct(*unit_cols), "start_time").alias("_units"))
+    return rows.groupBy(key).agg(F.sort_array(F.collect_list(point), asc=False).alias("_rows"),
+                                 F.max_by(F.struct(*unit_cols), "start_time").alias("_units"))
 
+
+def _series_columns(lists: DataFrame, key: str) -> DataFrame:
     def point_of(value_col):
         return lambda x: F.struct(x["t"].alias("t"), x[value_col].alias("v"))
 
@@ -66,7 +70,26 @@ def series_nested(fact: DataFrame, as_of: Column, area_id: str | None = None) ->
         F.lit(m).alias("metric"), F.lit(lbl).alias("label"), F.lit(SERIES_SOURCE).alias("source"),
         F.col("_units")[u].alias("unit"), F.transform("_rows", point_of(v)).alias("points"))
         for m, lbl, v, u in METRICS])
-    return per_area.select("area_id", F.inline(series))
+    return lists.select(F.col(key).alias("area_id"), F.inline(series))
+
+
+def series_nested_by_area(stg: DataFrame, areas: DataFrame, as_of: Column, cell_size: float | None = None) -> DataFrame:
+    """V2 + A2 straight from staged forecasts: the point lists are built once
+    per polygon from its newest hours and fanned out to the areas inside it
+    (an area in one polygon has exactly its polygon's hours), instead of
+    grouping every area-hour row. Areas inside several polygons take the
+    exact hourly path. Same rows as ``series_nested(fact, as_of)``."""
+    from .forecast import _newest_for_multi, _split_bridge
+    from .snapshots import latest_per_key
+    from .spatial import forecast_by_area
+
+    newest = recent(latest_per_key(stg, ["geo_json", "start_time"]), as_of)
+    one, many = _split_bridge(stg, areas, cell_size)
+    out = _series_columns(forecast_by_area(_series_lists(newest, "geo_json"), one), "area_id")
+    if many is not None:
+        multi = _newest_for_multi(newest, many)
+        out = out.unionByName(_series_columns(_series_lists(multi, "area_id"), "area_id"))
+    return out
 
 
 def series_digest(nested: DataFrame) -> DataFrame:

@@ -324,7 +324,7 @@ def q_series_long(spark, sf):
 
 
 def q_series_nested(spark, sf):
-    nested = serve.series_nested(fact(spark, sf), B.as_of())
+    nested = serve.series_nested_by_area(stg(spark, sf), dim(spark, sf), B.as_of(), CELL_SIZE)
     return serve.series_digest(nested)
 
 

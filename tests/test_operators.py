@@ -168,6 +168,12 @@ def test_hourly_by_area_overlapping_polygons_matches_brute_force(spark):
     a = sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in daily.select(*cols).collect())
     b = sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in plain.select(*cols).collect())
     assert a == b and len(a) == 3
+    as_of = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    fact = forecast.fact_hourly(forecast.forecast_hourly_by_area(stg, areas, cell_size=1.0))
+    x = serve.series_digest(serve.series_nested_by_area(stg, areas, as_of, cell_size=1.0))
+    y = serve.series_digest(serve.series_nested(fact, as_of))
+    assert sorted(map(tuple, x.collect())) == sorted(map(tuple, y.select(*x.columns).collect()))
+    assert x.filter("area_id = 'a1'").count() == 6
 
 
 def test_check_unique_by_area_equals_plain_check(spark):
@@ -192,3 +198,11 @@ def test_rollups_before_fanout_equal_fact_aggregates(spark):
     assert rows(forecast.daily_score_by_area(s, d, 1.0), dcols) == rows(forecast.daily_score(f), dcols)
     wcols = ["weekend", "parent_id", "rank", "area_id", "avg_score", "n_hours"]
     assert rows(forecast.weekend_ranking_by_area(s, d, cell_size=1.0), wcols) == rows(forecast.weekend_ranking(f, d), wcols)
+
+
+def test_series_by_polygon_equals_series_from_fact(spark):
+    s, d = C.stg(spark, SF001), C.dim(spark, SF001)
+    a = serve.series_digest(serve.series_nested_by_area(s, d, B.as_of(), 1.0))
+    b = serve.series_digest(serve.series_nested(C.fact(spark, SF001), B.as_of()))
+    ra, rb = sorted(map(tuple, a.collect())), sorted(map(tuple, b.select(*a.columns).collect()))
+    assert ra and ra == rb
