@@ -1,5 +1,6 @@
 """Forecast marts: hourly forecast by area (C5), scored fact (P10), daily
-score (D4) and the weekend ranking (D5)."""
+score (D4), the weekend ranking (D5) and unit standardization (D7), plus the
+shared area-polygon bridge and per-polygon rollups."""
 
 from __future__ import annotations
 
@@ -35,15 +36,15 @@ def forecast_hourly_by_area(stg: DataFrame, areas: DataFrame, cell_size: float |
     area-grain bridge and looking for one multi-polygon area.
     """
     newest_cell = latest_per_key(stg, ["geo_json", "start_time"])
-    one, many = _split_bridge(stg, areas, cell_size, bridge)
+    one, many = split_bridge(stg, areas, cell_size, bridge)
     cols = schemas.HOURLY_BY_AREA_COLUMNS
     single = forecast_by_area(newest_cell, one).select(*cols)
     if many is None:
         return single
-    return single.unionByName(_newest_for_multi(newest_cell, many).select(*cols))
+    return single.unionByName(newest_in_several_polygons(newest_cell, many).select(*cols))
 
 
-def _split_bridge(stg: DataFrame, areas: DataFrame, cell_size: float | None, bridge: DataFrame | None = None):
+def split_bridge(stg: DataFrame, areas: DataFrame, cell_size: float | None, bridge: DataFrame | None = None):
     """(single-polygon bridge, multi-polygon bridge or None).
 
     Distinct polygons come straight from the staged rows (a partial
@@ -64,7 +65,7 @@ def _split_bridge(stg: DataFrame, areas: DataFrame, cell_size: float | None, bri
     return one, (many if many.take(1) else None)
 
 
-def _newest_for_multi(newest_cell: DataFrame, many: DataFrame) -> DataFrame:
+def newest_in_several_polygons(newest_cell: DataFrame, many: DataFrame) -> DataFrame:
     """Hourly rows of areas inside several polygons: newest per (area, hour)."""
     return latest_per_key(forecast_by_area(newest_cell, many).drop("geo_json"), ["area_id", "start_time"])
 
@@ -88,7 +89,7 @@ def rollup_by_area(stg: DataFrame, areas: DataFrame, by: dict, aggs: list, cell_
     group whose ``by`` value is NULL is dropped (use it as a filter).
     """
     newest_cell = latest_per_key(stg, ["geo_json", "start_time"])
-    one, many = _split_bridge(stg, areas, cell_size)
+    one, many = split_bridge(stg, areas, cell_size)
     names = list(by)
 
     def grouped(rows, key):
@@ -99,7 +100,7 @@ def rollup_by_area(stg: DataFrame, areas: DataFrame, by: dict, aggs: list, cell_
     per_cell = grouped(newest_cell, "geo_json")
     out = forecast_by_area(per_cell, one).drop("geo_json")
     if many is not None:
-        out = out.unionByName(grouped(_newest_for_multi(newest_cell, many), "area_id").select(*out.columns))
+        out = out.unionByName(grouped(newest_in_several_polygons(newest_cell, many), "area_id").select(*out.columns))
     return out
 
 

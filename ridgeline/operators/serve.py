@@ -79,15 +79,15 @@ def series_nested_by_area(stg: DataFrame, areas: DataFrame, as_of: Column, cell_
     (an area in one polygon has exactly its polygon's hours), instead of
     grouping every area-hour row. Areas inside several polygons take the
     exact hourly path. Same rows as ``series_nested(fact, as_of)``."""
-    from .forecast import _newest_for_multi, _split_bridge
+    from .forecast import newest_in_several_polygons, split_bridge
     from .snapshots import latest_per_key
     from .spatial import forecast_by_area
 
     newest = recent(latest_per_key(stg, ["geo_json", "start_time"]), as_of)
-    one, many = _split_bridge(stg, areas, cell_size)
+    one, many = split_bridge(stg, areas, cell_size)
     out = _series_columns(forecast_by_area(_series_lists(newest, "geo_json"), one), "area_id")
     if many is not None:
-        multi = _newest_for_multi(newest, many)
+        multi = newest_in_several_polygons(newest, many)
         out = out.unionByName(_series_columns(_series_lists(multi, "area_id"), "area_id"))
     return out
 
