@@ -206,3 +206,19 @@ def test_series_by_polygon_equals_series_from_fact(spark):
     b = serve.series_digest(serve.series_nested(C.fact(spark, SF001), B.as_of()))
     ra, rb = sorted(map(tuple, a.collect())), sorted(map(tuple, b.select(*a.columns).collect()))
     assert ra and ra == rb
+
+
+def test_standardize_units_f_to_c_and_kmh_to_mph(spark):
+    from ridgeline.functions import parse_wind
+    from ridgeline.operators import forecast
+
+    df = spark.createDataFrame([(212.0, "F", "16.09344 km/h"), (20.0, "C", "10 mph"), (None, "F", None)],
+                               "temperature_value double, temperature_unit string, wind string")
+    w = df.select("*", parse_wind("wind").alias("w")).select(
+        "temperature_value", "temperature_unit", F.col("w.low").alias("wind_speed_low"),
+        F.col("w.high").alias("wind_speed_high"), F.col("w.unit").alias("wind_speed_unit"))
+    got = [tuple(r) for r in forecast.standardize_units(w).collect()]
+    assert got[0][0] == 100.0 and got[0][1] == "C" and got[0][4] == "mph"
+    assert abs(got[0][2] - 16 / 1.609344) < 1e-9 and abs(got[0][3] - 9344 / 1.609344) < 1e-6
+    assert got[1] == (20.0, "C", 10.0, 10.0, "mph")
+    assert got[2][0] is None and got[2][1] == "C"
