@@ -222,3 +222,30 @@ def test_standardize_units_f_to_c_and_kmh_to_mph(spark):
     assert abs(got[0][2] - 16 / 1.609344) < 1e-9 and abs(got[0][3] - 9344 / 1.609344) < 1e-6
     assert got[1] == (20.0, "C", 10.0, 10.0, "mph")
     assert got[2][0] is None and got[2][1] == "C"
+
+
+def test_target_areas_list_and_dataframe_forms_agree(spark):
+    from ridgeline.operators import hierarchy
+
+    d = C.dim(spark, SF001)
+    by_list = hierarchy.target_areas(d, ["N1", "N2"])
+    by_df = hierarchy.target_areas(d, spark.createDataFrame([("N1",), ("N2",)], "parent string"))
+    a = sorted(map(tuple, by_list.collect()))
+    assert a and a == sorted(map(tuple, by_df.collect()))
+    # a NULL name and an excluded name are dropped
+    extra = spark.createDataFrame([("x1", None, 1.0, 1.0, "N1", "c", "r", True),
+                                   ("x2", "Beaches", 1.0, 1.0, "N1", "c", "r", True)], d.schema)
+    ids = {r["area_id"] for r in hierarchy.target_areas(d.unionByName(extra), ["N1"]).collect()}
+    assert "x1" not in ids and "x2" not in ids
+
+
+def test_publish_view_and_table(spark):
+    from ridgeline.session import scratch_path
+    from ridgeline.sources import tables
+
+    d = C.dim(spark, SF001)
+    v = tables.publish(d, "dim_area_view", kind="view")
+    assert spark.table("dim_area_view").count() == v.count() == d.count()
+    t = tables.publish(d, "dim_area_table", kind="table", path=scratch_path(spark, "dim"),
+                       partition_by=["country"], sort_within=["id"])
+    assert sorted(map(tuple, t.select(*d.columns).collect())) == sorted(map(tuple, d.collect()))
