@@ -105,3 +105,19 @@ def test_unclosed_ring_is_repaired(spark):
     assert r[0][0] == r[0][-1]
     df = df.select("*", F.lit(1.0).alias("x"), F.lit(1.0).alias("y"))
     assert df.select(point_in_rings("r", "x", "y")).collect()[0][0] is True
+
+
+@pytest.mark.parametrize("x,y,expected", [
+    (0.5, 0.5, True),    # first part
+    (5.5, 5.5, True),    # second part
+    (4.0, 4.0, False),   # between the parts
+    (1.5, 1.5, False),   # inside the hole of the first part
+])
+def test_multipolygon_and_hole(spark, x, y, expected):
+    geo = ('{"type":"MultiPolygon","coordinates":['
+           '[[[0,0],[3,0],[3,3],[0,3],[0,0]],[[1,1],[2,1],[2,2],[1,2],[1,1]]],'
+           '[[[5,5],[6,5],[6,6],[5,6],[5,5]]]]}')
+    df = spark.createDataFrame([(geo, x, y)], "g string, x double, y double").select(
+        rings_from_geojson("g").alias("r"), "x", "y")
+    assert df.select(point_in_rings("r", "x", "y")).collect()[0][0] == expected
+    assert df.select(F.size("r")).collect()[0][0] == 3
