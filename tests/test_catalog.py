@@ -41,3 +41,12 @@ def test_entry_smoke(spark):
     assert df.columns == ["weekend", "parent_id", "rank", "area_id", "area_name", "avg_score", "min_score",
                           "max_score", "n_hours"]
     assert df.count() > 0
+
+
+def test_no_query_plans_a_nested_loop_or_cartesian_join(spark):
+    bad = []
+    for name, fn in E.queries().items():
+        plan = fn(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        if "NestedLoop" in plan or "Cartesian" in plan:
+            bad.append(name)
+    assert not bad, f"pair-emitting joins in: {bad}"
