@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeline.llm import packing, token_counts, word_bpe
+from ridgeline.llm import packing, quality_rules, token_counts, word_bpe
 from ridgeline.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents")).drop("clean_text")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -21,6 +25,8 @@ def op9_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.encode_decode(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op5_best_fit_packing, op9_word_bpe)}
+QUERIES = {f.__name__: f for f in (op2_token_counts, op4_quality_rules, op5_best_fit_packing, op9_word_bpe)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_quality_rules": f"SELECT * EXCLUDE (clean_text) FROM ({quality_rules.oracle_sql()})",
+}
