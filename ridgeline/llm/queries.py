@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeline.llm import packing, quality_rules, token_counts, word_bpe
+from ridgeline.llm import exact_dedup, packing, quality_rules, token_counts, word_bpe
 from ridgeline.llm.common import table
 
 
@@ -21,12 +21,18 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = exact_dedup.located(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return exact_dedup.decisions(rows).drop("file", "row")
+
+
 def op9_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.encode_decode(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op4_quality_rules, op5_best_fit_packing, op9_word_bpe)}
+QUERIES = {f.__name__: f for f in (op2_token_counts, op4_quality_rules, op5_best_fit_packing, op6_exact_dedup, op9_word_bpe)}
 
 ORACLE: dict[str, str] = {
+    "op6_exact_dedup": exact_dedup.ORACLE,
     "op4_quality_rules": f"SELECT * EXCLUDE (clean_text) FROM ({quality_rules.oracle_sql()})",
 }
