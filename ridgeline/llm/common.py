@@ -8,9 +8,12 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridgeline.session import scratch_path
+
 # the white space of every contract: [\x20\x09-\x0D]
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -67,3 +70,23 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
     """``mapInArrow`` with bounded batches."""
     bound_batches(df.sparkSession)
     return df.mapInArrow(fn, schema)
+
+
+def located(docs: DataFrame, file: str = "file", row: str = "row") -> DataFrame:
+    """Adds the locator of a row's content: file and row number. A DataFrame
+    that is not read from files is written to the shared folder first."""
+    try:
+        return docs.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
+    except AnalysisException:  # no file metadata
+        path = scratch_path(docs.sparkSession, "located")
+        docs.write.parquet(path)
+        docs = docs.sparkSession.read.schema(docs.schema).parquet(path)
+        return docs.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
+
+
+def kept_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: cuts the lineage in
+    a way that survives the loss of executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -15,11 +15,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import squeeze
+from ridgeline.llm.common import kept_table, located, squeeze
 from ridgeline.session import scratch_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -31,18 +30,6 @@ def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(F.encode(text, "UTF-8"), 256))
 
 
-def located(docs: DataFrame, file: str = "file", row: str = "row") -> DataFrame:
-    """Adds the locator of a row's content: file and row number. A DataFrame
-    that is not read from files is written to the shared folder first."""
-    try:
-        return docs.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
-    except AnalysisException:  # no file metadata
-        path = scratch_path(docs.sparkSession, "dedup-input")
-        docs.write.parquet(path)
-        docs = docs.sparkSession.read.schema(docs.schema).parquet(path)
-        return docs.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
-
-
 def update_index(spark: SparkSession, landing: str, state: str) -> DataFrame:
     """Streams the records that are new in ``landing`` into the state at
     ``state`` and returns what it holds of digests met more than once: digest,
@@ -71,12 +58,6 @@ def update_index(spark: SparkSession, landing: str, state: str) -> DataFrame:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def _kept_table(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def decisions(docs: DataFrame, digest: Callable[[Column], Column] = sha256, landing: str | None = None,
               state: str | None = None) -> DataFrame:
     """One row per row of ``docs``, which has its locator: doc_id, file, row,
@@ -99,14 +80,14 @@ def decisions(docs: DataFrame, digest: Callable[[Column], Column] = sha256, land
                     (-F.char_length("original")).alias("points"), digest(F.col("content")).alias("digest"))
      .write.mode("append").parquet(landing))
     index = update_index(spark, landing, state)
-    claimed = _kept_table(spark.read.parquet(landing).join(index, "digest", "left"), "dedup-claims")
+    claimed = kept_table(spark.read.parquet(landing).join(index, "digest", "left"), "dedup-claims")
 
     # every claimed copy against its keeper, byte for byte
-    found = _kept_table(content.select("file", "row", "content").join(claimed.where("n > 1"), ["file", "row"]),
+    found = kept_table(content.select("file", "row", "content").join(claimed.where("n > 1"), ["file", "row"]),
                         "dedup-bytes")
     is_keeper = (F.col("file") == F.col("keep.file")) & (F.col("row") == F.col("keep.row"))
     keepers = found.where(is_keeper).select("digest", F.col("content").alias("keeper_content"))
-    differ = _kept_table(found.where(~is_keeper).join(keepers, "digest")
+    differ = kept_table(found.where(~is_keeper).join(keepers, "digest")
                          .where(F.col("content") != F.col("keeper_content")).select("digest").distinct(),
                          "dedup-differ")
     names = ["doc_id", "file", "row", "digest", "keep", "n"]

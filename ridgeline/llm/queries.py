@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeline.llm import exact_dedup, packing, quality_rules, token_counts, word_bpe
-from ridgeline.llm.common import table
+from ridgeline.llm import exact_dedup, jaccard_join, packing, quality_rules, token_counts, word_bpe
+from ridgeline.llm.common import located, table
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,15 +22,20 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = exact_dedup.located(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = located(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return exact_dedup.decisions(rows).drop("file", "row")
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op9_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.encode_decode(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op4_quality_rules, op5_best_fit_packing, op6_exact_dedup, op9_word_bpe)}
+QUERIES = {f.__name__: f for f in (op2_token_counts, op4_quality_rules, op5_best_fit_packing, op6_exact_dedup,
+                                    op8_jaccard_join, op9_word_bpe)}
 
 ORACLE: dict[str, str] = {
     "op6_exact_dedup": exact_dedup.ORACLE,
