@@ -5,10 +5,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeline.llm import exact_dedup, jaccard_join, packing, quality_rules, token_counts, word_bpe
+from ridgeline.llm import exact_dedup, jaccard_join, language_id, packing, quality_classifier, quality_rules, token_counts, word_bpe
 from ridgeline.llm.common import located, table
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
@@ -34,8 +38,12 @@ def op9_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.encode_decode(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op4_quality_rules, op5_best_fit_packing, op6_exact_dedup,
-                                    op8_jaccard_join, op9_word_bpe)}
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify_languages(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_token_counts, op4_quality_rules, op5_best_fit_packing, op6_exact_dedup,
+                                    op8_jaccard_join, op9_word_bpe, op10_language_id)}
 
 ORACLE: dict[str, str] = {
     "op6_exact_dedup": exact_dedup.ORACLE,
