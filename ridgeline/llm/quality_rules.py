@@ -52,9 +52,10 @@ def line_fails(line: Column) -> Column:
     return punctuation | navigation | boilerplate
 
 
-def measures(docs: DataFrame) -> DataFrame:
-    """doc_id, text (null becomes empty) and the base measures."""
-    df = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+def measures(docs: DataFrame, *carry: Column) -> DataFrame:
+    """doc_id, text (null becomes empty), ``carry`` and the base measures."""
+    df = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *carry)
+    carried = df.columns[2:]
     df = df.withColumns({
         "words": F.array_remove(F.split("text", BLANK), ""),
         "lines": F.split("text", "\n"),
@@ -83,7 +84,7 @@ def measures(docs: DataFrame) -> DataFrame:
     # a window covers up to the next repeated window's start
     covered = F.transform("starts", lambda s, k: F.least(F.lit(5), F.coalesce(F.get("starts", k + 1) - s, F.lit(5))))
     return df.select(
-        "doc_id", "text", "lines", "n_words", "word_chars", "n_symbols",
+        "doc_id", "text", *carried, "lines", "n_words", "word_chars", "n_symbols",
         (F.size("full_lines") - F.size(F.array_distinct("full_lines"))).cast("long").alias("n_dup_lines"),
         F.aggregate(covered, F.lit(0), lambda a, x: a + x).cast("long").alias("n_repeat_words"))
 
@@ -97,16 +98,34 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     an empty table gives an empty result. Texts are read whole. Two different
     windows of one text count as equal only if their 64-bit hashes collide.
     """
-    df = measures(docs)
+    return _judged(measures(docs)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_lost_words", "clean_text")
+
+
+def _judged(df: DataFrame) -> DataFrame:
     df = df.withColumn("kept_lines", F.filter("lines", lambda line: ~line_fails(line))).drop("lines", "text")
     df = df.withColumn("clean_text", F.array_join("kept_lines", "\n")).drop("kept_lines")
     df = df.withColumns({
         "n_lost_words": F.col("n_words") - _count(F.col("clean_text"), WORD),
         "base_failed": (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20),
     })
-    kept = ~F.col("base_failed") & (F.col("n_lost_words") * 100 <= F.col("n_words") * MAX_LOST_PERCENT)
-    return df.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                     kept.alias("kept"), "n_lost_words", "clean_text")
+    return df.withColumn("kept", ~F.col("base_failed")
+                         & (F.col("n_lost_words") * 100 <= F.col("n_words") * MAX_LOST_PERCENT))
+
+
+def kept_documents(docs: DataFrame) -> DataFrame:
+    """The kept rows of ``docs`` with all their columns; text without its
+    failing lines, n_chars (where there is such a column) brought up to date."""
+    judged = _judged(measures(docs, F.struct("*").alias("whole")))
+    clean = F.col("clean_text")
+    row = F.struct(*(
+        clean.alias("text") if c == "text" else
+        F.char_length(clean).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col("whole")[c].alias(c)
+        for c in docs.columns))
+    # a filter on ``kept`` would be pushed through the projections above, which
+    # evaluates them again inside each other; a generator is not
+    return judged.select(F.inline(F.when(F.col("kept"), F.array(row))))
 
 
 def _sql_fails(line: str) -> str:

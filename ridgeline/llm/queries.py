@@ -4,8 +4,9 @@ that SQL can express."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ridgeline.llm import exact_dedup, jaccard_join, language_id, packing, quality_classifier, quality_rules, token_counts, word_bpe
+from ridgeline.llm import exact_dedup, jaccard_join, language_id, packing, quality_classifier, quality_rules, token_counts, tool_calls, word_bpe
 from ridgeline.llm.common import located, table
 
 
@@ -17,6 +18,14 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op3_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = tool_calls.from_conversations(table(spark, sf_dir, "conversations"))
+    schemas = spark.sql(
+        "SELECT * FROM VALUES " + ", ".join(str(s) for s in tool_calls.SCHEMAS) + " AS t(name, param, type, required)")
+    events = tool_calls.link_tool_calls(calls, results, schemas)
+    return events.withColumn("errors", F.array_join("errors", " "))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents")).drop("clean_text")
 
@@ -42,10 +51,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_languages(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_token_counts, op4_quality_rules, op5_best_fit_packing, op6_exact_dedup,
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_token_counts, op3_tool_calls, op4_quality_rules, op5_best_fit_packing, op6_exact_dedup,
                                     op8_jaccard_join, op9_word_bpe, op10_language_id)}
 
 ORACLE: dict[str, str] = {
+    "op3_tool_calls": tool_calls.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op4_quality_rules": f"SELECT * EXCLUDE (clean_text) FROM ({quality_rules.oracle_sql()})",
 }
