@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeline.llm import exact_dedup, jaccard_join, language_id, packing, quality_classifier, quality_rules, token_counts, tool_calls, word_bpe
+from ridgeline.llm import exact_dedup, jaccard_join, language_id, packing, pii, quality_classifier, quality_rules, token_counts, tool_calls, word_bpe
 from ridgeline.llm.common import located, table
 
 
@@ -39,6 +39,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(rows).drop("file", "row")
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -51,8 +55,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_languages(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_token_counts, op3_tool_calls, op4_quality_rules, op5_best_fit_packing, op6_exact_dedup,
-                                    op8_jaccard_join, op9_word_bpe, op10_language_id)}
+QUERIES = {f.__name__: f for f in (
+    op1_quality_classifier, op2_token_counts, op3_tool_calls, op4_quality_rules, op5_best_fit_packing,
+    op6_exact_dedup, op7_personal_data, op8_jaccard_join, op9_word_bpe, op10_language_id)}
 
 ORACLE: dict[str, str] = {
     "op3_tool_calls": tool_calls.ORACLE,
