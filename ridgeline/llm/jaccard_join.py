@@ -486,7 +486,7 @@ def one_per_component(docs: DataFrame, percent: int = 80) -> DataFrame:
     of each component the row with the smallest doc_id stays (null last, then
     the first by locator)."""
     rows = located(docs, "near_file", "near_row")
-    plain = rows.withColumnsRenamed({"near_file": "file", "near_row": "row"}).select("doc_id", "text", "file", "row")
+    plain = rows.select("doc_id", "text", F.col("near_file").alias("file"), F.col("near_row").alias("row"))
     bound_batches(docs.sparkSession)
     prof = kept_table(profiles(plain), "jaccard-profiles")
     named = (prof.where("node is not null").join(linked_nodes(plain, prof, Link(percent)), "node", "left")
