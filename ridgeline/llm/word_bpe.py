@@ -26,15 +26,22 @@ from ridgeline.llm.common import map_batches
 
 MODEL = "word_bpe_49k.json"
 # entries of about 200 bytes, two generations each
-MEMO_CHUNKS = 300_000
-MEMO_WORDS = 300_000
+MEMO_CHUNKS = 500_000
+MEMO_WORDS = 500_000
 MEMO_CHARS = 64
 # A trie branch per symbol costs memory; longer words walk a branch of their own.
 TRIE_SYMBOLS = 256
 # Chunks: no word of the model spans ASCII white space.
 CHUNKS = re.compile("[\\x20\\x09-\\x0D]+")
-# The model's word pattern on lower-case printable ASCII without blanks (fixed by the model file).
-PLAIN_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+# Chunks of printable ASCII and Latin letters that lower-case one to one and
+# have no other normal form are split here, others by the library; the pattern
+# is the model's (fixed by its file) on lower-case text of these letters.
+LATIN = "À-ÖØ-öø-įı-ȹȻ-ȽȿɁ-ɏ"
+PLAIN_CHUNK = re.compile(f"[!-~{LATIN}]+")
+PLAIN_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LATIN}]+|[0-9]|[^a-z0-9{LATIN}]+")
+# Texts of about this many characters are encoded together: their new words
+# share a trie.
+SHARED_CHARS = 4 << 20
 
 
 class TrieCodec:
@@ -70,6 +77,9 @@ class TrieCodec:
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") \
             if self.special else None
         self.normal, self.words = tok.normalizer, tok.pre_tokenizer
+        # how the model writes a letter's bytes
+        self.bytes = {c: self.words.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x250)
+                      if PLAIN_CHUNK.fullmatch(chr(c))}
         if tok.decoder is not None:
             raise ValueError("a model with a decoder of its own is not supported")
         self.token |= {i: t for t, i in self.special.items()}
@@ -142,8 +152,10 @@ class TrieCodec:
     def _parts(self, chunk: str) -> list[str]:
         """Words (byte alphabet) of one chunk; special tokens are words whose
         ids are known beforehand."""
-        if chunk.isascii() and chunk.isprintable() and not (self.cut and self.cut.search(chunk)):
-            return PLAIN_WORDS.findall(chunk.lower())
+        if PLAIN_CHUNK.fullmatch(chunk) and not (self.cut and "<" in chunk and self.cut.search(chunk)):
+            low = chunk.lower()
+            return PLAIN_WORDS.findall(low) if low.isascii() else \
+                [w.translate(self.bytes) for w in PLAIN_WORDS.findall(low)]
         out: list[str] = []
         for piece in (self.cut.split(chunk) if self.cut else [chunk]):
             if piece in self.special:
@@ -195,6 +207,17 @@ def load(path: str | None) -> TrieCodec:
     return TrieCodec(path)
 
 
+def shares(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """A batch in slices of about SHARED_CHARS characters, with their texts."""
+    texts = [t or "" for t in batch.column("text").to_pylist()]
+    lo = size = 0
+    for hi, t in enumerate(texts, 1):
+        size += len(t)
+        if size >= SHARED_CHARS or hi == len(texts):
+            yield batch.slice(lo, hi - lo), texts[lo:hi]
+            lo, size = hi, 0
+
+
 def encode_decode(docs: DataFrame, model_path: str | None = None, keep_ids: bool = False) -> DataFrame:
     """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256, and with
     ``keep_ids`` also ids (array<int>) and decoded (string).
@@ -205,9 +228,8 @@ def encode_decode(docs: DataFrame, model_path: str | None = None, keep_ids: bool
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = load(model_path)
         for b in batches:
-            for lo in range(0, b.num_rows, 200):  # bounds the fresh words of one trie
-                part = b.slice(lo, 200)
-                done = [(i, codec.decode(i)) for i in codec.texts([t or "" for t in part.column("text").to_pylist()])]
+            for part, texts in shares(b):
+                done = [(i, codec.decode(i)) for i in codec.texts(texts)]
                 cols = [part.column("doc_id"),
                         pa.array([len(i) // 4 for i, _ in done], pa.int64()),
                         pa.array([hashlib.sha256(i).hexdigest() for i, _ in done], pa.string()),
