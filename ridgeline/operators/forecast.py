@@ -136,15 +136,11 @@ def weekend_start(ts_col: str = "start_time"):
     return F.when(dow == 7, d).when(dow == 1, F.date_sub(d, 1))
 
 
-def weekend_ranking(fact: DataFrame, dim: DataFrame, top_k: int = 10, leaves_only: bool = True) -> DataFrame:
+def weekend_ranking(fact: DataFrame, dim: DataFrame, top_k: int | None = None, leaves_only: bool = True) -> DataFrame:
     """D5: "climbable this weekend": rank crags within their parent area by
-    mean Saturday+Sunday score, keep the top ``top_k`` per (weekend, parent).
-
-    Weekend hours are aggregated per (weekend, area) with partial
-    aggregation; the rank filter becomes a ``WindowGroupLimit`` that keeps
-    ``top_k`` rows per group inside each task before the shuffle, so a parent
-    holding a large share of all crags never lands in one task whole. Ties
-    rank by area id.
+    mean Saturday+Sunday score: all of them, or the top ``top_k`` per
+    (weekend, parent). Weekend hours are aggregated per (weekend, area) with
+    partial aggregation. Ties rank by area id.
     """
     wk = (fact.select("area_id", weekend_start().alias("weekend"), "climb_score")
               .filter(F.col("weekend").isNotNull())
@@ -157,7 +153,7 @@ def _weekend_aggs():
             F.max("climb_score").alias("max_score"), F.count(F.lit(1)).alias("n_hours")]
 
 
-def weekend_ranking_by_area(stg: DataFrame, dim: DataFrame, top_k: int = 10, leaves_only: bool = True,
+def weekend_ranking_by_area(stg: DataFrame, dim: DataFrame, top_k: int | None = None, leaves_only: bool = True,
                             cell_size: float | None = None, params: ScoreParams = DEFAULT_PARAMS,
                             variant: str = "reference") -> DataFrame:
     """D5 straight from staged forecasts: weekend hours aggregated per
@@ -166,31 +162,65 @@ def weekend_ranking_by_area(stg: DataFrame, dim: DataFrame, top_k: int = 10, lea
     return rank_weekends(wk, dim, top_k, leaves_only)
 
 
-def rank_weekends(wk: DataFrame, dim: DataFrame, top_k: int = 10, leaves_only: bool = True) -> DataFrame:
-    """Top ``top_k`` crags per (weekend, parent) from per-(weekend, area)
-    aggregates (see :func:`weekend_ranking`)."""
+# Ranks are counted in steps of this score within a (weekend, parent).
+RANK_STEP = 0.01
+
+
+def rank_weekends(wk: DataFrame, dim: DataFrame, top_k: int | None = None, leaves_only: bool = True) -> DataFrame:
+    """Crags ranked per (weekend, parent) from per-(weekend, area) aggregates
+    (see :func:`weekend_ranking`).
+
+    With ``top_k`` the rank filter becomes a ``WindowGroupLimit`` that keeps
+    ``top_k`` rows per group inside each task before the shuffle. The complete
+    ranking is counted in score steps, so a parent with a large share of all
+    crags is no single task: a crag's rank is the number of crags in better
+    steps (a small table of counts) plus its place within its own step."""
     areas = dim.select(F.col("id").alias("area_id"), "area_name", "parent_id", "is_leaf")
     if leaves_only:
         areas = areas.filter(F.col("is_leaf"))
+    group = ["weekend", "parent_id"]
+    best = [F.round("avg_score", 6).desc_nulls_last(), F.col("area_id").asc()]
     ranked_in = wk.join(areas.drop("is_leaf"), "area_id")
-    w = Window.partitionBy("weekend", "parent_id").orderBy(
-        F.round("avg_score", 6).desc_nulls_last(), F.col("area_id").asc())
-    return (ranked_in.withColumn("rank", F.row_number().over(w))
-                     .filter(F.col("rank") <= top_k)
-                     .select("weekend", "parent_id", "rank", "area_id", "area_name",
-                             "avg_score", "min_score", "max_score", "n_hours"))
+    if top_k is not None:
+        ranked = (ranked_in.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(*best)))
+                  .filter(F.col("rank") <= top_k))
+    else:
+        step = F.coalesce(F.floor(F.round("avg_score", 6) / RANK_STEP), F.lit(-(1 << 40)))
+        stepped = ranked_in.withColumn("_step", step)
+        better = Window.partitionBy(*group).orderBy(F.col("_step").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        counts = (stepped.groupBy(*group, "_step").agg(F.count(F.lit(1)).alias("_n"))
+                  .select(*group, "_step", F.coalesce(F.sum("_n").over(better), F.lit(0)).alias("_before")))
+        # parents may be null: the join compares them as equal
+        place = F.row_number().over(Window.partitionBy(*group, "_step").orderBy(*best))
+        left, right = stepped.withColumn("_place", place), counts.toDF("_w", "_p", "_s", "_before")
+        same = (F.col("weekend").eqNullSafe(F.col("_w")) & F.col("parent_id").eqNullSafe(F.col("_p"))
+                & (F.col("_step") == F.col("_s")))
+        ranked = left.join(right, same).withColumn("rank", F.col("_before") + F.col("_place"))
+    return ranked.select("weekend", "parent_id", "rank", "area_id", "area_name",
+                         "avg_score", "min_score", "max_score", "n_hours")
+
+
+# Miles per hour in one of each unit.
+MPH = {"mph": 1.0, "mi/h": 1.0, "km/h": 1 / 1.609344, "kmh": 1 / 1.609344, "kph": 1 / 1.609344,
+       "m/s": 3600 / 1609.344, "kt": 1852 / 1609.344, "kn": 1852 / 1609.344, "knots": 1852 / 1609.344}
+
+
+def celsius(value: str = "temperature_value", unit: str = "temperature_unit"):
+    """A reading in degrees C; NULL when its unit is neither F nor C."""
+    u = F.lower(F.regexp_replace(unit, "^wmoUnit:deg", ""))
+    return F.when(u == "f", (F.col(value) - 32) * 5 / 9).when(u == "c", F.col(value))
 
 
 def standardize_units(df: DataFrame) -> DataFrame:
     """Temperature to degrees C and wind speed to mph, units relabelled.
-
-    Fixed values: F to C is (v - 32) * 5 / 9; km/h to mph is v / 1.609344.
-    """
-    t_f = F.col("temperature_unit") == "F"
-    kmh = F.col("wind_speed_unit").isin("km", "h", "kmh", "kph")
-    out = df.withColumn("temperature_value", F.when(t_f, (F.col("temperature_value") - 32) * 5 / 9)
-                        .otherwise(F.col("temperature_value")))
-    out = out.withColumn("temperature_unit", F.when(t_f, F.lit("C")).otherwise(F.col("temperature_unit")))
-    for c in ("wind_speed_low", "wind_speed_high"):
-        out = out.withColumn(c, F.when(kmh, F.col(c) / 1.609344).otherwise(F.col(c)))
-    return out.withColumn("wind_speed_unit", F.when(kmh, F.lit("mph")).otherwise(F.col("wind_speed_unit")))
+    A unit that is not known keeps its value and its label."""
+    known_t = F.lower(F.regexp_replace("temperature_unit", "^wmoUnit:deg", "")).isin("f", "c")
+    factor = F.element_at(F.create_map(*(F.lit(x) for pair in MPH.items() for x in pair)),
+                          F.lower("wind_speed_unit"))
+    out = df.withColumns({
+        "temperature_value": F.when(known_t, celsius()).otherwise(F.col("temperature_value")),
+        "temperature_unit": F.when(known_t, F.lit("C")).otherwise(F.col("temperature_unit")),
+        **{c: F.col(c) * F.coalesce(factor, F.lit(1.0)) for c in ("wind_speed_low", "wind_speed_high")},
+    })
+    return out.withColumn("wind_speed_unit", F.when(factor.isNotNull(), F.lit("mph"))
+                          .otherwise(F.col("wind_speed_unit")))

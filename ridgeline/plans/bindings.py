@@ -5,8 +5,10 @@ grows with them.
 * cells: nation ``g`` is the unit square with lower-left ``(g % 5, g div 5)``.
 * areas: regions ``R{r}`` (no coordinates), nations ``N{n}`` (cell centre),
   customers ``C{c}`` (leaves) at dyadic points that are never on an edge.
-* forecast documents: one per (cell ``user_id % 25``, hour of ``ts``); the
-  period of each ``event_id % 24`` slot is the event with the largest id.
+* forecast documents: one per (cell ``user_id % 25``, hour of ``ts``, block of
+  24 event ids); every event is the period of its ``event_id % 24`` slot. The
+  block shows in the milliseconds of the extraction time, so (generated,
+  extracted) orders all documents of a cell.
 """
 
 from __future__ import annotations
@@ -73,9 +75,8 @@ def raw_areas(spark: SparkSession, sf_dir: str, plant_bad: bool = False) -> Data
     """b_area as the raw area table: ``uuid, area_name, areaName,
     pathTokens, ancestors, children (JSON), metadata (JSON)``.
 
-    The region and nation tables are fixed-size dimensions (5 and 25 rows),
-    so joining them to customers broadcasts a proven-small side.
-    ``plant_bad`` replaces the last ancestor of every 83rd customer by ``X``.
+    ``plant_bad`` replaces the last ancestor of every 83rd customer by ``X``
+    and nulls the metadata of every 89th.
     """
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -89,13 +90,13 @@ def raw_areas(spark: SparkSession, sf_dir: str, plant_bad: bool = False) -> Data
     nation_children = (n.groupBy("n_regionkey")
                         .agg(F.to_json(F.sort_array(F.collect_list(F.struct(F.col("n_name").alias("area_name"),
                                                                                nid.alias("uuid"))))).alias("children")))
-    regions = r.join(F.broadcast(nation_children), r["r_regionkey"] == nation_children["n_regionkey"], "left").select(
+    regions = r.join(nation_children, r["r_regionkey"] == nation_children["n_regionkey"], "left").select(
         rid.alias("uuid"), F.col("r_name").alias("area_name"), F.col("r_name").alias("areaName"),
         F.array(F.col("r_name")).alias("pathTokens"), F.array(rid).alias("ancestors"),
         F.col("children"), _metadata(null_d, null_d, F.lit(False)).alias("metadata"))
 
     g = F.col("n_nationkey").cast("long")
-    nations = n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"]).select(
+    nations = n.join(r, n["n_regionkey"] == r["r_regionkey"]).select(
         nid.alias("uuid"), F.col("n_name").alias("area_name"), F.col("n_name").alias("areaName"),
         F.array("r_name", "n_name").alias("pathTokens"), F.array(rid, nid).alias("ancestors"),
         F.lit(None).cast("string").alias("children"),
@@ -105,12 +106,13 @@ def raw_areas(spark: SparkSession, sf_dir: str, plant_bad: bool = False) -> Data
     lat, lng = _customer_point(ck)
     name = F.when(ck % 5 == 0, F.concat(F.col("c_name"), F.lit(", The"))).otherwise(F.col("c_name"))
     last = F.when(F.lit(plant_bad) & (ck % 83 == 0), F.lit("X")).otherwise(cid)
-    nr = F.broadcast(n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"]))
+    nr = n.join(r, n["n_regionkey"] == r["r_regionkey"])
     customers = c.join(nr, c["c_nationkey"] == nr["n_nationkey"]).select(
         cid.alias("uuid"), name.alias("area_name"), name.alias("areaName"),
         F.array(F.col("r_name"), F.col("n_name"), name).alias("pathTokens"),
         F.array(rid, nid, last).alias("ancestors"),
-        F.lit("[]").alias("children"), _metadata(lat, lng, F.lit(True)).alias("metadata"))
+        F.lit("[]").alias("children"),
+        F.when(~(F.lit(plant_bad) & (ck % 89 == 0)), _metadata(lat, lng, F.lit(True))).alias("metadata"))
     return regions.unionByName(nations).unionByName(customers)
 
 
@@ -129,16 +131,14 @@ def _events(spark, sf_dir, types=None) -> DataFrame:
 def raw_forecast_docs(spark: SparkSession, sf_dir: str, types=None, plant_bad: bool = False) -> DataFrame:
     """b_docs as the raw forecast table ``(data JSON text, extracted_at_ts)``.
 
-    Two aggregations: the newest event per (cell, hour, slot) with map-side
-    partial aggregation (a hot cell shrinks to at most 24 rows per task and
-    hour before the shuffle), then at most 24 periods per document.
+    Every event is one period. A document holds the events of one block of
+    event ids, at most 24, so no group grows with the data.
     """
     ev = _events(spark, sf_dir, types)
-    keyed = ev.select(
+    picked = ev.select(
         (F.col("user_id") % N_CELLS).alias("g"), F.date_trunc("hour", "ts").alias("hr"),
-        (F.col("event_id") % N_SLOTS).alias("slot"),
+        F.floor(F.col("event_id") / N_SLOTS).alias("blk"), (F.col("event_id") % N_SLOTS).alias("slot"),
         F.struct("event_id", "event_type", "value", "props").alias("e"))
-    picked = keyed.groupBy("g", "hr", "slot").agg(F.max("e").alias("e"))
 
     e = F.col("e")
     eid = e["event_id"]
@@ -165,7 +165,7 @@ def raw_forecast_docs(spark: SparkSession, sf_dir: str, types=None, plant_bad: b
         F.lit("NW").alias("windDirection"),
         e["event_type"].alias("shortForecast"),
     )
-    docs = (picked.groupBy("g", "hr")
+    docs = (picked.groupBy("g", "hr", "blk")
                   .agg(F.sort_array(F.collect_list(F.struct(F.col("slot"), period.alias("p")))).alias("ps")))
     g = F.col("g").cast("long")
     gx, gy = g % GRID_COLS, F.floor(g / GRID_COLS).cast("long")
@@ -176,18 +176,20 @@ def raw_forecast_docs(spark: SparkSession, sf_dir: str, types=None, plant_bad: b
                  F.struct(F.lit("wmoUnit:m").alias("unitCode"), (g * F.lit(10.5)).alias("value")).alias("elevation"),
                  F.transform("ps", lambda x: x["p"]).alias("periods")).alias("properties"))
     return docs.select(F.to_json(data, {"ignoreNullFields": "false"}).alias("data"),
-                       (F.col("hr") + F.expr("INTERVAL 1 HOUR")).cast("timestamp").alias("extracted_at_ts"))
+                       F.timestamp_millis(F.unix_millis("hr") + 3_600_000 + F.col("blk")).alias("extracted_at_ts"))
 
 
 def raw_gridpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Append-only resolutions: one row per (customer area, day) on which the
-    matching user (``user_id = c_custkey``) has events, i.e. the cell map is
-    re-landed every run day. An equi-join, no cross product."""
-    runs = _events(spark, sf_dir).select(F.col("user_id"), F.to_date("ts").alias("run_day")).distinct()
+    """Append-only resolutions: every customer area is resolved on two run
+    days, and again on the days its user (``user_id = c_custkey``) has events."""
     c = table(spark, sf_dir, "customer").select("c_custkey")
+    days = F.array(F.lit("2024-01-01").cast("date"), F.lit("2024-01-20").cast("date"))
+    runs = c.select("c_custkey", F.explode(days).alias("run_day"))
+    again = _events(spark, sf_dir).select(F.col("user_id"), F.to_date("ts").alias("run_day")).distinct()
+    runs = runs.union(again.join(c, again["user_id"] == c["c_custkey"]).select("c_custkey", "run_day"))
     lat, lng = _customer_point(F.col("c_custkey"))
     gx, gy = F.floor(lng).cast("long"), F.floor(lat).cast("long")
-    return runs.join(c, runs["user_id"] == c["c_custkey"]).select(
+    return runs.select(
         F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("area_id"),
         F.lit(GRID_ID).alias("grid_id"), gx.alias("grid_x"), gy.alias("grid_y"), "run_day")
 
@@ -221,11 +223,12 @@ def area_pages(spark: SparkSession, sf_dir: str, page_size: int = 500) -> DataFr
 
 
 def raw_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observations: ``purchase`` events as readings of area ``C{user_id}``."""
+    """Observations: ``purchase`` events as readings of area ``C{user_id}``, in
+    F (even event ids) or C."""
     ev = _events(spark, sf_dir, ACTUAL_TYPES)
     return ev.select(F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("area_id"),
                      F.col("ts").alias("observed_at"), F.floor("value").cast("double").alias("temperature_value"),
-                     F.lit("F").alias("temperature_unit"))
+                     F.when(F.col("event_id") % 2 == 0, "F").otherwise("C").alias("temperature_unit"))
 
 
 def as_of() -> Column:

@@ -232,7 +232,7 @@ def q_latest_snapshot(spark, sf):
 
 
 def q_latest_snapshot_max(spark, sf):
-    s = stg(spark, sf).withColumn("_ver", F.try_to_timestamp("generated_at"))
+    s = stg(spark, sf).withColumn("_ver", F.struct(F.try_to_timestamp("generated_at"), "extracted_at_ts"))
     latest = snapshots.latest_by_max(s, ["geo_json", "start_time"], "_ver")
     return latest.select("geo_json", "start_time", "generated_at", "temperature_value", "wind_speed_high")
 
@@ -299,13 +299,21 @@ def q_daily_score(spark, sf):
                     _r6("max_score").alias("max_score"), "n_hours", "n_scored")
 
 
-def q_weekend_ranking(spark, sf):
-    w = forecast.weekend_ranking_by_area(stg(spark, sf), dim(spark, sf), top_k=10, cell_size=CELL_SIZE, params=PARAMS)
+def _ranking(spark, sf, top_k=None):
+    w = forecast.weekend_ranking_by_area(stg(spark, sf), dim(spark, sf), top_k=top_k, cell_size=CELL_SIZE, params=PARAMS)
     return w.select("weekend", "parent_id", F.col("rank").cast("long").alias("rank"), "area_id", "area_name",
                     _r6("avg_score").alias("avg_score"), _r6("min_score").alias("min_score"),
                     _r6("max_score").alias("max_score"), "n_hours")
 
 
+def q_weekend_ranking(spark, sf):
+    return _ranking(spark, sf)
+
+
+def q_weekend_top_ten(spark, sf):
+    return _ranking(spark, sf, 10)
+
+
 def q_standardize_units(spark, sf):
     s = forecast.standardize_units(stg(spark, sf))
     return s.select("elevation_value", "generated_at", "start_time", _r6("temperature_value").alias("temperature_value"),
@@ -337,7 +345,7 @@ def q_series_empty(spark, sf):
 # ------------------------------------------------------------------ checks
 
 def q_check_required(spark, sf):
-    raw = B.raw_areas(spark, sf)
+    raw = B.raw_areas(spark, sf, plant_bad=True)
     return checks.check_required(raw, schemas.REQUIRED["raw_graph_ql_areas"]).select("uuid", "area_name")
 
 
@@ -384,14 +392,20 @@ def q_forecast_accuracy(spark, sf):
     a = accuracy.stage_actuals(B.raw_actuals(spark, sf))
     d = dim(spark, sf)
     # only areas with observations can be scored: restrict them before the
-    # forecast fan-out (exact, newest-per-(area, hour) is per area)
+    # fan-out; every snapshot of an hour is scored, each at its own horizon
     observed = accuracy.observed_areas(d, a)
-    u = accuracy.forecast_union({name: forecast.forecast_hourly_by_area(stg(spark, sf, types), observed, CELL_SIZE)
+    u = accuracy.forecast_union({name: _all_snapshots(stg(spark, sf, types), observed)
                                  for name, types in (("source_a", B.SOURCE_A_TYPES), ("source_b", B.SOURCE_B_TYPES))})
     acc = accuracy.forecast_accuracy(u, a, d)
     return acc.select("source", "horizon_h", "region", _r6("mae").alias("mae"), "n_pairs")
 
 
+def _all_snapshots(s, areas):
+    bridge = spatial.area_polygons(areas, s, cell_size=CELL_SIZE)
+    return spatial.forecast_by_area(s.select("geo_json", "generated_at", "start_time", "temperature_value",
+                                             "temperature_unit"), bridge)
+
+
 def q_stream_ingest(spark, sf):
     base = scratch_path(spark, "landing")
     landing.write_landing(B.raw_forecast_docs(spark, sf), base, "nws", "ingest_nws_hourly_forecast",
@@ -438,6 +452,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "climb_score_weighted": q_climb_score_weighted,
     "daily_score": q_daily_score,
     "weekend_ranking": q_weekend_ranking,
+    "weekend_top_ten": q_weekend_top_ten,
     "standardize_units": q_standardize_units,
     "forecast_recent": q_forecast_recent,
     "series_long": q_series_long,

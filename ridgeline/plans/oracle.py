@@ -79,12 +79,13 @@ def ctes_stg(types=None, plant_bad=False, name="stg", pk="pk") -> str:
     temp = "CASE WHEN e.event_id % 97 = 0 THEN NULL ELSE floor(e.value) END" if plant_bad else "floor(e.value)"
     return f"""
 {pk} AS (
-  SELECT user_id % 25 AS g, date_trunc('hour', ts) AS hr, event_id % 24 AS slot, max(event_id) AS eid
-  FROM events {_types(types)} GROUP BY ALL
+  SELECT user_id % 25 AS g, date_trunc('hour', ts) AS hr, event_id // 24 AS blk, event_id % 24 AS slot,
+         event_id AS eid
+  FROM events {_types(types)}
 ),
 {name} AS (
-  SELECT k.g, k.hr, k.slot, e.event_id,
-    k.hr + INTERVAL 1 HOUR AS extracted_at_ts,
+  SELECT k.g, k.hr, k.blk, k.slot, e.event_id,
+    k.hr + INTERVAL 1 HOUR + to_milliseconds(k.blk) AS extracted_at_ts,
     strftime(k.hr, {ISO}) AS generated_at,
     {_geo('k.g')} AS geo_json,
     CAST(k.g AS DOUBLE) * {_d(10.5)} AS elevation_value,
@@ -175,10 +176,10 @@ raw_areas AS (
 def ctes_hourly(types=None, name="hourly", suffix="") -> str:
     return f"""{ctes_stg(types, name='stg' + suffix, pk='pk' + suffix)},
 latest{suffix} AS (
-  SELECT * FROM stg{suffix} QUALIFY row_number() OVER (PARTITION BY g, start_time ORDER BY hr DESC) = 1
+  SELECT * FROM stg{suffix} QUALIFY row_number() OVER (PARTITION BY g, start_time ORDER BY hr DESC, blk DESC) = 1
 ),
 {name} AS (
-  SELECT ac.area_id, l.* EXCLUDE (g, hr, slot, event_id, geo_json)
+  SELECT ac.area_id, l.* EXCLUDE (g, hr, blk, slot, event_id, geo_json)
   FROM latest{suffix} l JOIN area_cell ac ON ac.g = l.g
 )"""
 
@@ -204,15 +205,16 @@ def _w(body: str) -> str:
 ORACLE: dict[str, str] = {}
 
 ORACLE["load_forecast_docs"] = _w(f"""
-pk AS (SELECT user_id % 25 AS g, date_trunc('hour', ts) AS hr, event_id % 24 AS slot FROM events GROUP BY ALL)
-SELECT hr + INTERVAL 1 HOUR AS extracted_at_ts, strftime(hr, {ISO}) AS generated_at,
+pk AS (SELECT user_id % 25 AS g, date_trunc('hour', ts) AS hr, event_id // 24 AS blk FROM events)
+SELECT hr + INTERVAL 1 HOUR + to_milliseconds(blk) AS extracted_at_ts, strftime(hr, {ISO}) AS generated_at,
        CAST(g AS DOUBLE) * {_d(10.5)} AS elevation_value, CAST(count(*) AS BIGINT) AS n_periods
-FROM pk GROUP BY g, hr""")
+FROM pk GROUP BY g, hr, blk""")
 
 ORACLE["envelope_roundtrip"] = _w(f"""
-docs AS (SELECT DISTINCT user_id % 25 AS g, date_trunc('hour', ts) AS hr FROM events)
+docs AS (SELECT DISTINCT user_id % 25 AS g, date_trunc('hour', ts) AS hr, event_id // 24 AS blk FROM events)
 SELECT CAST(g AS DOUBLE) * {_d(10.5)} AS elevation_value, CAST(count(*) AS BIGINT) AS n_docs,
-       min(hr) + INTERVAL 1 HOUR AS first_extracted, max(hr) + INTERVAL 1 HOUR AS last_extracted
+       date_trunc('second', min(hr + INTERVAL 1 HOUR + to_milliseconds(blk))) AS first_extracted,
+       date_trunc('second', max(hr + INTERVAL 1 HOUR + to_milliseconds(blk))) AS last_extracted
 FROM docs GROUP BY g""")
 
 ORACLE["load_areas"] = _w(f"""{CTE_RAW_AREAS}
@@ -235,7 +237,7 @@ FROM customer c"""
 
 ORACLE["distinct_gridpoints"] = f"""
 SELECT DISTINCT '{B.GRID_ID}' AS grid_id, CAST(floor({LNG}) AS BIGINT) AS grid_x, CAST(floor({LAT}) AS BIGINT) AS grid_y
-FROM customer c WHERE c.c_custkey IN (SELECT user_id FROM events)"""
+FROM customer c"""
 
 ORACLE["stage_countries"] = "SELECT r_name AS country FROM region"
 
@@ -292,7 +294,7 @@ ORACLE["check_containment"] = f"""
 SELECT 'C' || c.c_custkey AS area_id, CAST((floor({LNG}) + 1) % 5 AS BIGINT) AS grid_x,
        CAST(floor({LAT}) AS BIGINT) AS grid_y
 FROM customer c
-WHERE c.c_custkey % 83 = 0 AND c.c_custkey IN (SELECT user_id FROM events)"""
+WHERE c.c_custkey % 83 = 0"""
 
 ORACLE["forecast_by_area"] = _w(f"""{CTE_AREAS},
 {ctes_stg()}
@@ -301,7 +303,7 @@ FROM stg s JOIN area_cell ac ON ac.g = s.g""")
 
 _LATEST = _w(f"""{ctes_stg()}
 SELECT geo_json, start_time, generated_at, temperature_value, wind_speed_high
-FROM stg QUALIFY row_number() OVER (PARTITION BY g, start_time ORDER BY hr DESC) = 1""")
+FROM stg QUALIFY row_number() OVER (PARTITION BY g, start_time ORDER BY hr DESC, blk DESC) = 1""")
 ORACLE["latest_snapshot"] = _LATEST
 ORACLE["latest_snapshot_max"] = _LATEST
 ORACLE["stream_ingest"] = _LATEST
@@ -356,7 +358,9 @@ ranked AS (
 )
 SELECT weekend, parent_id, CAST(rnk AS BIGINT) AS rank, area_id, area_name, round(avg_score, 6) AS avg_score,
        round(min_score, 6) AS min_score, round(max_score, 6) AS max_score, CAST(n_hours AS BIGINT) AS n_hours
-FROM ranked WHERE rnk <= 10""")
+FROM ranked""")
+
+ORACLE["weekend_top_ten"] = ORACLE["weekend_ranking"] + " WHERE rnk <= 10"
 
 ORACLE["standardize_units"] = _w(f"""{ctes_stg()}
 SELECT elevation_value, generated_at, start_time,
@@ -392,7 +396,7 @@ FROM dim d JOIN specs s ON true
 LEFT JOIN agg a ON a.area_id = d.id AND a.metric = s.metric AND a.label = s.label""")
 
 ORACLE["check_required"] = _w(f"""{CTE_RAW_AREAS}
-SELECT uuid, area_name FROM raw_areas WHERE uuid IS NULL OR area_name IS NULL OR areaName IS NULL""")
+SELECT uuid, area_name FROM raw_areas WHERE ck % 89 = 0""")
 
 ORACLE["check_not_null"] = _w(f"""{ctes_stg(plant_bad=True)}
 SELECT elevation_value, generated_at, start_time, temperature_value FROM stg
@@ -428,7 +432,8 @@ SELECT source, area_id, start_time, generated_at, temperature_value FROM fu""")
 _ACTUALS = """
 act AS (
   SELECT 'C' || user_id AS area_id, date_trunc('hour', ts) AS observed_hour,
-         avg(CAST(floor(value) AS DOUBLE)) AS temperature_value, count(*) AS n_readings
+         avg(CASE WHEN event_id % 2 = 0 THEN (CAST(floor(value) AS DOUBLE) - 32) * 5 / 9
+                  ELSE CAST(floor(value) AS DOUBLE) END) AS temperature_value, count(*) AS n_readings
   FROM events WHERE event_type = 'purchase' GROUP BY ALL
 )"""
 
@@ -436,13 +441,21 @@ ORACLE["stage_actuals"] = _w(f"""{_ACTUALS}
 SELECT area_id, observed_hour, round(temperature_value, 6) AS temperature_value,
        CAST(n_readings AS BIGINT) AS n_readings FROM act""")
 
-ORACLE["forecast_accuracy"] = _w(f"""{_UNION},
+ORACLE["forecast_accuracy"] = _w(f"""{CTE_AREAS},
+{ctes_stg(B.SOURCE_A_TYPES, name='stg_a', pk='pk_a')},
+{ctes_stg(B.SOURCE_B_TYPES, name='stg_b', pk='pk_b')},
+fu AS (
+  SELECT 'source_a' AS source, ac.area_id, s.hr, s.start_time, (s.temperature_value - 32) * 5 / 9 AS c
+  FROM stg_a s JOIN area_cell ac ON ac.g = s.g
+  UNION ALL
+  SELECT 'source_b', ac.area_id, s.hr, s.start_time, (s.temperature_value - 32) * 5 / 9
+  FROM stg_b s JOIN area_cell ac ON ac.g = s.g
+),
 {_ACTUALS.strip()},
 {CTE_HIER.strip()}
 SELECT fu.source,
-       CAST(floor(date_diff('second', strptime(fu.generated_at, '%Y-%m-%dT%H:%M:%S+00:00'), fu.start_time)
-                  / CAST(3600 AS DOUBLE)) AS BIGINT) AS horizon_h,
-       d.region, round(avg(abs(fu.temperature_value - act.temperature_value)), 6) AS mae,
+       CAST(floor(date_diff('second', fu.hr, fu.start_time) / CAST(3600 AS DOUBLE)) AS BIGINT) AS horizon_h,
+       d.region, round(avg(abs(fu.c - act.temperature_value)), 6) AS mae,
        CAST(count(*) AS BIGINT) AS n_pairs
 FROM fu JOIN act ON act.area_id = fu.area_id AND act.observed_hour = fu.start_time
 LEFT JOIN dim d ON d.id = fu.area_id
