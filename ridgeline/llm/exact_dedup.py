@@ -35,6 +35,8 @@ def update_index(spark: SparkSession, landing: str, state: str) -> DataFrame:
     ``state`` and returns what it holds of digests met more than once: digest,
     n, keep (the record that stays)."""
     settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+                # many small stores: no preallocated log space each
+                "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
                 "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
                 "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": str(STATE_MB)}
     before = {k: spark.conf.get(k, None) for k in settings}
@@ -109,8 +111,8 @@ def decisions(docs: DataFrame, digest: Callable[[Column], Column] = sha256, land
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, unchanged (see ``decisions``)."""
     rows = located(docs, "dedup_file", "dedup_row")
-    dropped = decisions(rows.withColumnsRenamed({"dedup_file": "file", "dedup_row": "row"})
-                        .select("doc_id", "text", "file", "row")).where("not kept")
+    dropped = decisions(rows.select("doc_id", "text", F.col("dedup_file").alias("file"),
+                                    F.col("dedup_row").alias("row"))).where("not kept")
     dropped = dropped.select(F.col("file").alias("dedup_file"), F.col("row").alias("dedup_row"))
     return rows.join(dropped, ["dedup_file", "dedup_row"], "left_anti").select(docs.columns)
 
