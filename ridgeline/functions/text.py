@@ -24,10 +24,13 @@ def sql_str(value: str) -> str:
 
 
 def json_scalar_sql(expr: str) -> str:
-    """Warehouse ``json_value`` semantics on a value already extracted as
-    text (a ``from_json`` string leaf or ``get_json_object``): JSON null
-    gives NULL, and an object or array gives NULL instead of its text."""
-    return f"(CASE WHEN NOT (startswith({expr}, '{{') OR startswith({expr}, '[')) THEN {expr} END)"
+    """Warehouse ``json_value`` semantics on a variant (a leaf of
+    ``from_json``, or ``parse_json``): a scalar as text, JSON null and an
+    object or array as NULL. A string keeps its text whatever it begins with;
+    the type is looked at only where the text could be an object's or array's."""
+    text = f"variant_get({expr}, '$', 'string')"
+    nested = f"(startswith({text}, '{{') OR startswith({text}, '['))"
+    return f"(CASE WHEN NOT ({nested} AND schema_of_variant({expr}) <> 'STRING') THEN {text} END)"
 
 
 def wind_sql(expr: str) -> str:

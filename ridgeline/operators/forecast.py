@@ -200,8 +200,9 @@ def rank_weekends(wk: DataFrame, dim: DataFrame, top_k: int | None = None, leave
                          "avg_score", "min_score", "max_score", "n_hours")
 
 
-# Miles per hour in one of each unit.
-MPH = {"mph": 1.0, "mi/h": 1.0, "km/h": 1 / 1.609344, "kmh": 1 / 1.609344, "kph": 1 / 1.609344,
+# Miles per hour in one of each unit. The staged unit is the
+# trailing letters of the wind text, so "km/h" arrives as "h".
+MPH = {"h": 1 / 1.609344, "mph": 1.0, "mi/h": 1.0, "km/h": 1 / 1.609344, "kmh": 1 / 1.609344, "kph": 1 / 1.609344,
        "m/s": 3600 / 1609.344, "kt": 1852 / 1609.344, "kn": 1852 / 1609.344, "knots": 1852 / 1609.344}
 
 

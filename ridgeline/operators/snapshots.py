@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import path_exists, shared_dir
+from ..sources.tables import overwrite_partitions
 
 
 def snapshot_order(generated_col: str = "generated_at", extracted_col: str = "extracted_at_ts") -> list[Column]:
@@ -23,11 +24,10 @@ def snapshot_order(generated_col: str = "generated_at", extracted_col: str = "ex
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column] | None = None,
-                   tie_break: Sequence[Column] | None = None, method: str = "window") -> DataFrame:
+                   tie_break: Sequence[Column] | None = None) -> DataFrame:
     """Keep the first row per key under ``order_by`` (newest first).
 
-    ``method="window"``: ``row_number() = 1``; Catalyst turns the filter into
-    a ``WindowGroupLimit`` that keeps one row per key inside each map task
+    ``row_number() = 1``; Catalyst turns the filter into a ``WindowGroupLimit`` that keeps one row per key inside each map task
     before the shuffle, so a hot key ships one row per task, not all of them.
     (:func:`latest_by_max` is the aggregate form for a single version column.)
 
@@ -39,8 +39,6 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column
     others = [c for c in df.columns if c not in keys]
     row_hash = F.xxhash64(*[F.col(c) for c in others]) if others else F.lit(0)
     full_order = order_by + list(tie_break or []) + [row_hash.asc()]
-    if method != "window":
-        raise ValueError(f"unknown method {method!r}; the aggregate form is latest_by_max")
     w = Window.partitionBy(*keys).orderBy(*full_order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
@@ -58,25 +56,30 @@ def latest_by_max(df: DataFrame, keys: Sequence[str], version_col: str) -> DataF
 
 
 def incremental_upsert(stored: DataFrame, new_rows: DataFrame, keys: Sequence[str],
-                       order_by: Sequence[Column] | None = None, partition_col: str | None = None) -> DataFrame:
-    """Merge new rows into stored rows, newest snapshot per key wins.
-
-    With ``partition_col`` (a column derived from the keys, e.g. the day of
-    ``start_time``), only stored rows in partitions that ``new_rows`` touch
-    are merged (semi-join on the distinct touched partitions, which are few;
-    on a partitioned table this prunes partitions); all other stored rows
-    pass through without a shuffle. Persist the result
-    with ``overwrite_partitions`` restricted to the touched partitions, so a
-    rerun is idempotent.
+                       order_by: Sequence[Column] | None = None) -> DataFrame:
+    """D6 as a DataFrame: stored and new rows, newest snapshot per key.
+    For a stored table use :func:`upsert_partitions`."""
+    return latest_per_key(stored.unionByName(new_rows.select(*stored.columns)), keys, order_by)
+
+
+def upsert_partitions(path: str, new_rows: DataFrame, keys: Sequence[str], partition_col: str,
+                      order_by: Sequence[Column] | None = None) -> None:
+    """D6 on a table partitioned by ``partition_col`` (derived from the keys,
+    e.g. the day of ``start_time``): only the partitions that ``new_rows``
+    touch are read (their values are a literal filter on the scan) and
+    overwritten; all others keep their files.
+
+    The new rows are cut once with ``checkpoint()``, as they are used twice,
+    and the merged rows before they replace what they were read from. The
+    merge is idempotent: a replayed batch, also after a crash between two
+    partitions, leaves the same table.
     """
-    new_rows = new_rows.select(*stored.columns)
-    if partition_col is None:
-        return latest_per_key(stored.unionByName(new_rows), keys, order_by)
-    # the batch is read twice (touched partitions, merge input): cut its
-    # lineage once in the shared checkpoint dir instead of recomputing it
-    shared_dir(new_rows.sparkSession)
-    new_rows = new_rows.checkpoint(eager=True)
-    touched = new_rows.select(partition_col).distinct()
-    merge_in = stored.join(touched, partition_col, "left_semi").unionByName(new_rows)
-    untouched = stored.join(touched, partition_col, "left_anti")
-    return untouched.unionByName(latest_per_key(merge_in, keys, order_by).select(*stored.columns))
+    spark = new_rows.sparkSession
+    shared_dir(spark)
+    new_rows = latest_per_key(new_rows, keys, order_by).checkpoint(eager=True)
+    values = [r[0] for r in new_rows.select(partition_col).distinct().collect()]  # partitions of one batch
+    merged = new_rows
+    if path_exists(spark, path):
+        stored = spark.read.parquet(path).where(F.col(partition_col).isin(values)).select(*new_rows.columns)
+        merged = latest_per_key(stored.unionByName(new_rows), keys, order_by)
+    overwrite_partitions(merged.checkpoint(eager=True), path, [partition_col])

@@ -105,24 +105,25 @@ def area_polygons(areas: DataFrame, forecast: DataFrame, cell_size: float | None
 
 
 AREAS_PER_SALT = 256
+ROW_SALTS = 16
 
 
 def forecast_by_area(forecast: DataFrame, area_cells: DataFrame, on=("geo_json",),
-                     areas_per_salt: int = AREAS_PER_SALT, partitions: int | None = None) -> DataFrame:
+                     areas_per_salt: int = AREAS_PER_SALT, row_salts: int = ROW_SALTS,
+                     partitions: int | None = None) -> DataFrame:
     """Equi-join of forecast rows to areas on the cell key.
 
     This join fans out: every forecast row of a cell is copied to every area
     inside it, so the output is (rows per cell) x (areas per cell) and both
-    inputs can be tiny next to it. Two things keep the output spread:
-
-    * a cell with many areas is salted: it gets ``ceil(n_areas /
-      areas_per_salt)`` salts, its bridge rows pick one from their area id
-      and its forecast rows are replicated once per salt (a hot cell adds a
-      few hundred small rows, not a copy of the data);
-    * both sides are hash-partitioned explicitly on (cell key, salt) into
-      ``partitions`` (default ``spark.sql.shuffle.partitions``, sized for the
-      cluster). AQE does not coalesce an explicit repartition, so output
-      parallelism follows the output size, not the small input size.
+    inputs can be tiny next to it. A cell is therefore a grid of blocks:
+
+    * by area: a cell with many areas gets ``ceil(n_areas / areas_per_salt)``
+      area salts; a bridge row picks one, a forecast row is copied to each;
+    * by row: a forecast row picks one of ``row_salts``, a bridge row is copied
+      to each, so the long history of one cell spreads as well;
+    * both sides are hash-partitioned on (cell key, salts) into ``partitions``
+      (default ``spark.sql.shuffle.partitions``, sized for the cluster), so
+      output parallelism follows the output, not the small input.
     """
     keys = list(on)
     spark = forecast.sparkSession
@@ -130,10 +131,12 @@ def forecast_by_area(forecast: DataFrame, area_cells: DataFrame, on=("geo_json",
     counts = (area_cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n_areas"))
                         .select(*keys, F.ceil(F.col("_n_areas") / F.lit(areas_per_salt)).cast("int").alias("_n_salt")))
     bridge = area_cells.join(counts, keys).select(
-        *area_cells.columns, F.pmod(F.xxhash64("area_id"), F.col("_n_salt")).cast("int").alias("_salt"))
+        *area_cells.columns, F.pmod(F.xxhash64("area_id"), F.col("_n_salt")).cast("int").alias("_salt"),
+        F.explode(F.sequence(F.lit(0), F.lit(row_salts - 1))).alias("_row_salt"))
     rows = forecast.join(counts, keys).select(
-        *forecast.columns, F.explode(F.sequence(F.lit(0), F.col("_n_salt") - 1)).alias("_salt"))
-    part = keys + ["_salt"]
+        *forecast.columns, F.explode(F.sequence(F.lit(0), F.col("_n_salt") - 1)).alias("_salt"),
+        F.pmod(F.xxhash64(*forecast.columns), F.lit(row_salts)).cast("int").alias("_row_salt"))
+    part = keys + ["_salt", "_row_salt"]
     out_cols = forecast.columns + [c for c in area_cells.columns if c not in keys]
     return rows.repartition(n, *part).join(bridge.repartition(n, *part), part, "inner").select(*out_cols)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.text import json_scalar_sql, wind_sql
+from ..sources.landing import json_mode
 
 
 def _cast_sql(expr: str, to: str, strict: bool) -> str:
@@ -15,10 +16,11 @@ def _cast_sql(expr: str, to: str, strict: bool) -> str:
     return f"{'CAST' if strict else 'TRY_CAST'}({expr} AS {to})"
 
 
-def parse_documents(raw: DataFrame) -> DataFrame:
+def parse_documents(raw: DataFrame, strict: bool = True) -> DataFrame:
     """Forecast envelopes to one row per document with the parsed struct
-    ``doc`` (a single JSON parse per document)."""
-    return raw.select("extracted_at_ts", F.from_json("data", schemas.FORECAST_DOC).alias("doc"))
+    ``doc`` (a single JSON parse per document); malformed JSON fails the job,
+    or with ``strict=False`` gives NULL fields."""
+    return raw.select("extracted_at_ts", F.from_json("data", schemas.FORECAST_DOC, json_mode(strict)).alias("doc"))
 
 
 def explode_periods(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -45,7 +47,7 @@ def stage_forecast(raw: DataFrame, strict: bool = True) -> DataFrame:
     def ts(path):
         return _cast_sql(js(path), "TIMESTAMP", strict)
 
-    per_doc = parse_documents(raw).selectExpr(
+    per_doc = parse_documents(raw, strict).selectExpr(
         "extracted_at_ts",
         f"{js('doc.properties.generatedAt')} AS generated_at",
         "doc.geometry AS geo_json",
@@ -81,7 +83,7 @@ def stage_countries(raw: DataFrame) -> DataFrame:
 def stage_areas(raw: DataFrame, strict: bool = True) -> DataFrame:
     """P1 + P2: typed area staging; lat/lng/leaf come out of the metadata
     JSON with one parse per row."""
-    parsed = raw.select("*", F.from_json(F.col("metadata"), schemas.AREA_METADATA).alias("_md"))
+    parsed = raw.select("*", F.from_json(F.col("metadata"), schemas.AREA_METADATA, json_mode(strict)).alias("_md"))
     return parsed.selectExpr(
         "uuid AS id",
         "area_name",

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.scoring import ScoreParams, climb_score, ramp
+from ..functions.text import json_scalar
 from ..operators import accuracy, checks, forecast, hierarchy, serve, snapshots, spatial, staging
 from ..session import scratch_path
 from ..sources import landing, tables
@@ -66,8 +67,8 @@ def q_load_forecast_docs(spark, sf):
     raw = landing.read_forecast_landing(spark, base, run_ts="20240101T000000")
     doc = staging.parse_documents(raw)
     p = F.col("doc.properties")
-    return doc.select("extracted_at_ts", p["generatedAt"].alias("generated_at"),
-                      p["elevation"]["value"].cast("double").alias("elevation_value"),
+    return doc.select("extracted_at_ts", json_scalar("doc.properties.generatedAt").alias("generated_at"),
+                      json_scalar("doc.properties.elevation.value").cast("double").alias("elevation_value"),
                       F.size(p["periods"]).cast("long").alias("n_periods"))
 
 
@@ -181,8 +182,8 @@ def q_area_card(spark, sf):
 def q_explode_periods(spark, sf):
     docs = staging.parse_documents(B.raw_forecast_docs(spark, sf))
     per = staging.explode_periods(docs, keep=["extracted_at_ts"])
-    return per.select("extracted_at_ts", F.col("period.startTime").alias("start_text"),
-                      F.col("period.shortForecast").alias("short_forecast"))
+    return per.select("extracted_at_ts", json_scalar("period.startTime").alias("start_text"),
+                      json_scalar("period.shortForecast").alias("short_forecast"))
 
 
 def q_stage_forecast(spark, sf):
@@ -261,13 +262,13 @@ def q_incremental_upsert(spark, sf):
     old = forecast.forecast_hourly_by_area(s.filter(F.col("extracted_at_ts") < cut), d, CELL_SIZE)
     new = forecast.forecast_hourly_by_area(s.filter(F.col("extracted_at_ts") >= cut), d, CELL_SIZE)
     day = F.to_date("start_time")
-    # the stored model is a day-partitioned table; the new run is merged in
-    stored = tables.publish(old.withColumn("start_day", day), "int_forecast_hourly_by_area", kind="table",
-                            path=scratch_path(spark, "hourly"), partition_by=["start_day"],
-                            sort_within=["area_id", "start_time"])
-    merged = snapshots.incremental_upsert(stored, new.withColumn("start_day", day), ["area_id", "start_time"],
-                                          partition_col="start_day")
-    return merged.select("area_id", "start_time", "generated_at", "temperature_value")
+    # the stored model is a day-partitioned table; the new run is merged into
+    # the days it touches, and the result is read back from the table
+    path = scratch_path(spark, "hourly")
+    tables.publish(old.withColumn("start_day", day), "int_forecast_hourly_by_area", kind="table",
+                   path=path, partition_by=["start_day"], sort_within=["area_id", "start_time"])
+    snapshots.upsert_partitions(path, new.withColumn("start_day", day), ["area_id", "start_time"], "start_day")
+    return spark.read.parquet(path).select("area_id", "start_time", "generated_at", "temperature_value")
 
 
 def _scored_stage(spark, sf, variant):
@@ -407,12 +408,17 @@ def _all_snapshots(s, areas):
 
 
 def q_stream_ingest(spark, sf):
+    """Two runs land; the later days first, so that the second ingest meets a
+    stored table and only late documents."""
     base = scratch_path(spark, "landing")
-    landing.write_landing(B.raw_forecast_docs(spark, sf), base, "nws", "ingest_nws_hourly_forecast",
-                          "20240101T000000", json_cols=["data"])
+    docs = B.raw_forecast_docs(spark, sf)
     table_path = scratch_path(spark, "stream_table")
     ckpt = scratch_path(spark, "stream_ckpt")
-    ingest.run_forecast_stream(spark, base, table_path, ckpt)
+    cut = F.lit("2024-01-16 00:00:00").cast("timestamp")
+    for run, part in (("20240102T000000", F.col("extracted_at_ts") >= cut),
+                      ("20240103T000000", F.col("extracted_at_ts") < cut)):
+        landing.write_landing(docs.where(part), base, "nws", "ingest_nws_hourly_forecast", run, json_cols=["data"])
+        ingest.run_forecast_stream(spark, base, table_path, ckpt)
     out = spark.read.parquet(table_path)
     return out.select("geo_json", "start_time", "generated_at", "temperature_value", "wind_speed_high")
 

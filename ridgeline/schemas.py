@@ -1,6 +1,7 @@
 """Declared schemas: landings are read with these (no inference), and JSON
-columns are parsed once with an explicit schema whose leaves are strings, so
-each field keeps the warehouse's ``json_value``-then-``CAST`` semantics."""
+columns are parsed once with an explicit schema whose scalar leaves are
+variants, so each field keeps its JSON type and the warehouse's
+``json_value``-then-``CAST`` semantics."""
 
 from pyspark.sql import types as T
 
@@ -19,22 +20,22 @@ REQUIRED = {
     "raw_graph_ql_countries": ["areaName"],
 }
 
-_VALUE_UNIT = "struct<value:string,unitCode:string>"
+_VALUE_UNIT = "struct<value:variant,unitCode:variant>"
 
 PERIOD = (
-    "struct<startTime:string,endTime:string,temperature:string,temperatureUnit:string,"
+    "struct<startTime:variant,endTime:variant,temperature:variant,temperatureUnit:variant,"
     f"probabilityOfPrecipitation:{_VALUE_UNIT},dewpoint:{_VALUE_UNIT},relativeHumidity:{_VALUE_UNIT},"
-    "windSpeed:string,windDirection:string,shortForecast:string>"
+    "windSpeed:variant,windDirection:variant,shortForecast:variant>"
 )
 
 # One parse of the whole forecast document. ``geometry`` is a string leaf on
 # an object, which keeps the sub-document's JSON text.
 FORECAST_DOC = (
-    "struct<geometry:string,properties:struct<generatedAt:string,validTimes:string,"
+    "struct<geometry:string,properties:struct<generatedAt:variant,validTimes:variant,"
     f"elevation:{_VALUE_UNIT},periods:array<{PERIOD}>>>"
 )
 
-AREA_METADATA = "struct<lat:string,lng:string,leaf:string>"
+AREA_METADATA = "struct<lat:variant,lng:variant,leaf:variant>"
 AREA_CHILD = "struct<area_name:string,uuid:string>"
 GRIDPOINT_RESPONSE = "struct<properties:struct<gridId:string,gridX:long,gridY:long>>"
 

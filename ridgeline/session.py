@@ -51,8 +51,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for lineage cuts and landing round trips.
 
     Reads ``spark.checkpoint.dir`` from the session (or the context's
-    checkpoint dir). Only when neither is set, as in local tests, a private
-    folder is created and registered as the checkpoint dir.
+    checkpoint dir). When neither is set, a local session (master
+    ``local[...]``, as in tests) gets a private folder; on a cluster that
+    folder would be another one on every machine, so it is refused.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
@@ -61,6 +62,9 @@ def shared_dir(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover - connect sessions
             path = None
     if not path:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
         # spark.checkpoint.dir is a core setting (read-only at runtime); the
         # context's checkpoint dir is what Dataset.checkpoint() uses
         path = tempfile.mkdtemp(prefix="ridgeline-ckpt-")
@@ -73,3 +77,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = shared_dir(spark)
     sep = "/" if "://" in base else os.sep
     return f"{base}{sep}ridgeline{sep}{name}-{uuid.uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on the file system Spark resolves it on (the
+    default one for a path without a scheme)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder; empty when it does not exist."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []

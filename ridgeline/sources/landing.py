@@ -7,6 +7,7 @@ glob, and every record can be traced to its file with ``_metadata``.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.text import iso_utc
+from ..session import child_names
 
 
 def path_glob(base: str, source: str, task: str, run_ts: str | None = None) -> str:
@@ -28,19 +30,19 @@ def _reader(spark: SparkSession, schema: str):
     return spark.read.schema(schema).option("mode", "FAILFAST")
 
 
-def _with_run(df: DataFrame, run_ts: str | None, latest_only: bool) -> DataFrame:
-    if run_ts is not None:
-        return df.filter(F.col("run_ts") == F.lit(str(run_ts)))
-    if latest_only:
-        newest = df.select(F.max("run_ts").alias("newest_run"))
-        return df.join(newest, F.col("run_ts") == F.col("newest_run"), "left_semi")
-    return df
+def latest_run(spark: SparkSession, root: str) -> str | None:
+    """The newest run below a source/task folder, from the folder names alone."""
+    runs = [n.partition("=")[2] for n in child_names(spark, root) if n.startswith("run_ts=")]
+    return max(runs, default=None)
 
 
 def _read_partitioned(spark, base, source, task, schema, run_ts=None, latest_only=False):
+    """One run's folder when a run is given or the newest is asked for, else all runs."""
     root = path_glob(base, source, task)
-    df = _reader(spark, schema + ", run_ts string").option("basePath", root).json(root)
-    return _with_run(df, run_ts, latest_only)
+    if latest_only and run_ts is None:
+        run_ts = latest_run(spark, root)
+    path = root if run_ts is None else path_glob(base, source, task, str(run_ts))
+    return _reader(spark, schema + ", run_ts string").option("basePath", root).json(path)
 
 
 def read_forecast_landing(spark: SparkSession, base: str, run_ts: str | None = None,
@@ -89,18 +91,15 @@ def to_records(df: DataFrame, json_cols: Iterable[str] = (), keep: Iterable[str]
     the source document survive the landing), NULL as ``null``. ``keep``
     columns are passed through beside ``value`` and left out of the record."""
     json_cols, keep = set(json_cols), list(keep)
-    cols, splices = [], []
-    for i, c in enumerate([c for c in df.columns if c not in keep]):
+    fields = []
+    for c in [c for c in df.columns if c not in keep]:
         if c in json_cols:
-            tag = f"@@ridgeline-json-{i}@@"
-            cols.append(F.lit(tag).alias(c))
-            splices.append((tag, c))
-        else:
-            cols.append(F.col(c))
-    text = F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
-    for tag, c in splices:
-        text = F.replace(text, F.lit(f'"{tag}"'), F.coalesce(F.col(c), F.lit("null")))
-    return df.select(*keep, text.alias("value"))
+            name = json.dumps(c, ensure_ascii=False)
+            fields.append(F.concat(F.lit(f"{name}:"), F.coalesce(F.col(c), F.lit("null"))))
+        else:  # {"c":...} without its braces
+            one = F.to_json(F.struct(F.col(c)), {"ignoreNullFields": "false"})
+            fields.append(F.substr(one, F.lit(2), F.char_length(one) - 2))
+    return df.select(*keep, F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}")).alias("value"))
 
 
 def write_landing(df: DataFrame, base: str, source: str, task: str, run_ts: str,
@@ -118,17 +117,26 @@ def write_landing(df: DataFrame, base: str, source: str, task: str, run_ts: str,
     return out
 
 
-def flatten_pages(pages: DataFrame, key: str, element_schema: str, page_col: str = "page") -> DataFrame:
+def json_mode(strict: bool) -> dict[str, str]:
+    """Parser options: malformed JSON fails the job, or becomes NULL."""
+    return {"mode": "FAILFAST" if strict else "PERMISSIVE"}
+
+
+def flatten_pages(pages: DataFrame, key: str, element_schema: str, page_col: str = "page",
+                  strict: bool = True) -> DataFrame:
     """One row per element of ``data.<key>[]`` in each API page; a
-    missing or NULL key gives no rows. ``element_schema`` is the struct's
-    DDL; JSON-valued members should be declared ``string`` to keep their text."""
-    arr = F.from_json(F.col(page_col), f"struct<data:struct<{key}:array<struct<{element_schema}>>>>")
+    missing or NULL key gives no rows, and a malformed page fails the job
+    (``strict=False``: gives none). ``element_schema`` is the struct's DDL;
+    JSON-valued members should be declared ``string`` to keep their text."""
+    arr = F.from_json(F.col(page_col), f"struct<data:struct<{key}:array<struct<{element_schema}>>>>",
+                      json_mode(strict))
     return pages.select(F.inline(F.coalesce(arr["data"][key],
                                             F.array().cast(f"array<struct<{element_schema}>>"))))
 
 
-def project_gridpoints(responses: DataFrame, id_col: str = "area_id", body_col: str = "response") -> DataFrame:
+def project_gridpoints(responses: DataFrame, id_col: str = "area_id", body_col: str = "response",
+                       strict: bool = True) -> DataFrame:
     """Point-lookup responses to ``(area_id, grid_id, grid_x, grid_y)``."""
-    p = F.from_json(F.col(body_col), schemas.GRIDPOINT_RESPONSE)["properties"]
+    p = F.from_json(F.col(body_col), schemas.GRIDPOINT_RESPONSE, json_mode(strict))["properties"]
     return responses.select(F.col(id_col).alias("area_id"), p["gridId"].alias("grid_id"),
                             p["gridX"].alias("grid_x"), p["gridY"].alias("grid_y"))

@@ -1,22 +1,20 @@
 """Structured Streaming over the append-only forecast landing (ST1-ST3).
 
 ST1: the landing folder is a file stream; each file is processed once,
-tracked by the checkpoint. ST2: a re-landed identical envelope is dropped
-within the watermark. ST3: each micro-batch is staged and merged into a
-table keeping the newest snapshot per (polygon, hour), partitioned by day.
-The merge is idempotent (newest wins, exact duplicates collapse), so a
-replayed batch after a failure leaves the same table.
+tracked by the checkpoint. ST3: each micro-batch is staged and merged into a
+table that keeps the newest snapshot per (polygon, hour), partitioned by day.
+ST2: the merge is what makes a replay safe (newest wins, equal rows collapse):
+a re-landed envelope or a repeated batch leaves the same table, and a late
+document for an hour that the table lacks is added however late it is.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators.snapshots import latest_per_key
+from ..operators.snapshots import upsert_partitions
 from ..operators.staging import stage_forecast
 from ..sources.landing import path_glob
 
@@ -24,56 +22,33 @@ KEYS = ["geo_json", "start_time"]
 
 
 def forecast_stream(spark: SparkSession, landing_base: str, source: str = "nws",
-                    task: str = "ingest_nws_hourly_forecast", watermark: str = "2 days",
+                    task: str = "ingest_nws_hourly_forecast",
                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """ST1 + ST2: streaming envelopes, replay-safe."""
+    """ST1: streaming envelopes, every file of every run once."""
     r = spark.readStream.schema(schemas.RAW_NWS + ", run_ts string")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    raw = r.json(path_glob(landing_base, source, task))
-    keyed = raw.withColumn("doc_key", F.sha2(F.col("data"), 256))
-    return (keyed.withWatermark("extracted_at_ts", watermark)
-                 .dropDuplicatesWithinWatermark(["doc_key", "extracted_at_ts"])
-                 .select("data", "extracted_at_ts"))
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path:
-        return os.path.exists(path)
-    jvm = spark._jvm  # pragma: no cover - cluster file systems
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    return r.json(path_glob(landing_base, source, task)).select("data", "extracted_at_ts")
 
 
 def upsert_batch(batch: DataFrame, table_path: str) -> None:
-    """ST3 / D6: merge one micro-batch into the newest-snapshot table.
-
-    Only the day partitions the batch touches are read and rewritten
-    (dynamic partition overwrite). The merged rows are checkpointed to the
-    shared checkpoint dir first, which cuts the read of the partitions being
-    overwritten out of the lineage."""
-    spark = batch.sparkSession
+    """ST3 / D6: merge one micro-batch into the newest-snapshot table (only
+    the days it touches are read and rewritten)."""
     staged = stage_forecast(batch).withColumn("start_day", F.to_date("start_time"))
-    newest = latest_per_key(staged, KEYS)
-    if _exists(spark, table_path):
-        days = newest.select("start_day").distinct()
-        stored = spark.read.parquet(table_path).join(days, "start_day", "left_semi")
-        merged = latest_per_key(stored.unionByName(newest), KEYS)
-    else:
-        merged = newest
-    merged = merged.checkpoint(eager=True)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("start_day").parquet(table_path))
+    upsert_partitions(table_path, staged, KEYS, "start_day")
 
 
 def run_forecast_stream(spark: SparkSession, landing_base: str, table_path: str, checkpoint_path: str,
-                        available_now: bool = True, timeout_s: int = 600):
-    """Run the ingest to completion of the files present now (or keep it
-    running when ``available_now=False``)."""
-    stream = forecast_stream(spark, landing_base)
+                        available_now: bool = True, max_files_per_trigger: int | None = None):
+    """Ingest all files present now and return when that is done, or raise
+    what stopped the stream (``available_now=False``: keep it running)."""
+    stream = forecast_stream(spark, landing_base, max_files_per_trigger=max_files_per_trigger)
     w = (stream.writeStream.foreachBatch(lambda df, _bid: upsert_batch(df, table_path))
                .option("checkpointLocation", checkpoint_path))
-    q = w.trigger(availableNow=True).start() if available_now else w.start()
-    if available_now:
-        q.awaitTermination(timeout_s)
+    if not available_now:
+        return w.start()
+    q = w.trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
     return q

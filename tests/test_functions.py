@@ -68,10 +68,12 @@ def test_normalize_article(spark):
 
 
 def test_json_scalar(spark):
-    df = spark.createDataFrame([('{"a": {"b": 1}, "c": null, "d": 5, "e": [1]}',)], "j string")
-    df = df.select(F.from_json("j", "a string, c string, d string, e string").alias("s"))
-    got = df.select(json_scalar("s.a"), json_scalar("s.c"), json_scalar("s.d"), json_scalar("s.e")).collect()[0]
-    assert tuple(got) == (None, None, "5", None)
+    df = spark.createDataFrame([('{"a": {"b": 1}, "c": null, "d": 5, "e": [1], "f": "[Patchy] fog", "g": "[1]", '
+                                 '"h": "{x}", "i": 1.5, "j": true, "k": ""}',)], "j string")
+    names = "acdefghijkm"
+    df = df.select(F.from_json("j", ", ".join(f"{n} variant" for n in names)).alias("s"))
+    got = df.select(*(json_scalar(f"s.{n}") for n in names)).collect()[0]
+    assert tuple(got) == (None, None, "5", None, "[Patchy] fog", "[1]", "{x}", "1.5", "true", "", None)
 
 
 SQUARE = '{"type":"Polygon","coordinates":[[[0,0],[2,0],[2,2],[0,2],[0,0]]]}'

@@ -6,11 +6,12 @@ queries keep their edge cases."""
 import datetime as dt
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from conftest import SF001
 from ridgeline.functions.geo import point_in_rings, rings_from_geojson
-from ridgeline.operators import checks, serve, snapshots, spatial
+from ridgeline.operators import checks, forecast, serve, snapshots, spatial, staging
 from ridgeline.plans import bindings as B
 from ridgeline.plans import catalog as C
 
@@ -249,3 +250,41 @@ def test_publish_view_and_table(spark):
     t = tables.publish(d, "dim_area_table", kind="table", path=scratch_path(spark, "dim"),
                        partition_by=["country"], sort_within=["id"])
     assert sorted(map(tuple, t.select(*d.columns).collect())) == sorted(map(tuple, d.collect()))
+
+
+def test_complete_ranking_equals_a_window(spark):
+    rng = np.random.default_rng(5)
+    wk = spark.createDataFrame([("2024-01-06", f"A{k}", float(rng.integers(0, 40)) / 10 if k % 9 else None, 0.0, 1.0, 2)
+                                for k in range(300)],
+                               "weekend string, area_id string, avg_score double, min_score double, max_score double, "
+                               "n_hours long")
+    dim = spark.createDataFrame([(f"A{k}", f"a{k}", "P" if k < 200 else None, True) for k in range(300)],
+                                "id string, area_name string, parent_id string, is_leaf boolean")
+    got = {r.area_id: r["rank"] for r in forecast.rank_weekends(wk, dim).collect()}
+    want = {r.area_id: r["rank"] for r in forecast.rank_weekends(wk, dim, top_k=10 ** 6).collect()}
+    assert got == want and len(got) == 300
+
+
+def test_fan_out_spreads_one_cell_with_a_long_history(spark):
+    rows = spark.range(20_000).selectExpr("'c' AS geo_json", "id AS start_time")
+    bridge = spark.createDataFrame([("c", f"A{k}") for k in range(3)], "geo_json string, area_id string")
+    out = spatial.forecast_by_area(rows, bridge, partitions=16)
+    assert out.count() == 60_000
+    assert out.select(F.spark_partition_id().alias("p")).distinct().count() > 8
+
+
+def test_units_of_wind_and_temperature(spark):
+    df = spark.createDataFrame([(50.0, "F", 10.0, 10.0, "mph"), (10.0, "wmoUnit:degC", 16.09344, 16.09344, "km/h"),
+                                (1.0, "K", 10.0, 10.0, "m/s"), (32.0, "F", 10.0, 10.0, "mi/h"),
+                                (0.0, "C", 5.0, 5.0, "furlong")],
+                               "temperature_value double, temperature_unit string, wind_speed_low double, "
+                               "wind_speed_high double, wind_speed_unit string")
+    got = [(round(r[0], 4), r[1], round(r[3], 4), r[4]) for r in forecast.standardize_units(df).collect()]
+    assert got == [(10.0, "C", 10.0, "mph"), (10.0, "C", 10.0, "mph"), (1.0, "K", 22.3694, "mph"),
+                   (0.0, "C", 10.0, "mph"), (0.0, "C", 5.0, "furlong")]
+
+
+def test_every_event_is_staged(spark):
+    for sf in ("/root/testdata/sf0.001", "/root/testdata/sf0.01"):
+        events = spark.read.parquet(f"{sf}/events.parquet").count()
+        assert staging.stage_forecast(B.raw_forecast_docs(spark, sf)).count() == events

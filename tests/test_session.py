@@ -17,6 +17,8 @@ class _Conf:
 
 
 class _Ctx:
+    master = "local[2]"
+
     def __init__(self, value=None):
         self.value = value
 
@@ -43,3 +45,15 @@ def test_falls_back_to_context_then_private_folder():
     s = _Session(None, None)
     path = shared_dir(s)
     assert path and s.sparkContext.getCheckpointDir() == path
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    import pytest
+    from ridgeline.session import shared_dir
+
+    spark = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: d),
+                            sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(spark)
