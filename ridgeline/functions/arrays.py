@@ -17,11 +17,6 @@ def safe_get(arr, index) -> Column:
     return F.get(_c(arr), idx)
 
 
-def last_element(arr) -> Column:
-    """Last element or NULL for an empty/NULL array."""
-    return F.try_element_at(_c(arr), F.lit(-1))
-
-
 def parent_of(ancestors) -> Column:
     """Second-from-last ancestor: the list ends with the node itself."""
     a = _c(ancestors)

@@ -105,12 +105,3 @@ def point_in_polygon(edges_col: str, bbox_col: str, rect_col: str, x: str, y: st
     strict bbox reject first, accept for axis-aligned rectangles, else the
     exact ray cast over the polygon's edges."""
     return F.expr(point_in_polygon_sql(q(edges_col), q(bbox_col), q(rect_col), q(x), q(y)))
-
-
-def square_geojson(x0, y0, size=1.0) -> Column:
-    """GeoJSON text of an axis-aligned square with lower-left (x0, y0)."""
-    x0 = (x0 if isinstance(x0, Column) else F.col(x0)).cast("double")
-    y0 = (y0 if isinstance(y0, Column) else F.col(y0)).cast("double")
-    x1, y1 = x0 + F.lit(float(size)), y0 + F.lit(float(size))
-    ring = F.array(F.array(x0, y0), F.array(x1, y0), F.array(x1, y1), F.array(x0, y1), F.array(x0, y0))
-    return F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")))

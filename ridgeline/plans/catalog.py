@@ -243,8 +243,7 @@ def q_forecast_hourly_by_area(spark, sf):
 
 
 def q_fact_hourly(spark, sf):
-    f = fact(spark, sf)
-    return f.select("area_id", "start_time", "generated_at", _r6("climb_score").alias("climb_score"))
+    return fact(spark, sf).withColumn("climb_score", _r6("climb_score"))
 
 
 def q_publish_fact(spark, sf):
@@ -373,6 +372,13 @@ def q_check_unique(spark, sf):
     return checks.check_unique_by_area(s, bridge, ["start_time"])
 
 
+def q_check_unique_fact(spark, sf):
+    """DQ4 on the fact itself, with the hours of every 50th area doubled."""
+    f = fact(spark, sf).select("area_id", "start_time")
+    twice = f.where(F.substring("area_id", 2, 20).cast("long") % 50 == 1)
+    return checks.check_unique(f.union(twice), ["area_id", "start_time"])
+
+
 # ------------------------------------------------------------- declared
 
 def _sources(spark, sf):
@@ -469,6 +475,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_not_null_by_area": q_check_not_null_by_area,
     "check_expression": q_check_expression,
     "check_unique": q_check_unique,
+    "check_unique_fact": q_check_unique_fact,
     "forecast_union": q_forecast_union,
     "stage_actuals": q_stage_actuals,
     "forecast_accuracy": q_forecast_accuracy,

@@ -9,11 +9,22 @@ window. Column names and types match :mod:`.catalog`.
 
 from __future__ import annotations
 
-from ..functions.scoring import ScoreParams
-from ..operators.serve import METRICS
+from types import SimpleNamespace
+
 from . import bindings as B
 
-P = ScoreParams()
+# Literal values, not taken from the code under test.
+P = SimpleNamespace(temp_cutoff_low=30.0, temp_ideal_low=40.0, temp_ideal_high=70.0, temp_cutoff_high=80.0,
+                    wind_cutoff=35.0, wind_low_cutoff=3.0, wind_ideal=25.0, humidity_cutoff=60.0, humidity_ideal=0.0,
+                    w_temp=0.6, w_wind=0.2, w_humid=0.2)
+METRICS = [
+    ("temperature", "nws", "temperature_value", "temperature_unit"),
+    ("wind_speed", "low", "wind_speed_low", "wind_speed_unit"),
+    ("wind_speed", "high", "wind_speed_high", "wind_speed_unit"),
+    ("precip_probability", "nws", "precipitation_probability_value", "precipitation_probability_unit"),
+    ("humidity", "nws", "relative_humidity_value", "relative_humidity_unit"),
+    ("dewpoint", "nws", "dewpoint_value", "dewpoint_unit"),
+]
 AS_OF = f"TIMESTAMP '{B.AS_OF}'"
 ISO = "'%Y-%m-%dT%H:%M:%S+00:00'"
 
@@ -313,9 +324,13 @@ ORACLE["forecast_hourly_by_area"] = _w(f"""{CTE_AREAS},
 SELECT {HOURLY_COLS} FROM hourly""")
 
 ORACLE["fact_hourly"] = _w(f"""{ctes_fact()}
+SELECT {HOURLY_COLS}, round(climb_score, 6) AS climb_score FROM fact""")
+
+ORACLE["publish_fact"] = _w(f"""{ctes_fact()}
 SELECT area_id, start_time, generated_at, round(climb_score, 6) AS climb_score FROM fact""")
 
-ORACLE["publish_fact"] = ORACLE["fact_hourly"]
+ORACLE["check_unique_fact"] = _w(f"""{ctes_fact()}
+SELECT area_id, start_time, CAST(2 AS BIGINT) AS n_rows FROM fact WHERE CAST(substr(area_id, 2) AS BIGINT) % 50 = 1""")
 
 ORACLE["incremental_upsert"] = _w(f"""{CTE_AREAS},
 {ctes_hourly()}

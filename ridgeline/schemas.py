@@ -3,8 +3,6 @@ columns are parsed once with an explicit schema whose scalar leaves are
 variants, so each field keeps its JSON type and the warehouse's
 ``json_value``-then-``CAST`` semantics."""
 
-from pyspark.sql import types as T
-
 # Landing files (newline-delimited JSON).
 RAW_NWS = "data string, extracted_at_ts timestamp"
 RAW_GRIDPOINTS = "area_id string, grid_id string, grid_x long, grid_y long"
@@ -50,11 +48,3 @@ STG_FORECAST_COLUMNS = [
 
 # Hourly forecast by area (no geometry), the fact adds climb_score.
 HOURLY_BY_AREA_COLUMNS = ["area_id"] + [c for c in STG_FORECAST_COLUMNS if c != "geo_json"]
-FACT_COLUMNS = HOURLY_BY_AREA_COLUMNS + ["climb_score"]
-
-METRIC_COLUMNS = ["elevation_value", "temperature_value", "precipitation_probability_value",
-                  "dewpoint_value", "relative_humidity_value", "wind_speed_low", "wind_speed_high"]
-
-DIM_AREA_COLUMNS = ["id", "area_name", "latitude", "longitude", "parent_id", "country", "region", "is_leaf"]
-
-SERIES_POINT = T.StructType([T.StructField("t", T.TimestampType()), T.StructField("v", T.DoubleType())])
