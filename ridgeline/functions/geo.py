@@ -29,16 +29,24 @@ def q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def rings_sql(geo_json: str) -> str:
+def parts_sql(geo_json: str) -> str:
+    """The parts (arrays of rings) of a Polygon or MultiPolygon text."""
     g = f"from_json({geo_json}, 'struct<type:string,coordinates:string>')"
-    raw = (f"CASE {g}.type WHEN 'Polygon' THEN from_json({g}.coordinates, '{RING_TYPE}') "
-           f"WHEN 'MultiPolygon' THEN flatten(from_json({g}.coordinates, 'array<{RING_TYPE}>')) END")
-    # repair: close open rings; drop rings with no interior
-    closed = (f"transform({raw}, r -> CASE WHEN size(r) = 0 OR r[0] = r[size(r) - 1] THEN r "
+    return (f"CASE {g}.type WHEN 'Polygon' THEN array(from_json({g}.coordinates, '{RING_TYPE}')) "
+            f"WHEN 'MultiPolygon' THEN from_json({g}.coordinates, 'array<{RING_TYPE}>') END")
+
+
+def repaired_sql(rings: str) -> str:
+    """Open rings closed, rings with no interior dropped."""
+    closed = (f"transform({rings}, r -> CASE WHEN size(r) = 0 OR r[0] = r[size(r) - 1] THEN r "
               f"ELSE concat(r, array(r[0])) END)")
     return f"filter({closed}, r -> size(array_distinct(r)) >= 3)"
 
 
+def rings_sql(geo_json: str) -> str:
+    return repaired_sql(f"flatten({parts_sql(geo_json)})")
+
+
 def edges_sql(rings: str) -> str:
     return ("flatten(transform(" + rings + ", ring -> transform("
             "IF(size(ring) >= 2, sequence(0, size(ring) - 2), CAST(array() AS array<int>)), "
@@ -75,10 +83,22 @@ def point_in_polygon_sql(edges: str, box: str, rect: str, x: str, y: str) -> str
 
 def rings_from_geojson(geo_json: str) -> Column:
     """Closed rings of a GeoJSON Polygon or MultiPolygon text column; rings
-    without interior are dropped; other types give NULL (no match)."""
+    without interior are dropped; other types give NULL (no match). For a
+    MultiPolygon whose parts may overlap, take its parts one by one
+    (:func:`parts_from_geojson`): the even-odd rule holds within a part."""
     return F.expr(rings_sql(q(geo_json)))
 
 
+def parts_from_geojson(geo_json: str) -> Column:
+    """The parts of a GeoJSON Polygon (one) or MultiPolygon, as raw rings."""
+    return F.expr(parts_sql(q(geo_json)))
+
+
+def repaired(rings: str) -> Column:
+    """Rings closed, those without interior dropped."""
+    return F.expr(repaired_sql(q(rings)))
+
+
 def edges(rings: str) -> Column:
     """All edges of all rings as ``struct(x1, y1, x2, y2)``."""
     return F.expr(edges_sql(q(rings)))

@@ -13,12 +13,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import bbox, edges, is_axis_rectangle, point_in_polygon, point_in_rings, rings_from_geojson
+from ..functions.geo import (bbox, edges, is_axis_rectangle, parts_from_geojson, point_in_polygon, point_in_rings,
+                             repaired, rings_from_geojson)
 
 
 def polygons_from_geojson(df: DataFrame, geo_col: str = "geo_json", distinct: bool = True,
                           keep: tuple[str, ...] = ()) -> DataFrame:
-    """Distinct GeoJSON polygons with parsed rings, bbox and rectangle flag.
+    """Distinct GeoJSON polygons with parsed rings, bbox and rectangle flag,
+    one row per part of a MultiPolygon.
 
     ``distinct`` dedups the text first (a partial hash aggregate: each map
     task ships one row per distinct polygon), so rings are parsed once per
@@ -27,7 +29,9 @@ def polygons_from_geojson(df: DataFrame, geo_col: str = "geo_json", distinct: bo
     src = df.select(geo_col, *keep).filter(F.col(geo_col).isNotNull())
     if distinct:
         src = src.distinct()
-    parsed = src.select("*", rings_from_geojson(geo_col).alias("rings")).filter(F.size("rings") > 0)
+    # a row per part: a point is inside when it is inside any part
+    parts = src.select("*", F.explode(parts_from_geojson(geo_col)).alias("part"))
+    parsed = parts.select("*", repaired("part").alias("rings")).drop("part").filter(F.size("rings") > 0)
     return parsed.select("*", edges("rings").alias("edges"), bbox("rings").alias("bbox"),
                          is_axis_rectangle("rings").alias("is_rect"))
 
@@ -93,7 +97,7 @@ def assign_cells(areas: DataFrame, cells: DataFrame, cell_size: float | None = N
     grid_y, geo_json``. Returns ``area_id, grid_id, grid_x, grid_y``."""
     polys = polygons_from_geojson(cells, distinct=False, keep=("grid_id", "grid_x", "grid_y"))
     pts = areas.select(F.col("id").alias("area_id"), "latitude", "longitude")
-    return spatial_join(pts, polys, cell_size=cell_size).select("area_id", "grid_id", "grid_x", "grid_y")
+    return spatial_join(pts, polys, cell_size=cell_size).select("area_id", "grid_id", "grid_x", "grid_y").distinct()
 
 
 def area_polygons(areas: DataFrame, forecast: DataFrame, cell_size: float | None = None) -> DataFrame:
@@ -101,7 +105,8 @@ def area_polygons(areas: DataFrame, forecast: DataFrame, cell_size: float | None
     area (containment evaluated once per area and distinct polygon)."""
     polys = polygons_from_geojson(forecast, "geo_json", distinct=True)
     pts = areas.select(F.col("id").alias("area_id"), "latitude", "longitude")
-    return spatial_join(pts, polys, cell_size=cell_size).select("area_id", "geo_json")
+    # parts may overlap: one row per area and polygon
+    return spatial_join(pts, polys, cell_size=cell_size).select("area_id", "geo_json").distinct()
 
 
 AREAS_PER_SALT = 256

@@ -288,3 +288,14 @@ def test_every_event_is_staged(spark):
     for sf in ("/root/testdata/sf0.001", "/root/testdata/sf0.01"):
         events = spark.read.parquet(f"{sf}/events.parquet").count()
         assert staging.stage_forecast(B.raw_forecast_docs(spark, sf)).count() == events
+
+
+def test_overlapping_parts_are_a_union(spark):
+    geo = ('{"type":"MultiPolygon","coordinates":[[[[0,0],[3,0],[3,3],[0,3],[0,0]]],'
+           '[[[2,2],[5,2],[5,5],[2,5],[2,2]],[[3.5,3.5],[4.5,3.5],[4.5,4.5],[3.5,4.5],[3.5,3.5]]]]}')
+    cells = spark.createDataFrame([(geo,)], "geo_json string")
+    points = [(1.0, 1.0, True), (2.5, 2.5, True), (4.0, 4.0, False), (4.75, 4.75, True), (4.0, 1.0, False)]
+    areas = spark.createDataFrame([(f"A{k}", y, x) for k, (x, y, _) in enumerate(points)],
+                                  "id string, latitude double, longitude double")
+    got = sorted(r.area_id for r in spatial.area_polygons(areas, cells).collect())
+    assert got == [f"A{k}" for k, p in enumerate(points) if p[2]]
