@@ -18,9 +18,9 @@ shipped once. Within a block of a group:
 
 A group larger than a block is split over blocks; the same argument applied to
 the leaders of different blocks says which of their members still have to
-meet. The order of shingles puts the most frequent ones last; frequencies are
-counted over all documents, and the list of frequent ones is bounded, because
-the threshold grows with the total.
+meet. The order of shingles goes by frequency, counted over all documents in
+hash cells; the number of cells is bounded, so the table of their sizes is
+broadcast. Any one order is right: cells shared by chance only make it coarser.
 """
 
 from __future__ import annotations
@@ -36,19 +36,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.llm.common import bound_batches, kept_table, located, map_batches
-from ridgeline.llm.components import components
+from ridgeline.llm.components import components, spanning_edges
 from ridgeline.llm.shingles import mix, shingle_sets
 
-# At most this many shingles are told apart as frequent (4 bytes each are
-# broadcast); with fewer shingles in all, those in at least FREQUENT sets.
-FREQUENT_LIST = 1 << 20
-FREQUENT = 64
+# Shingles are counted in at most 2 ** CELL_BITS cells of one byte each.
+CELL_BITS = 26
 # Shingles a task gathers before it writes them out, sorted, per bucket.
 FLUSH = 4_000_000
 # Shingles per bucket of a shuffle, and per block of the search.
 BUCKET = 2_000_000
 BLOCK = 600_000
 
+# Prefixes are tried again on the nodes that are left while they become fewer than this share.
+SHRINK = 0.8
+
 EPS = 1e-9
 
 
@@ -115,12 +116,11 @@ def profiles(rows: DataFrame) -> DataFrame:
                        "n_shingles long, node long")
 
 
-def frequent_shingles(rows: DataFrame, total: int) -> np.ndarray:
-    """The top 32 bits of the hashes that are in the most sets, sorted. Only
-    the order of shingles depends on it, so values that share these bits are
-    counted together."""
-    least = max(FREQUENT, -(-total // FREQUENT_LIST))
+def frequency_classes(rows: DataFrame, total: int) -> np.ndarray:
+    """Per cell, which is the top bits of a shingle's hash, the class of the
+    number of shingles counted in it: exact to 8, then by quarter powers of 2."""
     bits = _bits(total)
+    cells = max(bits, min(CELL_BITS, (2 * total).bit_length()))
 
     def spill(parts: list[np.ndarray]) -> pa.RecordBatch:
         high = np.sort(np.concatenate(parts))
@@ -141,40 +141,47 @@ def frequent_shingles(rows: DataFrame, total: int) -> np.ndarray:
             yield spill(parts)
 
     def count(key, t):
-        high = np.sort(np.concatenate([_unzip(d, n, np.uint32) for d, n in
-                                       zip(t.column("data").to_pylist(), t.column("n").to_pylist())]))
-        at = np.flatnonzero(np.concatenate(([True], high[1:] != high[:-1])))
-        often = np.diff(np.append(at, len(high))) >= least
-        return pa.table({"high": pa.array(high[at[often]].astype(np.int64), pa.int64())})
+        counts = np.zeros(1 << (cells - bits), np.int64)
+        for data, n in zip(t.column("data").to_pylist(), t.column("n").to_pylist()):
+            at = (_unzip(data, n, np.uint32) >> np.uint32(32 - cells)) & np.uint32(len(counts) - 1)
+            counts += np.bincount(at, minlength=len(counts))
+        classes = np.where(counts <= 8, counts, 8 + 4 * (np.log2(np.maximum(counts, 8)) - 3)).astype(np.uint8)
+        return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "data": pa.array(
+            [pa.compress(classes.tobytes(), codec="zstd", asbytes=True)], pa.binary())})
 
     counted = (map_batches(rows.select("text"), gather, "bucket int, n long, data binary")
-               .groupBy("bucket").applyInArrow(count, "high long"))
-    return np.sort(np.array([r[0] for r in counted.collect()], np.int64)).astype(np.uint32)
+               .groupBy("bucket").applyInArrow(count, "bucket int, data binary"))
+    out = np.zeros(1 << cells, np.uint8)
+    width = 1 << (cells - bits)
+    for r in counted.toLocalIterator():
+        out[r.bucket * width:(r.bucket + 1) * width] = np.frombuffer(
+            pa.decompress(r.data, width, codec="zstd", asbytes=True), np.uint8)
+    return out
 
 
-def prefix_edges(rows: DataFrame, total: int, frequent: np.ndarray, link: Link) -> DataFrame:
+def prefix_edges(rows: DataFrame, total: int, classes: np.ndarray, link: Link) -> DataFrame:
     """Edges (a, b) that connect the nodes which share a prefix shingle: per
     shingle a star, first within a task, then between the tasks' centres."""
     bits = _bits(total * (100 - link.percent) // 100)
-    often = rows.sparkSession.sparkContext.broadcast(frequent)
+    shared = rows.sparkSession.sparkContext.broadcast(classes)
+    shift = np.uint64(64 - (len(classes).bit_length() - 1))
 
-    def stars(tokens: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """First rows of each token, and the distinct edges from the others to them."""
+    def stars(tokens: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """First rows of each token, and edges that connect the nodes of each:
+        from every node to the smallest one it is connected to."""
         order = np.lexsort((nodes, tokens))
         tokens, nodes = tokens[order], nodes[order]
         first = np.concatenate(([True], tokens[1:] != tokens[:-1]))
         centre = nodes[np.flatnonzero(first)[np.cumsum(first) - 1]]
         other = nodes != centre
-        edges = np.unique(np.stack([nodes[other], centre[other]], 1), axis=0) if other.any() else \
-            np.empty((0, 2), np.int64)
-        return tokens[first], nodes[first], edges
+        return tokens[first], nodes[first], *spanning_edges(nodes[other], centre[other])
 
     def spill(tokens: list[np.ndarray], nodes: list[np.ndarray]) -> pa.RecordBatch:
-        tokens, nodes, edges = stars(np.concatenate(tokens), np.concatenate(nodes))
+        tokens, nodes, a, b = stars(np.concatenate(tokens), np.concatenate(nodes))
         high = (tokens >> np.uint64(32)).astype(np.uint32)
         found = [(k, hi - lo, _zip(tokens[lo:hi]), nodes[lo:hi].tobytes()) for k, lo, hi in _by_bucket(high, bits)]
-        if len(edges):  # edges are done; bucket -1 - k only spreads them
-            found.append((-1 - int(edges[0, 0]) % (1 << bits), len(edges), edges[:, 0].tobytes(), edges[:, 1].tobytes()))
+        if len(a):  # edges are done; bucket -1 - k only spreads them
+            found.append((-1 - int(a[0]) % (1 << bits), len(a), a.tobytes(), b.tobytes()))
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found), (
             pa.int32(), pa.int64(), pa.binary(), pa.binary()))], ["bucket", "n", "tokens", "nodes"])
 
@@ -189,12 +196,8 @@ def prefix_edges(rows: DataFrame, total: int, frequent: np.ndarray, link: Link)
                     continue
                 seen.add(node)
                 need = link.prefix(len(own))
-                high = (own >> np.uint64(32)).astype(np.uint32)
-                if len(often.value):
-                    late = often.value[np.minimum(np.searchsorted(often.value, high), len(often.value) - 1)] == high
-                    picked = np.concatenate((own[~late][:need], own[late][:max(0, need - int((~late).sum()))]))
-                else:
-                    picked = own[:need]
+                order = np.lexsort((own, shared.value[own >> shift]))
+                picked = own[order[:need]]
                 tokens.append(picked)
                 nodes.append(np.full(len(picked), node, np.int64))
                 held += len(picked)
@@ -210,8 +213,7 @@ def prefix_edges(rows: DataFrame, total: int, frequent: np.ndarray, link: Link)
         if key[0].as_py() < 0:
             a, b = np.concatenate([np.frombuffer(x, np.int64) for x in tokens]), nodes
         else:
-            _, _, edges = stars(np.concatenate([_unzip(x, k, np.uint64) for x, k in zip(tokens, n)]), nodes)
-            a, b = edges[:, 0], edges[:, 1]
+            _, _, a, b = stars(np.concatenate([_unzip(x, k, np.uint64) for x, k in zip(tokens, n)]), nodes)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return (map_batches(rows.select("text"), gather, "bucket int, n long, tokens binary, nodes binary")
@@ -422,15 +424,25 @@ def members_that_link(pairs: DataFrame, local: DataFrame, texts: DataFrame, link
 
 def linked_nodes(rows: DataFrame, prof: DataFrame, link: Link) -> DataFrame:
     """(node, label): the component of every node that may link at all."""
-    total = prof.agg(F.sum("n_shingles")).first()[0] or 0
-    frequent = frequent_shingles(rows, total)
-    edges = kept_table(prefix_edges(rows, total, frequent, link), "jaccard-prefixes")
-    groups = components(edges)
     one = (prof.where("node is not null").groupBy("node")
            .agg(F.min(F.struct("file", "row")).alias("at"), F.max("n_shingles").alias("n")))
-    cand = kept_table(groups.join(one, "node").select("node", "label", "n", "at.file", "at.row"), "jaccard-nodes")
-    cand = kept_table(_placed(cand), "jaccard-blocks")
-    texts = rows.select("file", "row", "text").join(cand, ["file", "row"])
+    texts, count, total = rows, None, prof.agg(F.sum("n_shingles")).first()[0] or 0
+    while True:
+        edges = kept_table(prefix_edges(texts, total, frequency_classes(texts, total), link), "jaccard-prefixes")
+        groups = components(edges)
+        if count is None:
+            cand = groups.join(one, "node").select("node", "n", "at.file", "at.row")
+            texts = rows.select("file", "row", "text").join(cand, ["file", "row"]).select("node", "n", "text")
+        else:
+            texts = texts.join(groups.select("node"), "node")
+        # nodes that link are all among these, so frequencies may be counted
+        # again over them alone: a sharper order, smaller groups
+        texts = kept_table(texts, "jaccard-texts")
+        before, (count, total) = count, texts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+        if not count or before is not None and count > SHRINK * before:
+            break
+    cand = kept_table(_placed(texts.select("node", "n").join(groups, "node")), "jaccard-blocks")
+    texts = texts.drop("n").join(cand, "node")
     local = kept_table(search_blocks(texts.select("block", "label", "split", "node", "text"), link), "jaccard-local")
     found = local.select("node", F.col("comp").alias("label"))
     if cand.where("split").isEmpty():

@@ -80,7 +80,7 @@ def test_jaccard_components_of_chains(spark, monkeypatch, seed, block):
     """Documents that drift step by step, so links run through members and
     across blocks, and many pairs lie close to the threshold."""
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
-    monkeypatch.setattr(jaccard_join, "FREQUENT", 5)
+    monkeypatch.setattr(jaccard_join, "CELL_BITS", 8)
     rng = random.Random(seed)
     rows = []
     for family in range(4):
