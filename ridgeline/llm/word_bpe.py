@@ -168,7 +168,7 @@ class TrieCodec:
         """The ids of distinct chunks; only words not met lately are walked."""
         parts = {c: self._parts(c) for c in chunks}
         get = self.coded.get
-        coded = {w: self.marks.get(w) or get(w) for p in parts.values() for w in p}
+        coded = {w: self.marks.get(w) or get(w) for w in set().union(*parts.values())}
         gc.disable()  # a trie is many small dicts without cycles
         try:
             fresh = self.walk({w for w, v in coded.items() if v is None})
@@ -184,7 +184,7 @@ class TrieCodec:
         """The ids of each text as little-endian uint32."""
         split = [CHUNKS.split(t) for t in texts]
         get = self.memo.get
-        known = {c: get(c) for s in split for c in s}
+        known = {c: get(c) for c in set().union(*split)}
         for c, v in self.learn([c for c, v in known.items() if v is None]).items():
             known[c] = v
             if len(c) <= MEMO_CHARS:
