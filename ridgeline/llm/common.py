@@ -42,7 +42,8 @@ def held_out(doc_id: Column) -> Column:
 
 def ship_package(spark: SparkSession) -> None:
     """Give the executors' Python workers this package, once per context
-    (they may have no copy of the repository)."""
+    (they may have no copy of the repository). The archive lies on the driver,
+    which serves it to the executors; nothing else reads it."""
     sc = spark.sparkContext
     if getattr(sc, "_ridgeline_shipped", False):
         return
