@@ -89,9 +89,9 @@ def decisions(docs: DataFrame, digest: Callable[[Column], Column] = sha256, land
                         "dedup-bytes")
     is_keeper = (F.col("file") == F.col("keep.file")) & (F.col("row") == F.col("keep.row"))
     keepers = found.where(is_keeper).select("digest", F.col("content").alias("keeper_content"))
+    # written before it is reduced, so that the join can split a hot digest
     differ = kept_table(found.where(~is_keeper).join(keepers, "digest")
-                         .where(F.col("content") != F.col("keeper_content")).select("digest").distinct(),
-                         "dedup-differ")
+                        .where(F.col("content") != F.col("keeper_content")).select("digest"), "dedup-differ").distinct()
     names = ["doc_id", "file", "row", "digest", "keep", "n"]
     if not differ.isEmpty():  # one digest, several texts: these groups form by their bytes
         mixed = found.join(differ, "digest", "left_semi")
