@@ -342,7 +342,7 @@ def _placed(cand: DataFrame) -> DataFrame:
         .otherwise(F.pmod(F.xxhash64("label"), F.lit(bins))).alias("block"))
 
 
-def search_blocks(blocks: DataFrame, link: Link) -> DataFrame:
+def search_blocks(blocks: DataFrame, n_blocks: int, link: Link) -> DataFrame:
     """(block, label, split, node, text) -> label, block, node, comp, leader,
     away, and for the leaders of split groups their shingles."""
     def search(key, t):
@@ -358,14 +358,19 @@ def search_blocks(blocks: DataFrame, link: Link) -> DataFrame:
             "tokens": pa.array([s.tobytes() if x == i and many else None for i, (s, x, many) in
                                 enumerate(zip(sets, leader, split))], pa.binary())})
 
-    return blocks.groupBy("block").applyInArrow(
+    # a search takes far longer than its bytes suggest: one task per block,
+    # not as many blocks as make up a task's usual size
+    spread = max(n_blocks, int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return blocks.repartition(spread, "block").groupBy("block").applyInArrow(
         search, "label long, block long, node long, comp long, leader long, away double, tokens binary")
 
 
 def leaders_that_meet(local: DataFrame, link: Link) -> DataFrame:
-    """Pairs (a, b, linked) of leaders of one group from different blocks that
-    link, or whose members may (not linked): closer than the link distance and
-    both radii. Compared in pairs of chunks of at most about BLOCK shingles."""
+    """Pairs (a, b, linked, from_a, from_b) of leaders of one group from
+    different blocks that link, or whose members may (not linked): closer than
+    the link distance and both radii. Only members at least from_a (from_b)
+    away from their leader can link across. Compared in pairs of chunks of at
+    most about BLOCK shingles."""
     radius = local.groupBy("leader").agg(F.max("away").alias("radius"))
     lead = local.where("tokens is not null").drop("leader", "away", "comp").join(
         radius.withColumnRenamed("leader", "node"), "node")
@@ -379,7 +384,7 @@ def leaders_that_meet(local: DataFrame, link: Link) -> DataFrame:
         nodes, blocks, radii = (t.column(c).to_pylist() for c in ("node", "block", "radius"))
         sets = [np.frombuffer(x, np.uint64).tolist() for x in t.column("tokens").to_pylist()]
         index, widest = Lists(), max(radii)
-        out: list[tuple[int, int, bool]] = []
+        out: list[tuple[int, int, bool, float, float]] = []
         for i, own in enumerate(sets):
             reach = link.distance + radii[i] + widest
             least = max(1, int(np.ceil((1 - reach) * len(own) - 1e-6)))
@@ -388,19 +393,27 @@ def leaders_that_meet(local: DataFrame, link: Link) -> DataFrame:
                     continue
                 d = 1 - common / (len(own) + len(sets[k]) - common)
                 if d <= link.distance + radii[i] + radii[k] + EPS:
-                    out.append((nodes[i], nodes[k], link.holds(common, len(own), len(sets[k]))))
+                    a, b = (i, k) if nodes[i] < nodes[k] else (k, i)
+                    out.append((nodes[a], nodes[b], link.holds(common, len(own), len(sets[k])),
+                                d - link.distance - radii[b] - EPS, d - link.distance - radii[a] - EPS))
             index.add(own)
         return pa.table({"a": pa.array([x[0] for x in out], pa.int64()), "b": pa.array([x[1] for x in out], pa.int64()),
-                         "linked": pa.array([x[2] for x in out], pa.bool_())})
+                         "linked": pa.array([x[2] for x in out], pa.bool_()),
+                         "from_a": pa.array([x[3] for x in out], pa.float64()),
+                         "from_b": pa.array([x[4] for x in out], pa.float64())})
 
-    return pairs.groupBy("label", "i", "j").applyInArrow(meet, "a long, b long, linked boolean").distinct()
+    found = pairs.groupBy("label", "i", "j").applyInArrow(
+        meet, "a long, b long, linked boolean, from_a double, from_b double")
+    return found.groupBy("a", "b").agg(F.max("linked").alias("linked"), F.min("from_a").alias("from_a"),
+                                       F.min("from_b").alias("from_b"))
 
 
 def members_that_link(pairs: DataFrame, local: DataFrame, texts: DataFrame, link: Link) -> DataFrame:
     """One edge (a, b) per pair of leaders (a, b) whose members link."""
-    sides = [pairs.select("a", "b", F.col(side).alias("leader"), F.lit(side == "a").alias("first"))
-             for side in ("a", "b")]
-    found = sides[0].union(sides[1]).join(local.select("leader", "node"), "leader").join(
+    sides = [pairs.select("a", "b", F.col(side).alias("leader"), F.lit(side == "a").alias("first"),
+                          F.col(f"from_{side}").alias("least")) for side in ("a", "b")]
+    members = sides[0].union(sides[1]).join(local.select("leader", "node", "away"), "leader").where("away >= least")
+    found = members.join(
         texts.select("node", "text"), "node").select("a", "b", "first", "node", "text")
 
     def meet(key, t):
@@ -443,7 +456,9 @@ def linked_nodes(rows: DataFrame, prof: DataFrame, link: Link) -> DataFrame:
             break
     cand = kept_table(_placed(texts.select("node", "n").join(groups, "node")), "jaccard-blocks")
     texts = texts.drop("n").join(cand, "node")
-    local = kept_table(search_blocks(texts.select("block", "label", "split", "node", "text"), link), "jaccard-local")
+    n_blocks = cand.select("block").distinct().count()
+    local = kept_table(search_blocks(texts.select("block", "label", "split", "node", "text"), n_blocks, link),
+                       "jaccard-local")
     found = local.select("node", F.col("comp").alias("label"))
     if cand.where("split").isEmpty():
         return found
@@ -453,10 +468,11 @@ def linked_nodes(rows: DataFrame, prof: DataFrame, link: Link) -> DataFrame:
         pairs.where("linked").select("a", "b"))
     found = components(edges.where("a <> b"))
     open_pairs = kept_table(
-        pairs.where("not linked").select("a", "b")
+        pairs.where("not linked")
         .join(found.select(F.col("node").alias("a"), F.col("label").alias("of_a")), "a", "left")
         .join(found.select(F.col("node").alias("b"), F.col("label").alias("of_b")), "b", "left")
-        .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b"), "jaccard-open")
+        .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b", "from_a", "from_b"),
+        "jaccard-open")
     if open_pairs.isEmpty():
         return found
     more = kept_table(members_that_link(open_pairs, local, texts, link), "jaccard-members")
@@ -487,7 +503,8 @@ def classes(prof: DataFrame, found: DataFrame) -> DataFrame:
     """The profiles with component_id."""
     named = (prof.where("node is not null").join(found, "node", "left")
              .withColumn("label", F.coalesce("label", "node")))
-    smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    # written, so that the join can split a hot label
+    smallest = kept_table(named.groupBy("label").agg(F.min("doc_id").alias("component_id")), "jaccard-smallest")
     cols = ["doc_id", "file", "row", "n_shingles", "component_id"]
     return named.join(smallest, "label").select(cols).union(
         prof.where("node is null").withColumn("component_id", F.col("doc_id")).select(cols))
@@ -503,7 +520,8 @@ def one_per_component(docs: DataFrame, percent: int = 80) -> DataFrame:
     prof = kept_table(profiles(plain), "jaccard-profiles")
     named = (prof.where("node is not null").join(linked_nodes(plain, prof, Link(percent)), "node", "left")
              .withColumn("label", F.coalesce("label", "node")))
-    first = named.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "file", "row")).alias("first"))
+    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "file", "row")).alias("first")
+    first = kept_table(named.groupBy("label").agg(best), "jaccard-first")
     dropped = (named.join(first, "label")
                .where((F.col("file") != F.col("first.file")) | (F.col("row") != F.col("first.row")))
                .select(F.col("file").alias("near_file"), F.col("row").alias("near_row")))
