@@ -77,6 +77,29 @@ def test_byte_ids_are_the_library(texts):
         assert (memoryview(ids).cast("I").tolist() if ids else []) == tok.encode(t, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", [
+    " " * 1_500_000, "\n" * 1_500_000, "a" + "\u3000 " * 600_000 + "b <|endoftext|> c", "a" + " " * 99_999 + "b",
+    " " * 100_000 + "b"])
+def test_long_runs_of_blanks_are_the_library(text):
+    from tokenizers import Tokenizer
+    ids = packing.load(None).ids(text)
+    want = Tokenizer.from_file(P.path(packing.MODEL)).encode(text, add_special_tokens=False).ids
+    assert memoryview(ids).cast("I").tolist() == want
+
+
+def test_long_runs_of_blanks_are_packed(spark):
+    texts = [" " * 1_500_000, "\n" * 1_500_000, "a b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lengths = {r.doc_id: r.n for r in packing.pack(df).groupBy("doc_id").agg({"length": "sum"}).toDF("doc_id", "n").collect()}
+    assert lengths == {i: len(packing.load(None).ids(t)) // 4 + 1 for i, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("at", [0, 1, 7, 99_999])
+def test_long_blanks_are_seen_wherever_they_lie(at):
+    for n in (99_999, 100_000, 100_001):
+        assert packing.has_long_blanks("x" * at + " " * n + "x") == (n >= 100_000)
+
+
 @pytest.mark.parametrize("group", [20_000, 7])
 def test_packing_is_whole_and_gapless(spark, monkeypatch, group):
     monkeypatch.setattr(packing, "GROUP_PIECES", group)
