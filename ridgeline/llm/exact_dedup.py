@@ -13,7 +13,9 @@ its shuffle and split by the skew join after it.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,10 +62,29 @@ def update_index(spark: SparkSession, landing: str, state: str) -> DataFrame:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def stored_contents(records: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
+    """``records`` (file, row, digest) of earlier calls with their content, read
+    from the files that their locators name. A content that is gone or no
+    longer has its digest fails the query."""
+    # one path per file of the landed tables, as it is read: locators are
+    # URL-encoded, and names are no patterns
+    files = [re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(r.file)) for r in records.select("file").distinct().toLocalIterator()]
+    if not files:
+        return records.withColumn("content", F.lit(""))
+    texts = (records.sparkSession.read.schema("text string").parquet(*files)
+             .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"),
+                     squeeze(F.coalesce("text", F.lit(""))).alias("content")))
+    changed = F.concat(F.lit("content of an earlier row is gone or changed: "), "file", F.lit(" row "), "row")
+    return records.join(texts, ["file", "row"], "left").withColumn(
+        "content", F.when(digest(F.col("content")) == F.col("digest"), F.col("content"))
+        .otherwise(F.raise_error(changed).cast("string")))
+
+
 def decisions(docs: DataFrame, digest: Callable[[Column], Column] = sha256, landing: str | None = None,
               state: str | None = None) -> DataFrame:
-    """One row per row of ``docs``, which has its locator: doc_id, file, row,
-    keep_id, group_size, kept, text_sha256.
+    """One row per row of ``docs``, which has its locator, and per row of earlier
+    calls with the same folders: doc_id, file, row, keep_id, group_size, kept,
+    text_sha256.
 
     Texts are equal when identical without the characters of
     ``[\\x20\\x09-\\x0D]``; null counts as empty. Of equal texts the row with
@@ -71,9 +92,11 @@ def decisions(docs: DataFrame, digest: Callable[[Column], Column] = sha256, land
     rows that tie in all this, repeated rows included, the first by locator.
     An empty table gives an empty result. ``landing`` and ``state`` name
     folders to keep between calls (a call adds the rows it is given to what
-    they hold); by default each call has its own.
+    they hold); by default each call has its own. Earlier rows are compared by
+    the texts in the Parquet files of their locators, which have to stay.
     """
     spark = docs.sparkSession
+    kept_landing = landing is not None
     landing = landing or scratch_path(spark, "dedup-records")
     state = state or scratch_path(spark, "dedup-state")
     plain = F.coalesce("text", F.lit(""))
@@ -85,8 +108,12 @@ def decisions(docs: DataFrame, digest: Callable[[Column], Column] = sha256, land
     claimed = kept_table(spark.read.parquet(landing).join(index, "digest", "left"), "dedup-claims")
 
     # every claimed copy against its keeper, byte for byte
-    found = kept_table(content.select("file", "row", "content").join(claimed.where("n > 1"), ["file", "row"]),
-                        "dedup-bytes")
+    texts = content.select("file", "row", "content")
+    if kept_landing:
+        earlier = kept_table(claimed.where("n > 1").select("file", "row", "digest").distinct()
+                             .join(content.select("file", "row"), ["file", "row"], "left_anti"), "dedup-earlier")
+        texts = texts.union(stored_contents(earlier, digest).select(texts.columns))
+    found = kept_table(texts.join(claimed.where("n > 1"), ["file", "row"]), "dedup-bytes")
     is_keeper = (F.col("file") == F.col("keep.file")) & (F.col("row") == F.col("keep.row"))
     keepers = found.where(is_keeper).select("digest", F.col("content").alias("keeper_content"))
     # written before it is reduced, so that the join can split a hot digest

@@ -63,6 +63,38 @@ def test_state_outlives_a_call(spark, tmp_path):
     assert both.count() == 4
 
 
+@pytest.mark.parametrize("weak", [False, True])
+def test_decisions_of_two_calls_are_those_of_one(spark, tmp_path, weak):
+    """Copies and false hits whose keepers came in an earlier call."""
+    digest = (lambda c: F.unhex(F.concat(F.lit("0"), F.substring(F.sha2(c, 256), 1, 1)))) if weak else exact_dedup.sha256
+    landing, state = str(tmp_path / "records"), str(tmp_path / "state")
+    rows = [r[:2] for r in AWKWARD] + [(300, "some text"), (301, "so me text ")]
+    rng = random.Random(3)
+    rng.shuffle(rows)
+    for part in (rows[::2], rows[1::2]):
+        df = located(spark.createDataFrame(part, "doc_id long, text string"))
+        got = exact_dedup.decisions(df, digest, landing, state)
+    got = got.collect()
+    assert sorted(key((r.doc_id, r.keep_id, r.group_size)) for r in got) == _decided(rows)
+    assert sum(r.kept for r in got) == len({BLANK.sub("", t or "") for _, t in rows})
+
+
+def test_changed_texts_of_earlier_calls_are_noticed(spark, tmp_path):
+    folders, docs = (str(tmp_path / "records"), str(tmp_path / "state")), str(tmp_path / "a b[1]")
+    spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string").coalesce(1).write.parquet(docs)
+    whole = spark.read.schema("doc_id long, text string").parquet(docs.replace("[", "\\[").replace("]", "\\]"))
+    other = spark.createDataFrame([(3, "ab")], "doc_id long, text string")
+    exact_dedup.decisions(located(whole), exact_dedup.sha256, *folders)
+    got = exact_dedup.decisions(located(other), exact_dedup.sha256, *folders)
+    assert sorted((r.doc_id, r.keep_id, r.kept) for r in got.collect()) == [(1, 1, True), (2, 2, True), (3, 1, False)]
+    upper = located(whole).withColumn("text", F.upper("text"))
+    folders = (str(tmp_path / "records2"), str(tmp_path / "state2"))
+    exact_dedup.decisions(upper, exact_dedup.sha256, *folders)
+    again = spark.createDataFrame([(4, "AB")], "doc_id long, text string")
+    with pytest.raises(Exception, match="gone or changed"):
+        exact_dedup.decisions(located(again), exact_dedup.sha256, *folders).collect()
+
+
 def _got(df):
     return sorted(key(r) for r in df.collect())
 
