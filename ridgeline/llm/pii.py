@@ -258,6 +258,13 @@ class Crf:
         self.rows: dict[tuple[str, ...], int] = {}
         self.tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
+    def digest(self) -> bytes:
+        """Names the model by its features and weights."""
+        h = hashlib.sha256(repr(sorted(self.index.items())).encode())
+        for weights in (self.own, self.prev, self.next, self.trans, self.start):
+            h.update(weights.tobytes())
+        return h.digest()
+
     def incidence(self, types: list[tuple[str, ...]]) -> np.ndarray:
         x = np.zeros((len(types), len(self.index) + 1))
         x[:, -1] = 1
@@ -489,14 +496,16 @@ def trained() -> Crf:
     return train(_parsed(LABELLED))
 
 
-_finders: dict[int, Finder] = {}
+_finders: dict[bytes, Finder] = {}
 
 
 def _finder(model: Crf) -> Finder:
-    """One finder, with its memos, per worker process."""
-    if "own" not in _finders:
-        _finders["own"] = Finder(model)
-    return _finders["own"]
+    """One finder, with its memos, per worker process: that of the last model."""
+    key = model.digest()
+    if key not in _finders:
+        _finders.clear()
+        _finders[key] = Finder(model)
+    return _finders[key]
 
 
 def personal_data(docs: DataFrame, model: Crf | None = None) -> DataFrame:

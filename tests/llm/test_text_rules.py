@@ -144,6 +144,19 @@ def test_personal_data_of_awkward_rows(spark):
     assert by_id[4].spans == "" and pii.personal_data(empty(spark)).count() == 0
 
 
+def test_a_worker_keeps_the_finder_of_the_model_it_is_given(spark):
+    import pickle
+    model, blank = pii.trained(), pii.Crf([])  # the blank one adds nothing
+    own = pii._finder(model)
+    assert pii._finder(pickle.loads(pickle.dumps(model))) is own
+    assert pii._finder(blank).model is blank and len(pii._finders) == 1
+    df = spark.createDataFrame([(1, "password=e3b3ed3cc8548923d6 mail a@b.org")], "doc_id long, text string")
+    df = df.coalesce(1)
+    for m, added in ((model, 1), (blank, 0), (model, 1)):
+        assert pii.personal_data(df, m).first().n_added == added
+        assert ("<SECRET>" in pii.redacted(df, m).first().text) == added
+
+
 def test_redaction(spark):
     df = awkward(spark)
     rows = {r.doc_id: r for r in pii.redacted(df).collect()}
