@@ -162,8 +162,21 @@ def weekend_ranking_by_area(stg: DataFrame, dim: DataFrame, top_k: int | None =
     return rank_weekends(wk, dim, top_k, leaves_only)
 
 
-# Ranks are counted in steps of this score within a (weekend, parent).
+# Ranks are counted in steps of this score within a (weekend, parent), equal
+# scores in at most so many ranges of ids.
 RANK_STEP = 0.01
+RANK_RANGES = 1000
+
+
+def _id_range(areas: DataFrame):
+    """Number of the range that an area_id lies in, in the order of ids: one
+    range per shuffle partition, between ids drawn by hash. Any bounds give the
+    same ranks."""
+    n = min(RANK_RANGES, int(areas.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    drawn = areas.select("area_id").orderBy(F.xxhash64("area_id")).limit(max(1, n - 1)).collect()
+    if not drawn:
+        return F.lit(0)
+    return F.size(F.filter(F.array(*(F.lit(r.area_id) for r in drawn)), lambda bound: bound <= F.col("area_id")))
 
 
 def rank_weekends(wk: DataFrame, dim: DataFrame, top_k: int | None = None, leaves_only: bool = True) -> DataFrame:
@@ -174,7 +187,10 @@ def rank_weekends(wk: DataFrame, dim: DataFrame, top_k: int | None = None, leave
     ``top_k`` rows per group inside each task before the shuffle. The complete
     ranking is counted in score steps, so a parent with a large share of all
     crags is no single task: a crag's rank is the number of crags in better
-    steps (a small table of counts) plus its place within its own step."""
+    steps, plus that of crags before its cell within the step (a cell holds the
+    crags of one score and one range of ids), plus its place within the cell.
+    Crags that all tie, as those of one polygon do, are as many cells as there
+    are ranges."""
     areas = dim.select(F.col("id").alias("area_id"), "area_name", "parent_id", "is_leaf")
     if leaves_only:
         areas = areas.filter(F.col("is_leaf"))
@@ -186,16 +202,26 @@ def rank_weekends(wk: DataFrame, dim: DataFrame, top_k: int | None = None, leave
                   .filter(F.col("rank") <= top_k))
     else:
         step = F.coalesce(F.floor(F.round("avg_score", 6) / RANK_STEP), F.lit(-(1 << 40)))
-        stepped = ranked_in.withColumn("_step", step)
+        ranged = areas.filter(F.col("area_id").isNotNull()).drop("is_leaf")
+        stepped = wk.join(ranged.withColumn("_range", _id_range(ranged)), "area_id").withColumns(
+            {"_step": step, "_score": F.round("avg_score", 6)})
+        cell = [*group, "_step", "_score", "_range"]
+        cells = stepped.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n"))
+        earlier = Window.partitionBy(*group, "_step").orderBy(F.col("_score").desc_nulls_last(), "_range") \
+            .rowsBetween(Window.unboundedPreceding, -1)
         better = Window.partitionBy(*group).orderBy(F.col("_step").desc()).rowsBetween(Window.unboundedPreceding, -1)
-        counts = (stepped.groupBy(*group, "_step").agg(F.count(F.lit(1)).alias("_n"))
-                  .select(*group, "_step", F.coalesce(F.sum("_n").over(better), F.lit(0)).alias("_before")))
-        # parents may be null: the join compares them as equal
-        place = F.row_number().over(Window.partitionBy(*group, "_step").orderBy(*best))
-        left, right = stepped.withColumn("_place", place), counts.toDF("_w", "_p", "_s", "_before")
+        steps = (cells.groupBy(*group, "_step").agg(F.sum("_n").alias("_n"))
+                 .select(*group, "_step", F.coalesce(F.sum("_n").over(better), F.lit(0)).alias("_before"))
+                 .toDF("_w", "_p", "_s", "_before"))
+        # parents and scores may be null: the joins compare them as equal
         same = (F.col("weekend").eqNullSafe(F.col("_w")) & F.col("parent_id").eqNullSafe(F.col("_p"))
                 & (F.col("_step") == F.col("_s")))
-        ranked = left.join(right, same).withColumn("rank", F.col("_before") + F.col("_place"))
+        counts = (cells.withColumn("_earlier", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).join(steps, same)
+                  .select(*cell, F.col("_before") + F.col("_earlier")).toDF("_w", "_p", "_s", "_c", "_r", "_before"))
+        place = F.row_number().over(Window.partitionBy(*cell).orderBy("area_id"))
+        left = stepped.withColumn("_place", place)
+        same = same & F.col("_score").eqNullSafe(F.col("_c")) & (F.col("_range") == F.col("_r"))
+        ranked = left.join(counts, same).withColumn("rank", F.col("_before") + F.col("_place"))
     return ranked.select("weekend", "parent_id", "rank", "area_id", "area_name",
                          "avg_score", "min_score", "max_score", "n_hours")
 

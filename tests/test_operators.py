@@ -265,6 +265,23 @@ def test_complete_ranking_equals_a_window(spark):
     assert got == want and len(got) == 300
 
 
+def test_crags_that_all_tie_are_ranked_in_many_tasks(spark):
+    n = 2000
+    wk = spark.createDataFrame([("2024-01-06", f"A{k}", 0.5, 0.0, 1.0, 2) for k in range(n)],
+                               "weekend string, area_id string, avg_score double, min_score double, max_score double, "
+                               "n_hours long")
+    dim = spark.createDataFrame([(f"A{k}", f"a{k}", "P", True) for k in range(n)],
+                                "id string, area_name string, parent_id string, is_leaf boolean")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = forecast.rank_weekends(wk, dim).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert [r.area_id for r in sorted(got, key=lambda r: r["rank"])] == sorted(f"A{k}" for k in range(n))
+    assert sorted(r["rank"] for r in got) == list(range(1, n + 1))
+    assert len({r.task for r in got}) > 2
+
+
 def test_fan_out_spreads_one_cell_with_a_long_history(spark):
     rows = spark.range(20_000).selectExpr("'c' AS geo_json", "id AS start_time")
     bridge = spark.createDataFrame([("c", f"A{k}") for k in range(3)], "geo_json string, area_id string")
