@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeline.llm import exact_dedup, jaccard_join, language_id, packing, pii, quality_classifier, quality_rules, token_counts, tool_calls, word_bpe
+from ridgeline.llm import (exact_dedup, jaccard_join, language_id, merkle, packing, piece_codec, pii, prefix_trie,
+                           quality_classifier, quality_rules, token_counts, tool_calls, word_bpe)
 from ridgeline.llm.common import located, table
 
 
@@ -55,12 +56,27 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_languages(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.encode_decode(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_token_counts, op3_tool_calls, op4_quality_rules, op5_best_fit_packing,
-    op6_exact_dedup, op7_personal_data, op8_jaccard_join, op9_word_bpe, op10_language_id)}
+    op6_exact_dedup, op7_personal_data, op8_jaccard_join, op9_word_bpe, op10_language_id,
+    op11_merkle_manifest, op12_piece_codec, op13_prefix_trie)}
 
 ORACLE: dict[str, str] = {
     "op3_tool_calls": tool_calls.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op4_quality_rules": f"SELECT * EXCLUDE (clean_text) FROM ({quality_rules.oracle_sql()})",
+    "op11_merkle_manifest": merkle.oracle_sql(),
+    "op13_prefix_trie": prefix_trie.oracle_sql(),
 }

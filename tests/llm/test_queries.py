@@ -15,7 +15,7 @@ SF001 = "/root/testdata/sf0.001"
 
 def test_all_operators_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())
     assert set(queries.ORACLE) <= set(queries.QUERIES)
 
