@@ -6,7 +6,7 @@ import sys
 
 import pytest
 
-from conftest import SF001
+from sf_paths import SF001
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 

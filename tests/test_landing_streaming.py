@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from sf_paths import SF001
 from ridgeline.operators import snapshots, staging
 from ridgeline.plans import bindings as B
 from ridgeline.session import scratch_path

@@ -9,7 +9,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from sf_paths import SF001
 from ridgeline.functions.geo import point_in_rings, rings_from_geojson
 from ridgeline.operators import checks, forecast, serve, snapshots, spatial, staging
 from ridgeline.plans import bindings as B
