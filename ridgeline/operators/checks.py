@@ -40,7 +40,7 @@ def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def check_unique_by_area(forecast: DataFrame, bridge: DataFrame, keys: Sequence[str] = ("start_time",),
-                         on: str = "geo_json") -> DataFrame:
+                         on: str = "cell_key") -> DataFrame:
     """DQ4 on the by-area model without building it: rows are counted per
     (cell key, keys) first, the counts (not the rows) are fanned out to the
     areas of each cell, and summed per (area, keys). Same result as

@@ -11,10 +11,10 @@ from .. import schemas
 from ..functions.scoring import DEFAULT_PARAMS, ScoreParams, climb_score
 from ..session import shared_dir
 from .snapshots import latest_per_key
-from .spatial import area_polygons, forecast_by_area
+from .spatial import CELL_KEY, area_cells, forecast_by_area, keyed_by_cell
 
 
-def forecast_hourly_by_area(stg: DataFrame, areas: DataFrame, cell_size: float | None = None,
+def forecast_hourly_by_area(stg: DataFrame, areas: DataFrame,
                             bridge: DataFrame | None = None) -> DataFrame:
     """Hourly forecast rows per area, newest snapshot per (area, hour).
 
@@ -25,7 +25,8 @@ def forecast_hourly_by_area(stg: DataFrame, areas: DataFrame, cell_size: float |
     2. the newest snapshot is kept per (polygon, hour) *before* the fan-out
        to areas (a map-side top-1, so repeated daily snapshots shrink before
        any shuffle and a hot cell ships one row per task and hour);
-    3. forecast rows join the area-grain bridge on the polygon key;
+    3. forecast rows join the area-grain bridge on the cell key, a long that
+       stands for the polygon text from the first shuffle on;
     4. only areas inside more than one polygon need a second newest-per-
        (area, hour) pass; areas with a single polygon skip that shuffle, and
        the branch is left out of the plan when no such area exists.
@@ -35,8 +36,8 @@ def forecast_hourly_by_area(stg: DataFrame, areas: DataFrame, cell_size: float |
     Runs two small jobs while building the plan: checkpointing the
     area-grain bridge and looking for one multi-polygon area.
     """
-    newest_cell = latest_per_key(stg, ["geo_json", "start_time"])
-    one, many = split_bridge(stg, areas, cell_size, bridge)
+    newest_cell = latest_per_key(keyed_by_cell(stg), [CELL_KEY, "start_time"])
+    one, many = split_bridge(stg, areas, bridge)
     cols = schemas.HOURLY_BY_AREA_COLUMNS
     single = forecast_by_area(newest_cell, one).select(*cols)
     if many is None:
@@ -44,7 +45,7 @@ def forecast_hourly_by_area(stg: DataFrame, areas: DataFrame, cell_size: float |
     return single.unionByName(newest_in_several_polygons(newest_cell, many).select(*cols))
 
 
-def split_bridge(stg: DataFrame, areas: DataFrame, cell_size: float | None, bridge: DataFrame | None = None):
+def split_bridge(stg: DataFrame, areas: DataFrame, bridge: DataFrame | None = None):
     """(single-polygon bridge, multi-polygon bridge or None).
 
     Distinct polygons come straight from the staged rows (a partial
@@ -56,7 +57,7 @@ def split_bridge(stg: DataFrame, areas: DataFrame, cell_size: float | None, brid
     whether any area lies in more than one polygon.
     """
     if bridge is None:
-        bridge = area_polygons(areas, stg, cell_size=cell_size)
+        bridge = area_cells(areas, stg)
     shared_dir(stg.sparkSession)
     bridge = bridge.withColumn("_n_poly", F.count(F.lit(1)).over(Window.partitionBy("area_id")))
     bridge = bridge.checkpoint(eager=True)
@@ -67,7 +68,7 @@ def split_bridge(stg: DataFrame, areas: DataFrame, cell_size: float | None, brid
 
 def newest_in_several_polygons(newest_cell: DataFrame, many: DataFrame) -> DataFrame:
     """Hourly rows of areas inside several polygons: newest per (area, hour)."""
-    return latest_per_key(forecast_by_area(newest_cell, many).drop("geo_json"), ["area_id", "start_time"])
+    return latest_per_key(forecast_by_area(newest_cell, many).drop(CELL_KEY), ["area_id", "start_time"])
 
 
 def _score(params: ScoreParams, variant: str):
@@ -75,7 +76,7 @@ def _score(params: ScoreParams, variant: str):
                        "relative_humidity_value", params, variant).alias("climb_score")
 
 
-def rollup_by_area(stg: DataFrame, areas: DataFrame, by: dict, aggs: list, cell_size: float | None = None,
+def rollup_by_area(stg: DataFrame, areas: DataFrame, by: dict, aggs: list,
                    params: ScoreParams = DEFAULT_PARAMS, variant: str = "reference") -> DataFrame:
     """Aggregates of the scored hourly rows per (area, ``by`` columns),
     computed per polygon *before* the fan-out to areas.
@@ -88,8 +89,8 @@ def rollup_by_area(stg: DataFrame, areas: DataFrame, by: dict, aggs: list, cell_
     ``by`` maps output names to Column expressions over ``start_time``; a
     group whose ``by`` value is NULL is dropped (use it as a filter).
     """
-    newest_cell = latest_per_key(stg, ["geo_json", "start_time"])
-    one, many = split_bridge(stg, areas, cell_size)
+    newest_cell = latest_per_key(keyed_by_cell(stg), [CELL_KEY, "start_time"])
+    one, many = split_bridge(stg, areas)
     names = list(by)
 
     def grouped(rows, key):
@@ -97,8 +98,8 @@ def rollup_by_area(stg: DataFrame, areas: DataFrame, by: dict, aggs: list, cell_
         keyed = keyed.filter(" AND ".join(f"`{n}` IS NOT NULL" for n in names)) if names else keyed
         return keyed.groupBy(key, *names).agg(*aggs)
 
-    per_cell = grouped(newest_cell, "geo_json")
-    out = forecast_by_area(per_cell, one).drop("geo_json")
+    per_cell = grouped(newest_cell, CELL_KEY)
+    out = forecast_by_area(per_cell, one).drop(CELL_KEY)
     if many is not None:
         out = out.unionByName(grouped(newest_in_several_polygons(newest_cell, many), "area_id").select(*out.columns))
     return out
@@ -121,12 +122,12 @@ def daily_score(fact: DataFrame) -> DataFrame:
     return fact.groupBy("area_id", F.to_date("start_time").alias("day")).agg(*_daily_aggs())
 
 
-def daily_score_by_area(stg: DataFrame, areas: DataFrame, cell_size: float | None = None,
+def daily_score_by_area(stg: DataFrame, areas: DataFrame,
                         params: ScoreParams = DEFAULT_PARAMS, variant: str = "reference") -> DataFrame:
     """D4 straight from staged forecasts: days aggregated per polygon, then
     fanned out to areas (:func:`rollup_by_area`); same rows as
     ``daily_score(fact_hourly(forecast_hourly_by_area(stg, areas)))``."""
-    return rollup_by_area(stg, areas, {"day": F.to_date("start_time")}, _daily_aggs(), cell_size, params, variant)
+    return rollup_by_area(stg, areas, {"day": F.to_date("start_time")}, _daily_aggs(), params=params, variant=variant)
 
 
 def weekend_start(ts_col: str = "start_time"):
@@ -154,11 +155,11 @@ def _weekend_aggs():
 
 
 def weekend_ranking_by_area(stg: DataFrame, dim: DataFrame, top_k: int | None = None, leaves_only: bool = True,
-                            cell_size: float | None = None, params: ScoreParams = DEFAULT_PARAMS,
+                            params: ScoreParams = DEFAULT_PARAMS,
                             variant: str = "reference") -> DataFrame:
     """D5 straight from staged forecasts: weekend hours aggregated per
     polygon, fanned out to the areas, then ranked (:func:`rank_weekends`)."""
-    wk = rollup_by_area(stg, dim, {"weekend": weekend_start()}, _weekend_aggs(), cell_size, params, variant)
+    wk = rollup_by_area(stg, dim, {"weekend": weekend_start()}, _weekend_aggs(), params=params, variant=variant)
     return rank_weekends(wk, dim, top_k, leaves_only)
 
 

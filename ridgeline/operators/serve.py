@@ -73,7 +73,7 @@ def _series_columns(lists: DataFrame, key: str) -> DataFrame:
     return lists.select(F.col(key).alias("area_id"), F.inline(series))
 
 
-def series_nested_by_area(stg: DataFrame, areas: DataFrame, as_of: Column, cell_size: float | None = None) -> DataFrame:
+def series_nested_by_area(stg: DataFrame, areas: DataFrame, as_of: Column) -> DataFrame:
     """V2 + A2 straight from staged forecasts: the point lists are built once
     per polygon from its newest hours and fanned out to the areas inside it
     (an area in one polygon has exactly its polygon's hours), instead of
@@ -81,11 +81,11 @@ def series_nested_by_area(stg: DataFrame, areas: DataFrame, as_of: Column, cell_
     exact hourly path. Same rows as ``series_nested(fact, as_of)``."""
     from .forecast import newest_in_several_polygons, split_bridge
     from .snapshots import latest_per_key
-    from .spatial import forecast_by_area
+    from .spatial import CELL_KEY, forecast_by_area, keyed_by_cell
 
-    newest = recent(latest_per_key(stg, ["geo_json", "start_time"]), as_of)
-    one, many = split_bridge(stg, areas, cell_size)
-    out = _series_columns(forecast_by_area(_series_lists(newest, "geo_json"), one), "area_id")
+    newest = recent(latest_per_key(keyed_by_cell(stg), [CELL_KEY, "start_time"]), as_of)
+    one, many = split_bridge(stg, areas)
+    out = _series_columns(forecast_by_area(_series_lists(newest, CELL_KEY), one), "area_id")
     if many is not None:
         multi = newest_in_several_polygons(newest, many)
         out = out.unionByName(_series_columns(_series_lists(multi, "area_id"), "area_id"))

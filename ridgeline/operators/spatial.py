@@ -1,119 +1,200 @@
 """Spatial join of points to polygons (J1, J3, J4, DQ6).
 
-The join is an equi-join on grid buckets: each polygon is replicated to the
-buckets its bounding box covers, each point goes to the one bucket it falls
-in, and the exact containment test runs only on bucket-matched pairs. Spark
-then plans a hash join (broadcast when AQE sees a small side at runtime,
-shuffle otherwise) instead of a nested loop over all pairs. Every polygon is
-replicated to *all* buckets it covers, so no candidate is ever dropped.
+The join is an equi-join on cells of a hierarchical grid whose sizes are the
+powers of two. A polygon is covered by few cells of mixed sizes: it begins with
+the at most four cells of its own extent, and cells that its boundary runs
+through are divided a fixed number of times; cells outside are dropped, and a
+point in a cell that lies inside needs no test. A point goes to its one cell
+of every size in use. So a polygon has at most ``4 ** (REFINE + 1)`` rows
+whatever its extent, and Spark plans a hash join (broadcast when AQE sees a
+small side at runtime, shuffle otherwise) instead of a nested loop.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import (bbox, edges, is_axis_rectangle, parts_from_geojson, point_in_polygon, point_in_rings,
-                             repaired, rings_from_geojson)
+from ..functions import geo
+from ..functions.geo import bbox, edges, is_axis_rectangle, parts_from_geojson, point_in_rings, repaired, rings_from_geojson
+from ..session import shared_dir
+from ..sources.tables import store_bucketed
+
+REFINE = 2
+# sizes 2 ** -30 to 2 ** 40 degrees
+LEVELS = (-30, 40)
 
 
 def polygons_from_geojson(df: DataFrame, geo_col: str = "geo_json", distinct: bool = True,
-                          keep: tuple[str, ...] = ()) -> DataFrame:
-    """Distinct GeoJSON polygons with parsed rings, bbox and rectangle flag,
-    one row per part of a MultiPolygon.
+                          keep: tuple[str, ...] = (), geodesic: bool = False) -> DataFrame:
+    """Distinct GeoJSON polygons made valid, one row per part: ``rings``,
+    ``edges``, ``bbox``, ``is_rect``, and with ``geodesic`` also ``arcs``.
 
-    ``distinct`` dedups the text first (a partial hash aggregate: each map
-    task ships one row per distinct polygon), so rings are parsed once per
-    polygon, not once per forecast row.
+    Geometry collections are flattened to their polygons. Open rings are
+    closed; an edge over 180 degrees wide takes the shorter way, across the
+    antimeridian, and such a part is given on both sides of it; a ring round a
+    pole is closed over the pole. Edges are cut where they meet (planar noding)
+    and pieces that are gone along twice removed, so that the interior is what
+    an odd number of rings encloses. Axis-parallel rectangles need none of it.
+
+    GeoJSON edges are straight in longitude and latitude; ``geodesic`` takes
+    them as great-circle arcs. ``distinct`` dedups the text first (a partial
+    hash aggregate: each map task ships one row per distinct polygon), so rings
+    are parsed once per polygon, not once per forecast row.
     """
     src = df.select(geo_col, *keep).filter(F.col(geo_col).isNotNull())
     if distinct:
         src = src.distinct()
     # a row per part: a point is inside when it is inside any part
-    parts = src.select("*", F.explode(parts_from_geojson(geo_col)).alias("part"))
-    parsed = parts.select("*", repaired("part").alias("rings")).drop("part").filter(F.size("rings") > 0)
-    return parsed.select("*", edges("rings").alias("edges"), bbox("rings").alias("bbox"),
-                         is_axis_rectangle("rings").alias("is_rect"))
-
+    parts = src.select("*", F.explode(parts_from_geojson(geo_col)).alias("_part"))
+    whole = parts.select("*", repaired("_part").alias("_closed")).drop("_part").filter(F.size("_closed") > 0)
+    whole = whole.select("*", F.expr(geo.unwrapped_sql("_closed")).alias("_rings")).drop("_closed")
+    sides = whole.select("*", bbox("_rings").alias("_box")).select("*", F.explode(F.expr(geo.shifts_sql("_box"))).alias("_by"))
+    rings = sides.select("*", F.expr(geo.shifted_sql("_rings", "_by")).alias("rings")).drop("_rings", "_box", "_by")
+    out = rings.select("*", F.expr(geo.solid_edges_sql("rings")).alias("_edges"), bbox("rings").alias("bbox"),
+                       is_axis_rectangle("rings").alias("is_rect"))
+    if geodesic:
+        out = out.select("*", F.expr(geo.arcs_sql("_edges")).alias("arcs")).drop("bbox", "is_rect")
+        return out.select("*", F.expr(geo.arc_box_sql("arcs")).alias("bbox"), F.lit(False).alias("is_rect"),
+                          F.col("_edges").alias("edges")).drop("_edges")
+    # CASE is lazy: rectangles are not noded
+    out = out.select("*", F.expr(f"CASE WHEN NOT is_rect THEN {geo.slabs_sql('_edges', 'bbox')} END").alias("_slabs"))
+    out = out.select("*", F.expr(f"CASE WHEN NOT is_rect THEN {geo.pieces_sql('_edges', '_slabs', 'bbox')} END")
+                     .alias("_pieces")).drop("_slabs")
+    return out.select("*", F.expr(f"CASE WHEN is_rect THEN _edges ELSE {geo.odd_sql('_pieces')} END").alias("edges")
+                      ).drop("_edges", "_pieces")
 
-def auto_cell_size(polygons: DataFrame) -> float:
-    """Bucket size from the median bbox extent (one small aggregate job that
-    returns one number). Buckets about one polygon wide keep the candidate
-    count per point near 1-4 whatever the polygon size."""
-    ext = F.greatest(F.col("bbox.xmax") - F.col("bbox.xmin"), F.col("bbox.ymax") - F.col("bbox.ymin"))
-    row = polygons.select(F.percentile_approx(ext, 0.5, 1000).alias("m")).collect()[0]
-    m = row["m"]
-    return float(m) if m and m > 0 else 1.0
 
-
-def _bucket(v, size: float):
-    return F.floor(v / F.lit(float(size))).cast("long")
+def cover(polygons: DataFrame, refine: int = REFINE) -> DataFrame:
+    """Polygons by the grid cells that cover them: ``_level`` (the cell is
+    ``2 ** _level`` degrees wide), ``_bx``, ``_by`` and ``_inside`` (the cell
+    lies in the polygon). A rectangle is one comparison anyway and an arc is
+    not straight, so both stay at their first, at most four, cells."""
+    b = F.col("bbox")
+    extent = F.greatest(b["xmax"] - b["xmin"], b["ymax"] - b["ymin"])
+    level = F.when(extent > 0, F.ceil(F.log2(extent))).otherwise(LEVELS[0])
+    out = polygons.withColumn("_level", F.least(F.greatest(level, F.lit(LEVELS[0])), F.lit(LEVELS[1])).cast("int"))
+    size = "pow(2D, _level)"
+    for axis in "xy":
+        first, last = (f"CAST(floor(bbox.{axis}{end} / {size}) AS bigint)" for end in ("min", "max"))
+        out = out.select("*", F.explode(F.expr(f"sequence({first}, {last})")).alias(f"_b{axis}"))
+    if "arcs" in polygons.columns:
+        return out.withColumn("_inside", F.lit(False))
+    names = [c for c in out.columns if c not in ("_level", "_bx", "_by")]
+    out = out.withColumn("_state", F.lit(1))
+    for step in range(refine + 1):
+        children = ("transform(array((0, 0), (0, 1), (1, 0), (1, 1)), c -> struct(_level - 1 AS l, 2 * _bx + c.col1 AS x, "
+                    "2 * _by + c.col2 AS y, 1 AS s))")
+        own = "array(struct(_level AS l, _bx AS x, _by AS y, _state AS s))"
+        cells = f"CASE WHEN is_rect OR _state = 2 THEN {own} ELSE {children} END" if step else own
+        # 0 outside, 1 on the boundary, 2 inside
+        here = ("(_c.x * pow(2D, _c.l))", "(_c.y * pow(2D, _c.l))", "pow(2D, _c.l)")
+        parity = geo.point_in_edges_sql("edges", f"({here[0]} + {here[2]} / 2)", f"({here[1]} + {here[2]} / 2)")
+        state = (f"CASE WHEN is_rect THEN 1 WHEN _c.s = 2 THEN 2 WHEN {geo.cell_meets_sql('edges', *here)} THEN 1 "
+                 f"WHEN {parity} THEN 2 ELSE 0 END")
+        out = (out.select(*names, F.explode(F.expr(cells)).alias("_c")).select("*", F.expr(state).alias("_state"))
+               .filter("_state > 0").select(*names, F.col("_c.l").alias("_level"), F.col("_c.x").alias("_bx"),
+                                            F.col("_c.y").alias("_by"), "_state"))
+    return out.withColumn("_inside", F.col("_state") == 2).drop("_state")
 
 
 def spatial_join(points: DataFrame, polygons: DataFrame, x_col: str = "longitude", y_col: str = "latitude",
-                 cell_size: float | None = None, salt: int = 1) -> DataFrame:
+                 salt: int = 1, levels: Sequence[int] | None = None) -> DataFrame:
     """All (point, polygon) pairs with the point strictly inside.
 
-    ``polygons`` needs ``rings`` (``edges``/``bbox``/``is_rect``, computed
-    once per polygon by :func:`polygons_from_geojson`, are reused). Points with a NULL coordinate never match. ``salt > 1`` spreads
-    a hot bucket (one dense place holding a large share of points) over
-    ``salt`` join keys: points pick a salt from their own hash, polygons are
-    replicated once per salt value. AQE skew-join splitting covers the
-    shuffled case automatically as well.
-    """
-    extra = []
-    if "edges" not in polygons.columns:
-        extra.append(edges("rings").alias("edges"))
-    if "bbox" not in polygons.columns:
-        extra.append(bbox("rings").alias("bbox"))
-    if "is_rect" not in polygons.columns:
-        extra.append(is_axis_rectangle("rings").alias("is_rect"))
-    if extra:
-        polygons = polygons.select("*", *extra)
-    size = cell_size if cell_size else auto_cell_size(polygons)
+    ``polygons`` come from :func:`polygons_from_geojson`, or have ``rings``
+    only, from which ``edges``, ``bbox`` and ``is_rect`` are computed; with
+    ``arcs`` containment is that of the sphere. Points with a NULL coordinate
+    never match. ``salt > 1`` spreads a hot cell (one dense place holding a
+    large share of points) over ``salt`` join keys: points pick a salt from
+    their own hash, polygons are replicated once per salt value. AQE skew-join
+    splitting covers the shuffled case automatically as well.
 
-    b = F.col("bbox")
-    # bucket pairs covered by the bbox: one generator over the x range, and a
-    # nested generator for y (a generator per select)
-    poly_b = (polygons.select("*", F.explode(F.sequence(_bucket(b["xmin"], size), _bucket(b["xmax"], size))).alias("_bx"))
-                      .select("*", F.explode(F.sequence(_bucket(b["ymin"], size), _bucket(b["ymax"], size))).alias("_by")))
+    Points go to one cell per level in use. The levels are read from the
+    covering cells, which are checkpointed for that (a row per polygon and
+    cell; one job); ``levels`` names them beforehand and saves that job.
+    """
+    for name, make in (("edges", edges), ("bbox", bbox), ("is_rect", is_axis_rectangle)):
+        if name not in polygons.columns:
+            polygons = polygons.withColumn(name, make("rings"))
+    on_sphere = "arcs" in polygons.columns
+    cells = cover(polygons)
+    # what an inside cell and a rectangle never look at need not be shuffled
+    cells = cells.withColumns({c: F.when(~F.col("_inside") & ~F.col("is_rect"), F.col(c))
+                               for c in ("edges", "arcs") if c in cells.columns}).drop("rings")
+    if levels is None:
+        shared_dir(cells.sparkSession)
+        cells = cells.checkpoint(eager=True)
+        levels = sorted(r[0] for r in cells.select("_level").distinct().collect())
     px, py = F.col(x_col).cast("double"), F.col(y_col).cast("double")
-    pt_cols = [px.alias("_px"), py.alias("_py"), _bucket(px, size).alias("_bx"), _bucket(py, size).alias("_by")]
-    keys = ["_bx", "_by"]
+    pts = points.filter(F.col(x_col).isNotNull() & F.col(y_col).isNotNull()).select(
+        "*", px.alias("_px"), py.alias("_py"),
+        F.explode(F.array(*(F.lit(int(v)) for v in levels)).cast("array<int>")).alias("_level"))
+    pts = pts.select("*", *(F.expr(f"CAST(floor({p} / pow(2D, _level)) AS bigint)").alias(c)
+                            for p, c in (("_px", "_bx"), ("_py", "_by"))))
+    keys = ["_level", "_bx", "_by"]
     if salt > 1:
-        pt_cols.append(F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]), F.lit(salt)).alias("_salt"))
-        poly_b = poly_b.select("*", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<long>")).alias("_salt"))
+        pts = pts.withColumn("_salt", F.pmod(F.xxhash64(*points.columns), F.lit(salt)))
+        cells = cells.select("*", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<long>")).alias("_salt"))
         keys.append("_salt")
-    pts = points.filter(F.col(x_col).isNotNull() & F.col(y_col).isNotNull()).select("*", *pt_cols)
-    joined = pts.join(poly_b, keys, "inner")
-    hit = point_in_polygon("edges", "bbox", "is_rect", "_px", "_py")
-    return joined.filter(hit).drop("_bx", "_by", "_px", "_py", "_salt")
+    joined = pts.join(cells, keys, "inner")
+    exact = geo.point_in_arcs_sql("arcs", "bbox", "_px", "_py") if on_sphere else \
+        geo.point_in_polygon_sql("edges", "bbox", "is_rect", "_px", "_py")
+    return joined.filter(F.expr(f"_inside OR {exact}")).drop(*keys, "_px", "_py", "_inside")
 
 
-def assign_cells(areas: DataFrame, cells: DataFrame, cell_size: float | None = None) -> DataFrame:
+def assign_cells(areas: DataFrame, cells: DataFrame, salt: int = 1) -> DataFrame:
     """Resolve each area's point to its forecast cell(s), once per area.
 
     ``areas``: ``id, latitude, longitude``; ``cells``: ``grid_id, grid_x,
     grid_y, geo_json``. Returns ``area_id, grid_id, grid_x, grid_y``."""
     polys = polygons_from_geojson(cells, distinct=False, keep=("grid_id", "grid_x", "grid_y"))
     pts = areas.select(F.col("id").alias("area_id"), "latitude", "longitude")
-    return spatial_join(pts, polys, cell_size=cell_size).select("area_id", "grid_id", "grid_x", "grid_y").distinct()
+    return spatial_join(pts, polys, salt=salt).select("area_id", "grid_id", "grid_x", "grid_y").distinct()
 
 
-def area_polygons(areas: DataFrame, forecast: DataFrame, cell_size: float | None = None) -> DataFrame:
+def area_polygons(areas: DataFrame, forecast: DataFrame, salt: int = 1) -> DataFrame:
     """Bridge ``(area_id, geo_json)``: which forecast polygons contain each
     area (containment evaluated once per area and distinct polygon)."""
     polys = polygons_from_geojson(forecast, "geo_json", distinct=True)
     pts = areas.select(F.col("id").alias("area_id"), "latitude", "longitude")
     # parts may overlap: one row per area and polygon
-    return spatial_join(pts, polys, cell_size=cell_size).select("area_id", "geo_json").distinct()
+    return spatial_join(pts, polys, salt=salt).select("area_id", "geo_json").distinct()
+
+
+CELL_KEY = "cell_key"
+
+
+def keyed_by_cell(df: DataFrame, geo_col: str = "geo_json") -> DataFrame:
+    """``df`` with ``cell_key`` (a long) in place of the polygon text, so that
+    no shuffle carries the text. :func:`cell_dictionary` checks that no two
+    texts have one key."""
+    return df.withColumn(CELL_KEY, F.xxhash64(geo_col)).drop(geo_col)
+
+
+def cell_dictionary(forecast: DataFrame, geo_col: str = "geo_json") -> DataFrame:
+    """``cell_key, geo_json``, one row per polygon; two texts with the same key
+    fail the job (a chance of about n * n / 2 ** 65 for n polygons)."""
+    texts = forecast.filter(F.col(geo_col).isNotNull()).select(F.xxhash64(geo_col).alias(CELL_KEY), geo_col).distinct()
+    checked = texts.groupBy(CELL_KEY).agg(F.min(geo_col).alias(geo_col), F.max(geo_col).alias("_other"))
+    return checked.select(CELL_KEY, F.when(F.col(geo_col) == F.col("_other"), F.col(geo_col)).otherwise(
+        F.raise_error(F.lit("two polygons have one cell key"))).alias(geo_col))
+
+
+def area_cells(areas: DataFrame, forecast: DataFrame, salt: int = 1) -> DataFrame:
+    """The bridge by key: ``(area_id, cell_key)`` (see :func:`area_polygons`)."""
+    polys = polygons_from_geojson(cell_dictionary(forecast), distinct=False, keep=(CELL_KEY,)).drop("geo_json")
+    pts = areas.select(F.col("id").alias("area_id"), "latitude", "longitude")
+    return spatial_join(pts, polys, salt=salt).select("area_id", CELL_KEY).distinct()
 
 
 AREAS_PER_SALT = 256
 ROW_SALTS = 16
 
 
-def forecast_by_area(forecast: DataFrame, area_cells: DataFrame, on=("geo_json",),
+def forecast_by_area(forecast: DataFrame, area_cells: DataFrame, on=(CELL_KEY,),
                      areas_per_salt: int = AREAS_PER_SALT, row_salts: int = ROW_SALTS,
                      partitions: int | None = None) -> DataFrame:
     """Equi-join of forecast rows to areas on the cell key.
@@ -129,6 +210,8 @@ def forecast_by_area(forecast: DataFrame, area_cells: DataFrame, on=("geo_json",
     * both sides are hash-partitioned on (cell key, salts) into ``partitions``
       (default ``spark.sql.shuffle.partitions``, sized for the cluster), so
       output parallelism follows the output, not the small input.
+
+    For a table stored in buckets see :func:`stored_forecast_by_area`.
     """
     keys = list(on)
     spark = forecast.sparkSession
@@ -146,6 +229,34 @@ def forecast_by_area(forecast: DataFrame, area_cells: DataFrame, on=("geo_json",
     return rows.repartition(n, *part).join(bridge.repartition(n, *part), part, "inner").select(*out_cols)
 
 
+ROW_SALT = "row_salt"
+
+
+def store_forecast(forecast: DataFrame, name: str, path: str, buckets: int, row_salts: int = ROW_SALTS,
+                   geo_col: str = "geo_json") -> DataFrame:
+    """J4, stored side: the forecast as a catalog table in ``buckets`` of
+    (cell key, row salt), sorted by them and the hour. The salt spreads a cell
+    with a long history over as many buckets; the polygon text is left to
+    :func:`cell_dictionary`."""
+    rows = keyed_by_cell(forecast, geo_col)
+    salted = rows.withColumn(ROW_SALT, F.pmod(F.xxhash64(*rows.columns), F.lit(row_salts)).cast("int"))
+    return store_bucketed(salted, name, path, [CELL_KEY, ROW_SALT], buckets, ["start_time"])
+
+
+def stored_forecast_by_area(stored: DataFrame, area_cells: DataFrame, buckets: int, row_salts: int = ROW_SALTS,
+                            areas_per_row: int = AREAS_PER_SALT) -> DataFrame:
+    """J4 on a table of :func:`store_forecast`: only the bridge is shuffled, to
+    the table's buckets, with the areas of a cell in lists of bounded length
+    (a crowded cell has several), so the stored rows meet it where they lie."""
+    counts = area_cells.groupBy(CELL_KEY).agg(F.count(F.lit(1)).alias("_n"))
+    block = F.pmod(F.xxhash64("area_id"), F.ceil(F.col("_n") / F.lit(areas_per_row)))
+    lists = (area_cells.join(counts, CELL_KEY).groupBy(CELL_KEY, block.alias("_block"))
+             .agg(F.collect_list("area_id").alias("_areas")))
+    bridge = lists.select(CELL_KEY, "_areas", F.explode(F.sequence(F.lit(0), F.lit(row_salts - 1))).alias(ROW_SALT))
+    met = stored.join(bridge.repartition(buckets, CELL_KEY, ROW_SALT).hint("shuffle_merge"), [CELL_KEY, ROW_SALT])
+    return met.select(*(c for c in stored.columns if c != ROW_SALT), F.explode("_areas").alias("area_id"))
+
+
 def check_containment(joined: DataFrame, geo_col: str = "geo_json", x_col: str = "longitude",
                       y_col: str = "latitude") -> DataFrame:
     """DQ6: rows of a cell-key join whose point is not inside the cell's

@@ -231,5 +231,70 @@ def raw_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.when(F.col("event_id") % 2 == 0, "F").otherwise("C").alias("temperature_unit"))
 
 
+# Vertices of the shapes of the mixed polygons, in parts of their width from
+# their corner; the last kind is a box across the antimeridian.
+SHAPES = (
+    ("Polygon", [[[(0, 0), (1, 0), (1, 1), (0, 1)]]]),
+    ("Polygon", [[[(0, 0), (1, 0), (0, 1)]]]),
+    ("Polygon", [[[(0, 0), (1, 0), (1, 1), (0, 1)], [(0.25, 0.25), (0.75, 0.25), (0.75, 0.75), (0.25, 0.75)]]]),
+    ("MultiPolygon", [[[(0, 0), (0.75, 0), (0.75, 0.75), (0, 0.75)]], [[(0.5, 0.5), (1, 0.5), (1, 1), (0.5, 1)]]]),
+    ("Polygon", [[[(0, 0), (1, 1), (1, 0), (0, 1)]]]),
+    ("GeometryCollection", [[[(0.5, 0), (1, 0.5), (0.5, 1), (0, 0.5)]]]),
+)
+MIXED_X = "((s_suppkey * 53) % 320) / 8D - 20"
+MIXED_Y = "((s_suppkey * 29) % 320) / 8D - 20"
+MIXED_WIDTH = "pow(2D, s_suppkey % 11 - 6)"
+
+
+def _shape_sql(kind: str, parts: list) -> str:
+    def point(p):
+        return f"'[', x0 + w * {p[0]}D, ',', y0 + w * {p[1]}D, ']'"
+
+    def ring(points):
+        return "'[', " + ", ',', ".join(point(p) for p in (*points, points[0])) + ", ']'"
+
+    def polygon(rings):
+        return "'[', " + ", ',', ".join(ring(r) for r in rings) + ", ']'"
+    if kind == "GeometryCollection":
+        return ("concat('{\"type\":\"GeometryCollection\",\"geometries\":[{\"type\":\"Point\",\"coordinates\":[0,0]},"
+                f"{{\"type\":\"Polygon\",\"coordinates\":', {polygon(parts[0])}, '}}]}}')")
+    body = polygon(parts[0]) if kind == "Polygon" else "'[', " + ", ',', ".join(polygon(p) for p in parts) + ", ']'"
+    return f"concat('{{\"type\":\"{kind}\",\"coordinates\":', {body}, '}}')"
+
+
+def mixed_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A polygon per supplier: seven shapes, eleven widths from 1/64 to 16 degrees."""
+    s = table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS polygon_id", "s_suppkey % 7 AS kind", f"{MIXED_X} AS x0", f"{MIXED_Y} AS y0", f"{MIXED_WIDTH} AS w")
+    across = ("concat('{\"type\":\"Polygon\",\"coordinates\":[[[', 180 - w / 2, ',', y0, '],[', w / 2 - 180, ',', y0, '],[', "
+              "w / 2 - 180, ',', y0 + w, '],[', 180 - w / 2, ',', y0 + w, '],[', 180 - w / 2, ',', y0, ']]]}')")
+    cases = " ".join(f"WHEN {i} THEN {_shape_sql(*shape)}" for i, shape in enumerate(SHAPES))
+    return s.selectExpr("polygon_id", f"CASE kind {cases} ELSE {across} END AS geo_json")
+
+
+def world_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A point per customer, about the prime meridian or (every fourth) the
+    antimeridian."""
+    x = "((c_custkey * 7) % 640) / 16D - 20 + 1 / 64D"
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS point_id", f"CASE WHEN c_custkey % 4 != 0 THEN {x} WHEN {x} < 0 THEN {x} + 180 ELSE {x} - 180 END "
+        "AS longitude", "((c_custkey * 13) % 640) / 16D - 20 + 1 / 128D AS latitude")
+
+
+def wide_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A box per supplier, 30 to 70 degrees wide, between latitudes 40 to 59."""
+    s = table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS polygon_id", "(s_suppkey * 37) % 280 - 160 AS a", "30 + (s_suppkey % 5) * 10 AS w",
+        "40 + s_suppkey % 10 AS y").selectExpr("*", "CASE WHEN a + w > 180 THEN a + w - 360 ELSE a + w END AS b")
+    return s.selectExpr("polygon_id", "concat('{\"type\":\"Polygon\",\"coordinates\":[[[', a, ',', y, '],[', b, ',', y, '],[', "
+                        "b, ',', y + 10, '],[', a, ',', y + 10, '],[', a, ',', y, ']]]}') AS geo_json")
+
+
+def northern_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS point_id", "((c_custkey * 37) % 5760) / 16D - 180 + 1 / 64D AS longitude",
+        "40 + ((c_custkey * 11) % 512) / 16D + 1 / 128D AS latitude")
+
+
 def as_of() -> Column:
     return F.lit(AS_OF).cast("timestamp")

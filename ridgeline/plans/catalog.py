@@ -22,7 +22,6 @@ from ..sources import landing, tables
 from ..streaming import ingest
 from . import bindings as B
 
-CELL_SIZE = 1.0  # fixed value of the bindings: cells are unit squares
 TARGET_PARENTS = ("N1", "N2")
 NODE_ID = "N1"
 PARAMS = ScoreParams()
@@ -43,7 +42,7 @@ def dim(spark, sf) -> DataFrame:
 
 
 def hourly(spark, sf, types=None) -> DataFrame:
-    return forecast.forecast_hourly_by_area(stg(spark, sf, types), dim(spark, sf), cell_size=CELL_SIZE)
+    return forecast.forecast_hourly_by_area(stg(spark, sf, types), dim(spark, sf))
 
 
 def fact(spark, sf) -> DataFrame:
@@ -198,12 +197,25 @@ def q_parse_wind(spark, sf):
 # ------------------------------------------------------------ spatial
 
 def q_spatial_join(spark, sf):
-    bridge = spatial.area_polygons(dim(spark, sf), stg(spark, sf), cell_size=CELL_SIZE)
+    bridge = spatial.area_polygons(dim(spark, sf), stg(spark, sf))
     return bridge
 
 
+def q_spatial_join_mixed(spark, sf):
+    """Polygons of eleven sizes in seven shapes: rectangles, triangles, with
+    holes, overlapping parts, bow-ties, collections, across the antimeridian."""
+    polys = spatial.polygons_from_geojson(B.mixed_polygons(spark, sf), distinct=False, keep=("polygon_id",))
+    return spatial.spatial_join(B.world_points(spark, sf), polys).select("point_id", "polygon_id").distinct()
+
+
+def q_spatial_join_sphere(spark, sf):
+    """Wide boxes whose edges are great-circle arcs, some across the antimeridian."""
+    polys = spatial.polygons_from_geojson(B.wide_polygons(spark, sf), distinct=False, keep=("polygon_id",), geodesic=True)
+    return spatial.spatial_join(B.northern_points(spark, sf), polys).select("point_id", "polygon_id").distinct()
+
+
 def q_assign_cells(spark, sf):
-    return spatial.assign_cells(dim(spark, sf), B.cells(spark, sf), cell_size=CELL_SIZE)
+    return spatial.assign_cells(dim(spark, sf), B.cells(spark, sf))
 
 
 def q_check_containment(spark, sf):
@@ -220,9 +232,20 @@ def q_check_containment(spark, sf):
 
 def q_forecast_by_area(spark, sf):
     s = stg(spark, sf)
-    bridge = spatial.area_polygons(dim(spark, sf), s, cell_size=CELL_SIZE)
-    return spatial.forecast_by_area(s, bridge).select("area_id", "generated_at", "start_time",
-                                                      "temperature_value")
+    bridge = spatial.area_cells(dim(spark, sf), s)
+    return spatial.forecast_by_area(spatial.keyed_by_cell(s), bridge).select("area_id", "generated_at", "start_time",
+                                                                             "temperature_value")
+
+
+def q_forecast_by_area_stored(spark, sf):
+    """J4 on a bucketed table: the stored side is read without a shuffle."""
+    s = stg(spark, sf)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bridge = spatial.area_cells(dim(spark, sf), s)
+    path = scratch_path(spark, "stored_forecast")
+    stored = spatial.store_forecast(s, "stored_forecast_" + path[-32:], path, buckets)
+    return spatial.stored_forecast_by_area(stored, bridge, buckets).select("area_id", "generated_at", "start_time",
+                                                                           "temperature_value")
 
 
 # ------------------------------------------------------- snapshots, marts
@@ -258,8 +281,8 @@ def q_incremental_upsert(spark, sf):
     cut = F.lit("2024-01-16 00:00:00").cast("timestamp")
     s = stg(spark, sf)
     d = dim(spark, sf)
-    old = forecast.forecast_hourly_by_area(s.filter(F.col("extracted_at_ts") < cut), d, CELL_SIZE)
-    new = forecast.forecast_hourly_by_area(s.filter(F.col("extracted_at_ts") >= cut), d, CELL_SIZE)
+    old = forecast.forecast_hourly_by_area(s.filter(F.col("extracted_at_ts") < cut), d)
+    new = forecast.forecast_hourly_by_area(s.filter(F.col("extracted_at_ts") >= cut), d)
     day = F.to_date("start_time")
     # the stored model is a day-partitioned table; the new run is merged into
     # the days it touches, and the result is read back from the table
@@ -294,13 +317,13 @@ def q_climb_score_weighted(spark, sf):
 
 
 def q_daily_score(spark, sf):
-    d = forecast.daily_score_by_area(stg(spark, sf), dim(spark, sf), CELL_SIZE, PARAMS)
+    d = forecast.daily_score_by_area(stg(spark, sf), dim(spark, sf), params=PARAMS)
     return d.select("area_id", "day", _r6("avg_score").alias("avg_score"), _r6("min_score").alias("min_score"),
                     _r6("max_score").alias("max_score"), "n_hours", "n_scored")
 
 
 def _ranking(spark, sf, top_k=None):
-    w = forecast.weekend_ranking_by_area(stg(spark, sf), dim(spark, sf), top_k=top_k, cell_size=CELL_SIZE, params=PARAMS)
+    w = forecast.weekend_ranking_by_area(stg(spark, sf), dim(spark, sf), top_k=top_k, params=PARAMS)
     return w.select("weekend", "parent_id", F.col("rank").cast("long").alias("rank"), "area_id", "area_name",
                     _r6("avg_score").alias("avg_score"), _r6("min_score").alias("min_score"),
                     _r6("max_score").alias("max_score"), "n_hours")
@@ -332,7 +355,7 @@ def q_series_long(spark, sf):
 
 
 def q_series_nested(spark, sf):
-    nested = serve.series_nested_by_area(stg(spark, sf), dim(spark, sf), B.as_of(), CELL_SIZE)
+    nested = serve.series_nested_by_area(stg(spark, sf), dim(spark, sf), B.as_of())
     return serve.series_digest(nested)
 
 
@@ -368,8 +391,8 @@ def q_check_expression(spark, sf):
 
 def q_check_unique(spark, sf):
     s = stg(spark, sf)
-    bridge = spatial.area_polygons(dim(spark, sf), s, cell_size=CELL_SIZE)
-    return checks.check_unique_by_area(s, bridge, ["start_time"])
+    bridge = spatial.area_cells(dim(spark, sf), s)
+    return checks.check_unique_by_area(spatial.keyed_by_cell(s), bridge, ["start_time"])
 
 
 def q_check_unique_fact(spark, sf):
@@ -408,9 +431,9 @@ def q_forecast_accuracy(spark, sf):
 
 
 def _all_snapshots(s, areas):
-    bridge = spatial.area_polygons(areas, s, cell_size=CELL_SIZE)
-    return spatial.forecast_by_area(s.select("geo_json", "generated_at", "start_time", "temperature_value",
-                                             "temperature_unit"), bridge)
+    bridge = spatial.area_cells(areas, s)
+    return spatial.forecast_by_area(spatial.keyed_by_cell(s.select(
+        "geo_json", "generated_at", "start_time", "temperature_value", "temperature_unit")), bridge)
 
 
 def q_stream_ingest(spark, sf):
@@ -450,9 +473,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stage_forecast": q_stage_forecast,
     "parse_wind": q_parse_wind,
     "spatial_join": q_spatial_join,
+    "spatial_join_mixed": q_spatial_join_mixed,
+    "spatial_join_sphere": q_spatial_join_sphere,
     "assign_cells": q_assign_cells,
     "check_containment": q_check_containment,
     "forecast_by_area": q_forecast_by_area,
+    "forecast_by_area_stored": q_forecast_by_area_stored,
     "latest_snapshot": q_latest_snapshot,
     "latest_snapshot_max": q_latest_snapshot_max,
     "forecast_hourly_by_area": q_forecast_hourly_by_area,

@@ -297,6 +297,36 @@ ORACLE["spatial_join"] = _w(f"""{CTE_AREAS}
 SELECT area_id, {_geo('g')} AS geo_json FROM area_cell
 WHERE g IN (SELECT DISTINCT user_id % 25 FROM events)""")
 
+ORACLE["spatial_join_mixed"] = """
+WITH pt AS (
+  SELECT c_custkey AS point_id, ((c_custkey * 7) % 640) / 16.0::DOUBLE - 20 + 1 / 64.0::DOUBLE AS x,
+         ((c_custkey * 13) % 640) / 16.0::DOUBLE - 20 + 1 / 128.0::DOUBLE AS lat FROM customer),
+p AS (SELECT point_id, lat, CASE WHEN point_id % 4 != 0 THEN x WHEN x < 0 THEN x + 180 ELSE x - 180 END AS lng FROM pt),
+g AS (SELECT s_suppkey AS polygon_id, s_suppkey % 7 AS kind, ((s_suppkey * 53) % 320) / 8.0::DOUBLE - 20 AS x0,
+             ((s_suppkey * 29) % 320) / 8.0::DOUBLE - 20 AS y0, pow(2.0::DOUBLE, s_suppkey % 11 - 6) AS w FROM supplier),
+uv AS (SELECT point_id, polygon_id, kind, w, lng, (lng - x0) / w AS u, (lat - y0) / w AS v
+       FROM p JOIN g ON lat > y0 AND lat < y0 + w)
+SELECT point_id, polygon_id FROM uv WHERE CASE kind
+  WHEN 0 THEN u > 0 AND u < 1
+  WHEN 1 THEN u > 0 AND u + v < 1
+  WHEN 2 THEN u > 0 AND u < 1 AND NOT (u >= 0.25 AND u <= 0.75 AND v >= 0.25 AND v <= 0.75)
+  WHEN 3 THEN (u > 0 AND u < 0.75 AND v < 0.75) OR (u > 0.5 AND u < 1 AND v > 0.5)
+  WHEN 4 THEN (u > 0 AND u < least(v, 1 - v)) OR (u < 1 AND u > greatest(v, 1 - v))
+  WHEN 5 THEN abs(u - 0.5) + abs(v - 0.5) < 0.5
+  ELSE lng > 180 - w / 2 OR lng < w / 2 - 180 END"""
+
+# the latitude of the arc between two points of one latitude
+ORACLE["spatial_join_sphere"] = """
+WITH p AS (
+  SELECT c_custkey AS point_id, ((c_custkey * 37) % 5760) / 16.0::DOUBLE - 180 + 1 / 64.0::DOUBLE AS x,
+         40 + ((c_custkey * 11) % 512) / 16.0::DOUBLE + 1 / 128.0::DOUBLE AS lat FROM customer),
+g AS (SELECT s_suppkey AS polygon_id, (s_suppkey * 37) % 280 - 160 AS a, 30 + (s_suppkey % 5) * 10 AS w,
+             40 + s_suppkey % 10 AS y FROM supplier),
+uv AS (SELECT point_id, polygon_id, w, y, lat, CASE WHEN x < a THEN x + 360 - a ELSE x - a END AS u FROM p, g)
+SELECT point_id, polygon_id FROM uv WHERE u > 0 AND u < w
+  AND lat > degrees(atan(tan(radians(y)) * (sin(radians(w - u)) + sin(radians(u))) / sin(radians(w))))
+  AND lat < degrees(atan(tan(radians(y + 10)) * (sin(radians(w - u)) + sin(radians(u))) / sin(radians(w))))"""
+
 ORACLE["assign_cells"] = _w(f"""{CTE_AREAS}
 SELECT area_id, '{B.GRID_ID}' AS grid_id, CAST(g % 5 AS BIGINT) AS grid_x, CAST(g // 5 AS BIGINT) AS grid_y
 FROM area_cell""")
@@ -315,6 +345,8 @@ FROM stg s JOIN area_cell ac ON ac.g = s.g""")
 _LATEST = _w(f"""{ctes_stg()}
 SELECT geo_json, start_time, generated_at, temperature_value, wind_speed_high
 FROM stg QUALIFY row_number() OVER (PARTITION BY g, start_time ORDER BY hr DESC, blk DESC) = 1""")
+ORACLE["forecast_by_area_stored"] = ORACLE["forecast_by_area"]
+
 ORACLE["latest_snapshot"] = _LATEST
 ORACLE["latest_snapshot_max"] = _LATEST
 ORACLE["stream_ingest"] = _LATEST

@@ -41,9 +41,10 @@ def test_bucketed_join_equals_brute_force(spark):
     ptdf = spark.createDataFrame(points, "area_id string, longitude double, latitude double")
 
     polygons = spatial.polygons_from_geojson(pdf, distinct=False, keep=("pid",))
-    for size in (None, 0.5, 3.0):
-        got = spatial.spatial_join(ptdf, polygons, cell_size=size).select("area_id", "pid")
-        got_salted = spatial.spatial_join(ptdf, polygons, cell_size=size, salt=4).select("area_id", "pid")
+    # levels found by a job, or named beforehand (with some that are not used)
+    for levels in (None, range(-6, 4)):
+        got = spatial.spatial_join(ptdf, polygons, levels=levels).select("area_id", "pid")
+        got_salted = spatial.spatial_join(ptdf, polygons, levels=levels, salt=4).select("area_id", "pid")
         # brute force: every pair, the plain ray cast (test fixture only)
         brute = (ptdf.crossJoin(pdf).select("*", rings_from_geojson("geo_json").alias("r"))
                      .filter(point_in_rings("r", "longitude", "latitude"))
@@ -149,7 +150,7 @@ def test_hourly_by_area_overlapping_polygons_matches_brute_force(spark):
     stg = spark.createDataFrame(data, ddl)
     areas = spark.createDataFrame([("a1", 1.5, 1.5), ("a2", 0.5, 0.5), ("a3", 2.5, 2.5), ("a4", 5.0, 5.0)],
                                   "id string, longitude double, latitude double")
-    got = forecast.forecast_hourly_by_area(stg, areas, cell_size=1.0)
+    got = forecast.forecast_hourly_by_area(stg, areas)
     got = sorted((r["area_id"], r["start_time"].hour, r["temperature_value"]) for r in got.collect())
     # brute force: containment on every row, then newest per (area, hour)
     brute = (areas.crossJoin(stg).select("*", rings_from_geojson("geo_json").alias("r"))
@@ -163,15 +164,15 @@ def test_hourly_by_area_overlapping_polygons_matches_brute_force(spark):
     # per-polygon rollup, including the multi-polygon area a1, equals the
     # aggregate of the hourly rows
     stg = stg.fillna({"relative_humidity_value": 30.0, "wind_speed_high": 10.0})
-    daily = forecast.daily_score_by_area(stg, areas, cell_size=1.0)
-    plain = forecast.daily_score(forecast.fact_hourly(forecast.forecast_hourly_by_area(stg, areas, cell_size=1.0)))
+    daily = forecast.daily_score_by_area(stg, areas)
+    plain = forecast.daily_score(forecast.fact_hourly(forecast.forecast_hourly_by_area(stg, areas)))
     cols = ["area_id", "day", "avg_score", "min_score", "max_score", "n_hours", "n_scored"]
     a = sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in daily.select(*cols).collect())
     b = sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in plain.select(*cols).collect())
     assert a == b and len(a) == 3
     as_of = F.lit("2024-01-01 00:00:00").cast("timestamp")
-    fact = forecast.fact_hourly(forecast.forecast_hourly_by_area(stg, areas, cell_size=1.0))
-    x = serve.series_digest(serve.series_nested_by_area(stg, areas, as_of, cell_size=1.0))
+    fact = forecast.fact_hourly(forecast.forecast_hourly_by_area(stg, areas))
+    x = serve.series_digest(serve.series_nested_by_area(stg, areas, as_of))
     y = serve.series_digest(serve.series_nested(fact, as_of))
     assert sorted(map(tuple, x.collect())) == sorted(map(tuple, y.select(*x.columns).collect()))
     assert x.filter("area_id = 'a1'").count() == 6
@@ -179,7 +180,8 @@ def test_hourly_by_area_overlapping_polygons_matches_brute_force(spark):
 
 def test_check_unique_by_area_equals_plain_check(spark):
     s = C.stg(spark, SF001)
-    bridge = spatial.area_polygons(C.dim(spark, SF001), s, cell_size=1.0)
+    bridge = spatial.area_cells(C.dim(spark, SF001), s)
+    s = spatial.keyed_by_cell(s)
     plain = checks.check_unique(spatial.forecast_by_area(s, bridge), ["area_id", "start_time"])
     fast = checks.check_unique_by_area(s, bridge, ["start_time"])
     a = sorted(map(tuple, plain.select("area_id", "start_time", "n_rows").collect()))
@@ -196,14 +198,14 @@ def test_rollups_before_fanout_equal_fact_aggregates(spark):
         return sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in df.select(*cols).collect())
 
     dcols = ["area_id", "day", "avg_score", "min_score", "max_score", "n_hours", "n_scored"]
-    assert rows(forecast.daily_score_by_area(s, d, 1.0), dcols) == rows(forecast.daily_score(f), dcols)
+    assert rows(forecast.daily_score_by_area(s, d), dcols) == rows(forecast.daily_score(f), dcols)
     wcols = ["weekend", "parent_id", "rank", "area_id", "avg_score", "n_hours"]
-    assert rows(forecast.weekend_ranking_by_area(s, d, cell_size=1.0), wcols) == rows(forecast.weekend_ranking(f, d), wcols)
+    assert rows(forecast.weekend_ranking_by_area(s, d), wcols) == rows(forecast.weekend_ranking(f, d), wcols)
 
 
 def test_series_by_polygon_equals_series_from_fact(spark):
     s, d = C.stg(spark, SF001), C.dim(spark, SF001)
-    a = serve.series_digest(serve.series_nested_by_area(s, d, B.as_of(), 1.0))
+    a = serve.series_digest(serve.series_nested_by_area(s, d, B.as_of()))
     b = serve.series_digest(serve.series_nested(C.fact(spark, SF001), B.as_of()))
     ra, rb = sorted(map(tuple, a.collect())), sorted(map(tuple, b.select(*a.columns).collect()))
     assert ra and ra == rb
