@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import path_exists, shared_dir
-from ..sources.tables import overwrite_partitions
+from ..session import shared_dir
+from ..sources import versioned
 
 
 def snapshot_order(generated_col: str = "generated_at", extracted_col: str = "extracted_at_ts") -> list[Column]:
@@ -63,23 +63,40 @@ def incremental_upsert(stored: DataFrame, new_rows: DataFrame, keys: Sequence[st
 
 
 def upsert_partitions(path: str, new_rows: DataFrame, keys: Sequence[str], partition_col: str,
-                      order_by: Sequence[Column] | None = None) -> None:
+                      order_by: Sequence[Column] | None = None, batch: tuple[str, int] | None = None) -> None:
     """D6 on a table partitioned by ``partition_col`` (derived from the keys,
     e.g. the day of ``start_time``): only the partitions that ``new_rows``
     touch are read (their values are a literal filter on the scan) and
-    overwritten; all others keep their files.
-
-    The new rows are cut once with ``checkpoint()``, as they are used twice,
-    and the merged rows before they replace what they were read from. The
-    merge is idempotent: a replayed batch, also after a crash between two
-    partitions, leaves the same table.
+    written anew; all others keep their files.
+
+    The touched partitions change together when the load is complete
+    (:mod:`ridgeline.sources.versioned`): a job that dies before that leaves
+    the table as it was. The merge is idempotent, so a replayed batch leaves
+    the same table; one that is named by ``batch`` is skipped. The new rows
+    are cut with ``checkpoint()`` when a stored table is merged, as they are
+    used twice then.
     """
     spark = new_rows.sparkSession
-    shared_dir(spark)
-    new_rows = latest_per_key(new_rows, keys, order_by).checkpoint(eager=True)
-    values = [r[0] for r in new_rows.select(partition_col).distinct().collect()]  # partitions of one batch
-    merged = new_rows
-    if path_exists(spark, path):
-        stored = spark.read.parquet(path).where(F.col(partition_col).isin(values)).select(*new_rows.columns)
-        merged = latest_per_key(stored.unionByName(new_rows), keys, order_by)
-    overwrite_partitions(merged.checkpoint(eager=True), path, [partition_col])
+    new_rows = latest_per_key(new_rows, keys, order_by)
+    now = versioned.current(spark, path)
+    if now is not None:
+        if batch and now.batches.get(batch[0], -1) >= batch[1]:
+            return
+        shared_dir(spark)
+        new_rows = new_rows.checkpoint(eager=True)
+        values = [r[0] for r in new_rows.select(partition_col).distinct().collect()]  # partitions of one batch
+        stored = versioned.read(spark, path, now).where(F.col(partition_col).isin(values)).select(*new_rows.columns)
+        new_rows = latest_per_key(stored.unionByName(new_rows), keys, order_by)
+    versioned.load(new_rows, path, [partition_col], mode="partitions", batch=batch, base=now)
+
+
+def newest_of(path: str, spark, keys: Sequence[str], order_by: Sequence[Column] | None = None) -> DataFrame:
+    """The newest row per key of a table to which changed rows are appended."""
+    return latest_per_key(versioned.read(spark, path), keys, order_by)
+
+
+def compact(path: str, spark, keys: Sequence[str], partition_by: list[str],
+            order_by: Sequence[Column] | None = None) -> None:
+    """Such a table rewritten with its newest rows alone, as one load."""
+    now = versioned.current(spark, path)
+    versioned.load(latest_per_key(versioned.read(spark, path, now), keys, order_by), path, partition_by, base=now)

@@ -135,7 +135,7 @@ def q_stage_countries(spark, sf):
     table_path = scratch_path(spark, "raw_countries")
     for _ in range(2):
         tables.replace_table(landing.read_country_landing(spark, base), table_path)
-    return staging.stage_countries(spark.read.parquet(table_path))
+    return staging.stage_countries(tables.read_table(spark, table_path))
 
 
 def q_stage_areas(spark, sf):
@@ -273,7 +273,15 @@ def q_publish_fact(spark, sf):
     """The fact as a table: day folders, area-sorted files."""
     f = fact(spark, sf).withColumn("start_day", F.to_date("start_time"))
     t = tables.publish(f, "fact_hourly_forecast_by_area", kind="table", path=scratch_path(spark, "fact"),
-                       partition_by=["start_day"], sort_within=["area_id", "start_time"])
+                       partition_by=["start_day"], sort_within=["area_id", "start_time"], lookup=["area_id"])
+    return t.select("area_id", "start_time", "generated_at", _r6("climb_score").alias("climb_score"))
+
+
+def q_publish_clustered(spark, sf):
+    """The fact laid out along a Z-order curve over area and hour."""
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    laid = tables.clustered(fact(spark, sf), ["area_id"], ["start_time"], files)
+    t = tables.publish(laid, "fact_by_area_and_hour", kind="table", path=scratch_path(spark, "fact"), lookup=["area_id"])
     return t.select("area_id", "start_time", "generated_at", _r6("climb_score").alias("climb_score"))
 
 
@@ -287,10 +295,9 @@ def q_incremental_upsert(spark, sf):
     # the stored model is a day-partitioned table; the new run is merged into
     # the days it touches, and the result is read back from the table
     path = scratch_path(spark, "hourly")
-    tables.publish(old.withColumn("start_day", day), "int_forecast_hourly_by_area", kind="table",
-                   path=path, partition_by=["start_day"], sort_within=["area_id", "start_time"])
-    snapshots.upsert_partitions(path, new.withColumn("start_day", day), ["area_id", "start_time"], "start_day")
-    return spark.read.parquet(path).select("area_id", "start_time", "generated_at", "temperature_value")
+    for rows in (old, new):
+        snapshots.upsert_partitions(path, rows.withColumn("start_day", day), ["area_id", "start_time"], "start_day")
+    return tables.read_table(spark, path).select("area_id", "start_time", "generated_at", "temperature_value")
 
 
 def _scored_stage(spark, sf, variant):
@@ -436,7 +443,7 @@ def _all_snapshots(s, areas):
         "geo_json", "generated_at", "start_time", "temperature_value", "temperature_unit")), bridge)
 
 
-def q_stream_ingest(spark, sf):
+def _streamed(spark, sf, form):
     """Two runs land; the later days first, so that the second ingest meets a
     stored table and only late documents."""
     base = scratch_path(spark, "landing")
@@ -447,11 +454,20 @@ def q_stream_ingest(spark, sf):
     for run, part in (("20240102T000000", F.col("extracted_at_ts") >= cut),
                       ("20240103T000000", F.col("extracted_at_ts") < cut)):
         landing.write_landing(docs.where(part), base, "nws", "ingest_nws_hourly_forecast", run, json_cols=["data"])
-        ingest.run_forecast_stream(spark, base, table_path, ckpt)
-    out = spark.read.parquet(table_path)
+        ingest.run_forecast_stream(spark, base, table_path, ckpt, form=form)
+    out = ingest.read_newest(spark, table_path) if form == "state" else tables.read_table(spark, table_path)
     return out.select("geo_json", "start_time", "generated_at", "temperature_value", "wind_speed_high")
 
 
+def q_stream_ingest(spark, sf):
+    return _streamed(spark, sf, "upsert")
+
+
+def q_stream_newest(spark, sf):
+    """ST3 as a stateful stream: batches append the keys that they change."""
+    return _streamed(spark, sf, "state")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_forecast_docs": q_load_forecast_docs,
     "envelope_roundtrip": q_envelope_roundtrip,
@@ -484,6 +500,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forecast_hourly_by_area": q_forecast_hourly_by_area,
     "fact_hourly": q_fact_hourly,
     "publish_fact": q_publish_fact,
+    "publish_clustered": q_publish_clustered,
     "incremental_upsert": q_incremental_upsert,
     "ramp": q_ramp,
     "climb_score": q_climb_score,
@@ -506,4 +523,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stage_actuals": q_stage_actuals,
     "forecast_accuracy": q_forecast_accuracy,
     "stream_ingest": q_stream_ingest,
+    "stream_newest": q_stream_newest,
 }

@@ -507,3 +507,6 @@ SELECT fu.source,
 FROM fu JOIN act ON act.area_id = fu.area_id AND act.observed_hour = fu.start_time
 LEFT JOIN dim d ON d.id = fu.area_id
 GROUP BY ALL""")
+
+ORACLE["stream_newest"] = ORACLE["stream_ingest"]
+ORACLE["publish_clustered"] = ORACLE["publish_fact"]

@@ -19,6 +19,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # times with statistics in the footer, so that row groups can be skipped
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.ui.enabled": "false",
 }
 
@@ -79,13 +81,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}{sep}ridgeline{sep}{name}-{uuid.uuid4().hex}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists on the file system Spark resolves it on (the
-    default one for a path without a scheme)."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries of a folder; empty when it does not exist."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -9,7 +9,7 @@ from sf_paths import SF001
 from ridgeline.operators import snapshots, staging
 from ridgeline.plans import bindings as B
 from ridgeline.session import scratch_path
-from ridgeline.sources import landing
+from ridgeline.sources import landing, tables, versioned
 from ridgeline.streaming import ingest, run_forecast_stream
 
 COLS = ["geo_json", "start_time", "generated_at", "temperature_value", "wind_speed_high"]
@@ -70,14 +70,14 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark):
                           "r2", json_cols=["data"])
     table, ckpt = scratch_path(spark, "t-table"), scratch_path(spark, "t-ckpt")
     run_forecast_stream(spark, base, table, ckpt)
-    streamed = spark.read.parquet(table).select(*COLS)
+    streamed = tables.read_table(spark, table).select(*COLS)
     batch = snapshots.latest_per_key(staging.stage_forecast(raw), ["geo_json", "start_time"]).select(*COLS)
     a = sorted(map(tuple, streamed.collect()))
     assert a == sorted(map(tuple, batch.collect()))
     # a new run arrives later: only new files are read, the table stays right
     landing.write_landing(raw, base, "nws", "ingest_nws_hourly_forecast", "r3", json_cols=["data"])
     run_forecast_stream(spark, base, table, ckpt)
-    assert sorted(map(tuple, spark.read.parquet(table).select(*COLS).collect())) == a
+    assert sorted(map(tuple, tables.read_table(spark, table).select(*COLS).collect())) == a
 
 
 def _one_doc(hour, generated, temp):
@@ -87,7 +87,8 @@ def _one_doc(hour, generated, temp):
                             "shortForecast": "[Patchy] fog"}]}})
 
 
-def test_stream_adds_late_documents_and_survives_a_repeat(spark):
+@pytest.mark.parametrize("form", ["upsert", "state"])
+def test_stream_adds_late_documents_and_survives_a_repeat(spark, form):
     """A run that is ten days older than the table still adds its hours, a
     newer snapshot replaces an hour, an older one does not, and landing a run
     again changes nothing."""
@@ -102,16 +103,21 @@ def test_stream_adds_late_documents_and_survives_a_repeat(spark):
         df = spark.createDataFrame(rows, "data string, at string").select(
             "data", F.col("at").cast("timestamp").alias("extracted_at_ts"))
         landing.write_landing(df, base, "nws", "ingest_nws_hourly_forecast", run, json_cols=["data"])
-        ingest.run_forecast_stream(spark, base, table, ckpt)
-    got = spark.read.parquet(table).orderBy("start_time").collect()
+        ingest.run_forecast_stream(spark, base, table, ckpt, form=form)
+    read = ingest.read_newest if form == "state" else tables.read_table
+    got = read(spark, table).orderBy("start_time").collect()
     assert [(str(r.start_time), r.temperature_value) for r in got] == [
         ("2024-01-10 05:00:00", 40.0), ("2024-01-20 05:00:00", 55.0)]
     assert {r.short_forecast for r in got} == {"[Patchy] fog"}
+    if form == "state":  # a batch appends what it touched; older days keep their files
+        assert len(versioned.current(spark, table).loads()) == len(runs)
+        snapshots.compact(table, spark, ingest.KEYS, ["start_day"])
+        assert read(spark, table).orderBy("start_time").collect() == got
+        assert len(versioned.current(spark, table).loads()) == 1
 
 
 def test_upsert_reads_the_touched_partitions_only(spark):
     path = scratch_path(spark, "upsert-table")
-    schema = "k long, day date, generated_at string, extracted_at_ts timestamp, v long"
 
     def rows(*r):
         return spark.createDataFrame(r, "k long, day string, generated_at string, extracted_at_ts string, v long") \
@@ -119,11 +125,11 @@ def test_upsert_reads_the_touched_partitions_only(spark):
 
     snapshots.upsert_partitions(path, rows((1, "2024-01-01", "2024-01-01", "2024-01-01", 1),
                                            (2, "2024-01-02", "2024-01-01", "2024-01-01", 1)), ["k", "day"], "day")
-    before = {f for f in spark.read.parquet(path).inputFiles() if "2024-01-01" in f}
+    before = {f for f in tables.read_table(spark, path).inputFiles() if "2024-01-01" in f}
     for _ in range(2):
         snapshots.upsert_partitions(path, rows((2, "2024-01-02", "2024-01-03", "2024-01-03", 2),
                                                (3, "2024-01-02", "2024-01-03", "2024-01-03", 3)), ["k", "day"], "day")
-        got = spark.read.schema(schema).parquet(path)
+        got = tables.read_table(spark, path)
         assert sorted((r.k, r.v) for r in got.collect()) == [(1, 1), (2, 2), (3, 3)]
         assert before == {f for f in got.inputFiles() if "2024-01-01" in f}
 
