@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -54,3 +54,30 @@ def check_unique_by_area(forecast: DataFrame, bridge: DataFrame, keys: Sequence[
     fanned = forecast_by_area(per_cell, bridge.select("area_id", on), on=(on,))
     return (fanned.groupBy("area_id", *keys).agg(F.sum("_n").alias("n_rows"))
                   .filter(F.col("n_rows") > 1))
+
+
+def required(cols: Sequence[str]) -> dict[str, Column]:
+    """DQ1/DQ2/DQ5 as rules for :func:`observed`: one per column."""
+    return {f"required:{c}": F.col(c).isNull() for c in cols}
+
+
+def holds(name: str, expr: Column, null_fails: bool = False) -> dict[str, Column]:
+    """DQ3 as a rule: rows where ``NOT expr`` (a NULL passes unless ``null_fails``)."""
+    bad = ~expr
+    return {f"expression:{name}": (bad | expr.isNull()) if null_fails else F.coalesce(bad, F.lit(False))}
+
+
+def observed(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    """DQ1-DQ3, DQ5 in the pass that writes a table: ``df`` unchanged, and the
+    counts of its rows (``rows``) and of those that fail each rule, which are
+    there when an action on it (the write) is over. All rules cost one scan;
+    :func:`failing` gives the rows, when a count asks for them."""
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("rows"), *(F.count(F.when(bad, 1)).alias(name) for name, bad in rules.items())]
+    return df.observe(seen, *counts), seen
+
+
+def failing(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """The rows that fail a rule, with ``rules``: the names of those they fail."""
+    names = F.filter(F.array(*(F.when(bad, F.lit(name)) for name, bad in rules.items())), lambda x: x.isNotNull())
+    return df.withColumn("rules", names).filter(F.size("rules") > 0)

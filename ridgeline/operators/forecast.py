@@ -229,20 +229,20 @@ def rank_weekends(wk: DataFrame, dim: DataFrame, top_k: int | None = None, leave
 
 # Miles per hour in one of each unit. The staged unit is the
 # trailing letters of the wind text, so "km/h" arrives as "h".
-MPH = {"h": 1 / 1.609344, "mph": 1.0, "mi/h": 1.0, "km/h": 1 / 1.609344, "kmh": 1 / 1.609344, "kph": 1 / 1.609344,
+MPH = {"h": 1 / 1.609344, "mph": 1.0, "mi/h": 1.0, "mp/h": 1.0, "km/h": 1 / 1.609344, "kmh": 1 / 1.609344, "kph": 1 / 1.609344,
        "m/s": 3600 / 1609.344, "kt": 1852 / 1609.344, "kn": 1852 / 1609.344, "knots": 1852 / 1609.344}
 
 
 def celsius(value: str = "temperature_value", unit: str = "temperature_unit"):
     """A reading in degrees C; NULL when its unit is neither F nor C."""
-    u = F.lower(F.regexp_replace(unit, "^wmoUnit:deg", ""))
+    u = F.lower(F.regexp_replace(unit, "^(wmoUnit:deg|°)", ""))
     return F.when(u == "f", (F.col(value) - 32) * 5 / 9).when(u == "c", F.col(value))
 
 
 def standardize_units(df: DataFrame) -> DataFrame:
     """Temperature to degrees C and wind speed to mph, units relabelled.
     A unit that is not known keeps its value and its label."""
-    known_t = F.lower(F.regexp_replace("temperature_unit", "^wmoUnit:deg", "")).isin("f", "c")
+    known_t = F.lower(F.regexp_replace("temperature_unit", "^(wmoUnit:deg|°)", "")).isin("f", "c")
     factor = F.element_at(F.create_map(*(F.lit(x) for pair in MPH.items() for x in pair)),
                           F.lower("wind_speed_unit"))
     out = df.withColumns({

@@ -39,6 +39,23 @@ def series_long(fact: DataFrame, as_of: Column, area_id: str | None = None) -> D
         "area_id", "metric", "label", F.lit(SERIES_SOURCE).alias("source"), "unit", "t", "v")
 
 
+def line_name(label: str = "label", source: str = "source") -> Column:
+    """F-C5: the name of a chart line: its label, without one its source."""
+    return F.coalesce(F.col(label), F.col(source))
+
+
+def series_by_source(union: DataFrame, as_of: Column) -> DataFrame:
+    """V2 over the union of sources (D1): a line per (area, metric, source),
+    in long form. A metric that has one line per source carries no label; the
+    two wind lines do. ``line`` is the name that a chart shows."""
+    r = union.filter(F.col("start_time") > as_of - F.make_interval(hours=F.lit(1)))
+    label = {lbl: F.lit(lbl) if m == "wind_speed" else F.lit(None).cast("string") for m, lbl, _, _ in METRICS}
+    specs = F.array(*[F.struct(F.lit(m).alias("metric"), label[lbl].alias("label"), F.col(v).cast("double").alias("v"),
+                               F.col(u).alias("unit")) for m, lbl, v, u in METRICS])
+    return r.select("area_id", "source", F.col("start_time").alias("t"), F.inline(specs)).select(
+        "area_id", "metric", "label", "source", line_name().alias("line"), "unit", "t", "v")
+
+
 def series_nested(fact: DataFrame, as_of: Column, area_id: str | None = None) -> DataFrame:
     """V2 + A2: per (area, metric line) the unit of the latest hour and the
     points newest first.

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.text import json_scalar_sql, wind_sql
+from ..functions.text import iso_utc, json_scalar_sql, wind_sql
 from ..sources.landing import json_mode
 
 
@@ -75,6 +75,38 @@ def stage_forecast(raw: DataFrame, strict: bool = True) -> DataFrame:
                  "_wind.unit AS wind_speed_unit", "wind_direction", "short_forecast")
 
 
+def stage_point_forecast(raw: DataFrame, strict: bool = True) -> DataFrame:
+    """Point forecasts ``(area_id, data, extracted_at_ts)`` of the second
+    source to hourly rows per area. A document holds parallel arrays, one per
+    measure, which are zipped and unnested; units stand beside them. It has
+    neither a polygon nor a time of its own making: it belongs to the area it
+    was asked for, and counts as made when it was extracted. Arrays of unlike
+    length fail the job, or with ``strict=False`` are filled with NULL."""
+    names = schemas._HOURLY
+    doc = raw.select("area_id", "extracted_at_ts",
+                     F.from_json("data", schemas.POINT_FORECAST_DOC, json_mode(strict)).alias("doc"))
+    h, u = F.col("doc.hourly"), F.col("doc.hourly_units")
+    zipped = F.arrays_zip(h["time"].alias("time"), *(F.coalesce(h[c], F.array().cast("array<double>")).alias(c) for c in names))
+    if strict:
+        unlike = F.exists(F.array(*(F.coalesce(F.size(h[c]), F.lit(0)) for c in names)),
+                          lambda n: (n != 0) & (n != F.size(h["time"])))
+        zipped = F.when(unlike, F.raise_error(F.lit("arrays of unlike length in a point forecast"))).otherwise(zipped)
+    rows = doc.select("area_id", "extracted_at_ts", F.col("doc.elevation").alias("elevation_value"), u.alias("u"),
+                      F.explode(zipped).alias("p"))
+    start = F.expr(_cast_sql("p.time", "TIMESTAMP", strict))
+    return rows.select(
+        "area_id", "extracted_at_ts", iso_utc(F.col("extracted_at_ts"), True).alias("generated_at"), "elevation_value",
+        start.alias("start_time"), (start + F.expr("INTERVAL 1 HOUR")).alias("end_time"),
+        F.col("p.temperature_2m").alias("temperature_value"), F.col("u.temperature_2m").alias("temperature_unit"),
+        F.col("p.precipitation_probability").alias("precipitation_probability_value"),
+        F.col("u.precipitation_probability").alias("precipitation_probability_unit"),
+        F.col("p.dew_point_2m").alias("dewpoint_value"), F.col("u.dew_point_2m").alias("dewpoint_unit"),
+        F.col("p.relative_humidity_2m").alias("relative_humidity_value"),
+        F.col("u.relative_humidity_2m").alias("relative_humidity_unit"),
+        F.col("p.wind_speed_10m").alias("wind_speed_low"), F.col("p.wind_speed_10m").alias("wind_speed_high"),
+        F.col("u.wind_speed_10m").alias("wind_speed_unit"))
+
+
 def stage_countries(raw: DataFrame) -> DataFrame:
     """``areaName`` as ``country`` (names match case-insensitively)."""
     return raw.select(F.col("areaname").alias("country"))

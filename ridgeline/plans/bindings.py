@@ -231,6 +231,38 @@ def raw_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.when(F.col("event_id") % 2 == 0, "F").otherwise("C").alias("temperature_unit"))
 
 
+def raw_point_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second source in its own shape, ``(area_id, data, extracted_at_ts)``:
+    the events of its types as point forecasts of area ``C{user_id}``, one
+    document per (user, hour of ``ts``, block of 24 event ids), measures in
+    parallel arrays and units by the user's id."""
+    ev = _events(spark, sf_dir, SOURCE_B_TYPES)
+    eid = F.col("event_id")
+    hr = F.date_trunc("hour", "ts")
+    hour = F.date_trunc("day", hr) + F.make_interval(hours=(eid % N_SLOTS).cast("int"))
+    reading = F.struct((eid % N_SLOTS).alias("slot"), eid.alias("event_id"), F.date_format(hour, "yyyy-MM-dd'T'HH:mm").alias("time"),
+                       F.col("value").alias("t"), F.get_json_object("props", "$.k").cast("double").alias("h"),
+                       F.when(eid % 7 == 0, F.lit(None)).otherwise(eid % 101).cast("double").alias("p"),
+                       (eid % 20).cast("double").alias("w"))
+    docs = ev.groupBy("user_id", hr.alias("hr"), F.floor(eid / N_SLOTS).alias("blk")).agg(
+        F.sort_array(F.collect_list(reading)).alias("r"))
+
+    def each(c):
+        return F.transform("r", lambda x: x[c])
+    fahrenheit, unit = F.col("user_id") % 2 == 0, F.element_at(F.array(*map(F.lit, ("km/h", "m/s", "mp/h"))),
+                                                               (F.col("user_id") % 3 + 1).cast("int"))
+    degree = F.when(fahrenheit, "°F").otherwise("°C")
+    data = F.struct(
+        (F.col("user_id") * F.lit(0.5)).alias("elevation"),
+        F.struct(each("time").alias("time"), each("t").alias("temperature_2m"), each("h").alias("relative_humidity_2m"),
+                 each("p").alias("precipitation_probability"), each("w").alias("wind_speed_10m")).alias("hourly"),
+        F.struct(degree.alias("temperature_2m"), F.lit("%").alias("relative_humidity_2m"),
+                 F.lit("%").alias("precipitation_probability"), unit.alias("wind_speed_10m")).alias("hourly_units"))
+    return docs.select(F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("area_id"),
+                       F.to_json(data, {"ignoreNullFields": "false"}).alias("data"),
+                       F.timestamp_millis(F.unix_millis("hr") + 3_600_000 + F.col("blk")).alias("extracted_at_ts"))
+
+
 # Vertices of the shapes of the mixed polygons, in parts of their width from
 # their corner; the last kind is a box across the antimeridian.
 SHAPES = (

@@ -420,6 +420,63 @@ def q_forecast_union(spark, sf):
     return u.select("source", "area_id", "start_time", "generated_at", "temperature_value")
 
 
+def second_source(spark, sf):
+    return staging.stage_point_forecast(B.raw_point_forecasts(spark, sf))
+
+
+def _unlike_sources(spark, sf):
+    """D1 over two shapes: what a source lacks is NULL."""
+    return accuracy.forecast_union({"source_a": hourly(spark, sf, B.SOURCE_A_TYPES), "points": second_source(spark, sf)})
+
+
+def q_stage_point_forecast(spark, sf):
+    s = second_source(spark, sf)
+    return s.select("area_id", "generated_at", "start_time", "elevation_value", "temperature_value", "temperature_unit",
+                    "precipitation_probability_value", "relative_humidity_value", "dewpoint_value", "wind_speed_high",
+                    "wind_speed_unit")
+
+
+def q_forecast_union_shapes(spark, sf):
+    """D1 + D7: two sources of unlike shapes in one table and one set of units."""
+    u = forecast.standardize_units(_unlike_sources(spark, sf))
+    return u.select("source", "area_id", "start_time", "generated_at", "valid_period", "short_forecast",
+                    _r6("temperature_value").alias("temperature_value"), "temperature_unit", "dewpoint_value",
+                    _r6("wind_speed_high").alias("wind_speed_high"), "wind_speed_unit")
+
+
+def q_series_by_source(spark, sf):
+    return serve.series_by_source(_unlike_sources(spark, sf), B.as_of())
+
+
+def q_check_not_null_by_area_planted(spark, sf):
+    """DQ5 with planted rows: every 97th event has no temperature."""
+    h = forecast.forecast_hourly_by_area(stg(spark, sf, plant_bad=True), dim(spark, sf))
+    return checks.check_not_null(h, ["area_id", "start_time", "temperature_value"]).select("area_id", "start_time")
+
+
+def q_checks_in_one_pass(spark, sf):
+    """DQ1-DQ3, DQ5 for the four landings and two models: the counts are
+    observed while each table is written, one scan per table."""
+    areas, docs = B.raw_areas(spark, sf, plant_bad=True), B.raw_forecast_docs(spark, sf)
+    staged = stg_areas(spark, sf, plant_bad=True)
+    own_last = F.try_element_at("ancestors", F.lit(-1)) == F.col("id")
+    loads = {
+        "areas": (areas, checks.required(schemas.REQUIRED["raw_graph_ql_areas"])),
+        "countries": (B.raw_countries(spark, sf), checks.required(schemas.REQUIRED["raw_graph_ql_countries"])),
+        "gridpoints": (B.raw_gridpoints(spark, sf).drop("run_day"),
+                       checks.required(["area_id", "grid_id", "grid_x", "grid_y"])),
+        "forecasts": (docs, checks.required(schemas.REQUIRED["raw_nws"])),
+        "staged_areas": (staged, checks.required(["id"]) | checks.holds("last ancestor", own_last)),
+        "staged_forecast": (stg(spark, sf, plant_bad=True), checks.required(["start_time", "temperature_value"])),
+    }
+    out = []
+    for name, (df, rules) in loads.items():
+        df, seen = checks.observed(df, rules)
+        tables.append_table(df, scratch_path(spark, f"checked-{name}"))
+        out += [(name, rule, int(n)) for rule, n in seen.get.items()]
+    return spark.createDataFrame(out, "table_name string, rule string, n long")
+
+
 def q_stage_actuals(spark, sf):
     a = accuracy.stage_actuals(B.raw_actuals(spark, sf))
     return a.select("area_id", "observed_hour", _r6("temperature_value").alias("temperature_value"), "n_readings")
@@ -520,6 +577,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_unique": q_check_unique,
     "check_unique_fact": q_check_unique_fact,
     "forecast_union": q_forecast_union,
+    "stage_point_forecast": q_stage_point_forecast,
+    "forecast_union_shapes": q_forecast_union_shapes,
+    "series_by_source": q_series_by_source,
+    "check_not_null_by_area_planted": q_check_not_null_by_area_planted,
+    "checks_in_one_pass": q_checks_in_one_pass,
     "stage_actuals": q_stage_actuals,
     "forecast_accuracy": q_forecast_accuracy,
     "stream_ingest": q_stream_ingest,

@@ -510,3 +510,75 @@ GROUP BY ALL""")
 
 ORACLE["stream_newest"] = ORACLE["stream_ingest"]
 ORACLE["publish_clustered"] = ORACLE["publish_fact"]
+
+_POINTS = f"""
+points AS (
+  SELECT 'C' || user_id AS area_id, hr + INTERVAL 1 HOUR + to_milliseconds(event_id // 24) AS extracted_at_ts,
+         date_trunc('day', hr) + to_hours(event_id % 24) AS start_time, user_id * {_d(0.5)} AS elevation_value,
+         value AS temperature_value, CASE WHEN user_id % 2 = 0 THEN '°F' ELSE '°C' END AS temperature_unit,
+         CAST(CASE WHEN event_id % 7 = 0 THEN NULL ELSE event_id % 101 END AS DOUBLE) AS precipitation_probability_value,
+         '%' AS precipitation_probability_unit, CAST(NULL AS DOUBLE) AS dewpoint_value, CAST(NULL AS VARCHAR) AS dewpoint_unit,
+         CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) AS DOUBLE) AS relative_humidity_value,
+         '%' AS relative_humidity_unit, CAST(event_id % 20 AS DOUBLE) AS wind_speed_low,
+         CAST(event_id % 20 AS DOUBLE) AS wind_speed_high,
+         CASE user_id % 3 WHEN 0 THEN 'km/h' WHEN 1 THEN 'm/s' ELSE 'mp/h' END AS wind_speed_unit
+  FROM (SELECT *, date_trunc('hour', ts) AS hr FROM events {_types(B.SOURCE_B_TYPES)})
+)"""
+
+ORACLE["stage_point_forecast"] = _w(f"""{_POINTS}
+SELECT area_id, strftime(extracted_at_ts, {ISO}) AS generated_at, start_time, elevation_value, temperature_value,
+       temperature_unit, precipitation_probability_value, relative_humidity_value, dewpoint_value, wind_speed_high,
+       wind_speed_unit FROM points""")
+
+ORACLE["forecast_union_shapes"] = _w(f"""{CTE_AREAS},
+{ctes_hourly(B.SOURCE_A_TYPES)},
+{_POINTS.strip()}
+SELECT 'source_a' AS source, area_id, start_time, generated_at, valid_period, short_forecast,
+       round((temperature_value - 32) * 5 / 9, 6) AS temperature_value, 'C' AS temperature_unit, dewpoint_value,
+       round(wind_speed_high, 6) AS wind_speed_high, wind_speed_unit FROM hourly
+UNION ALL
+SELECT 'points', area_id, start_time, strftime(extracted_at_ts, {ISO}), NULL, NULL,
+       round(CASE temperature_unit WHEN '°F' THEN (temperature_value - 32) * 5 / 9 ELSE temperature_value END, 6), 'C',
+       dewpoint_value, round(wind_speed_high * CASE wind_speed_unit WHEN 'km/h' THEN {_d(1 / 1.609344)}
+         WHEN 'm/s' THEN {_d(3600 / 1609.344)} ELSE 1 END, 6), 'mph' FROM points""")
+
+ORACLE["series_by_source"] = _w(f"""{CTE_AREAS},
+{ctes_hourly(B.SOURCE_A_TYPES)},
+{_POINTS.strip()},
+both_sources AS (
+  SELECT 'source_a' AS source, area_id, start_time, {', '.join(dict.fromkeys(c for _, _, v, u in METRICS for c in (v, u)))} FROM hourly
+  UNION ALL
+  SELECT 'points', area_id, start_time, {', '.join(dict.fromkeys(c for _, _, v, u in METRICS for c in (v, u)))} FROM points),
+rec AS (SELECT * FROM both_sources WHERE start_time > {AS_OF} - INTERVAL 1 HOUR)
+""" + " UNION ALL ".join(
+    f"SELECT area_id, '{m}' AS metric, {repr(lbl) if m == 'wind_speed' else 'CAST(NULL AS VARCHAR)'} AS label, source, "
+    f"{repr(lbl) if m == 'wind_speed' else 'source'} AS line, {u} AS unit, start_time AS t, CAST({v} AS DOUBLE) AS v FROM rec"
+    for m, lbl, v, u in METRICS))
+
+ORACLE["check_not_null_by_area_planted"] = _w(f"""{CTE_AREAS},
+{ctes_stg(plant_bad=True)},
+latest AS (SELECT * FROM stg QUALIFY row_number() OVER (PARTITION BY g, start_time ORDER BY hr DESC, blk DESC) = 1)
+SELECT ac.area_id, l.start_time FROM latest l JOIN area_cell ac ON ac.g = l.g WHERE l.temperature_value IS NULL""")
+
+ORACLE["checks_in_one_pass"] = """
+WITH areas AS (SELECT (SELECT count(*) FROM region) + (SELECT count(*) FROM nation) + (SELECT count(*) FROM customer) AS n),
+again AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events),
+c AS (
+  SELECT 'areas' AS table_name, 'rows' AS rule, n FROM areas
+  UNION ALL SELECT 'areas', unnest(['required:uuid', 'required:area_name', 'required:areaName']), 0
+  UNION ALL SELECT 'areas', 'required:metadata', count(*) FROM customer WHERE c_custkey % 89 = 0
+  UNION ALL SELECT 'countries', 'rows', count(*) FROM region
+  UNION ALL SELECT 'countries', 'required:areaName', 0
+  UNION ALL SELECT 'gridpoints', 'rows', 2 * (SELECT count(*) FROM customer)
+                   + (SELECT count(*) FROM again JOIN customer ON c_custkey = user_id)
+  UNION ALL SELECT 'gridpoints', unnest(['required:area_id', 'required:grid_id', 'required:grid_x', 'required:grid_y']), 0
+  UNION ALL SELECT 'forecasts', 'rows', count(*) FROM (
+    SELECT DISTINCT user_id % 25, date_trunc('hour', ts), event_id // 24 FROM events)
+  UNION ALL SELECT 'forecasts', unnest(['required:data', 'required:extracted_at_ts']), 0
+  UNION ALL SELECT 'staged_areas', 'rows', n FROM areas
+  UNION ALL SELECT 'staged_areas', 'required:id', 0
+  UNION ALL SELECT 'staged_areas', 'expression:last ancestor', count(*) FROM customer WHERE c_custkey % 83 = 0
+  UNION ALL SELECT 'staged_forecast', 'rows', count(*) FROM events
+  UNION ALL SELECT 'staged_forecast', 'required:start_time', 0
+  UNION ALL SELECT 'staged_forecast', 'required:temperature_value', count(*) FROM events WHERE event_id % 97 = 0)
+SELECT table_name, rule, CAST(n AS BIGINT) AS n FROM c"""

@@ -33,6 +33,14 @@ FORECAST_DOC = (
     f"elevation:{_VALUE_UNIT},periods:array<{PERIOD}>>>"
 )
 
+# A point forecast of the second source: one array per measure beside the array
+# of times, and the unit of each measure.
+_HOURLY = ("temperature_2m", "relative_humidity_2m", "precipitation_probability", "dew_point_2m", "wind_speed_10m")
+POINT_FORECAST_DOC = (
+    "struct<elevation:double,hourly:struct<time:array<string>," + ",".join(f"{c}:array<double>" for c in _HOURLY)
+    + ">,hourly_units:struct<" + ",".join(f"{c}:string" for c in _HOURLY) + ">>"
+)
+
 AREA_METADATA = "struct<lat:variant,lng:variant,leaf:variant>"
 AREA_CHILD = "struct<area_name:string,uuid:string>"
 GRIDPOINT_RESPONSE = "struct<properties:struct<gridId:string,gridX:long,gridY:long>>"
