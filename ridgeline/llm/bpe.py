@@ -120,3 +120,10 @@ class Memo:
         if len(self.young) >= self.size:
             self.old, self.young = self.young, {}
         self.young[key] = value
+
+    def put_all(self, entries: dict) -> None:
+        """The entries of one step; the young generation may exceed its size
+        by them."""
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young.update(entries)

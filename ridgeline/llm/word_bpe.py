@@ -25,9 +25,9 @@ from ridgeline.llm.bpe import Ends, Memo, Suffixes, TokenStates
 from ridgeline.llm.common import map_batches
 
 MODEL = "word_bpe_49k.json"
-# entries of about 200 bytes, two generations each
-MEMO_CHUNKS = 500_000
-MEMO_WORDS = 500_000
+# entries of about 250 bytes, two generations each; both hold the same codes
+MEMO_CHUNKS = 600_000
+MEMO_WORDS = 600_000
 MEMO_CHARS = 64
 # A trie branch per symbol costs memory; longer words walk a branch of their own.
 TRIE_SYMBOLS = 256
@@ -44,6 +44,10 @@ PLAIN_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LATIN}]+|[0-9]|[^a-z0-9{
 SHARED_CHARS = 4 << 20
 
 
+# ids as little-endian uint32, and the decoded text with a blank before every token
+Coded = tuple[bytes, bytes]
+
+
 class TrieCodec:
     """Encodes and decodes as the model file's own library does."""
 
@@ -68,12 +72,13 @@ class TrieCodec:
         self.automaton = Suffixes([*inner, *final])
         self.inner, self.final = Ends(self.automaton, inner), Ends(self.automaton, final)
         self.length = [len(t.removesuffix(self.end)) for t in self.states.names]
-        self.ids = [self.vocab[t] for t in self.states.names]
+        self.packed = [struct.pack("<I", self.vocab[t]) for t in self.states.names]
+        self.spaced = [b" " + t.encode() for t in self.states.names]
         self.token = {i: t for t, i in self.vocab.items()}
         self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
         if any(a["lstrip"] or a["rstrip"] or a["single_word"] or a["normalized"] for a in spec["added_tokens"]):
             raise ValueError("added tokens that look beyond their own text are not supported")
-        self.marks = {" " + c: struct.pack("<I", i) for c, i in self.special.items()}
+        self.marks = {" " + c: (struct.pack("<I", i), b" " + c.encode()) for c, i in self.special.items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") \
             if self.special else None
         self.normal, self.words = tok.normalizer, tok.pre_tokenizer
@@ -93,9 +98,9 @@ class TrieCodec:
             return out
         return list(token)
 
-    def walk(self, words: set[str]) -> dict[str, bytes]:
-        """The ids (little-endian uint32) of distinct words in the model's byte alphabet."""
-        out: dict[str, bytes] = {}
+    def walk(self, words: set[str]) -> dict[str, Coded]:
+        """The codes of distinct words in the model's byte alphabet."""
+        out: dict[str, Coded] = {}
         trie: dict = {}
         for w in words:
             node = trie
@@ -105,29 +110,37 @@ class TrieCodec:
             for c in w:
                 node = node.setdefault(c, {})
             node[""] = w
-        # depth first; last holds the states along the path to the node
+        # depth first; last holds the states along the path to the node. The
+        # test of TokenStates.follow stands in the loop: it is most of the work
         last = [-1] * (TRIE_SYMBOLS + 1)
-        moves, move, ends, follow = self.automaton.moves, self.automaton.move, self.inner.at, self.states.follow
+        moves, move, at, found = self.automaton.moves, self.automaton.move, self.inner.at, self.inner.found
+        known, base, stable = self.states.pairs, self.states.base, self.states.stable
         todo = [(0, 0, trie)]
+        push, pull = todo.append, todo.pop
         while todo:
-            depth, state, node = todo.pop()
-            word = node.pop("", None)
-            if word:
-                out[word] = self._finish(depth, state, last)
-            if not node:
-                continue
+            depth, state, node = pull()
+            if "" in node:
+                out[node.pop("")] = self._finish(depth, state, last)
+                if not node:
+                    continue
             if depth:
-                for n, token in ends(state):
-                    if follow(last[depth - n], token):
-                        last[depth] = token
-                        break
+                for n, token in found.get(state) or at(state):
+                    prev = last[depth - n]
+                    if prev >= 0:
+                        key = prev * base + token
+                        ok = known.get(key)
+                        if not (stable(key) if ok is None else ok):
+                            continue
+                    last[depth] = token
+                    break
             step = moves[state]
+            depth += 1
             for c, inner in node.items():
                 to = step.get(c)
-                todo.append((depth + 1, move(state, c) if to is None else to, inner))
+                push((depth, move(state, c) if to is None else to, inner))
         return out
 
-    def _branch(self, word: str, out: dict[str, bytes]) -> None:
+    def _branch(self, word: str, out: dict[str, Coded]) -> None:
         """A very long word: a trie of one branch, walked symbol by symbol."""
         last, state = [-1], 0
         for depth, c in enumerate(word, 1):
@@ -136,18 +149,26 @@ class TrieCodec:
             last.append(next(t for n, t in self.inner.at(state) if self.states.follow(last[depth - n], t)))
         out[word] = self._finish(len(word), state, last)
 
-    def _finish(self, end: int, state: int, last: list[int]) -> bytes:
+    def _finish(self, end: int, state: int, last: list[int]) -> Coded:
         """The last step of a word, with the end mark, then back along the states."""
-        follow, ids, length = self.states.follow, self.ids, self.length
-        token = next(t for n, t in self.final.at(state) if follow(last[end - n], t))
-        out = [ids[token]]
+        known, base, stable, packed, length = (self.states.pairs, self.states.base, self.states.stable, self.packed,
+                                               self.length)
+        for n, token in self.final.found.get(state) or self.final.at(state):
+            prev = last[end - n]
+            if prev >= 0:
+                key = prev * base + token
+                ok = known.get(key)
+                if not (stable(key) if ok is None else ok):
+                    continue
+            break
+        out = [token]
         end -= length[token]
         while end > 0:
             token = last[end]
-            out.append(ids[token])
+            out.append(token)
             end -= length[token]
         out.reverse()
-        return struct.pack(f"<{len(out)}I", *out)
+        return b"".join([packed[t] for t in out]), b"".join([self.spaced[t] for t in out])
 
     def _parts(self, chunk: str) -> list[str]:
         """Words (byte alphabet) of one chunk; special tokens are words whose
@@ -164,33 +185,37 @@ class TrieCodec:
                 out.extend(w for w, _ in self.words.pre_tokenize_str(self.normal.normalize_str(piece)))
         return out
 
-    def learn(self, chunks: list[str]) -> dict[str, bytes]:
-        """The ids of distinct chunks; only words not met lately are walked."""
+    def learn(self, chunks: list[str]) -> dict[str, Coded]:
+        """The codes of distinct chunks; only words not met lately are walked."""
         parts = {c: self._parts(c) for c in chunks}
-        get = self.coded.get
-        coded = {w: self.marks.get(w) or get(w) for w in set().union(*parts.values())}
-        gc.disable()  # a trie is many small dicts without cycles
-        try:
-            fresh = self.walk({w for w, v in coded.items() if v is None})
-        finally:
-            gc.enable()
-        for w, v in fresh.items():
-            coded[w] = v
-            if len(w) <= MEMO_CHARS:
-                self.coded.put(w, v)
-        return {c: b"".join([coded[w] for w in p]) for c, p in parts.items()}
-
-    def texts(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text as little-endian uint32."""
+        young, get, marks = self.coded.young, self.coded.get, self.marks
+        coded = {w: young.get(w) or marks.get(w) or get(w) for w in set().union(*parts.values())}
+        fresh = self.walk({w for w, v in coded.items() if v is None})
+        coded |= fresh
+        self.coded.put_all({w: v for w, v in fresh.items() if len(w) <= MEMO_CHARS})
+        out = {}
+        for c, p in parts.items():
+            if len(p) == 1:
+                out[c] = coded[p[0]]
+            else:
+                found = [coded[w] for w in p]
+                out[c] = b"".join([i for i, _ in found]), b"".join([d for _, d in found])
+        return out
+
+    def texts(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
+        """Of each text its ids as little-endian uint32 and its decoded text in
+        UTF-8 (the model has no decoder, so the library joins the tokens' texts
+        with one blank): both are joins of what its chunks give."""
         split = [CHUNKS.split(t) for t in texts]
-        get = self.memo.get
-        known = {c: get(c) for c in set().union(*split)}
-        for c, v in self.learn([c for c, v in known.items() if v is None]).items():
-            known[c] = v
-            if len(c) <= MEMO_CHARS:
-                self.memo.put(c, v)
+        young, get = self.memo.young, self.memo.get
+        known = {c: get(c) for c in set().union(*split) if c not in young}
+        fresh = self.learn([c for c, v in known.items() if v is None])
+        known |= fresh
+        self.memo.put_all({c: v for c, v in fresh.items() if len(c) <= MEMO_CHARS})
+        near = young.get
         for s in split:
-            yield b"".join([known[c] for c in s])
+            found = [near(c) or known[c] for c in s]
+            yield b"".join([i for i, _ in found]), b"".join([d for _, d in found])[1:]
 
     def decode(self, ids: bytes) -> bytes:
         """The decoded text in UTF-8: the model has no decoder, so the library
@@ -227,9 +252,10 @@ def encode_decode(docs: DataFrame, model_path: str | None = None, keep_ids: bool
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = load(model_path)
+        gc.disable()  # tries and memos are many small objects without cycles
         for b in batches:
             for part, texts in shares(b):
-                done = [(i, codec.decode(i)) for i in codec.texts(texts)]
+                done = list(codec.texts(texts))
                 cols = [part.column("doc_id"),
                         pa.array([len(i) // 4 for i, _ in done], pa.int64()),
                         pa.array([hashlib.sha256(i).hexdigest() for i, _ in done], pa.string()),

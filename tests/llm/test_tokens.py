@@ -52,10 +52,10 @@ def test_word_bpe_is_the_library(texts):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(P.path(word_bpe.MODEL))
     codec = word_bpe.load(None)
-    for t, ids in zip(texts, codec.texts(texts)):
+    for t, (ids, decoded) in zip(texts, codec.texts(texts)):
         want = tok.encode(t, add_special_tokens=False).ids
         assert (memoryview(ids).cast("I").tolist() if ids else []) == want
-        assert codec.decode(ids).decode() == tok.decode(want, skip_special_tokens=False)
+        assert decoded.decode() == codec.decode(ids).decode() == tok.decode(want, skip_special_tokens=False)
 
 
 def test_word_bpe_of_awkward_rows(spark):
