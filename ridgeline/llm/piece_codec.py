@@ -29,7 +29,7 @@ from ridgeline.llm.common import map_batches
 MODEL = "piece_bpe_32k.model"
 BLANK = "▁"  # how the model writes a space
 UNITS = re.compile(f"\n|{BLANK}*[^{BLANK}\n]+|{BLANK}+")
-UNIT_MEMO = 500_000  # entries of about 250 bytes, two generations
+UNIT_MEMO = 600_000  # entries of about 250 bytes, two generations
 UNIT_MEMO_CHARS = 63
 UNKNOWN = " ⁇ "  # how the library decodes the id of unknown pieces
 
@@ -137,13 +137,6 @@ class PieceCodec:
     def learn(self, units: list[str], check: bool) -> dict[str, tuple[str, str]]:
         """Of distinct new units: their ids, each after a blank, and their
         decoded text."""
-        gc.disable()  # many small lists without cycles
-        try:
-            return self._learn(units, check)
-        finally:
-            gc.enable()
-
-    def _learn(self, units: list[str], check: bool) -> dict[str, tuple[str, str]]:
         ids = [self.unit_ids(u) for u in units]
         if check and units:
             n = len(self.before)
@@ -152,9 +145,8 @@ class PieceCodec:
                     raise AssertionError(f"ids of {u[:80]!r} are not those of the library")
         out, written = {}, self.written
         for u, own in zip(units, ids):
-            out[u] = found = "".join([written[i] for i in own]), self.joined(own)
-            if len(u) <= UNIT_MEMO_CHARS:
-                self.memo.put(u, found)
+            out[u] = "".join([written[i] for i in own]), self.joined(own)
+        self.memo.put_all({u: v for u, v in out.items() if len(u) <= UNIT_MEMO_CHARS})
         return out
 
     def texts(self, texts: list[str], check: bool = True) -> Iterator[tuple[str, str]]:
@@ -216,6 +208,7 @@ def encode_decode(docs: DataFrame, model_path: str | None = None, check: bool =
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = load(model_path)
+        gc.disable()  # units and memos are many small objects without cycles
         for b in batches:
             for part, texts in shares(b):
                 done = list(codec.texts(texts, check))
