@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 # Chart metrics as (metric, label, value column, unit column);
 # wind speed draws two lines on one chart. Every series has source "nws".
 METRICS = [
@@ -56,6 +58,19 @@ def series_by_source(union: DataFrame, as_of: Column) -> DataFrame:
         "area_id", "metric", "label", "source", line_name().alias("line"), "unit", "t", "v")
 
 
+def series_by_metric(fact: DataFrame, as_of: Column, area_id: str | None = None) -> DataFrame:
+    """V2 in the shape that a chart page reads: per area ``metrics``, a map
+    from the metric to the list of its series (label, source, unit, points
+    newest first). Cut from the same lists as :func:`series_nested`."""
+    lists = _series_lists(recent(fact, as_of, area_id=area_id), "area_id")
+    names = list(dict.fromkeys(m for m, _, _, _ in METRICS))
+    entries = []
+    for name in names:
+        lines = [_series_struct(lbl, v, u) for m, lbl, v, u in METRICS if m == name]
+        entries += [F.lit(name), F.array(*lines)]
+    return lists.select("area_id", F.create_map(*entries).alias("metrics"))
+
+
 def series_nested(fact: DataFrame, as_of: Column, area_id: str | None = None) -> DataFrame:
     """V2 + A2: per (area, metric line) the unit of the latest hour and the
     points newest first.
@@ -80,16 +95,21 @@ def _series_lists(rows: DataFrame, key: str) -> DataFrame:
 
 
 def _series_columns(lists: DataFrame, key: str) -> DataFrame:
-    def point_of(value_col):
-        return lambda x: F.struct(x["t"].alias("t"), x[value_col].alias("v"))
-
-    series = F.array(*[F.struct(
-        F.lit(m).alias("metric"), F.lit(lbl).alias("label"), F.lit(SERIES_SOURCE).alias("source"),
-        F.col("_units")[u].alias("unit"), F.transform("_rows", point_of(v)).alias("points"))
-        for m, lbl, v, u in METRICS])
+    series = F.array(*[F.struct(F.lit(m).alias("metric"), *_series_fields(lbl, v, u)) for m, lbl, v, u in METRICS])
     return lists.select(F.col(key).alias("area_id"), F.inline(series))
 
 
+def _series_fields(label: str, value_col: str, unit_col: str) -> list[Column]:
+    def point(x):
+        return F.struct(x["t"].alias("t"), x[value_col].alias("v"))
+    return [F.lit(label).alias("label"), F.lit(SERIES_SOURCE).alias("source"), F.col("_units")[unit_col].alias("unit"),
+            F.transform("_rows", point).alias("points")]
+
+
+def _series_struct(label: str, value_col: str, unit_col: str) -> Column:
+    return F.struct(*_series_fields(label, value_col, unit_col))
+
+
 def series_nested_by_area(stg: DataFrame, areas: DataFrame, as_of: Column) -> DataFrame:
     """V2 + A2 straight from staged forecasts: the point lists are built once
     per polygon from its newest hours and fanned out to the areas inside it
@@ -167,3 +187,37 @@ def area_card(dim: DataFrame, area_id: str | None = None) -> DataFrame:
     if area_id is not None:
         out = out.orderBy(F.col("child_name").asc_nulls_last(), "child_id")
     return out
+
+
+CARD_CHUNK = 1000
+
+
+def area_cards_nested(dim: DataFrame, chunk: int = CARD_CHUNK) -> DataFrame:
+    """V1 + O1 for all nodes with their children in lists: ``id, area_name,
+    parent_id, chunk, children`` (id and name, sorted by name, then id). A list
+    holds at most ``chunk`` children; the chunks of a node in their order are
+    the whole sorted list. A node without children has one empty list.
+
+    Children are dealt to ranges of (parent, name, id), so a parent with a
+    large share of all areas is several tasks; a chunk's number is that of the
+    node's chunks in earlier ranges plus its own within the range.
+    """
+    shared_dir(dim.sparkSession)
+    kids = dim.filter(F.col("parent_id").isNotNull() & F.col("id").isNotNull()).select(
+        "parent_id", F.col("id").alias("child_id"), F.col("area_name").alias("child_name"))
+    dealt = (kids.repartitionByRange("parent_id", "child_name", "child_id")
+             .withColumn("_range", F.spark_partition_id()).checkpoint(eager=True))
+    here = Window.partitionBy("_range", "parent_id").orderBy("child_name", "child_id")
+    numbered = dealt.withColumn("_c", F.floor((F.row_number().over(here) - 1) / chunk).cast("int"))
+    lists = numbered.groupBy("_range", "parent_id", "_c").agg(F.sort_array(F.collect_list(
+        F.struct("child_name", "child_id"))).alias("children"))
+    # one row per range and parent
+    ranges = lists.groupBy("_range", "parent_id").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("parent_id").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranges.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    chunks = lists.join(offsets, ["_range", "parent_id"]).select(
+        F.col("parent_id").alias("id"), (F.col("_before") + F.col("_c")).alias("chunk"), "children")
+    nodes = dim.select("id", "area_name", "parent_id")
+    none = F.array().cast(chunks.schema["children"].dataType)
+    return nodes.join(chunks, "id", "left").select("id", "area_name", "parent_id", F.coalesce("chunk", F.lit(0)).alias("chunk"),
+                                                   F.coalesce("children", none).alias("children"))

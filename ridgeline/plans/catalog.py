@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.numeric import climb_score_numeric, nanos
 from ..functions.scoring import ScoreParams, climb_score, ramp
 from ..functions.text import json_scalar
 from ..operators import accuracy, checks, forecast, hierarchy, serve, snapshots, spatial, staging
@@ -323,6 +324,15 @@ def q_climb_score_weighted(spark, sf):
     return _scored_stage(spark, sf, "weighted")
 
 
+def q_climb_score_numeric(spark, sf):
+    """F-M2: the score in fixed point, as whole billionths; these weights give
+    products that end in half a billionth."""
+    sc = climb_score_numeric("temperature_value", "precipitation_probability_value", "wind_speed_high",
+                             "relative_humidity_value", ScoreParams(w_wind=0.25, w_humid=0.5))
+    return stg(spark, sf, plant_bad=True).select("elevation_value", "generated_at", "start_time",
+                                                 nanos(sc).alias("climb_score_nanos"))
+
+
 def q_daily_score(spark, sf):
     d = forecast.daily_score_by_area(stg(spark, sf), dim(spark, sf), params=PARAMS)
     return d.select("area_id", "day", _r6("avg_score").alias("avg_score"), _r6("min_score").alias("min_score"),
@@ -366,6 +376,26 @@ def q_series_nested(spark, sf):
     return serve.series_digest(nested)
 
 
+def q_series_by_metric(spark, sf):
+    """V2 as metric -> list of series."""
+    nested = serve.series_by_metric(fact(spark, sf), B.as_of())
+    one = nested.select("area_id", F.explode("metrics").alias("metric", "series"))
+    return one.select("area_id", "metric", F.size("series").cast("long").alias("n_series"),
+                      F.array_join(F.transform("series", lambda x: x["label"]), "|").alias("labels"),
+                      F.aggregate("series", F.lit(0).cast("long"), lambda a, x: a + F.size(x["points"])).alias("n_points"),
+                      F.date_format(F.get("series", F.lit(0))["points"][0]["t"], "yyyy-MM-dd HH:mm:ss").alias("newest"))
+
+
+def q_area_cards_nested(spark, sf):
+    """V1 + O1: children in lists of at most 50; the text keeps their order."""
+    c = serve.area_cards_nested(dim(spark, sf), chunk=50)
+    children = F.array_join(F.transform("children", lambda x: F.concat(x["child_id"], F.lit(":"), x["child_name"])), "|")
+    return (c.groupBy("id", "area_name", "parent_id")
+             .agg(F.sum(F.size("children")).alias("n_children"),
+                  F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("chunk", children.alias("t")))),
+                                           lambda x: x["t"]), "|").alias("children")))
+
+
 def q_series_empty(spark, sf):
     d = dim(spark, sf)
     out = serve.series_for_areas(fact(spark, sf), B.as_of(), d.select(F.col("id").alias("area_id")))
@@ -542,6 +572,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "area_node": q_area_node,
     "area_children": q_area_children,
     "area_card": q_area_card,
+    "area_cards_nested": q_area_cards_nested,
     "explode_periods": q_explode_periods,
     "stage_forecast": q_stage_forecast,
     "parse_wind": q_parse_wind,
@@ -562,6 +593,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ramp": q_ramp,
     "climb_score": q_climb_score,
     "climb_score_weighted": q_climb_score_weighted,
+    "climb_score_numeric": q_climb_score_numeric,
     "daily_score": q_daily_score,
     "weekend_ranking": q_weekend_ranking,
     "weekend_top_ten": q_weekend_top_ten,
@@ -569,6 +601,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forecast_recent": q_forecast_recent,
     "series_long": q_series_long,
     "series_nested": q_series_nested,
+    "series_by_metric": q_series_by_metric,
     "series_empty": q_series_empty,
     "check_required": q_check_required,
     "check_not_null": q_check_not_null,

@@ -582,3 +582,49 @@ c AS (
   UNION ALL SELECT 'staged_forecast', 'required:start_time', 0
   UNION ALL SELECT 'staged_forecast', 'required:temperature_value', count(*) FROM events WHERE event_id % 97 = 0)
 SELECT table_name, rule, CAST(n AS BIGINT) AS n FROM c"""
+
+
+# fixed point in whole billionths, halves away from zero
+def _nanos_times(a, b):
+    return f"(sign({a}) * sign({b}) * ((abs({a}) * abs({b}) + 500000000) // 1000000000))"
+
+
+def _nanos_over(a, b):
+    return f"(sign({a}) * sign({b}) * ((2 * abs({a}) * 1000000000 + abs({b})) // (2 * abs({b}))))"
+
+
+def _nanos_ramp(x, cutoff, ideal):
+    n = 1_000_000_000
+    return (f"(CASE WHEN {x} IS NOT NULL THEN greatest(0::HUGEINT, least({n}::HUGEINT, "
+            f"{_nanos_over(f'({x} - {int(cutoff * n)})', f'({int((ideal - cutoff) * n)})')})) END)")
+
+
+ORACLE["climb_score_numeric"] = _w(f"""{ctes_stg(plant_bad=True)},
+n AS (
+  SELECT elevation_value, generated_at, start_time, CAST(temperature_value AS HUGEINT) * 1000000000 AS t,
+         CAST(coalesce(precipitation_probability_value, 0) AS HUGEINT) * 1000000000 AS p,
+         CAST(wind_speed_high AS HUGEINT) * 1000000000 AS w, CAST(relative_humidity_value AS HUGEINT) * 1000000000 AS h FROM stg),
+f AS (
+  SELECT *, CASE WHEN t BETWEEN 40000000000 AND 70000000000 THEN 1000000000 WHEN t <= 80000000000 THEN 0
+                 WHEN t > 70000000000 THEN {_nanos_ramp('t', P.temp_cutoff_high, P.temp_ideal_high)} END AS warm,
+         {_nanos_ramp('w', P.wind_cutoff, P.wind_ideal)} AS falling, {_nanos_ramp('w', P.wind_low_cutoff, P.wind_ideal)} AS rising,
+         {_nanos_ramp('h', P.humidity_cutoff, P.humidity_ideal)} AS humid,
+         1000000000 - {_nanos_over('p', '100000000000')} AS dry FROM n),
+g AS (SELECT *, CASE WHEN falling IS NOT NULL AND rising IS NOT NULL THEN least(falling, rising) END AS blow FROM f)
+SELECT elevation_value, generated_at, start_time,
+       CAST({_nanos_times(_nanos_times('100000000000', 'dry'), 'warm')} + {_nanos_times('250000000', 'blow')}
+            + {_nanos_times('500000000', 'humid')} AS BIGINT) AS climb_score_nanos FROM g""")
+
+ORACLE["series_by_metric"] = _w(f"""{ctes_fact()},
+rec AS (SELECT * FROM fact WHERE start_time > {AS_OF} - INTERVAL 1 HOUR),
+m AS (SELECT * FROM (VALUES {', '.join(f"({i}, '{m}', '{lbl}')" for i, (m, lbl, _, _) in enumerate(METRICS))}) AS v(i, metric, label)),
+a AS (SELECT area_id, count(*) AS n, max(start_time) AS newest FROM rec GROUP BY area_id),
+s AS (SELECT metric, count(*) AS n_series, string_agg(label, '|' ORDER BY i) AS labels FROM m GROUP BY metric)
+SELECT area_id, metric, CAST(n_series AS BIGINT) AS n_series, labels, CAST(n * n_series AS BIGINT) AS n_points,
+       strftime(newest, '%Y-%m-%d %H:%M:%S') AS newest FROM a, s""")
+
+ORACLE["area_cards_nested"] = _w(f"""{CTE_HIER}
+SELECT d.id, d.area_name, d.parent_id, CAST(coalesce(k.n, 0) AS BIGINT) AS n_children, coalesce(k.children, '') AS children
+FROM dim d LEFT JOIN (
+  SELECT parent_id, count(*) AS n, string_agg(id || ':' || area_name, '|' ORDER BY area_name, id) AS children
+  FROM dim WHERE parent_id IS NOT NULL GROUP BY parent_id) k ON k.parent_id = d.id""")
