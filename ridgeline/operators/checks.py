@@ -40,15 +40,16 @@ def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def check_unique_by_area(forecast: DataFrame, bridge: DataFrame, keys: Sequence[str] = ("start_time",),
-                         on: str = "cell_key") -> DataFrame:
+                         on: str | None = None) -> DataFrame:
     """DQ4 on the by-area model without building it: rows are counted per
     (cell key, keys) first, the counts (not the rows) are fanned out to the
     areas of each cell, and summed per (area, keys). Same result as
     ``check_unique(forecast_by_area(forecast, bridge), ["area_id", *keys])``
     with one row per cell-hour, instead of one per area-hour-snapshot,
     going through the fan-out join."""
-    from .spatial import forecast_by_area
+    from .spatial import _cell_column, forecast_by_area
 
+    on = on or _cell_column(forecast)
     keys = list(keys)
     per_cell = forecast.groupBy(on, *keys).agg(F.count(F.lit(1)).alias("_n"))
     fanned = forecast_by_area(per_cell, bridge.select("area_id", on), on=(on,))

@@ -105,6 +105,22 @@ def rollup_by_area(stg: DataFrame, areas: DataFrame, by: dict, aggs: list,
     return out
 
 
+def fact_hourly_by_area(stg: DataFrame, areas: DataFrame, params: ScoreParams = DEFAULT_PARAMS, variant: str = "reference",
+                        spread_by: str | None = None) -> DataFrame:
+    """P10 straight from staged forecasts: rows are scored per polygon, before
+    the fan-out to areas, so a score is worked out once per cell and hour. Same
+    rows as ``fact_hourly(forecast_hourly_by_area(stg, areas))``. ``spread_by``
+    (a SQL expression) is passed to :func:`~.spatial.forecast_by_area`."""
+    newest_cell = latest_per_key(keyed_by_cell(stg), [CELL_KEY, "start_time"])
+    one, many = split_bridge(stg, areas)
+    cols = [*schemas.HOURLY_BY_AREA_COLUMNS, "climb_score"]
+    scored = newest_cell.withColumn("climb_score", _score(params, variant))
+    single = forecast_by_area(scored, one, spread_by=spread_by).select(*cols)
+    if many is None:
+        return single
+    return single.unionByName(fact_hourly(newest_in_several_polygons(newest_cell, many), params, variant))
+
+
 def fact_hourly(hourly: DataFrame, params: ScoreParams = DEFAULT_PARAMS, variant: str = "reference") -> DataFrame:
     """P10: the hourly rows plus ``climb_score`` (a narrow projection)."""
     return hourly.select(*schemas.HOURLY_BY_AREA_COLUMNS, _score(params, variant))

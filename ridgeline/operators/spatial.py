@@ -194,10 +194,15 @@ AREAS_PER_SALT = 256
 ROW_SALTS = 16
 
 
-def forecast_by_area(forecast: DataFrame, area_cells: DataFrame, on=(CELL_KEY,),
+def _cell_column(df: DataFrame) -> str:
+    return CELL_KEY if CELL_KEY in df.columns else "geo_json"
+
+
+def forecast_by_area(forecast: DataFrame, area_cells: DataFrame, on=None,
                      areas_per_salt: int = AREAS_PER_SALT, row_salts: int = ROW_SALTS,
-                     partitions: int | None = None) -> DataFrame:
-    """Equi-join of forecast rows to areas on the cell key.
+                     partitions: int | None = None, spread_by: str | None = None) -> DataFrame:
+    """Equi-join of forecast rows to areas on the cell key (``on``; without
+    it ``cell_key``, or the polygon text where there is none).
 
     This join fans out: every forecast row of a cell is copied to every area
     inside it, so the output is (rows per cell) x (areas per cell) and both
@@ -211,9 +216,13 @@ def forecast_by_area(forecast: DataFrame, area_cells: DataFrame, on=(CELL_KEY,),
       (default ``spark.sql.shuffle.partitions``, sized for the cluster), so
       output parallelism follows the output, not the small input.
 
+    ``spread_by`` (a SQL expression over the forecast row, such as its day)
+    makes rows of equal value share a row salt, so that few values meet in a
+    task and a table in folders by that value is written without a shuffle.
+
     For a table stored in buckets see :func:`stored_forecast_by_area`.
     """
-    keys = list(on)
+    keys = list(on or [_cell_column(forecast)])
     spark = forecast.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts = (area_cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n_areas"))
@@ -223,7 +232,8 @@ def forecast_by_area(forecast: DataFrame, area_cells: DataFrame, on=(CELL_KEY,),
         F.explode(F.sequence(F.lit(0), F.lit(row_salts - 1))).alias("_row_salt"))
     rows = forecast.join(counts, keys).select(
         *forecast.columns, F.explode(F.sequence(F.lit(0), F.col("_n_salt") - 1)).alias("_salt"),
-        F.pmod(F.xxhash64(*forecast.columns), F.lit(row_salts)).cast("int").alias("_row_salt"))
+        F.pmod(F.xxhash64(F.expr(spread_by) if spread_by else F.struct(*forecast.columns)), F.lit(row_salts)).cast("int")
+        .alias("_row_salt"))
     part = keys + ["_salt", "_row_salt"]
     out_cols = forecast.columns + [c for c in area_cells.columns if c not in keys]
     return rows.repartition(n, *part).join(bridge.repartition(n, *part), part, "inner").select(*out_cols)

@@ -46,8 +46,8 @@ def hourly(spark, sf, types=None) -> DataFrame:
     return forecast.forecast_hourly_by_area(stg(spark, sf, types), dim(spark, sf))
 
 
-def fact(spark, sf) -> DataFrame:
-    return forecast.fact_hourly(hourly(spark, sf), PARAMS)
+def fact(spark, sf, spread_by=None) -> DataFrame:
+    return forecast.fact_hourly_by_area(stg(spark, sf), dim(spark, sf), PARAMS, spread_by=spread_by)
 
 
 def _r6(c) -> F.Column:
@@ -271,10 +271,12 @@ def q_fact_hourly(spark, sf):
 
 
 def q_publish_fact(spark, sf):
-    """The fact as a table: day folders, area-sorted files."""
-    f = fact(spark, sf).withColumn("start_day", F.to_date("start_time"))
+    """The fact as a table: day folders, area-sorted files. The fan-out
+    spreads a cell's rows by day, so its tasks hold few days each."""
+    f = fact(spark, sf, spread_by="to_date(start_time)").withColumn("start_day", F.to_date("start_time"))
     t = tables.publish(f, "fact_hourly_forecast_by_area", kind="table", path=scratch_path(spark, "fact"),
-                       partition_by=["start_day"], sort_within=["area_id", "start_time"], lookup=["area_id"])
+                       partition_by=["start_day"], sort_within=["area_id", "start_time"], lookup=["area_id"],
+                       rebalance=False)
     return t.select("area_id", "start_time", "generated_at", _r6("climb_score").alias("climb_score"))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -74,11 +76,45 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+# what scratch_path has given out: all of it, and within each open scope
+_SCOPES: list[list[str]] = [[]]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared dir for one job's output."""
-    base = shared_dir(spark)
-    sep = "/" if "://" in base else os.sep
-    return f"{base}{sep}ridgeline{sep}{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/ridgeline/{name}-{uuid.uuid4().hex}"
+    for made in _SCOPES:
+        made.append(path)
+    return path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes, at its end, the scratch folders made inside it: for work whose
+    result has been written to a folder made before."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES[:] = [s for s in _SCOPES if s is not made]
+        for path in made:
+            _delete(spark, path)
+        _SCOPES[0][:] = [p for p in _SCOPES[0] if p not in made]
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Removes all scratch folders that this process has made: when its results
+    are written elsewhere, since a DataFrame may still read from them."""
+    base = f"{shared_dir(spark)}/"
+    for path in [p for p in _SCOPES[0] if p.startswith(base)]:
+        _delete(spark, path)
+        _SCOPES[0].remove(path)
 
 
 def child_names(spark: SparkSession, path: str) -> list[str]:

@@ -18,6 +18,7 @@ class _Conf:
 
 class _Ctx:
     master = "local[2]"
+    applicationId = "app"
 
     def __init__(self, value=None):
         self.value = value
@@ -57,3 +58,15 @@ def test_a_cluster_needs_a_shared_folder():
                             sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(spark)
+
+
+def test_scratch_folders_go_with_their_scope(spark):
+    from ridgeline.session import child_names, clear_scratch, scratch_path, scratch_scope
+    kept = scratch_path(spark, "kept")
+    with scratch_scope(spark):
+        inner = scratch_path(spark, "inner")
+        spark.range(3).write.parquet(inner)
+        spark.read.parquet(inner).write.parquet(kept)
+    assert child_names(spark, inner) == [] and spark.read.parquet(kept).count() == 3
+    clear_scratch(spark)
+    assert child_names(spark, kept) == []

@@ -2,7 +2,6 @@
 
 import datetime as dt
 import glob
-import os
 
 import pyarrow.parquet as pq
 import pytest
@@ -129,12 +128,6 @@ def test_clustered_layout_skips_row_groups(spark):
     when = dt.datetime(2024, 1, 2, 5, tzinfo=dt.timezone.utc)
     met = [g for g in groups if g.column(at).statistics.min <= when <= g.column(at).statistics.max]
     assert len(met) <= 0.3 * len(groups)
-    # a Bloom filter per row group makes the file longer than its columns
-    plain = scratch_path(spark, "plain")
-    tables.publish(laid, "clustered_plain", kind="table", path=plain)
-    def size(folder):
-        return sum(os.path.getsize(f) for f in glob.glob(f"{folder.removeprefix('file://')}/*.parquet"))
-    assert size(path) > size(plain)
     assert spark.catalog.tableExists("clustered_layout")
 
 
