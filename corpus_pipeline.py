@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ridgeline.llm import exact_dedup, jaccard_join, packing, pii, quality_rules
-from ridgeline.llm.common import kept_table, table
+from ridgeline.llm.common import table
+from ridgeline.session import scratch_path, scratch_scope
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,8 +56,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each result written and read again."""
+    """All stages over ``documents``, each result written and read again; what
+    a stage has kept in the shared folder on its way goes when it is done."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = kept_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        with scratch_scope(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
     return docs
