@@ -46,6 +46,9 @@ FLUSH = 4_000_000
 # Shingles per bucket of a shuffle, and per block of the search.
 BUCKET = 2_000_000
 BLOCK = 600_000
+# A text weighs as many shingles as it has, and one for each so many bytes at
+# least, so that a block of repetitive texts is bounded in bytes as well.
+SHINGLE_BYTES = 8
 
 # Prefixes are tried again on the nodes that are left while they become fewer than this share.
 SHRINK = 0.8
@@ -220,18 +223,52 @@ def prefix_edges(rows: DataFrame, total: int, classes: np.ndarray, link: Link) -
             .groupBy("bucket").applyInArrow(meet, "a long, b long"))
 
 
+class Postings:
+    """A growing sorted list of set numbers as an array."""
+    __slots__ = ("room", "n")
+
+    def __init__(self, first: list[int]):
+        self.room = np.zeros(4 * len(first), np.int32)
+        self.n = len(first)
+        self.room[:self.n] = first
+
+    def append(self, k: int) -> None:
+        if self.n == len(self.room):
+            self.room = np.concatenate((self.room, np.zeros(self.n, np.int32)))
+        self.room[self.n] = k
+        self.n += 1
+
+    def __len__(self) -> int:
+        return self.n
+
+    def array(self) -> np.ndarray:
+        return self.room[:self.n]
+
+
 class Lists:
-    """Inverted lists of indexed sets, searched by T-occurrence."""
+    """Inverted lists of indexed sets, searched by T-occurrence (DivideSkip).
+
+    Few entries are merged on a heap and probed one by one. When the short
+    lists are long together, as with texts made from one template, they are
+    merged by counting, and all candidates are probed into a long list at once,
+    or the long list counted as well where that is less work."""
 
-    MU = 0.01  # weight of a probe against a merge step when lists are divided
+    MU = 0.01       # weight of a probe against a merge step when lists are divided
+    HEAP = 256      # entries that are merged on a heap
+    SMALL = 32      # entries of a list before it becomes an array
+    PROBE = 8       # steps of counting that a probe into a long list costs
 
     def __init__(self):
-        self.lists: dict[int, list[int]] = {}
+        self.lists: dict[int, list[int] | Postings] = {}
         self.sizes: list[int] = []
+        self._sizes = np.zeros(1024, np.int64)
 
     def add(self, tokens: list[int]) -> int:
         k = len(self.sizes)
         self.sizes.append(len(tokens))
+        if k == len(self._sizes):
+            self._sizes = np.concatenate((self._sizes, np.zeros(k, np.int64)))
+        self._sizes[k] = len(tokens)
         lists = self.lists
         for t in tokens:
             got = lists.get(t)
@@ -239,28 +276,78 @@ class Lists:
                 lists[t] = [k]
             else:
                 got.append(k)
+                if len(got) == self.SMALL and type(got) is list:
+                    lists[t] = Postings(got)
         return k
 
+    def near(self, tokens: list[int], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(sets, common, size) of the sets with at least ``least`` of the tokens."""
+        found = self._search(tokens, least)
+        sets, common = found if found else (np.zeros(0, np.int64),) * 2
+        return sets, common, self._sizes[sets]
+
     def search(self, tokens: list[int], least: int) -> Iterator[tuple[int, int]]:
-        """(set, common) for the sets with at least ``least`` of the tokens."""
+        """The same one by one, as (set, common)."""
+        sets, common, _ = self.near(tokens, least)
+        return zip(sets.tolist(), common.tolist())
+
+    def _search(self, tokens: list[int], least: int):
         get = self.lists.get
         lists = [x for x in map(get, tokens) if x is not None]
         if len(lists) < least:
-            return
+            return None
         lists.sort(key=len)
         n_long = min(least - 1, int(least / (self.MU * np.log2(len(lists[-1]) + 1) + 1)))
         short, long = lists[:len(lists) - n_long], lists[len(lists) - n_long:]
-        for k, run in groupby(heapq.merge(*short)):
+        entries = sum(map(len, short))
+        if entries <= self.HEAP:
+            return self._heap(short, long, least, n_long)
+        counts = self._counted(short)
+        # no set is out by its size: a common part of least is a size of least
+        sets = np.flatnonzero(counts >= least - n_long)
+        if len(sets) * n_long * self.PROBE > sum(map(len, long)):
+            counts += self._counted(long)
+            sets = np.flatnonzero(counts >= least)
+            return sets, counts[sets]
+        common = counts[sets]
+        for left, x in zip(range(len(long), 0, -1), long):
+            may = common + left >= least
+            if not may.all():
+                sets, common = sets[may], common[may]
+            if not len(sets):
+                return None
+            x = x.array() if type(x) is Postings else np.asarray(x)
+            at = np.minimum(np.searchsorted(x, sets), len(x) - 1)
+            common = common + (x[at] == sets)
+        enough = common >= least
+        return sets[enough], common[enough]
+
+    def _counted(self, lists: list) -> np.ndarray:
+        small = [k for x in lists if type(x) is list for k in x]
+        parts = [x.array() for x in lists if type(x) is Postings]
+        parts.append(np.array(small, np.int32))
+        return np.bincount(np.concatenate(parts), minlength=len(self.sizes))
+
+    def _heap(self, short: list, long: list, least: int, n_long: int):
+        sets, counts = [], []
+        plain = [x if type(x) is list else x.array().tolist() for x in short]
+        for k, run in groupby(heapq.merge(*plain)):
             common = sum(1 for _ in run)
             if common < least - n_long:
                 continue
             for left, x in zip(range(len(long), 0, -1), long):
                 if common + left < least:
                     break
-                at = bisect_left(x, k)
-                common += at < len(x) and x[at] == k
+                if type(x) is list:
+                    at = bisect_left(x, k)
+                    common += at < len(x) and x[at] == k
+                else:
+                    at = int(np.searchsorted(x.array(), k))
+                    common += at < x.n and int(x.room[at]) == k
             if common >= least:
-                yield k, common
+                sets.append(k)
+                counts.append(common)
+        return (np.array(sets, np.int64), np.array(counts, np.int64)) if sets else None
 
 
 class Forest:
@@ -289,38 +376,43 @@ def cluster(sets: list[np.ndarray], link: Link) -> tuple[list[int], list[int], l
     index, forest = Lists(), Forest()
     leaders: list[int] = []                       # set of each indexed leader
     members: list[list[tuple[float, int]]] = []   # (distance, set) per leader
+    radius = np.full(1024, -1.0)                  # distance of its farthest member, -1 without members
     leader, away = [], []
     reach = 2 * link.distance
     for i, own in enumerate(sets):
         forest.add()
         n = len(own)
         least = max(1, int(np.ceil((1 - reach) * n - 1e-6)))
-        near = []
-        for k, common in index.search(own.tolist(), least):
-            size = index.sizes[k]
-            d = 1 - common / (n + size - common)
-            if d <= reach + EPS:
-                near.append((d, k))
-                if link.holds(common, n, size):
-                    forest.join(i, leaders[k])
-        near.sort()
-        for d, k in near:
+        near, common, size = index.near(own.tolist(), least)
+        d = 1 - common / (n + size - common)
+        close = d <= reach + EPS
+        near, common, size, d = near[close], common[close], size[close], d[close]
+        for k in near[100 * common >= link.percent * (n + size - common)].tolist():
+            forest.join(i, leaders[k])
+        order = np.lexsort((near, d))
+        near, d = near[order], d[order]
+        # only members far enough from their leader can link
+        for k in np.flatnonzero(radius[near] >= d - link.distance - EPS).tolist():
+            far, k = d[k], int(near[k])
             if forest.root(i) == forest.root(leaders[k]):
                 continue
             for e, j in members[k]:
-                if e >= d - link.distance - EPS and forest.root(i) != forest.root(j):
-                    common = len(np.intersect1d(own, sets[j], assume_unique=True))
-                    if link.holds(common, n, len(sets[j])):
+                if e >= far - link.distance - EPS and forest.root(i) != forest.root(j):
+                    both = len(np.intersect1d(own, sets[j], assume_unique=True))
+                    if link.holds(both, n, len(sets[j])):
                         forest.join(i, j)
                         if forest.root(i) == forest.root(leaders[k]):
                             break
-        if near and forest.root(i) == forest.root(leaders[near[0][1]]) and near[0][0] <= link.distance + EPS:
-            d, k = near[0]
-            members[k].append((d, i))
+        if len(near) and d[0] <= link.distance + EPS and forest.root(i) == forest.root(leaders[near[0]]):
+            far, k = float(d[0]), int(near[0])
+            members[k].append((far, i))
+            radius[k] = max(radius[k], far)
             leader.append(leaders[k])
-            away.append(d)
+            away.append(far)
         else:
             index.add(own.tolist())
+            if len(leaders) == len(radius):
+                radius = np.concatenate((radius, np.full(len(radius), -1.0)))
             leaders.append(i)
             members.append([])
             leader.append(i)
@@ -329,13 +421,13 @@ def cluster(sets: list[np.ndarray], link: Link) -> tuple[list[int], list[int], l
 
 
 def _placed(cand: DataFrame) -> DataFrame:
-    """Adds block and split to (node, label, n, ...): small groups share
-    blocks, a group of more than BLOCK shingles is spread over blocks of its
+    """Adds block and split to (node, label, weight, ...): small groups share
+    blocks, a group that weighs more than BLOCK is spread over blocks of its
     own (split)."""
-    weights = kept_table(cand.groupBy("label").agg(F.sum("n").alias("weight")), "jaccard-weights")
-    small = weights.where(F.col("weight") <= BLOCK).agg(F.sum("weight")).first()[0] or 0
+    weights = kept_table(cand.groupBy("label").agg(F.sum("weight").alias("whole")), "jaccard-weights")
+    small = weights.where(F.col("whole") <= BLOCK).agg(F.sum("whole")).first()[0] or 0
     bins = max(1, -(-2 * small // BLOCK))
-    parts = F.ceil(F.col("weight") / BLOCK)
+    parts = F.ceil(F.col("whole") / BLOCK)
     return cand.join(weights, "label").select(
         cand["*"], (parts > 1).alias("split"),
         F.when(parts > 1, F.xxhash64("label", F.pmod(F.xxhash64("node"), parts)))
@@ -445,7 +537,8 @@ def linked_nodes(rows: DataFrame, prof: DataFrame, link: Link) -> DataFrame:
         groups = components(edges)
         if count is None:
             cand = groups.join(one, "node").select("node", "n", "at.file", "at.row")
-            texts = rows.select("file", "row", "text").join(cand, ["file", "row"]).select("node", "n", "text")
+            weight = F.greatest("n", F.ceil(F.octet_length("text") / SHINGLE_BYTES)).alias("weight")
+            texts = rows.select("file", "row", "text").join(cand, ["file", "row"]).select("node", "n", weight, "text")
         else:
             texts = texts.join(groups.select("node"), "node")
         # nodes that link are all among these, so frequencies may be counted
@@ -454,8 +547,8 @@ def linked_nodes(rows: DataFrame, prof: DataFrame, link: Link) -> DataFrame:
         before, (count, total) = count, texts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
         if not count or before is not None and count > SHRINK * before:
             break
-    cand = kept_table(_placed(texts.select("node", "n").join(groups, "node")), "jaccard-blocks")
-    texts = texts.drop("n").join(cand, "node")
+    cand = kept_table(_placed(texts.select("node", "weight").join(groups, "node")), "jaccard-blocks")
+    texts = texts.drop("n", "weight").join(cand, "node")
     n_blocks = cand.select("block").distinct().count()
     local = kept_table(search_blocks(texts.select("block", "label", "split", "node", "text"), n_blocks, link),
                        "jaccard-local")

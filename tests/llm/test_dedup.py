@@ -1,6 +1,8 @@
 import random
 import re
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,6 +81,30 @@ def test_decisions_of_two_calls_are_those_of_one(spark, tmp_path, weak):
     assert sum(r.kept for r in got) == len({BLANK.sub("", t or "") for _, t in rows})
 
 
+def test_a_repeated_call_changes_nothing(spark, tmp_path):
+    """A retry after success, and after a death between landing and state."""
+    landing, state = str(tmp_path / "records"), str(tmp_path / "state")
+    rows = [r[:2] for r in AWKWARD]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(2).write.parquet(str(tmp_path / "docs"))
+    docs = located(spark.read.parquet(str(tmp_path / "docs")))
+
+    class Died(Exception):
+        pass
+
+    def dies(*_):
+        raise Died
+    real, exact_dedup.update_index = exact_dedup.update_index, dies
+    try:
+        with pytest.raises(Died):
+            exact_dedup.decisions(docs, exact_dedup.sha256, landing, state)
+    finally:
+        exact_dedup.update_index = real
+    for _ in range(2):
+        got = exact_dedup.decisions(docs, exact_dedup.sha256, landing, state).collect()
+        assert sorted(key((r.doc_id, r.keep_id, r.group_size)) for r in got) == _decided(rows)
+        assert sum(r.kept for r in got) == len({BLANK.sub("", t or "") for _, t in rows})
+
+
 def test_changed_texts_of_earlier_calls_are_noticed(spark, tmp_path):
     folders, docs = (str(tmp_path / "records"), str(tmp_path / "state")), str(tmp_path / "a b[1]")
     spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string").coalesce(1).write.parquet(docs)
@@ -155,6 +181,57 @@ def test_t_occurrence_search_finds_all():
             assert set(index.search(own, least)) == want
 
 
+def test_clusters_are_those_of_all_pairs(monkeypatch):
+    """Sets that share much and little, with heap, counting and probing."""
+    link = jaccard_join.Link()
+    for seed in range(12):
+        rng = np.random.default_rng(seed)
+        for name, values in (("HEAP", (0, 5, 256)), ("SMALL", (2, 8, 32)), ("PROBE", (0, 1, 8, 1e9))):
+            monkeypatch.setattr(jaccard_join.Lists, name, rng.choice(values))
+        words = rng.integers(1, 2**63, int(rng.integers(30, 400)), dtype=np.uint64)
+        bases = [rng.choice(words, int(rng.integers(1, min(len(words), 60))), False) for _ in range(6)]
+        sets = []
+        for _ in range(120):
+            own = bases[rng.integers(6)].copy()
+            n = int(rng.integers(0, max(1, len(own) // 5) + 1))
+            own[rng.choice(len(own), n, False)] = rng.choice(words, n)
+            sets.append(np.unique(own))
+        up = list(range(len(sets)))
+
+        def root(i):
+            while up[i] != i:
+                i = up[i]
+            return i
+        for i, a in enumerate(sets):
+            for j in range(i):
+                if link.holds(len(np.intersect1d(a, sets[j])), len(a), len(sets[j])):
+                    up[max(root(i), root(j))] = min(root(i), root(j))
+        assert jaccard_join.cluster(sets, link)[0] == [root(i) for i in range(len(sets))], seed
+
+
+def test_texts_of_one_template_cost_little():
+    """A thousand sets with most shingles in common, none of which link."""
+    rng = np.random.default_rng(1)
+    shared = rng.integers(1, 2**63, 175, dtype=np.uint64)
+    sets = [np.unique(np.concatenate((shared, rng.integers(1, 2**63, 25, dtype=np.uint64)))) for _ in range(1000)]
+    start = time.process_time()
+    comp, leader, _ = jaccard_join.cluster(sets, jaccard_join.Link())
+    assert comp == leader == list(range(1000)) and time.process_time() - start < 10
+
+
+def test_long_repetitive_texts_weigh_their_bytes(spark, monkeypatch):
+    """Few shingles, many bytes: such texts are spread over blocks by bytes."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 20_000)
+    seen = []
+    real = jaccard_join._placed
+    monkeypatch.setattr(jaccard_join, "_placed", lambda cand: seen.append(real(cand)) or seen[-1])
+    text = " ".join(f"word{k}" for k in range(40))
+    rows = [(i, (text + f" end{i} ") * 400) for i in range(12)] + [(50, text), (51, text + " more")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert _got(jaccard_join.jaccard_components(df)) == sorted(map(key, components(rows)))
+    assert seen[0].select("block").distinct().count() > 4
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(500, 400), (400, 450), (7, 7)],
                                   "a long, b long")
