@@ -26,9 +26,12 @@ MENU = " [|>»·•] "
 
 # A line fails with at least 3 symbols, shouts or menu separators that come to
 # more than 3 in 10 words (menu separators: 1 in 10); a fragment is a line of
-# at most 5 words without any punctuation.
+# at most 5 words without any punctuation, of whatever script. Phrases of site
+# furniture fail a line when they make up 25 of 100 of its words.
 MIN_MARKS = 3
 FRAGMENT_WORDS = 5
+PUNCTUATION = r"\p{P}"
+BOILERPLATE_PERCENT = 25
 # A document goes when its failing lines held more than 40 of 100 words.
 MAX_LOST_PERCENT = 40
 
@@ -43,12 +46,16 @@ def line_fails(line: Column) -> Column:
     symbols, shouts, menus = _count(line, SYMBOL), _count(line, "!!"), _count(line, MENU)
     punctuation = (((symbols >= MIN_MARKS) & (symbols * 10 > words * 3))
                    | ((shouts >= MIN_MARKS) & (shouts * 10 > words * 3))
-                   | ((words >= 1) & (words <= FRAGMENT_WORDS) & ~line.rlike("[.,;:!?…\"”»)]")))
+                   | ((words >= 1) & (words <= FRAGMENT_WORDS) & ~line.rlike(PUNCTUATION)))
     navigation = (menus >= MIN_MARKS) & (menus * 10 > words)
     low = F.lower(line)
-    boilerplate = F.lit(False)
+    any_phrase, in_phrases = F.lit(False), F.lit(0)
     for phrase in BOILERPLATE:
-        boilerplate = boilerplate | F.contains(low, F.lit(phrase))
+        any_phrase = any_phrase | F.contains(low, F.lit(phrase))
+        lost = F.char_length(low) - F.char_length(F.replace(low, F.lit(phrase), F.lit("")))
+        in_phrases = in_phrases + (lost / len(phrase)).cast("int") * len(phrase.split(" "))
+    # the share is worked out for lines with a phrase only
+    boilerplate = any_phrase & (in_phrases * 100 >= words * BOILERPLATE_PERCENT)
     return punctuation | navigation | boilerplate
 
 
@@ -131,12 +138,14 @@ def kept_documents(docs: DataFrame) -> DataFrame:
 def _sql_fails(line: str) -> str:
     count = lambda pattern: f"len(regexp_extract_all({line}, '{pattern}'))"
     words, symbols, shouts, menus = count(WORD), count(SYMBOL), count("!!"), count(MENU)
-    phrases = " OR ".join(f"contains(lower({line}), '{p}')" for p in BOILERPLATE)
+    phrases = " + ".join(f"(length(lower({line})) - length(replace(lower({line}), '{p}', ''))) // {len(p)} * {len(p.split(' '))}"
+                         for p in BOILERPLATE)
+    any_phrase = " OR ".join(f"contains(lower({line}), '{p}')" for p in BOILERPLATE)
     return f"""(({symbols} >= {MIN_MARKS} AND {symbols} * 10 > {words} * 3)
       OR ({shouts} >= {MIN_MARKS} AND {shouts} * 10 > {words} * 3)
-      OR ({words} BETWEEN 1 AND {FRAGMENT_WORDS} AND NOT regexp_matches({line}, '[.,;:!?…"”»)]'))
+      OR ({words} BETWEEN 1 AND {FRAGMENT_WORDS} AND NOT regexp_matches({line}, '{PUNCTUATION}'))
       OR ({menus} >= {MIN_MARKS} AND {menus} * 10 > {words})
-      OR {phrases})"""
+      OR (({any_phrase}) AND ({phrases}) * 100 >= {words} * {BOILERPLATE_PERCENT}))"""
 
 
 def oracle_sql(documents: str = "documents", columns: str = "") -> str:

@@ -33,7 +33,11 @@ def test_quality_windows_of_random_texts(spark):
     ("A sentence that ends as sentences do.", False), ("home | news | about | sport", True),
     ("All Rights Reserved 2021, Example Ltd.", True), ("of%%% the&&& word***", True), ("NOW!! COME!! BUY!! IT!!", True),
     ("Contents", True), ("Is it so? Yes! It is a long and happy story of many words.", False), ("", False),
-    ("he paid $5 & left with 10% of a long list of things", False)])
+    ("he paid $5 & left with 10% of a long list of things", False),
+    # a phrase in a line of prose, and punctuation of other scripts
+    ("The committee read the privacy policy aloud, found nothing new in it and went home before it was dark.", False),
+    ("Privacy Policy and Terms of Use apply to you.", True), ("Skip to content", True),
+    ("今天天气很好，我们去了公园。", False), ("وصلنا إلى المدينة؟", False), ("यह एक वाक्य है।", False), ("目录", True)])
 def test_line_rules(spark, line, fails):
     df = spark.createDataFrame([(line,)], "line string").select(quality_rules.line_fails(F.col("line")).alias("fails"))
     assert df.first().fails is fails
@@ -50,6 +54,14 @@ def test_kept_documents_lose_failing_lines(spark):
     assert quality_rules.kept_documents(empty(spark)).count() == 0
 
 
+def test_clean_texts_of_one_line_and_of_other_scripts_stay(spark):
+    article = PROSE + "She had never read the terms of use of the river, nor its privacy policy, and slept well."
+    chinese = "\n".join(f"第{k}天天气很好，我们去了公园。" for k in range(15))
+    df = spark.createDataFrame([(1, article), (2, chinese)], "doc_id long, text string")
+    rows = quality_rules.quality_rules(df).collect()
+    assert all(r.kept and r.n_lost_words == 0 for r in rows), rows
+
+
 # --- personal data -----------------------------------------------------------
 
 def _plain_spans(text):
