@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridgeline.llm.common import kept_table, located, squeeze
-from ridgeline.session import scratch_path
+from ridgeline.session import child_names, scratch_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # All state stores of an executor share this much memory.
@@ -66,9 +66,10 @@ def stored_contents(records: DataFrame, digest: Callable[[Column], Column]) -> D
     """``records`` (file, row, digest) of earlier calls with their content, read
     from the files that their locators name. A content that is gone or no
     longer has its digest fails the query."""
-    # one path per file of the landed tables, as it is read: locators are
+    # the folders of the landed tables, as they are read: locators are
     # URL-encoded, and names are no patterns
-    files = [re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(r.file)) for r in records.select("file").distinct().toLocalIterator()]
+    folders = records.select(F.regexp_extract("file", "^(.*)/[^/]*$", 1).alias("folder")).distinct()
+    files = [re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(r.folder)) for r in folders.toLocalIterator()]
     if not files:
         return records.withColumn("content", F.lit(""))
     texts = (records.sparkSession.read.schema("text string").parquet(*files)
@@ -92,8 +93,10 @@ def decisions(docs: DataFrame, digest: Callable[[Column], Column] = sha256, land
     rows that tie in all this, repeated rows included, the first by locator.
     An empty table gives an empty result. ``landing`` and ``state`` name
     folders to keep between calls (a call adds the rows it is given to what
-    they hold); by default each call has its own. Earlier rows are compared by
-    the texts in the Parquet files of their locators, which have to stay.
+    they hold, a row is known by its locator, so a call may be repeated); by
+    default each call has its own. Earlier rows are compared by the texts in
+    the Parquet files of their locators, which have to stay; the names of their
+    folders, not of the files, come to the driver.
     """
     spark = docs.sparkSession
     kept_landing = landing is not None
@@ -101,7 +104,10 @@ def decisions(docs: DataFrame, digest: Callable[[Column], Column] = sha256, land
     state = state or scratch_path(spark, "dedup-state")
     plain = F.coalesce("text", F.lit(""))
     content = docs.select("doc_id", "file", "row", plain.alias("original"), squeeze(plain).alias("content"))
-    (content.select("doc_id", F.col("doc_id").isNull().alias("no_id"), "file", "row",
+    added = content
+    if kept_landing and child_names(spark, landing):  # a row that an earlier try of this call has landed is not landed again
+        added = content.join(spark.read.parquet(landing).select("file", "row"), ["file", "row"], "left_anti")
+    (added.select("doc_id", F.col("doc_id").isNull().alias("no_id"), "file", "row",
                     (-F.char_length("original")).alias("points"), digest(F.col("content")).alias("digest"))
      .write.mode("append").parquet(landing))
     index = update_index(spark, landing, state)
