@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ridgeline.llm.common import kept_table
 
+_ALL = {"ignoreNullFields": "false"}  # a line has all its keys, null or not
 # JSON types by the first word of Spark's schema of a variant.
 _TYPES = {"STRING": "string", "BIGINT": "integer", "DOUBLE": "number", "DECIMAL": "number", "FLOAT": "number",
           "BOOLEAN": "boolean", "OBJECT": "object", "ARRAY": "array", "VOID": "null"}
@@ -105,23 +106,26 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) ->
             F.col("c.after").alias("after"))
     first_result = results.where(named).groupBy(key).agg(
         F.min(F.struct("position", "content", "row")).alias("r")).select(*key, F.col("r.row").alias("result_row"))
-    links = first_call.join(first_result, key, "left")
-    links = kept_table(links.join(depths(links), key, "left"), "links")
+    # hash joins: the side that is hashed has one row per identifier, so no key
+    # fills a task's table
+    links = first_call.join(first_result.hint("shuffle_hash"), key, "left")
+    links = kept_table(links.join(depths(links).hint("shuffle_hash"), key, "left"), "links")
+    linked_to = links.drop("after").hint("shuffle_hash")
 
     def state(row, other):
         return (F.when(~named, "unnamed").when(F.col("call_row").isNull(), "orphan")
                 .when(F.col("row") != F.col(row), "repeated").when(F.col(other).isNull(), "open").otherwise("linked"))
 
-    call_lines = calls.join(links.drop("after"), key, "left").select(
+    call_lines = calls.join(linked_to, key, "left").select(
         "conv_id", "depth", F.coalesce("call_position", "position").alias("call_position"), F.lit(0).alias("step"),
         "position", "call_id", state("call_row", "result_row").alias("status"), "name", "errors",
         F.concat(F.lit('{"arguments":'), F.coalesce("arguments_json", F.lit("null")), F.lit(","),
-                 F.substring(F.to_json(F.struct("call_id", "name")), 2, 1 << 30)).alias("line"))
-    result_lines = results.join(links.drop("after"), key, "left").select(
+                 F.substring(F.to_json(F.struct("call_id", "name"), _ALL), 2, 1 << 30)).alias("line"))
+    result_lines = results.join(linked_to, key, "left").select(
         "conv_id", "depth", F.coalesce("call_position", "position").alias("call_position"), F.lit(1).alias("step"),
         "position", "call_id", state("result_row", "call_row").alias("status"), F.lit(None).cast("string").alias("name"),
         F.lit(None).cast("array<string>").alias("errors"),
-        F.to_json(F.struct("call_id", "content")).alias("line"))
+        F.to_json(F.struct("call_id", "content"), _ALL).alias("line"))
     return call_lines.union(result_lines)
 
 
