@@ -138,7 +138,9 @@ def fit(docs: DataFrame, max_per_lang: int = MAX_PER_LANG, centroids: int = CENT
     share = F.lit(1.0)
     for lang, size in sizes.items():
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, max_per_lang / size))).otherwise(share)
-    sample = learn.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000)
+    # by id and text, repeated rows once: no repeated id or row escapes the bound
+    sample = (learn.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < share * 1_000_000)
+              .dropDuplicates(["lang", "doc_id", "text"]))
 
     def vectors(batches):
         model = Model(idf, np.empty((0, DIMS)), [], {})
@@ -158,7 +160,8 @@ def fit(docs: DataFrame, max_per_lang: int = MAX_PER_LANG, centroids: int = CENT
                          "centroid": pa.array([v.astype(np.float32).tobytes() for v in c], pa.binary()),
                          "floor": pa.array([floor] * len(c), pa.float64())})
 
-    found = (map_batches(sample, vectors, "lang string, doc_id long, vector binary")
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    found = (map_batches(sample, vectors, f"lang string, doc_id {id_type}, vector binary")
              .groupBy("lang").applyInArrow(clusters, "lang string, centroid binary, floor double")
              .orderBy("lang").collect())
     return Model(idf, np.stack([np.frombuffer(r["centroid"], np.float32) for r in found]),
@@ -203,6 +206,8 @@ def identify_languages(docs: DataFrame, max_per_lang: int = MAX_PER_LANG) -> Dat
     lang_pred is ``und`` with score 0 for a null text, a text without a letter
     and when nothing can be learned. Rows without an id are held out; repeated
     rows get equal results; a language with one learnable text has one
-    centroid; other columns are ignored; empty tables give empty results.
+    centroid; other columns are ignored; empty tables give empty results. Texts
+    are counted whole, in segments of 512 KB with a blank at each end, so at a
+    border the few n-grams that would cross it are lost.
     """
     return predict(docs, fit(docs, max_per_lang))

@@ -122,6 +122,127 @@ def test_languages_of_awkward_rows(spark, labelled):
     assert {r.lang_pred for r in language_id.identify_languages(nothing).collect()} == {"und"}
 
 
+def test_languages_of_any_kind_of_id(spark, labelled):
+    docs = labelled[0].selectExpr("concat('d', doc_id) AS doc_id", "text", "lang")
+    rows = language_id.identify_languages(docs).collect()
+    truth = {r.doc_id: r.lang for r in docs.collect()}
+    assert np.mean([r.lang_pred == truth[r.doc_id] for r in rows]) > 0.95
+
+
+def test_the_sample_is_bounded_when_one_id_has_all_rows(spark, labelled):
+    """One id with different texts, and one row many times."""
+    rows = labelled[0].selectExpr("1 AS doc_id", "text", "lang")
+    rows = rows.union(rows.limit(1).selectExpr("doc_id", "text", "lang", "explode(sequence(1, 2000)) AS k").drop("k"))
+    many = language_id.fit(rows.repartition(3), max_per_lang=40)
+    assert len(set(many.langs)) == 3 and many.centroids.shape == (12, language_id.DIMS)
+
+
+def plain_counts(text):
+    """Hashed n-grams of 1 to 4 folded bytes, counted one by one."""
+    fold = lambda b: b + 32 if 65 <= b <= 90 else 32 if b < 65 or 91 <= b <= 96 or 123 <= b <= 127 else b
+    data = bytes(fold(b) for b in b" " + (text or "").encode() + b" ")
+    out = np.zeros(language_id.DIMS)
+    for n in language_id.ORDERS:
+        for i in range(len(data) - n + 1):
+            gram = data[i:i + n]
+            if gram[0] == 32 and gram[-1] == 32:
+                continue
+            code = 0
+            for b in gram:
+                code = (code * 257 + b) % (1 << 32)
+            mixed = ((code * 0x9E3779B1) % (1 << 32) + n * 0x85EBCA6B) % (1 << 32) >> 20
+            out[mixed % language_id.DIMS] += 1
+    return out
+
+
+def test_whole_language_query_against_plain_code(spark):
+    """The registered query on whole tables against one loop over all rows:
+    frequencies, vectors, centroids (spherical k-means from the same start)
+    and cosines are all worked out again here."""
+    from ridgeline.llm import queries
+    path = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text", "lang").collect()
+    counts = {i: plain_counts(r.text) for i, r in enumerate(docs)}
+    learn = [i for i, r in enumerate(docs) if not _held_out(r.doc_id) and r.lang and r.text is not None]
+    idf = np.log((1 + len(learn)) / (1 + sum((counts[i] > 0) for i in learn))) + 1
+
+    def vector(i):
+        v = np.log1p(counts[i]) * idf
+        return v / max(np.linalg.norm(v), 1e-12)
+    centroids = []
+    for lang in sorted({docs[i].lang for i in learn}):
+        x = np.stack([vector(i).astype(np.float32) for i in sorted(learn, key=lambda i: docs[i].doc_id)
+                      if docs[i].lang == lang])
+        rng = np.random.default_rng(3)
+        c = x[rng.choice(len(x), min(language_id.CENTROIDS, len(x)), replace=False)]
+        for _ in range(15):
+            cos = x @ c.T
+            own = cos.argmax(1)
+            c = np.stack([x[own == j].sum(0) if (own == j).any() else x[cos.max(1).argmin()] for j in range(len(c))])
+            c /= np.linalg.norm(c, axis=1, keepdims=True)
+        centroids += [(lang, v) for v in c]
+    got = {r.doc_id: r for r in queries.op10_language_id(spark, path).collect()}
+    assert len(got) == len(docs)
+    for i, r in enumerate(docs):
+        row = got[r.doc_id]
+        assert row.held_out == _held_out(r.doc_id)
+        if not any(ch.isalpha() for ch in r.text or ""):
+            assert (row.lang_pred, row.score) == ("und", 0.0)
+            continue
+        cos = [float(vector(i) @ v) for _, v in centroids]
+        best = int(np.argmax(cos))
+        assert abs(row.score - cos[best]) < 1e-4
+        assert row.lang_pred == centroids[best][0] or max(cos) - max(
+            c for c, (lang, _) in zip(cos, centroids) if lang == row.lang_pred) < 1e-5
+
+
+def test_whole_quality_query_against_plain_code(spark):
+    """The registered query against dense algebra over all rows: statistics
+    one text at a time, the ridge by least squares, calibration by the minimax
+    form of isotonic regression."""
+    from ridgeline.llm import queries
+    path = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text").collect()
+    labels = {}
+    for r in spark.read.parquet(f"{path}/labels.parquet").select("doc_id", "quality").collect():
+        labels.setdefault(r.doc_id, []).append(r.quality)
+    stats = np.vstack([next(quality_classifier.statistics([r.text])) for r in docs])
+    fold = np.array([zlib.crc32(str(r.doc_id).encode()) % 5 for r in docs])
+    label = np.array([np.mean(labels[r.doc_id]) if r.doc_id in labels else np.nan for r in docs])
+    fitting, calibrating = (fold % 4 > 0) & ~np.isnan(label), (fold == 4) & ~np.isnan(label)
+    assert set(fold[fitting]) == {1, 2, 3}
+    mean, scale = stats[fitting].mean(0), stats[fitting].std(0)
+    scale[scale < 1e-9] = 1
+    rng = np.random.default_rng(7)
+    weights = rng.normal(0, 1 / np.sqrt(stats.shape[1]), (stats.shape[1], 256))
+    phase = rng.uniform(0, 2 * np.pi, 256)
+    z = np.cos(np.clip((stats - mean) / scale, -6, 6) @ weights + phase) * np.sqrt(2 / 256)
+    z = np.hstack([z, np.ones((len(z), 1))])
+    # ridge as least squares with a row per weight
+    a = np.vstack([z[fitting], np.eye(257)])
+    ridge = np.linalg.lstsq(a, np.concatenate([label[fitting], np.zeros(257)]), rcond=None)[0]
+    raw = z @ ridge
+    # calibration: bins of the raw score, then max over starts of min over ends
+    at = np.clip(((raw[calibrating] + 1) / 3 * 4000).astype(int), 0, 3999)
+    seen = np.unique(at)
+    w = np.array([(at == b).sum() for b in seen], float)
+    t = np.array([label[calibrating][at == b].sum() for b in seen])
+    n = len(seen)
+    level = np.array([max(min(t[i:j + 1].sum() / w[i:j + 1].sum() for j in range(k, n)) for i in range(k + 1))
+                      for k in range(n)])
+    x = -1 + (seen + 0.5) * 3 / 4000
+    values = np.unique(level.round(12))
+    knots = np.array([np.average(x[level.round(12) == v], weights=w[level.round(12) == v]) for v in values])
+    want = np.interp(raw, knots, values)
+    got = {r.doc_id: r for r in queries.op1_quality_classifier(spark, path).collect()}
+    assert len(got) == len(docs)
+    off = [abs(got[r.doc_id].score - s) for r, s in zip(docs, want)]
+    # a raw score that rounds into the next bin may move one knot
+    assert np.quantile(off, 0.99) < 1e-3 and np.mean(off) < 1e-3
+    assert all(got[r.doc_id].held_out == (f == 0) for r, f in zip(docs, fold))
+    assert all(r.predicted == (r.score >= 0.3) for r in got.values())
+
+
 def test_nearest_centroid_is_the_largest_cosine():
     rng = np.random.default_rng(2)
     x = rng.random((50, language_id.DIMS))
