@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.scoring import DEFAULT_PARAMS, ScoreParams, climb_score
 from ..session import shared_dir
-from .snapshots import latest_per_key
+from ..sources import versioned
+from .snapshots import latest_per_key, upsert_partitions
 from .spatial import CELL_KEY, area_cells, forecast_by_area, keyed_by_cell
 
 
-def forecast_hourly_by_area(stg: DataFrame, areas: DataFrame,
-                            bridge: DataFrame | None = None) -> DataFrame:
+def forecast_hourly_by_area(stg: DataFrame, areas: DataFrame, bridge: DataFrame | None = None,
+                            spread_by: str | None = None) -> DataFrame:
     """Hourly forecast rows per area, newest snapshot per (area, hour).
 
     Same bag as "contains-join every hourly row, then row_number per
@@ -39,12 +40,28 @@ def forecast_hourly_by_area(stg: DataFrame, areas: DataFrame,
     newest_cell = latest_per_key(keyed_by_cell(stg), [CELL_KEY, "start_time"])
     one, many = split_bridge(stg, areas, bridge)
     cols = schemas.HOURLY_BY_AREA_COLUMNS
-    single = forecast_by_area(newest_cell, one).select(*cols)
+    single = forecast_by_area(newest_cell, one, spread_by=spread_by).select(*cols)
     if many is None:
         return single
     return single.unionByName(newest_in_several_polygons(newest_cell, many).select(*cols))
 
 
+def upsert_hourly_by_area(stg: DataFrame, areas: DataFrame, cell_table: str, area_table: str) -> list[str]:
+    """D6 on the by-area model: new staged rows are merged per (polygon, hour)
+    into ``cell_table``, before the fan-out, and the days they touch are fanned
+    out anew into ``area_table``. Both tables have day folders; the rows of an
+    area and hour are those of merging per (area, hour), without reading them.
+
+    Each table changes at once. A job that dies between the two leaves the
+    by-area model a batch behind; running it again brings it up to date.
+    Gives the day folders written."""
+    spark, day = stg.sparkSession, F.to_date("start_time")
+    days = upsert_partitions(cell_table, stg.withColumn("start_day", day), ["geo_json", "start_time"], "start_day")
+    touched = versioned.read(spark, cell_table, only=days).drop("start_day")
+    rows = forecast_hourly_by_area(touched, areas, spread_by="to_date(start_time)")
+    return versioned.load(rows.withColumn("start_day", day), area_table, ["start_day"], mode="partitions")
+
+
 def split_bridge(stg: DataFrame, areas: DataFrame, bridge: DataFrame | None = None):
     """(single-polygon bridge, multi-polygon bridge or None).
 

@@ -63,7 +63,7 @@ def incremental_upsert(stored: DataFrame, new_rows: DataFrame, keys: Sequence[st
 
 
 def upsert_partitions(path: str, new_rows: DataFrame, keys: Sequence[str], partition_col: str,
-                      order_by: Sequence[Column] | None = None, batch: tuple[str, int] | None = None) -> None:
+                      order_by: Sequence[Column] | None = None, batch: tuple[str, int] | None = None) -> list[str]:
     """D6 on a table partitioned by ``partition_col`` (derived from the keys,
     e.g. the day of ``start_time``): only the partitions that ``new_rows``
     touch are read (their values are a literal filter on the scan) and
@@ -74,20 +74,20 @@ def upsert_partitions(path: str, new_rows: DataFrame, keys: Sequence[str], parti
     the table as it was. The merge is idempotent, so a replayed batch leaves
     the same table; one that is named by ``batch`` is skipped. The new rows
     are cut with ``checkpoint()`` when a stored table is merged, as they are
-    used twice then.
+    used twice then. Gives the partition folders that were written.
     """
     spark = new_rows.sparkSession
     new_rows = latest_per_key(new_rows, keys, order_by)
     now = versioned.current(spark, path)
     if now is not None:
         if batch and now.batches.get(batch[0], -1) >= batch[1]:
-            return
+            return []
         shared_dir(spark)
         new_rows = new_rows.checkpoint(eager=True)
         values = [r[0] for r in new_rows.select(partition_col).distinct().collect()]  # partitions of one batch
         stored = versioned.read(spark, path, now).where(F.col(partition_col).isin(values)).select(*new_rows.columns)
         new_rows = latest_per_key(stored.unionByName(new_rows), keys, order_by)
-    versioned.load(new_rows, path, [partition_col], mode="partitions", batch=batch, base=now)
+    return versioned.load(new_rows, path, [partition_col], mode="partitions", batch=batch, base=now)
 
 
 def newest_of(path: str, spark, keys: Sequence[str], order_by: Sequence[Column] | None = None) -> DataFrame:

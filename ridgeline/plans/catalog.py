@@ -289,18 +289,14 @@ def q_publish_clustered(spark, sf):
 
 
 def q_incremental_upsert(spark, sf):
+    """Two runs into the by-area model, a table with day folders; the
+    second meets stored days."""
     cut = F.lit("2024-01-16 00:00:00").cast("timestamp")
-    s = stg(spark, sf)
-    d = dim(spark, sf)
-    old = forecast.forecast_hourly_by_area(s.filter(F.col("extracted_at_ts") < cut), d)
-    new = forecast.forecast_hourly_by_area(s.filter(F.col("extracted_at_ts") >= cut), d)
-    day = F.to_date("start_time")
-    # the stored model is a day-partitioned table; the new run is merged into
-    # the days it touches, and the result is read back from the table
-    path = scratch_path(spark, "hourly")
-    for rows in (old, new):
-        snapshots.upsert_partitions(path, rows.withColumn("start_day", day), ["area_id", "start_time"], "start_day")
-    return tables.read_table(spark, path).select("area_id", "start_time", "generated_at", "temperature_value")
+    s, d = stg(spark, sf), dim(spark, sf)
+    cells, hourly_table = scratch_path(spark, "cell_hours"), scratch_path(spark, "hourly")
+    for run in (F.col("extracted_at_ts") < cut, F.col("extracted_at_ts") >= cut):
+        forecast.upsert_hourly_by_area(s.filter(run), d, cells, hourly_table)
+    return tables.read_table(spark, hourly_table).select("area_id", "start_time", "generated_at", "temperature_value")
 
 
 def _scored_stage(spark, sf, variant):

@@ -107,6 +107,32 @@ def test_vacuum_removes_what_no_kept_version_names(spark):
     assert held(spark, path) == before and versioned.vacuum(spark, path, keep=1) == []
 
 
+def test_by_area_upsert_equals_the_whole_and_repairs_itself(spark, monkeypatch):
+    """Three runs, the last a repeat of the second; the driver dies once
+    between the polygons' table and the areas'."""
+    from sf_paths import SF001
+
+    from ridgeline.operators import forecast
+    from ridgeline.plans import catalog as C
+    s, d = C.stg(spark, SF001), C.dim(spark, SF001)
+    cells, areas = scratch_path(spark, "cells"), scratch_path(spark, "areas")
+    early = F.col("extracted_at_ts") < F.lit("2024-01-16").cast("timestamp")
+    forecast.upsert_hourly_by_area(s.filter(early), d, cells, areas)
+    first = tables.read_table(spark, areas).count()
+    with monkeypatch.context() as m:
+        def die(*_, **__):
+            raise KeyboardInterrupt
+        m.setattr(forecast, "forecast_hourly_by_area", die)
+        with pytest.raises(KeyboardInterrupt):
+            forecast.upsert_hourly_by_area(s.filter(~early), d, cells, areas)
+    assert tables.read_table(spark, areas).count() == first
+    want = sorted(map(str, forecast.forecast_hourly_by_area(s, d).collect()))
+    for _ in range(2):
+        forecast.upsert_hourly_by_area(s.filter(~early), d, cells, areas)
+        got = tables.read_table(spark, areas).drop("start_day")
+        assert sorted(map(str, got.collect())) == want
+
+
 def test_clustered_layout_skips_row_groups(spark):
     """A read by either column meets a small share of the files, and an hour a
     small share of the row groups by their statistics."""
