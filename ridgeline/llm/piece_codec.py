@@ -29,7 +29,7 @@ from ridgeline.llm.common import map_batches
 MODEL = "piece_bpe_32k.model"
 BLANK = "▁"  # how the model writes a space
 UNITS = re.compile(f"\n|{BLANK}*[^{BLANK}\n]+|{BLANK}+")
-UNIT_MEMO = 600_000  # entries of about 250 bytes, two generations
+UNIT_MEMO = 900_000  # entries of about 250 bytes, two generations
 UNIT_MEMO_CHARS = 63
 UNKNOWN = " ⁇ "  # how the library decodes the id of unknown pieces
 
