@@ -39,22 +39,35 @@ def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
               .filter(F.col("n_rows") > 1))
 
 
+def counted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows per key combination (``n_rows``)."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def check_unique_by_area(forecast: DataFrame, bridge: DataFrame, keys: Sequence[str] = ("start_time",),
-                         on: str | None = None) -> DataFrame:
+                         on: str | None = None, n_rows: str | None = None) -> DataFrame:
     """DQ4 on the by-area model without building it: rows are counted per
     (cell key, keys) first, the counts (not the rows) are fanned out to the
-    areas of each cell, and summed per (area, keys). Same result as
+    areas of each cell. An area in one cell has that cell's counts, so only
+    those above one are fanned out to it; those of an area in several cells are
+    summed per (area, keys). ``n_rows`` names a column with the number of rows
+    that a row of ``forecast`` stands for (:func:`counted`). Same result as
     ``check_unique(forecast_by_area(forecast, bridge), ["area_id", *keys])``
     with one row per cell-hour, instead of one per area-hour-snapshot,
     going through the fan-out join."""
+    from .forecast import by_number_of_cells
     from .spatial import _cell_column, forecast_by_area
 
     on = on or _cell_column(forecast)
     keys = list(keys)
-    per_cell = forecast.groupBy(on, *keys).agg(F.count(F.lit(1)).alias("_n"))
-    fanned = forecast_by_area(per_cell, bridge.select("area_id", on), on=(on,))
-    return (fanned.groupBy("area_id", *keys).agg(F.sum("_n").alias("n_rows"))
-                  .filter(F.col("n_rows") > 1))
+    per_cell = forecast.groupBy(on, *keys).agg((F.sum(n_rows) if n_rows else F.count(F.lit(1))).alias("_n"))
+    one, many = by_number_of_cells(bridge.select("area_id", on))
+    names = ["area_id", *keys, F.col("_n").alias("n_rows")]
+    out = forecast_by_area(per_cell.filter(F.col("_n") > 1), one, on=(on,)).select(*names)
+    if many is not None:
+        summed = forecast_by_area(per_cell, many, on=(on,)).groupBy("area_id", *keys).agg(F.sum("_n").alias("_n"))
+        out = out.unionByName(summed.filter(F.col("_n") > 1).select(*names))
+    return out
 
 
 def required(cols: Sequence[str]) -> dict[str, Column]:
