@@ -93,3 +93,60 @@ def test_two_texts_with_one_key_both_stay(spark, monkeypatch):
     assert few and rows.count() == s.select("geo_json", "start_time").distinct().count()
     monkeypatch.setattr(forecast, "FEW_ROWS", 1)
     assert not forecast.newest_by_cell(s)[1]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_documents_are_made_in_all_partitions(spark):
+    docs = B.raw_forecast_docs(spark, SF001)
+    assert docs.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_days_of_few_rows_are_broadcast_to_areas(spark):
+    d = forecast.daily_score_by_area(C.stg(spark, SF001), C.dim(spark, SF001))
+    assert "_row_salt" not in _plan(d) and "BroadcastHashJoin" in _plan(d)
+
+
+def test_series_by_metric_per_polygon_are_those_of_the_fact(spark):
+    want = C._metric_digest(serve.series_by_metric(C.fact(spark, SF001), B.as_of()))
+    got = serve.series_by_metric_by_area(C.stg(spark, SF001), C.dim(spark, SF001), B.as_of(), each=C._metric_digest)
+    assert got.columns == want.columns and got.count() and _rows(got) == _rows(want)
+    # the query groups hours by polygon, not by area
+    plan = _plan(C.q_series_by_metric(spark, SF001))
+    lists = [line for line in plan.splitlines() if "collect_list" in line]
+    assert lists and all("keys=[cell_key" in line for line in lists)
+
+
+def test_doubled_hours_are_fanned_out_once(spark):
+    assert "Union" not in _plan(C.q_check_unique_fact(spark, SF001))
+
+
+def test_rows_along_the_curve_are_placed_before_the_fan_out(spark):
+    t = dt.datetime(2024, 1, 1)
+    rows = spark.createDataFrame([(k, t + dt.timedelta(hours=h), float(h * k)) for k in (1, 2) for h in range(300)]
+                                 + [(1, None, 5.0), (1, t, 0.0), (3, t, 1.0)], "cell_key long, start_time timestamp, v double")
+    bridge = spark.createDataFrame([(f"a{i:03d}", 1 + i % 2) for i in range(400)] + [("a000", 1), (None, 2), ("x", 9)],
+                                   "area_id string, cell_key long")
+    got = spatial.forecast_by_area_clustered(rows, bridge, 16)
+    want = spatial.forecast_by_area(rows, bridge)
+    assert got.columns == want.columns and _rows(got) == _rows(want)
+    placed = got.withColumn("p", F.spark_partition_id()).checkpoint()
+    assert placed.select("p").distinct().count() == 16
+    sizes = [r["count"] for r in placed.groupBy("p").count().collect()]
+    assert max(sizes) < 2 * sum(sizes) / 16
+    for c in ("area_id", "start_time"):
+        files = placed.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count_distinct("p").alias("n"))
+        assert files.agg(F.avg("n")).first()[0] <= 0.4 * 16
+    # no wide row is shuffled after the fan-out
+    assert "Exchange" not in _plan(got).split("Generate inline")[0]
+    assert spatial.forecast_by_area_clustered(rows.where("false"), bridge, 4).count() == 0
+
+
+def test_clustered_fact_is_the_fact(spark, monkeypatch):
+    s, d = C.stg(spark, SF001), C.dim(spark, SF001)
+    want = _rows(forecast.fact_hourly_by_area(s, d))
+    assert _rows(forecast.fact_clustered_by_area(s, d, 5)) == want
+    monkeypatch.setattr(forecast, "FEW_ROWS", 1)
+    assert _rows(forecast.fact_clustered_by_area(s, d, 5)) == want
