@@ -150,3 +150,37 @@ def test_clustered_fact_is_the_fact(spark, monkeypatch):
     assert _rows(forecast.fact_clustered_by_area(s, d, 5)) == want
     monkeypatch.setattr(forecast, "FEW_ROWS", 1)
     assert _rows(forecast.fact_clustered_by_area(s, d, 5)) == want
+
+
+def _shuffled(plan):
+    """Rows written to the shuffles of a plan that has run."""
+    own = plan.metrics().apply("shuffleRecordsWritten").value() if plan.nodeName() == "Exchange" else 0
+    return own + sum(_shuffled(plan.children().apply(i)) for i in range(plan.children().size()))
+
+
+def _crowded(spark, n_rows, n_areas):
+    """One cell with many areas, two of them alike and one without an id."""
+    rows = spark.range(n_rows).selectExpr("'c' AS geo_json", "id AS start_time")
+    bridge = spark.range(n_areas).selectExpr("'c' AS geo_json", "CASE WHEN id > 1 THEN concat('A', id) WHEN id = 1 THEN 'A2' END AS area_id")
+    return rows, bridge
+
+
+def _areas_seen_first(df, n):
+    """The most areas among the first ``n`` rows of a task."""
+    at = df.select("area_id", F.spark_partition_id().alias("p"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("i"))
+    return max(r.n for r in at.filter(F.col("i") < n).groupBy("p").agg(F.count_distinct("area_id").alias("n")).collect())
+
+
+def test_rows_are_not_shuffled_for_every_list_of_areas(spark):
+    rows, bridge = _crowded(spark, 400, 5000)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = spatial.forecast_by_area(rows, bridge.union(bridge.limit(0)), partitions=16)
+        assert out.count() == 400 * 5000
+        run = out._jdf.queryExecution()
+        run.toRdd().count()
+        assert 400 < _shuffled(run.executedPlan()) < 20_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert out.filter("area_id IS NULL").count() == 400 and out.filter("area_id = 'A2'").count() == 800
+    assert _areas_seen_first(out, 1000) < 800
