@@ -9,6 +9,7 @@ from sf_paths import SF001
 from ridgeline.operators import accuracy, checks, forecast, serve, spatial
 from ridgeline.plans import bindings as B
 from ridgeline.plans import catalog as C
+from ridgeline.session import scratch_path
 
 
 def _rows(df):
@@ -184,3 +185,15 @@ def test_rows_are_not_shuffled_for_every_list_of_areas(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert out.filter("area_id IS NULL").count() == 400 and out.filter("area_id = 'A2'").count() == 800
     assert _areas_seen_first(out, 1000) < 800
+
+
+def test_the_stored_join_comes_list_by_list(spark):
+    rows, bridge = _crowded(spark, 320, 3000)
+    path = scratch_path(spark, "stored")
+    stored = spatial.store_forecast(rows, "stored_" + path[-32:], path, 4)
+    out = spatial.stored_forecast_by_area(stored, spatial.keyed_by_cell(bridge), 4)
+    assert out.columns == ["start_time", "cell_key", "area_id"]
+    want = rows.crossJoin(bridge.select("area_id")).select("start_time", "area_id")
+    got = out.select("start_time", "area_id")
+    assert got.count() == 320 * 3000 and got.exceptAll(want).count() == 0
+    assert _areas_seen_first(out, 1000) < 800
