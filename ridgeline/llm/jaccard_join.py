@@ -1,7 +1,8 @@
 """Operator 8: n-gram Jaccard join by T-occurrence search.
 
-Documents with equal shingle sets are one node. Two nodes that link share a
-shingle of their prefixes (the rarest fifth of a set under one global order),
+Documents with equal shingle sets are one node. A node with more shingles of
+its own than the link rule lets it have links to nothing and is left out (see
+``nodes_that_may_link``). Two nodes that link share a shingle of their prefixes (the rarest fifth of a set under one global order),
 so nodes that are connected through shared prefix shingles form independent
 groups; only nodes in a group of at least two are looked at further, each
 shipped once. Within a block of a group:
@@ -35,9 +36,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import bound_batches, kept_table, located, map_batches
+from ridgeline.llm.common import bound_batches, kept_table, located, map_batches, result_kept
 from ridgeline.llm.components import components, spanning_edges
 from ridgeline.llm.shingles import mix, shingle_sets
+from ridgeline.session import remove_scratch, scratch_path
 
 # Shingles are counted in at most 2 ** CELL_BITS cells of one byte each.
 CELL_BITS = 26
@@ -83,6 +85,16 @@ def _unzip(data: bytes, n: int, dtype) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(dtype).ravel(), dtype=dtype)
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Integers as byte planes, compressed."""
+    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unplanes(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, n * 4, codec="zstd", asbytes=True), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view(np.int32).ravel()
+
+
 def _by_bucket(high: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
     """(bucket, from, to) of sorted 32-bit values by their top bits."""
     ends = np.searchsorted(high, (np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(32 - bits)).astype(np.uint32))
@@ -162,6 +174,88 @@ def frequency_classes(rows: DataFrame, total: int) -> np.ndarray:
     return out
 
 
+def nodes_that_may_link(rows: DataFrame, total: int, link: Link) -> DataFrame:
+    """(node), once or more each: the nodes with fewer shingles of their own
+    than a prefix is long. A shingle that one text alone has is in no common
+    part, so a set with more of them links to nothing. They are counted exactly
+    but for hashes (cut to 64 times as many values as there are shingles), so
+    this stays as sharp however many texts there are; texts that occur twice
+    have no shingle of their own and stay.
+
+    A chunk of texts (about FLUSH shingles) sends each bucket its shingles with
+    their texts, one that several of its texts have without text, once; the
+    bucket tells the chunk how many of each text's are found once."""
+    bits = _bits(total)
+    drop = np.uint64(64 - max(bits + 1, min(63, total.bit_length() + 6)))
+
+    def spill(chunk: str, sets: list[np.ndarray], nodes: list[int], need: list[int]) -> pa.RecordBatch:
+        tokens = np.concatenate(sets) >> drop
+        texts = np.repeat(np.arange(1, len(sets) + 1, dtype=np.int32), [len(s) for s in sets])
+        order = np.argsort(tokens, kind="stable")
+        tokens, texts = tokens[order], texts[order]
+        first = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
+        texts = np.where(np.diff(first, append=len(tokens)) > 1, 0, texts[first]).astype(np.int32)
+        tokens = tokens[first]
+        high = (tokens >> (np.uint64(32) - drop) if drop < 32 else tokens << (drop - np.uint64(32))).astype(np.uint32)
+        found = [(k, chunk, hi - lo, _zip(tokens[lo:hi]), _planes(texts[lo:hi])) for k, lo, hi in _by_bucket(high, bits)]
+        # what the chunk has to know goes to it by way of a bucket
+        found.append((-1 - hash(nodes[0]) % (1 << bits), chunk, len(nodes), np.array(nodes, np.int64).tobytes(),
+                      np.array(need, np.int64).tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found), (
+            pa.int32(), pa.string(), pa.int64(), pa.binary(), pa.binary()))], ["bucket", "chunk", "n", "data", "texts"])
+
+    def gather(batches):
+        sets, nodes, need, held, chunk = [], [], [], 0, ""
+        for b in batches:
+            files, places = b.column("file").to_pylist(), b.column("row").to_pylist()
+            for own, file, row in zip(shingle_sets(b.column("text").to_pylist()), files, places):
+                if not len(own):
+                    continue
+                if not held:
+                    chunk = f"{row} {file}"
+                sets.append(own)
+                nodes.append(digest(own))
+                need.append(link.prefix(len(own)))
+                held += len(own)
+                if held >= FLUSH:
+                    yield spill(chunk, sets, nodes, need)
+                    sets, nodes, need, held = [], [], [], 0
+        if held:
+            yield spill(chunk, sets, nodes, need)
+
+    def count(key, t):
+        k, chunks = key[0].as_py(), t.column("chunk")
+        n, data, texts = (t.column(c).to_pylist() for c in ("n", "data", "texts"))
+        if k < 0:
+            return pa.table({"chunk": chunks, "n": pa.array(n, pa.int64()), "nodes": pa.array(data, pa.binary()),
+                             "texts": pa.array(texts, pa.binary())})
+        _, at, times = np.unique(np.concatenate([_unzip(x, m, np.uint64) for x, m in zip(data, n)]),
+                                 return_inverse=True, return_counts=True)
+        once, lo, out, sizes = times[at] == 1, 0, [], []
+        for x, m in zip(texts, n):
+            own = np.sort(_unplanes(x, m)[once[lo:lo + m]])
+            lo += m
+            own = own[np.searchsorted(own, 1):]  # 0 is several of the chunk
+            out.append(_zip(own) if len(own) else b"")
+            sizes.append(len(own))
+        return pa.table({"chunk": chunks, "n": pa.array(sizes, pa.int64()),
+                         "nodes": pa.array([None] * len(n), pa.binary()), "texts": pa.array(out, pa.binary())})
+
+    def left(t):
+        n, data, texts = (t.column(c).to_pylist() for c in ("n", "nodes", "texts"))
+        at = next(i for i, x in enumerate(data) if x is not None)
+        nodes, need = np.frombuffer(data[at], np.int64), np.frombuffer(texts[at], np.int64)
+        own = np.zeros(len(nodes) + 1, np.int64)
+        for i, (x, m) in enumerate(zip(texts, n)):
+            if i != at and m:
+                own += np.bincount(_unzip(x, m, np.int32), minlength=len(own))
+        return pa.table({"node": pa.array(np.unique(nodes[own[1:] < need]), pa.int64())})
+
+    sent = map_batches(rows.select("text", "file", "row"), gather, "bucket int, chunk string, n long, data binary, texts binary")
+    back = sent.groupBy("bucket").applyInArrow(count, "chunk string, n long, nodes binary, texts binary")
+    return back.groupBy("chunk").applyInArrow(left, "node long")
+
+
 def prefix_edges(rows: DataFrame, total: int, classes: np.ndarray, link: Link) -> DataFrame:
     """Edges (a, b) that connect the nodes which share a prefix shingle: per
     shingle a star, first within a task, then between the tasks' centres."""
@@ -529,24 +623,29 @@ def members_that_link(pairs: DataFrame, local: DataFrame, texts: DataFrame, link
 
 def linked_nodes(rows: DataFrame, prof: DataFrame, link: Link) -> DataFrame:
     """(node, label): the component of every node that may link at all."""
+    spark = rows.sparkSession
     one = (prof.where("node is not null").groupBy("node")
            .agg(F.min(F.struct("file", "row")).alias("at"), F.max("n_shingles").alias("n")))
-    texts, count, total = rows, None, prof.agg(F.sum("n_shingles")).first()[0] or 0
+    total = prof.agg(F.sum("n_shingles")).first()[0] or 0
+    may = result_kept(spark, "jaccard-may-link", lambda: nodes_that_may_link(rows, total, link).distinct())
+    cand = may.join(one, "node").select("node", "n", "at.file", "at.row")
+    weight = F.greatest("n", F.ceil(F.octet_length("text") / SHINGLE_BYTES)).alias("weight")
+    texts = rows.select("file", "row", "text").join(cand, ["file", "row"]).select("node", "n", weight, "text")
+    path, before = None, None
     while True:
-        edges = kept_table(prefix_edges(texts, total, frequency_classes(texts, total), link), "jaccard-prefixes")
-        groups = components(edges)
-        if count is None:
-            cand = groups.join(one, "node").select("node", "n", "at.file", "at.row")
-            weight = F.greatest("n", F.ceil(F.octet_length("text") / SHINGLE_BYTES)).alias("weight")
-            texts = rows.select("file", "row", "text").join(cand, ["file", "row"]).select("node", "n", weight, "text")
-        else:
-            texts = texts.join(groups.select("node"), "node")
-        # nodes that link are all among these, so frequencies may be counted
-        # again over them alone: a sharper order, smaller groups
-        texts = kept_table(texts, "jaccard-texts")
-        before, (count, total) = count, texts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-        if not count or before is not None and count > SHRINK * before:
+        # one set of texts is kept at a time
+        last, path = path, scratch_path(spark, "jaccard-texts")
+        texts = kept_table(texts, "jaccard-texts", path)
+        if last:
+            remove_scratch(spark, last)
+        count, total = texts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+        if before is not None and (not count or count > SHRINK * before):
             break
+        # nodes that link are all among these, so frequencies are counted
+        # over them alone: a sharper order, smaller groups
+        groups = result_kept(spark, "jaccard-groups", lambda: components(
+            kept_table(prefix_edges(texts, total, frequency_classes(texts, total), link), "jaccard-prefixes")))
+        before, texts = count, texts.join(groups.select("node"), "node")
     cand = kept_table(_placed(texts.select("node", "weight").join(groups, "node")), "jaccard-blocks")
     texts = texts.drop("n", "weight").join(cand, "node")
     n_blocks = cand.select("block").distinct().count()

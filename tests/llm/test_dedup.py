@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ridgeline import session
 from ridgeline.llm import exact_dedup, jaccard_join
 from ridgeline.llm.common import located
 from ridgeline.llm.components import components as graph
@@ -241,3 +242,49 @@ def test_components_of_a_long_path(spark):
 
 def test_near_copies_are_linked():
     assert components([(k, near(k)) for k in range(5)])[4][2] == 0
+
+
+def _scattered(n, start=0):
+    """Texts of 60 words of their own round a passage that all share: a tenth
+    of their shingles, so none links to another."""
+    return [(start + i, " ".join([*(f"own{start + i}x{k}" for k in range(50)), *(f"passage{k}" for k in range(10))]))
+            for i in range(n)]
+
+
+def test_texts_with_shingles_of_their_own_are_left_out(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "FLUSH", 300)  # several chunks
+    rows = _scattered(30) + [(100 + k, near(k)) for k in range(5)] + [(200, near(1)), (201, "a b"), (202, "c d"), (203, "c  D"),
+                                                                    (204, None), (205, " ")]
+    df = located(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    link = jaccard_join.Link()
+    names = {r.node: r.doc_id for r in jaccard_join.profiles(df).where("node is not null").collect()}
+    may = {names[r.node] for r in jaccard_join.nodes_that_may_link(df, 2000, link).collect()}
+    assert may & set(range(30)) == set() and 201 not in may
+    assert {100, 102, 103, 104} <= may and {101, 200} & may and {202, 203} & may
+    got = _got(jaccard_join.jaccard_components(df.select("doc_id", "text")))
+    assert got == sorted(map(key, components(rows)))
+
+
+def test_few_cells_for_all_shingles_make_no_large_group(spark, monkeypatch):
+    """Cells that all hold many shingles tell no rare one from a common one."""
+    monkeypatch.setattr(jaccard_join, "CELL_BITS", 5)
+    seen = []
+    real = jaccard_join._placed
+    monkeypatch.setattr(jaccard_join, "_placed", lambda cand: seen.append(real(cand)) or seen[-1])
+    rows = _scattered(200) + [(300 + k, near(k)) for k in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {}
+    monkeypatch.setattr(jaccard_join, "prefix_edges", lambda rows, *a, f=jaccard_join.prefix_edges: (
+        left.setdefault("n", rows.count()), f(rows, *a))[1])
+    assert _got(jaccard_join.jaccard_components(df)) == sorted(map(key, components(rows)))
+    assert left["n"] <= 10
+
+
+def test_tables_on_the_way_are_removed(spark):
+    before = set(session.child_names(spark, f"{session.shared_dir(spark)}/ridgeline"))
+    df = spark.createDataFrame([(k, near(k)) for k in range(9)], "doc_id long, text string")
+    jaccard_join.jaccard_components(df).count()
+    made = set(session.child_names(spark, f"{session.shared_dir(spark)}/ridgeline")) - before
+    kinds = [n.rpartition("-")[0] for n in made]
+    assert kinds.count("jaccard-texts") == 1
+    assert not {"jaccard-prefixes", "components-edges", "components-labels", "components-up"} & set(kinds)
