@@ -164,3 +164,23 @@ def test_salted_bridge_and_cells(spark):
     for salt in (1, 5):
         assert sorted(r.area_id for r in spatial.assign_cells(areas, cells, salt=salt).collect()) == want
         assert sorted(r.area_id for r in spatial.area_polygons(areas, cells, salt=salt).collect()) == want
+
+
+def test_pairs_are_distinct_without_a_shuffle_of_them(spark):
+    overlapping = {"type": "MultiPolygon", "coordinates": [[box(0, 0, 2, 2)], [box(1, 1, 3, 3)]]}
+    shapes = [(1, polygon(box(0, 0, 2, 2))), (2, overlapping), (3, polygon(box(0, 0, 1, 1))), (3, polygon(box(0, 0, 2, 2))),
+              (4, polygon(box(179, 0, -179, 2))), (None, polygon(box(0, 0, 9, 9))), (None, polygon(box(0, 0, 9, 9)))]
+    points = [(1, 1.5, 1.5), (1, 1.5, 1.5), (2, 0.5, 0.5), (2, 0.25, 0.5), (3, 1.5, 1.75), (4, 179.5, 1.0), (5, -179.5, 1.0),
+              (6, None, 1.0), (None, 1.25, 1.5), (None, 0.5, 0.75)]
+    polys = spatial.polygons_from_geojson(spark.createDataFrame([(i, json.dumps(g)) for i, g in shapes], "polygon_id int, geo_json string"),
+                                          distinct=False, keep=("polygon_id",))
+    pts = spark.createDataFrame(points, "point_id int, longitude double, latitude double")
+    for salt in (1, 4):
+        want = spatial.spatial_join(pts, polys).select("point_id", "polygon_id").distinct().collect()
+        got = spatial.distinct_pairs(pts, polys, salt=salt).collect()
+        assert len(got) == len(want) and set(map(tuple, got)) == set(map(tuple, want))
+    single = [x for x in shapes if x[0] in (1, 4)]
+    polys = spatial.polygons_from_geojson(spark.createDataFrame([(i, json.dumps(g)) for i, g in single], "polygon_id int, geo_json string"),
+                                          distinct=False, keep=("polygon_id",))
+    plan = spatial.distinct_pairs(pts.filter("point_id > 3"), polys, salt=4)
+    assert "Aggregate" not in plan._jdf.queryExecution().executedPlan().toString()
